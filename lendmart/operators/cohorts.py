@@ -51,11 +51,14 @@ def co_lender_score(leads: DataFrame, partner_source: str, excluded_loans, paren
     parents = (src.filter(~F.col("loan_id").isin(list(excluded_loans)))
                .groupBy(F.col("user_id").alias("parent_uid"))
                .agg(F.max_by(F.struct(F.col("crif_score").alias("v")), F.col("loan_id")).alias("__p")))
-    own = F.col("crif_score").try_cast("int")
-    parent = F.col("__p")["v"].try_cast("int")
     linked = (F.col("source") == partner_source) & (F.col("parent_uid") != 0)
-    return (leads.join(parents, "parent_uid", "left")
-            .withColumn("crif_score_original", F.when(linked, parent).otherwise(own)).drop("__p"))
+    # Only linked leads look for a parent, so the many leads without one never meet the join key.
+    found = (leads.filter(linked).select("loan_id", "parent_uid").join(parents, "parent_uid")
+             .select("loan_id", F.col("__p")["v"].try_cast("int").alias("__parent")))
+    return (leads.join(found, "loan_id", "left")
+            .withColumn("crif_score_original",
+                        F.when(linked, F.col("__parent")).otherwise(F.col("crif_score").try_cast("int")))
+            .drop("__parent"))
 
 
 def presented_mandates(register: DataFrame, as_of) -> DataFrame:
