@@ -99,7 +99,7 @@ def parse_messy_date(c, strip: str = "[^0-9]", repairs: dict | None = None,
     s = F.regexp_replace(fixed, strip, "")
     padded = F.when(F.length(s) == 7, F.concat(F.lit("0"), s)).when(F.length(s) == 8, s)
     return (F.when(F.length(s) == 10, text_epoch_to_date(s, offset_s))
-             .when(padded.rlike("^[0-9]{8}$"), F.try_to_date(padded, F.lit("ddMMyyyy"))))
+             .when(padded.rlike("^[0-9]{8}$"), F.try_to_date(padded, "ddMMyyyy")))
 
 
 def resolve_month_name_date(month, day_text, ref_date) -> Column:
@@ -114,7 +114,7 @@ def resolve_month_name_date(month, day_text, ref_date) -> Column:
     day = F.regexp_substr(col(day_text), F.lit("[0-9]+"))
     year = F.when(m <= F.month(ref), F.year(ref)).otherwise(F.year(ref) - 1)
     text = F.concat_ws("-", year.cast("string"), F.lpad(m.cast("string"), 2, "0"), F.lpad(day, 2, "0"))
-    return F.when(F.length(day) <= 2, F.try_to_date(text, F.lit("yyyy-MM-dd")))
+    return F.when(F.length(day) <= 2, F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def cycle_cutoff(as_of, day: int = 25) -> Column:

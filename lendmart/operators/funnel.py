@@ -18,7 +18,7 @@ def campaign_dates(runs: DataFrame, performance: DataFrame, min_id: int = 2,
     One feed carries text days, the other epoch seconds with the offset taken off.
     """
     a = runs.select(F.col("los_app_id").cast("long").alias("los_app_id"),
-                    F.try_to_date("campaign_date", F.lit("yyyy-MM-dd")).alias("day"))
+                    F.try_to_date("campaign_date", "yyyy-MM-dd").alias("day"))
     b = active_only(performance).filter(F.col("id") > min_id).select(
         F.col("los_app_id").try_cast("long").alias("los_app_id"),
         epoch_to_local_date(F.col("campaign_date").try_cast("long"), offset_s).alias("day"))

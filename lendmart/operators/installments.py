@@ -228,7 +228,7 @@ def collected_proposals(proposals: DataFrame, collections: DataFrame) -> DataFra
     """Accepted and collected proposals next to their collections (1:n)."""
     p = (proposals.filter((F.col("deleted") == "N") & (F.col("proposal_state") == "13000") & (F.col("is_collected") == "Y"))
          .select(F.col("id").cast("long").alias("proposal_id"), "loan_id", F.col("lender_uid").alias("lender"),
-                 F.col("amount").alias("cp_amount"), epoch_to_local_date("udated", 0).alias("proposal_day")))
+                 F.col("amount").alias("cp_amount")))
     c = (collections.filter((F.col("deleted") == "N") & (F.col("proposal_state") == "14000") & (F.col("is_declined") == "0"))
          .select(F.col("proposal_id").try_cast("long").alias("proposal_id"),
                  epoch_to_local_date("udated", 0).alias("collection_day")))

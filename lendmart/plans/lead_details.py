@@ -251,9 +251,7 @@ def loan_frames(catalog: Catalog, people: DataFrame, log: DataFrame, base: DataF
     """Every loan-keyed sub-frame, each with one row per loan."""
     info, dictionary = catalog["additional_info"], rows.active_only(catalog["dictionary"])
     disbursed = ins.register_rollup(catalog["payment_register"], site.ignored_payees)
-    proposals = ins.proposal_rollup(ins.collected_proposals(catalog["proposals"], catalog["proposal_collections"])
-                                    # Proposal days are the proposal's own update here.
-                                    .withColumn("collection_day", F.col("proposal_day")),
+    proposals = ins.proposal_rollup(ins.collected_proposals(catalog["proposals"], catalog["proposal_collections"]),
                                     site.priority_lenders, site.other_portfolio)
     proposals = proposals.withColumnsRenamed({"first_day": "first_proposal_date", "last_day": "last_proposal_date"})
     best = ld.mandate_status(ld.best_mandate(catalog["mandates"]), ld.subscription_counts(catalog["subscriptions"]),
@@ -309,7 +307,7 @@ def lead_details(catalog: Catalog, as_of, site: SiteConfig = DEFAULT_SITE) -> Da
     first = df.select(
         "loan_id", product.alias("product_type"), title_or("loan_type", "Others").alias("loan_type"),
         title_or("loan_subtype", "Others").alias("loan_subtype"),
-        F.initcap(F.upper(F.trim(F.coalesce("other_loan_type", F.lit("Others"))))).alias("loan_othertype"),
+        title_or("other_loan_type", "Others").alias("loan_othertype"),
         state.alias("loan_currentstate"),
         ld.default_portfolio(site).alias("portfolio_type"), F.col("uid").alias("user_id"),
         *[c.alias(n) for n, c in sl.rule_window_flags("cl_created", "livec_date", "__pass", "__reject").items()],
