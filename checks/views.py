@@ -178,7 +178,7 @@ SELECT {UID} AS uid, lower(c_mktsegment) AS fname, CAST(c_custkey AS VARCHAR(20)
        CASE WHEN c_custkey % 41 = 0 THEN 'Y' ELSE 'N' END AS deleted,
        'sp' AS spouse, 'fa' AS father, 'mo' AS mother, '1' AS aadhaar_number, 'single' AS marital_status,
        CASE WHEN c_custkey % 2 = 0 THEN 'Male' END AS gender, 1 AS reg_step, 'old' AS old_source, 'Y' AS mobile_verify,
-       CAST(320 + c_custkey % 6 AS VARCHAR(10)) AS highest_education, 'web' AS registration_type, 'x' AS source_type,
+       CAST(319 + CAST(floor(c_custkey / 3) AS BIGINT) % 7 AS VARCHAR(10)) AS highest_education, 'web' AS registration_type, 'x' AS source_type,
        '' AS gst, '' AS relation_type, 0 AS campaign_id, 'Y' AS is_pan_verified,
        CASE WHEN c_custkey % 5 = 0 THEN 100000 + c_custkey % 30 ELSE 0 END AS parent_uid
 FROM {{customer}} WHERE c_custkey % 3 = 0"""
