@@ -311,5 +311,21 @@ LEFT JOIN (SELECT * FROM dictionary WHERE deleted = 'N' AND cnd_group = 'INDIA_L
 LEFT JOIN (SELECT * FROM dictionary WHERE deleted = 'N' AND cnd_group IN ('LOAN_CITY', 'STATE_INDIA')) c ON CAST(c.id AS VARCHAR) = regexp_extract(l.loan_city, '[0-9]+') AND l.deleted = 'N'""")
 def _(i):
     from checks.q_marts import catalog
-    return lead.loan_base(catalog(i)).select("loan_id", "loan_currentstate", "loan_type", "rate_expected", "rate_min_approved", "rate_max_approved", "loan_sub_staus",
+    return lead.loan_base(catalog(i), rows.active_only(i.dictionary)).select("loan_id", "loan_currentstate", "loan_type", "rate_expected", "rate_min_approved", "rate_max_approved", "loan_sub_staus",
                                              "cl_created", "live_date", "loan_city")
+
+
+@query("log_frame", uses="log uw_master", sql=f"""
+SELECT entity AS loan_id, {', '.join(f"max(CASE WHEN entity_type = '{t}' AND new_state IN ({', '.join(map(str, s))}) THEN at_s END) AS {n}" for n, (t, s) in fv.MILESTONES.items())},
+  arg_max(actor, (at_s, id)) FILTER (WHERE entity_type = 'cent_loan' AND new_state = 1050 AND actor NOT IN (0, 1)) AS ba_uid,
+  arg_max(actor, (at_s, id)) FILTER (WHERE entity_type = 'cent_loan' AND actor NOT IN (0, 1) AND ((old_state = 1050 AND new_state = 1200) OR (old_state = 1200 AND new_state IN (1400, 1100)))) AS preuw_uid,
+  min(at_s) FILTER (WHERE entity_type = 'cent_loan' AND new_state = 1400) AS uwac_created,
+  arg_max(actor, (at_s, id)) FILTER (WHERE mv) AS uw_last, max(at_s) FILTER (WHERE mv) AS uw_last_at,
+  {', '.join(f"arg_max(actor, (at_s, id)) FILTER (WHERE mv AND new_state = {s}) AS uw_{n}, max(at_s) FILTER (WHERE mv AND new_state = {s}) AS uw_{n}_date" for n, s in fv.UW_SLOTS.items())}
+FROM (SELECT *, entity_type = 'cent_loan' AND old_state IN (1400, 1500, 1700) AND new_state IN (-1000, 1100, 1500, 1600, 2500, 2700) AND actor NOT IN (0, 1)
+        AND actor IN (SELECT uw_id FROM uw_master) AS mv FROM log) GROUP BY entity""")
+def _(i):
+    from lendmart.operators import state_log as sl
+    out = lead.log_frame(sl.state_log(i.state_log), i.uw_master, SITE)
+    times = [*fv.MILESTONES, "uwac_created", "uw_last_at", *[f"uw_{n}_date" for n in fv.UW_SLOTS]]
+    return out.select(*[F.unix_seconds(c).alias(c) if c in times else F.col(c) for c in out.columns])

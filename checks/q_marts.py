@@ -35,6 +35,7 @@ from checks.q_portfolio import (AS_OF, FEES_SQL, MEASURES, SITE, SPINE_SQL, SUMM
                                 monthly_sql, period_sql, position_sql, sum_if, tag_sql)
 from lendmart.plans import lead_details as lead  # noqa: E402
 from lendmart.plans import portfolio, static_pool  # noqa: E402
+from lendmart.sources.staging import stage  # noqa: E402
 
 DISBURSED_SQL = "(SELECT loan_id, min(day) AS first_disburse_date, max(day) AS last_disburse_date FROM collected GROUP BY loan_id)"
 
@@ -193,8 +194,9 @@ SELECT *, CASE WHEN non_starter = 1 THEN 'Yes' ELSE 'No' END AS non_starter_flag
   {', '.join(f"CASE WHEN dpd IN ({', '.join(_LADDER[k:])}) THEN 1 ELSE 0 END AS {n}_count, CASE WHEN dpd IN ({', '.join(_LADDER[k:])}) THEN pos ELSE 0 END AS {n}" for n, k in fv.DELINQUENCY_STARTS.items())}
 FROM b""")
 def _(i):
-    c = catalog(i)
-    return static_pool.static_pool(catalog(i, loan_details_at_monthly=portfolio.loan_at_monthly_full(c, AS_OF, SITE)), AS_OF, SITE)
+    # The monthly mart is a table by the time the pool reads it.
+    monthly = stage(portfolio.loan_at_monthly_full(catalog(i), AS_OF, SITE), "monthly", "status_month")
+    return static_pool.static_pool(catalog(i, loan_details_at_monthly=monthly), AS_OF, SITE)
 
 
 @query("lead_channel", uses="leads", sql="SELECT loan_id AS lead_id, source, channel, sub_category, category FROM leads")

@@ -109,12 +109,23 @@ def latest_milestones(log: DataFrame, specs: dict = fv.MILESTONES) -> DataFrame:
 
 def actors_wide(moves: DataFrame, slots: dict = fv.UW_SLOTS) -> DataFrame:
     """Entity -> actor and time of each named state, plus the latest actor overall."""
-    facts = {"uw_last": F.max_by("actor", F.struct("at", "id")), "uw_last_at": F.max("at")}
+    return log_facts(moves, _move_facts(F.lit(True), slots))
+
+
+def _move_facts(move: Column, slots: dict) -> dict[str, Column]:
+    facts = {"uw_last": _newest("actor", move), "uw_last_at": F.max(F.when(move, F.col("at")))}
     for name, state in slots.items():
-        cond = F.col("new_state") == state
+        cond = move & (F.col("new_state") == state)
         facts[f"uw_{name}"] = _newest("actor", cond)
         facts[f"uw_{name}_date"] = F.max(F.when(cond, F.col("at")))
-    return log_facts(moves, facts)
+    return facts
+
+
+def underwriting_facts(system_actors=(0, 1), staff_flag: str = "is_staff", slots: dict = fv.UW_SLOTS) -> dict[str, Column]:
+    """The facts of :func:`actors_wide` as aggregates over the whole log, staff marked by a flag."""
+    move = ((F.col("entity_type") == fv.LOAN_ENTITY) & F.col("old_state").isin(fv.UW_FROM_STATES)
+            & F.col("new_state").isin(fv.UW_TO_STATES) & human(system_actors) & F.coalesce(F.col(staff_flag), F.lit(False)))
+    return _move_facts(move, slots)
 
 
 def parsed_allocation(jobs: DataFrame, steps: DataFrame, loans: DataFrame,

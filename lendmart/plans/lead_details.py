@@ -25,13 +25,13 @@ from lendmart.operators import leads as ld
 from lendmart.operators import rows
 from lendmart.operators import state_log as sl
 from lendmart.sources.catalog import Catalog
+from lendmart.sources.staging import stage
 
 
 # --- sub-frames keyed by loan ----------------------------------------------
 
-def loan_base(catalog: Catalog) -> DataFrame:
+def loan_base(catalog: Catalog, d: DataFrame) -> DataFrame:
     """Application with decoded type, state, rates and city."""
-    d = rows.active_only(catalog["dictionary"])
     known = d.withColumn("cnd_name", F.coalesce("cnd_name", F.lit("unknown")))
     df = catalog["loans_dedup"]
     city = F.col("cnd_group").isin(fv.CITY_GROUPS) | (F.col("cnd_code") == fv.CITY_CODE)
@@ -65,17 +65,29 @@ def score_frame(scores: DataFrame, disbursed: DataFrame, raw: str, name: str, of
     return rows.asof_score(s, disbursed, "loan_id", name, f"{name}_date", "first_disburse_date", "__tie")
 
 
-def underwriting_frame(catalog: Catalog, log: DataFrame, site: SiteConfig) -> DataFrame:
-    """Assigned underwriter and the actors of the final moves."""
-    staff = rows.latest_by(catalog["uw_master"].select(F.col("uw_id").cast("long").alias("uw_id"), "uw_name"),
-                           "uw_id", [F.col("uw_name").asc()])
-    moves = sl.underwriting_moves(log, staff, site.system_actors)
-    wide = sl.actors_wide(moves).withColumnRenamed("entity", "loan_id")
+def log_frame(log: DataFrame, staff: DataFrame, site: SiteConfig) -> DataFrame:
+    """Milestones, responsible agents and underwriting moves: one pass over the log."""
+    listed = staff.select(F.col("uw_id").alias("actor"), F.lit(True).alias("is_staff"))
+    log = log.join(listed, "actor", "left")
+    facts = {n: sl.milestone_fact(et, states) for n, (et, states) in fv.MILESTONES.items()}
+    facts["ba_uid"] = sl.last_actor_fact(fv.BORROWER_AGENT_TRANSITIONS, site.system_actors)
+    facts["preuw_uid"] = sl.last_actor_fact(fv.PREUW_TRANSITIONS, site.system_actors)
+    facts["uwac_created"] = sl.first_entry_fact(fv.ACCEPTED_STATE)
+    facts.update(sl.underwriting_facts(site.system_actors))
+    return sl.log_facts(log, facts).withColumnRenamed("entity", "loan_id")
+
+
+def underwriting_frame(catalog: Catalog, facts: DataFrame, staff: DataFrame) -> DataFrame:
+    """Milestones and agents of a loan, its assigned underwriter and the actors of the final moves.
+
+    ``facts`` are the log facts; loans known to the allocation jobs only are added.
+    """
     alloc = sl.parsed_allocation(catalog["job_log"], catalog["job_steps"], catalog["loans_dedup"])
-    entered = sl.first_entry(log, fv.ACCEPTED_STATE).select(F.col("entity").alias("loan_id"), F.col("at").alias("uwac_created"))
-    df = catalog["loans_dedup"].select(F.col("id").alias("loan_id"))
-    df = df.join(alloc, "loan_id", "left").join(wide, "loan_id", "left").join(entered, "loan_id", "left")
-    df = sl.assigned_actor(df)
+    df = facts.join(alloc, "loan_id", "full")
+    at = F.coalesce("uwas_assigned_date", "uwac_created", "uw_last_at")
+    df = df.withColumn("__assigned", F.coalesce("uwas_id", "uw_last"))
+    # Underwriting columns exist for loans with an assigned underwriter only.
+    known = F.col("__assigned").isNotNull()
 
     def named(frame, key, name):
         s = staff.select(F.col("uw_id").alias("__id"), F.col("uw_name").alias(name))
@@ -83,20 +95,33 @@ def underwriting_frame(catalog: Catalog, log: DataFrame, site: SiteConfig) -> Da
 
     df = named(df, "uwas_id", "__alloc_name")
     df = named(df, "uw_last", "__last_name")
-    df = df.withColumn("uw_name", F.coalesce("__alloc_name", "__last_name"))
     for slot in fv.UW_SLOTS:
         df = named(df.withColumnRenamed(f"uw_{slot}", f"__{slot}"), f"__{slot}", f"uw_{slot}")
-    keep = ["loan_id", "uw_assigned_id", "uw_name", "uw_assigned_date", "uw_lastday_assigned_date"]
-    keep += [c for slot in fv.UW_SLOTS for c in (f"uw_{slot}", f"uw_{slot}_date")]
-    return df.select(*keep)
+    return df.select(
+        "loan_id", *fv.MILESTONES, "ba_uid", "preuw_uid",
+        F.col("__assigned").alias("uw_assigned_id"), F.when(known, F.coalesce("__alloc_name", "__last_name")).alias("uw_name"),
+        F.when(known, at).alias("uw_assigned_date"), F.when(known, F.last_day(F.to_date(at))).alias("uw_lastday_assigned_date"),
+        *[F.when(known, F.col(c)).alias(c) for slot in fv.UW_SLOTS for c in (f"uw_{slot}", f"uw_{slot}_date")])
 
 
-def log_frame(log: DataFrame, site: SiteConfig) -> DataFrame:
-    """Milestones and responsible agents: one pass over the log."""
-    facts = {n: sl.milestone_fact(et, states) for n, (et, states) in fv.MILESTONES.items()}
-    facts["ba_uid"] = sl.last_actor_fact(fv.BORROWER_AGENT_TRANSITIONS, site.system_actors)
-    facts["preuw_uid"] = sl.last_actor_fact(fv.PREUW_TRANSITIONS, site.system_actors)
-    return sl.log_facts(log, facts).withColumnRenamed("entity", "loan_id")
+def info_kinds() -> dict:
+    """Purpose of an additional-info row -> condition; the conditions exclude each other."""
+    a = F.col("action_type")
+    eav = F.lit(False)
+    for pattern in fv.EAV_PATTERNS.values():
+        eav = eav | F.lower(a).like(pattern)
+    return {"remark": a.like("loan_state_remark%"), "reference": a == "REFERENCE_DETAILS",
+            "permanent": a == "USER_PERMANENT_INFO", "deviation": a.isin(fv.DEVIATION_ACTIONS), "answer": eav}
+
+
+def split_info(info: DataFrame, stage) -> dict[str, DataFrame]:
+    """One scan of the attribute table, written by purpose; consumers prune to their share."""
+    kind = None
+    for name, cond in info_kinds().items():
+        kind = F.when(cond, name) if kind is None else kind.when(cond, name)
+    tagged = info.withColumn("kind", kind).filter(F.col("kind").isNotNull())
+    staged = stage(tagged, "additional_info", "kind")
+    return {name: staged.filter(F.col("kind") == name).drop("kind") for name in info_kinds()}
 
 
 def ops_remarks(info: DataFrame, logins: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -187,9 +212,8 @@ def detail_frame(details: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 # --- borrower side ---------------------------------------------------------
 
-def borrower_frame(catalog: Catalog, people: DataFrame) -> DataFrame:
+def borrower_frame(catalog: Catalog, people: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Users with roles, employment, account and pincode attributes: one row per user."""
-    dictionary = rows.active_only(catalog["dictionary"])
     users = ld.user_profile(catalog["users"], people, dictionary).drop("deleted", "created", "udated")
     pins = catalog["pincode_master"].select("pincode", "city_pin", "district", F.col("state").alias("pin_state"), "zone")
     users = users.join(pins, users["pin"] == pins["pincode"], "left").drop("pincode")
@@ -247,10 +271,11 @@ AGENT_FIELDS = {"name": "name_user", "mobile": "mobile_user", "login_name": "nam
                 "login_name_clean": "namec_user", "email_original": "email_org_user", "name_from_email": "email_user"}
 
 
-def loan_frames(catalog: Catalog, people: DataFrame, log: DataFrame, base: DataFrame, site: SiteConfig) -> list[DataFrame]:
+def loan_frames(catalog: Catalog, people: DataFrame, dictionary: DataFrame, base: DataFrame, site: SiteConfig,
+                stage) -> list[DataFrame]:
     """Every loan-keyed sub-frame, each with one row per loan."""
-    info, dictionary = catalog["additional_info"], rows.active_only(catalog["dictionary"])
-    disbursed = ins.register_rollup(catalog["payment_register"], site.ignored_payees)
+    info = split_info(catalog["additional_info"], stage)
+    disbursed = stage(ins.register_rollup(catalog["payment_register"], site.ignored_payees), "disbursed")
     proposals = ins.proposal_rollup(ins.collected_proposals(catalog["proposals"], catalog["proposal_collections"]),
                                     site.priority_lenders, site.other_portfolio)
     proposals = proposals.withColumnsRenamed({"first_day": "first_proposal_date", "last_day": "last_proposal_date"})
@@ -260,21 +285,25 @@ def loan_frames(catalog: Catalog, people: DataFrame, log: DataFrame, base: DataF
     rules = rules.withColumnsRenamed({"rule_pass_date": "__pass", "rule_reject_date": "__reject"})
     tu = score_frame(catalog["tu_scores"], disbursed, "cibil_score", "cibil_score", 0, fv.SCORE_CODES, "1", None)
     crif = score_frame(catalog["crif_scores"], disbursed, "score", "crif_score", fv.IST_OFFSET_S, None, "0", "0")
+    staff = rows.latest_by(catalog["uw_master"].select(F.col("uw_id").cast("long").alias("uw_id"), "uw_name"),
+                           "uw_id", [F.col("uw_name").asc()])
+    facts = log_frame(sl.state_log(catalog["state_log"]), staff, site)
     return [
-        disbursed, proposals, tu, crif, log_frame(log, site), underwriting_frame(catalog, log, site),
-        ops_remarks(info, catalog["logins"], catalog["dictionary"]), reference_contacts(info), permanent_contacts(info),
-        eav_values(info), ld.deviation_counts(info, people), identity_frame(catalog["identity_addresses"]),
-        bank_balance(catalog["bank_months"], base), detail_frame(catalog["loan_detail"], dictionary),
-        best, ld.cheque_counts(catalog["cheques"]), rules,
+        disbursed, proposals, tu, crif, underwriting_frame(catalog, facts, staff),
+        ops_remarks(info["remark"], catalog["logins"], catalog["dictionary"]), reference_contacts(info["reference"]),
+        permanent_contacts(info["permanent"]), eav_values(info["answer"]), ld.deviation_counts(info["deviation"], people),
+        identity_frame(catalog["identity_addresses"]), bank_balance(catalog["bank_months"], base),
+        detail_frame(catalog["loan_detail"], dictionary), best, ld.cheque_counts(catalog["cheques"]), rules,
         ld.lead_existence_flags(catalog["bureau_ignore"], catalog["loans"]), ins.fee_totals(catalog["transactions"]),
     ]
 
 
-def lead_details(catalog: Catalog, as_of, site: SiteConfig = DEFAULT_SITE) -> DataFrame:
-    people = ld.people_dimension(catalog["logins"], catalog["users"], site)
-    log = sl.state_log(catalog["state_log"])
-    base = loan_base(catalog)
-    borrowers = borrower_frame(catalog, people)
+def lead_details(catalog: Catalog, as_of, site: SiteConfig = DEFAULT_SITE, stage=stage) -> DataFrame:
+    """Build the mart.  What several consumers read is staged once as a table."""
+    dictionary = stage(rows.active_only(catalog["dictionary"]), "dictionary")
+    people = stage(ld.people_dimension(catalog["logins"], catalog["users"], site), "people")
+    base = stage(loan_base(catalog, dictionary), "loan_base")
+    borrowers = borrower_frame(catalog, people, dictionary)
 
     # Borrower-keyed joins first, loan-keyed joins after.
     loan_cols = [c for c in base.columns if c not in ("uid", "deleted", "created", "udated", "updated_by", "reference_id")]
@@ -291,7 +320,9 @@ def lead_details(catalog: Catalog, as_of, site: SiteConfig = DEFAULT_SITE) -> Da
     tenure = catalog["tenure_master"].select(F.col("tenure_code").alias("tenure"), "tenure_months",
                                              F.col("tenure").alias("tenure_monthsno"))
     df = df.join(tenure, "tenure", "left")
-    df = reduce(lambda left, right: left.join(right, "loan_id", "left"), loan_frames(catalog, people, log, base, site), df)
+    df = reduce(lambda left, right: left.join(right, "loan_id", "left"), loan_frames(catalog, people, dictionary, base, site, stage), df)
+    # The wide row is written once; everything below is derived from it.
+    df = stage(df, "applications")
 
     first_disb = F.coalesce("first_disburse_date", "first_proposal_date")
     last_disb = F.coalesce("last_disburse_date", "last_proposal_date")
@@ -371,7 +402,7 @@ def lead_details(catalog: Catalog, as_of, site: SiteConfig = DEFAULT_SITE) -> Da
     # Columns that depend on the ones above.
     labels = ld.attribute_channel(site, channel="__ch", sub_category="__sub", category="__cat")
     out = first.select("*", *[c.alias(n) for n, c in labels.items()]).drop("__ch", "__sub", "__cat")
-    d = rows.dictionary_slice(rows.active_only(catalog["dictionary"]), "DISPOSITION", key="cnd_code") \
+    d = rows.dictionary_slice(dictionary, "DISPOSITION", key="cnd_code") \
             .groupBy("__code").agg(F.min("__label").alias("disp_name"))
     out = out.join(d, out["plus"].cast("string") == d["__code"], "left").drop("__code")
     out = ld.assign_rep(out, ld.agent_reps(catalog["rep_assignments"]), ld.source_reps(catalog["source_owners"], people), site)
