@@ -303,7 +303,7 @@ def lead_details(catalog: Catalog, as_of, site: SiteConfig = DEFAULT_SITE, stage
     dictionary = stage(rows.active_only(catalog["dictionary"]), "dictionary")
     people = stage(ld.people_dimension(catalog["logins"], catalog["users"], site), "people")
     base = stage(loan_base(catalog, dictionary), "loan_base")
-    borrowers = borrower_frame(catalog, people, dictionary)
+    borrowers = stage(borrower_frame(catalog, people, dictionary), "borrowers")
 
     # Borrower-keyed joins first, loan-keyed joins after.
     loan_cols = [c for c in base.columns if c not in ("uid", "deleted", "created", "udated", "updated_by", "reference_id")]
