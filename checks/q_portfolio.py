@@ -249,8 +249,7 @@ def _(i):
   min(CASE WHEN due <= {D} THEN due END) AS emi_duedate_first, max(CASE WHEN due <= {D} THEN due END) AS emi_duedate_last,
   min(CASE WHEN due <= {M1} THEN due END) AS pt_due_date_since, max(CASE WHEN due <= {M1} THEN due END) AS pt_last_due_date FROM inst WHERE state = 'due' GROUP BY loan_id""")
 def _(i):
-    aggs = ins.due_rollup_aggregates(AS_OF, SITE.tracked_lender, cycle_cutoff(AS_OF))
-    return i.inst.filter("state = 'due'").groupBy("loan_id").agg(*[a.alias(n) for n, a in aggs.items()])
+    return ins.due_rollup(i.inst, AS_OF, SITE.tracked_lender, cycle_cutoff(AS_OF))
 
 
 @query("representative_installment", uses="inst", sql=f"""
@@ -258,7 +257,7 @@ SELECT loan_id, {money('CASE WHEN p > 0 THEN p ELSE a1 END')} AS emi FROM (SELEC
   SELECT loan_id, {', '.join(f'sum(CASE WHEN no = {k} THEN amount ELSE 0 END) AS a{k}' for k in (1, 2, 3))}
   FROM (SELECT *, dense_rank() OVER (PARTITION BY loan_id ORDER BY date_trunc('month', due)) AS no FROM inst) GROUP BY loan_id))""")
 def _(i):
-    m = ins.month_numbers(ins.by_month(i.inst, {"a": F.sum("amount")}))
+    m = ins.month_numbers(ins.by_month(i.inst, {}, {"a": F.sum("amount")}))
     n = {k: F.sum(F.when(F.col("emi_no") == k, F.col("a")).otherwise(F.lit(0))) for k in (1, 2, 3)}
     return m.groupBy("loan_id").agg(ins.representative_installment(n[2], n[3], F.max("emi_no"), n[1]).alias("emi"))
 
@@ -269,7 +268,7 @@ def _(i):
   {sum_if("state = 'paid' AND interest >= 0", 'interest', 'interest_total_paid')}, min(due) AS first_emi_date, max(due) AS last_emi_date,
   max(CASE WHEN state = 'paid' THEN updated END) AS last_paid_date FROM inst GROUP BY loan_id""")
 def _(i):
-    return i.inst.groupBy("loan_id").agg(*[a.alias(n) for n, a in ins.total_aggregates().items()])
+    return ins.loan_totals(i.inst)
 
 
 FEES_SQL = """(SELECT loan_id, round(sum(CASE WHEN txn_type = 1358 THEN txn_amount ELSE 0 END), 0) AS registration_fees,

@@ -10,11 +10,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendmart import fixed_values as fv
-from lendmart.functions.dates import (cycle_cutoff, date_lit, days_between, epoch_to_local_date,
-                                      month_end, month_start, months_between)
+from lendmart.functions.dates import col, date_lit, days_between, epoch_to_local_date, month_start
 from lendmart.operators.rows import attach_group_values, dense_positions
 
 MEASURES = ("amount", "principal", "interest")
+MONEY = "decimal(28,2)"
+
+
+def in_minor_units(df: DataFrame, measures=MEASURES) -> DataFrame:
+    """Money columns as whole hundredths in a long: sums over raw rows stay primitive.
+
+    Money is DECIMAL(18,2), so nothing is lost; a sum that leaves the long range fails
+    the job under ANSI mode instead of wrapping.
+    """
+    return df.withColumns({m: (F.col(m) * 100).cast("long") for m in measures})
+
+
+def money(c) -> Column:
+    """Hundredths back to money."""
+    return (col(c).cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY)
 
 
 def portfolio_tag(priority, lender: str = "lender", default: str = "Non-FD") -> Column:
@@ -124,13 +138,14 @@ def period_aggregates(as_of) -> dict[str, Column]:
 
 def period_sums(df: DataFrame, as_of, key: str = "loan_id") -> DataFrame:
     """Paid, due and to-collect sums of this month, last month and the month start."""
-    return df.groupBy(key).agg(*[a.alias(n) for n, a in period_aggregates(as_of).items()])
+    aggs = period_aggregates(as_of)
+    return by_month(df, {}, aggs).groupBy(key).agg(*[F.sum(n).alias(n) for n in aggs])
 
 
 # --- account roll-ups ------------------------------------------------------
 
-def due_rollup_aggregates(as_of, tracked_lender: int, cutoff) -> dict[str, Column]:
-    """Outstanding totals, overdue sums and cycle sums over the due rows of a (loan, month)."""
+def due_rollup_aggregates(as_of, tracked_lender: int, cutoff) -> tuple[dict[str, Column], dict[str, Column]]:
+    """(days, sums): outstanding totals, overdue sums and cycle sums over the due rows."""
     d, c = date_lit(as_of), cutoff
     due = F.col("state") == "due"
     by_now = due & (F.col("due") <= d)
@@ -141,18 +156,42 @@ def due_rollup_aggregates(as_of, tracked_lender: int, cutoff) -> dict[str, Colum
     out.update({f"current_fddue{m}": F.sum(F.when(due & (F.col("lender") == tracked_lender), F.col(m)).when(due, F.lit(0)))
                 for m in MEASURES})
     out.update({f"pt_current_due{m}": F.sum(F.when(by_cycle, F.col(m)).when(due, F.lit(0))) for m in ("amount", "principal")})
-    out.update({
+    days = {
         "emi_due_date": F.min(F.when(due, F.col("due"))),
         "emi_duedate_first": F.min(F.when(by_now, F.col("due"))),
         "emi_duedate_last": F.max(F.when(by_now, F.col("due"))),
         "pt_due_date_since": F.min(F.when(by_cycle, F.col("due"))),
         "pt_last_due_date": F.max(F.when(by_cycle, F.col("due"))),
-    })
-    return out
+    }
+    return days, out
+
+
+# How day figures combine when months are combined to accounts.
+LOWEST = {"first_emi_date", "emi_due_date", "emi_duedate_first", "pt_due_date_since"}
+HIGHEST = {"last_emi_date", "last_paid_date", "emi_duedate_last", "pt_last_due_date"}
 
 
-def total_aggregates() -> dict[str, Column]:
-    """Total and paid sums with sign guards, first and last day, last payment."""
+def combine(name: str) -> Column:
+    if name in LOWEST:
+        return F.min(name).alias(name)
+    return (F.max(name) if name in HIGHEST else F.sum(name)).alias(name)
+
+
+def due_rollup(df: DataFrame, as_of, tracked_lender: int, cutoff) -> DataFrame:
+    """Outstanding position of the accounts that have due rows."""
+    days, sums = due_rollup_aggregates(as_of, tracked_lender, cutoff)
+    m = by_month(df.filter(F.col("state") == "due"), days, sums)
+    return m.groupBy("loan_id").agg(*[combine(n) for n in (*days, *sums)])
+
+
+def loan_totals(df: DataFrame) -> DataFrame:
+    """Totals, first and last day and last payment per account."""
+    days, sums = total_aggregates()
+    return by_month(df, days, sums).groupBy("loan_id").agg(*[combine(n) for n in (*days, *sums)])
+
+
+def total_aggregates() -> tuple[dict[str, Column], dict[str, Column]]:
+    """(days, sums): total and paid sums with sign guards, first and last day, last payment."""
     st = F.col("state")
     paid_day = F.when(st == "paid", F.col("updated"))
     out = {
@@ -162,22 +201,20 @@ def total_aggregates() -> dict[str, Column]:
     }
     for m, name in (("amount", "emi_total_paid"), ("principal", "principal_total_paid"), ("interest", "interest_total_paid")):
         out[name] = F.sum(F.when((st == "paid") & (F.col(m) >= 0), F.col(m)).otherwise(0))
-    out.update({
-        "first_emi_date": F.min("due"),
-        "last_emi_date": F.max("due"),
-        "last_paid_date": F.max(paid_day),
-    })
-    return out
+    return {"first_emi_date": F.min("due"), "last_emi_date": F.max("due"), "last_paid_date": F.max(paid_day)}, out
 
 
-def by_month(df: DataFrame, aggs: dict) -> DataFrame:
+def by_month(df: DataFrame, aggs: dict, sums: dict | None = None) -> DataFrame:
     """Installments at (loan, month) grain: the only pass over raw rows.
 
     The shuffle key is (loan, month), so an account with very many rows is spread over
     its months, and what follows sees at most one row per account and calendar month.
+    ``sums`` are money sums; they run in minor units here and are money afterwards.
     """
-    return (df.groupBy("loan_id", month_start("due").alias("emi_month"))
-              .agg(*[a.alias(n) for n, a in aggs.items()]))
+    sums = sums or {}
+    grouped = (in_minor_units(df).groupBy("loan_id", month_start("due").alias("emi_month"))
+               .agg(*[a.alias(n) for n, a in {**aggs, **sums}.items()]))
+    return grouped.select("loan_id", "emi_month", *aggs, *[money(n).alias(n) for n in sums])
 
 
 def month_numbers(monthly: DataFrame, running: dict | None = None) -> DataFrame:
@@ -201,7 +238,7 @@ def representative_installment(second: Column, third: Column, months: Column, fi
 
 def last_installment_amount(df: DataFrame) -> DataFrame:
     """Amount due in the last month of an account."""
-    m = by_month(df, {"emi_amount": F.sum("amount")})
+    m = by_month(df, {}, {"emi_amount": F.sum("amount")})
     return m.groupBy("loan_id").agg(F.max_by("emi_amount", "emi_month").alias("emi"))
 
 
@@ -240,6 +277,3 @@ def proposal_rollup(joined: DataFrame, priority, default: str) -> DataFrame:
     return joined.groupBy("loan_id").agg(
         F.min("collection_day").alias("first_day"), F.max("collection_day").alias("last_day"),
         F.sum("cp_amount").alias("proposal_amount"), portfolio_tag(priority, default=default).alias("portfolio_type"))
-
-
-__all__ = [n for n in dir() if not n.startswith("_")]

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendmart.functions.dates import date_lit, days_between, month_end, months_between
-from lendmart.operators.installments import MEASURES, portfolio_tag
+from lendmart.operators.installments import MEASURES, in_minor_units, money
 
 RELAXED_DAYS = 4
 ACTUAL_DAYS = 0
@@ -22,7 +22,7 @@ ACTUAL_DAYS = 0
 
 def loan_summary(installments: DataFrame, priority, default: str) -> DataFrame:
     """One row per loan: portfolio, totals, months, first and last day."""
-    by_month = installments.groupBy("loan_id", month_end("due").alias("m")).agg(
+    by_month = in_minor_units(installments).groupBy("loan_id", month_end("due").alias("m")).agg(
         *[F.sum(F.when(F.col("state") != "closed", F.col(c)).otherwise(F.lit(0))).alias(c) for c in MEASURES],
         F.min("due").alias("first"), F.max("due").alias("last"), F.min("created").alias("created"),
         *[F.max(F.when(F.col("lender") == uid, 1).otherwise(0)).alias(f"has_{i}") for i, (uid, _) in enumerate(priority)])
@@ -32,7 +32,7 @@ def loan_summary(installments: DataFrame, priority, default: str) -> DataFrame:
         tag = F.when(c, label) if tag is None else tag.when(c, label)
     return by_month.groupBy("loan_id").agg(
         tag.otherwise(default).alias("portfolio_type"),
-        *[F.sum(c).alias(f"loan_total_{c}") for c in MEASURES],
+        *[F.sum(money(c)).alias(f"loan_total_{c}") for c in MEASURES],
         F.count("m").alias("total_emi_count"),
         F.min("first").alias("first_emi_date"), F.max("last").alias("last_emi_date"),
         F.min("created").alias("min_emi_created"))
@@ -83,10 +83,10 @@ def month_changes(installments: DataFrame, as_of) -> DataFrame:
     """Installments as month-stamped changes, summed per (loan, month).
 
     ``d_`` columns are stamped with the due month, ``p_`` with the settlement month and
-    ``c_`` with the later of both.
+    ``c_`` with the later of both.  Money is in minor units.
     """
     paid, due, closed = (F.col("state") == s for s in ("paid", "due", "closed"))
-    base = installments.select(
+    base = in_minor_units(installments).select(
         "loan_id", "due", "updated", "state", *MEASURES,
         month_end("due").alias("dm"), month_end("updated").alias("um"))
     kinds = [F.struct(F.lit("d").alias("k"), F.col("dm").alias("m"))]
@@ -165,12 +165,12 @@ def monthly_asof_agg(spine: DataFrame, installments: DataFrame, as_of) -> DataFr
         "loan_id", "status_month",
         (F.col("t_open_n") - F.col("r_p_paid_n") + F.col("p_on_end_n")).alias("active_count"),
         F.col("r_paid_months").alias("paid_emi_count"),
-        *[F.col(f"r_p_{m}").alias(f"total_paid_{m}") for m in MEASURES],
-        *[F.col(f"p_{m}").alias(f"total_paid_{m}_this_month") for m in MEASURES],
+        *[money(F.col(f"r_p_{m}")).alias(f"total_paid_{m}") for m in MEASURES],
+        *[money(F.col(f"p_{m}")).alias(f"total_paid_{m}_this_month") for m in MEASURES],
         "last_paid_date",
         F.least("low_due", "low_settled_later").alias("due_emi_date"),
-        *[(F.col(f"t_{m}") - F.col(f"r_p_{m}")).alias(f"total_due_{m}") for m in MEASURES],
-        *[(F.col(f"r_d_{m}") - F.col(f"r_c_{m}")).alias(f"due_{m}_to_collect") for m in MEASURES],
+        *[money(F.col(f"t_{m}") - F.col(f"r_p_{m}")).alias(f"total_due_{m}") for m in MEASURES],
+        *[money(F.col(f"r_d_{m}") - F.col(f"r_c_{m}")).alias(f"due_{m}_to_collect") for m in MEASURES],
         F.when(F.last_day(oldest_open) <= F.col("status_month"), oldest_open).alias("min_overdue_emi_date"),
         "bounce_relax_count", "bounce_act_count")
 
@@ -200,10 +200,14 @@ def current_month_agg(spine: DataFrame, installments: DataFrame, as_of) -> DataF
         a[f"total_paid_{m}_this_month"] = F.sum(F.when(paid & up.between(start, end), F.col(m)).otherwise(F.lit(0)))
         a[f"total_due_{m}"] = F.sum(F.when(open_after, F.col(m)).otherwise(F.lit(0)))
         a[f"due_{m}_to_collect"] = F.sum(F.when(open_after & (dm <= end), F.col(m)).otherwise(F.lit(0)))
-    by_month = installments.groupBy("loan_id", dm.alias("dm")).agg(*[x.alias(n) for n, x in a.items()])
+    by_month = in_minor_units(installments).groupBy("loan_id", dm.alias("dm")).agg(*[x.alias(n) for n, x in a.items()])
     lows, highs = {"due_emi_date", "min_overdue_emi_date"}, {"last_paid_date"}
+
+    def total(n):
+        return F.sum(money(n) if n.endswith(("amount", "principal", "interest", "_this_month", "_to_collect")) else n)
+
     per_loan = by_month.groupBy("loan_id").agg(
-        *[(F.min(n) if n in lows else F.max(n) if n in highs else F.sum(n)).alias(n) for n in a])
+        *[(F.min(n) if n in lows else F.max(n) if n in highs else total(n)).alias(n) for n in a])
     return spine.select("loan_id", "status_month").join(per_loan, "loan_id")
 
 

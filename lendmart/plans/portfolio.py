@@ -51,13 +51,12 @@ def disburse_master(catalog: Catalog) -> DataFrame:
 def loan_position(inst: DataFrame, as_of, site: SiteConfig = DEFAULT_SITE, cycle_day: int = 25) -> DataFrame:
     """Totals, outstanding sums and cycle figures of a loan on a day."""
     d = date_lit(as_of)
-    aggs = {**ins.total_aggregates(), **ins.due_rollup_aggregates(as_of, site.tracked_lender, cycle_cutoff(as_of, cycle_day))}
-    lows = {"first_emi_date", "emi_due_date", "emi_duedate_first", "pt_due_date_since"}
-    highs = {"last_emi_date", "last_paid_date", "emi_duedate_last", "pt_last_due_date"}
+    total_days, total_sums = ins.total_aggregates()
+    due_days, due_sums = ins.due_rollup_aggregates(as_of, site.tracked_lender, cycle_cutoff(as_of, cycle_day))
+    days, sums = {**total_days, **due_days}, {**total_sums, **due_sums}
     due, st = F.col("state") == "due", F.col("state")
     month_aggs = {
-        **aggs,
-        "month_amount": F.sum("amount"),
+        **days,
         "has_due": F.max(F.when(due, 1).otherwise(0)),
         "first_paid_probe": F.max(F.when(due, F.lit(fv.FIRST_STILL_DUE_SENTINEL).cast("date"))
                                   .when(st == "paid", F.col("updated"))
@@ -65,7 +64,7 @@ def loan_position(inst: DataFrame, as_of, site: SiteConfig = DEFAULT_SITE, cycle
         **{f"has_{i}": F.max(F.when(F.col("lender") == uid, 1).otherwise(0))
            for i, (uid, _) in enumerate(site.priority_lenders)},
     }
-    months = ins.month_numbers(ins.by_month(inst, month_aggs))
+    months = ins.month_numbers(ins.by_month(inst, month_aggs, {**sums, "month_amount": F.sum("amount")}))
     tag = None
     for i, (_, label) in enumerate(site.priority_lenders):
         c = F.max(f"has_{i}") > 0
@@ -74,7 +73,7 @@ def loan_position(inst: DataFrame, as_of, site: SiteConfig = DEFAULT_SITE, cycle
     due_no = F.when(F.col("has_due") == 1, F.col("emi_no"))
     loans = months.groupBy("loan_id").agg(
         tag.otherwise(site.other_portfolio).alias("portfolio_type"),
-        *[(F.min(n) if n in lows else F.max(n) if n in highs else F.sum(n)).alias(n) for n in aggs],
+        *[ins.combine(n) for n in (*days, *sums)],
         *[a.alias(n) for n, a in nth.items()],
         F.max("emi_no").alias("count_total_emi"), F.min(due_no).alias("due_lo"), F.max(due_no).alias("due_hi"),
         F.max(F.when(F.col("emi_no") == 1, F.col("first_paid_probe"))
@@ -147,8 +146,6 @@ def collection_position(inst: DataFrame, as_of, site: SiteConfig = DEFAULT_SITE,
     open_prev = (cr < p0) & (is_due | (settled & (up >= p0)))
     sums = ins.period_aggregates(as_of)
     month_aggs = {
-        **sums,
-        "month_amount": F.sum("amount"),
         "has_due": F.max(F.when(is_due, 1).otherwise(0)),
         "has_paid": F.max(F.when(ins.is_paid(), 1).otherwise(0)),
         "due_by_month_end": F.max(F.when(is_due & (due <= m1), 1).otherwise(0)),
@@ -161,7 +158,8 @@ def collection_position(inst: DataFrame, as_of, site: SiteConfig = DEFAULT_SITE,
         **{f"has_{i}": F.max(F.when(F.col("lender") == uid, 1).otherwise(0))
            for i, (uid, _) in enumerate(site.collection_lenders)},
     }
-    months = ins.month_numbers(ins.by_month(inst, month_aggs), {"paid_no": "has_paid", "due_no": "has_due"})
+    months = ins.month_numbers(ins.by_month(inst, month_aggs, {**sums, "month_amount": F.sum("amount")}),
+                               {"paid_no": "has_paid", "due_no": "has_due"})
     tag = None
     for i, (_, label) in enumerate(site.collection_lenders):
         c = F.max(f"has_{i}") > 0
