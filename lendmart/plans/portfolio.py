@@ -269,7 +269,14 @@ def _monthly(catalog: Catalog, as_of, site: SiteConfig, only_current: bool) -> D
     out = out.withColumn("__first", month_end("first_emi_date"))
     out = out.withColumn("dpdcurrent_classification",
                          bands.bucket_dpd("dpd_month_current", "snapshot", "__first", ~active, F.col("status_month")))
-    return out.select(*MONTHLY_COLUMNS)
+
+    # One schema whichever way the month was built: both write into the same table.
+    def typed(name):
+        if name.startswith(("loan_total_", "total_paid_", "total_due_")) or name.endswith("_to_collect"):
+            return F.col(name).cast(ins.MONEY).alias(name)
+        return F.col(name).cast("long").alias(name) if name.endswith("_count") else F.col(name)
+
+    return out.select(*[typed(c) for c in MONTHLY_COLUMNS])
 
 
 def loan_at_monthly_full(catalog: Catalog, as_of, site: SiteConfig = DEFAULT_SITE) -> DataFrame:
