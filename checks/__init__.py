@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("q_clean", "q_history", "q_portfolio", "q_cohort", "q_lead", "q_funnel", "q_marts")
+MODULES = ("q_clean", "q_history", "q_portfolio", "q_cohort", "q_lead", "q_funnel", "q_marts", "q_lead_mart")
 
 
 def load_all() -> None:

@@ -202,13 +202,3 @@ def _(i):
 @query("lead_channel", uses="leads", sql="SELECT loan_id AS lead_id, source, channel, sub_category, category FROM leads")
 def _(i):
     return lead.lead_channel(i.leads)
-
-
-@query("lead_details")
-def _(i):
-    return lead.lead_details(catalog(i), AS_OF, SITE)
-
-
-@query("lead_borrower")
-def _(i):
-    return lead.lead_borrower(lead.lead_details(catalog(i), AS_OF, SITE))

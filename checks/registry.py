@@ -10,6 +10,8 @@ from checks import views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+# The SQL as registered, with the views it names: parts of the larger statements.
+RAW: dict[str, tuple[str, str]] = {}
 
 
 class Inputs:
@@ -29,6 +31,7 @@ def query(name: str, sql: str | None = None, uses: str = ""):
     def wrap(fn):
         QUERIES[name] = lambda spark, sf_dir: fn(Inputs(spark, sf_dir))
         if sql is not None:
+            RAW[name] = (sql, uses)
             ORACLES[name] = views.oracle(sql, *uses.split())
         return fn
     return wrap

@@ -118,10 +118,10 @@ FROM {nation} JOIN {region} ON n_regionkey = r_regionkey"""
 # Code dictionary: blocks of the nation table under different groups.
 _BLOCKS = [
     (1000, "LOAN_CITY", "'Town ' || n_name"), (2000, "STATE_INDIA", "CASE WHEN n_nationkey % 5 = 0 THEN 'Tamilnadu' ELSE lower(n_name) END"),
-    (3000, "INTREST_RATE", "CAST(10 + n_nationkey AS VARCHAR(10)) || '.5 %'"), (4000, "LOAN_STATE", "'state ' || lower(n_name)"),
+    (3000, "INTREST_RATE", "CAST(10 + n_nationkey AS VARCHAR(10)) || '.5 %'"), (4000, "LOAN_STATE", "CASE n_nationkey WHEN 3 THEN 'foreclosure initiated' WHEN 4 THEN 'cancelled' ELSE 'state ' || lower(n_name) END"),
     (5000, "INDIA_LOAN", "' loan ' || n_name"), (6000, "EMPLOYMENT_TYPE", "CASE WHEN n_nationkey % 2 = 0 THEN 'salaried employee' ELSE 'self employed' END"),
     (7000, "INDIA_PROFESSION", "'job ' || n_name"), (8000, "RESIDENCE_TYPE", "'res ' || n_name"), (9000, "INDIA_RELIGION", "'rel ' || n_name"),
-    (9500, "DISPOSITION", "'disp ' || n_name"), (9800, "business_industry_type_new", "'ind ' || n_name"),
+    (9100, "RELIGION_ONE", "'caste ' || n_name"), (9500, "DISPOSITION", "'disp ' || n_name"), (9800, "business_industry_type_new", "'ind ' || n_name"),
     (9900, "INDIA_MOTHERTONGUE", "'tongue ' || n_name"),
 ]
 VIEWS["dictionary"] = " UNION ALL ".join(
@@ -171,7 +171,7 @@ SELECT {UID} AS uid, lower(c_mktsegment) AS fname, CAST(c_custkey AS VARCHAR(20)
        CASE c_custkey % 5 WHEN 0 THEN 'IMB' WHEN 1 THEN lower(c_mktsegment) WHEN 2 THEN c_mktsegment WHEN 3 THEN '' END AS source,
        CASE WHEN c_custkey % 3 = 0 AND c_custkey % 4 = 0 THEN 100000 + c_custkey % 15 ELSE 0 END AS agent_uid,
        100000 + c_custkey % 12 AS sub_agent_uid, 100000 + c_custkey % 9 AS job_assigning, 100000 + c_custkey % 5 AS portfolio_manager,
-       9000 + c_custkey % 28 AS religion_cnd, 9100 AS caste_cnd, 2000 + c_custkey % 30 AS origin_state_cnd,
+       9000 + c_custkey % 28 AS religion_cnd, 9100 + c_custkey % 28 AS caste_cnd, 2000 + c_custkey % 30 AS origin_state_cnd,
        2000 + c_custkey % 25 AS state_cnd, 9900 + c_custkey % 25 AS mothertounge_cnd,
        CASE c_custkey % 6 WHEN 0 THEN 420 WHEN 1 THEN 301 WHEN 2 THEN 5 WHEN 3 THEN 30 END AS plus,
        CAST(c_custkey % 4 AS INT) AS "minus", {_local_epoch(REGISTERED)} AS created, {_local_epoch(REGISTERED)} AS udated,
@@ -199,7 +199,7 @@ SELECT event_id AS id, CASE event_id % 3 WHEN 0 THEN CAST(user_id AS VARCHAR(20)
             WHEN event_type = 'view' THEN CASE event_id % 2 WHEN 0 THEN 1200 ELSE 1050 END
             WHEN event_type = 'purchase' THEN CASE event_id % 4 WHEN 0 THEN 2500 WHEN 1 THEN 7500 ELSE 1600 END
             ELSE 1400 END AS new_state,
-       {ACTOR} % 40 AS updated_by, {TS} AS created,
+       CASE WHEN event_type IN ('view', 'signup') AND {ACTOR} % 40 > 1 THEN 100000 ELSE 0 END + {ACTOR} % 40 AS updated_by, {TS} AS created,
        CASE WHEN event_id % 23 = 0 THEN 'Y' ELSE 'N' END AS deleted
 FROM {{events}}"""
 

@@ -355,7 +355,7 @@ def lead_details(catalog: Catalog, as_of, site: SiteConfig = DEFAULT_SITE, stage
         "ops_remark", "ops_reason", city.alias("loan_city"), F.col("original_loan_amt").alias("loan_original_amount"),
         person_name("fname", "lname").alias("user_name"), F.col("fname").alias("user_fname"), F.col("lname").alias("user_lname"),
         extract_national_id("pan", site.fill(fv.ID_STATUS_TOKENS)).alias("user_pan"),
-        "cibil_score", "cibil_score_date", "crif_score", "crif_score_date",
+        "cibil_score", "crif_score", "crif_score_date",
         F.when(~F.col("bureau_code").isin("null", "", "NaN"), F.col("bureau_code").try_cast("int")).alias("bureau_score"),
         born.alias("user_dob"), age.alias("age_loanregister"), age_years(born, date_lit(as_of)).alias("age_current"),
         bands.generation(age).alias("generations"),
@@ -379,7 +379,7 @@ def lead_details(catalog: Catalog, as_of, site: SiteConfig = DEFAULT_SITE, stage
         classify("highest_education", fv.EDUCATION_LEVELS, "Unknown").alias("highest_education"),
         "total_obligation", "obligation", "savings", "income", "foir_before", "foir_after", "monthly_average_balance",
         *[c for c in LOAN_DETAIL_COLUMNS if c != "field1"], F.coalesce("residence_type", F.lit("Unknown")).alias("residence_type"),
-        "residence_shifting_date", F.col("field1").alias("user_devicename"),
+        F.col("field1").alias("user_devicename"),
         F.coalesce("employement_type", F.lit("Unknown")).alias("employement_type"), *EMPLOYMENT_COLUMNS,
         *[c for c in df.columns if c.startswith("adhaar_")], "referenceid_loan",
         *[f"loan_main_borrower_{c}" for c in ("name", "first_name", "mobile", "landline", "email")],
