@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from checks import views
 from checks.q_clean import phone_sql, tokens_sql
 from checks.q_cohort import between_sql, upto
 from checks.q_history import _asof_sql
@@ -69,19 +70,31 @@ MANDATE = f"""SELECT b.* EXCLUDE (nach_priority), 'holder' AS nach_bankholder, '
         WHEN mandate_active = 1 OR icici_mandate_active = 1 THEN 'E-Mandate Authorised' ELSE 'No E-Mandate & Nach' END) AS mandate_status
 FROM {BEST_SQL} b LEFT JOIN {SUBS_SQL} s ON s.loan_id = b.loan_id AND s.mandate_id = b.mandate_id LEFT JOIN {BANK_SQL} k ON k.loan_id = b.loan_id AND k.mandate_id = b.mandate_id"""
 
-_SLOT = ", ".join(f"(SELECT uw_name FROM uw_master w WHERE w.uw_id = f.uw_{n}) AS uw_{n}, {ts(f'f.uw_{n}_date')} AS uw_{n}_date" for n in fv.UW_SLOTS)
+_SLOT = ", ".join(f"w_{n}.uw_name AS uw_{n}, {ts(f'f.uw_{n}_date')} AS uw_{n}_date" for n in fv.UW_SLOTS)
+_SLOT_JOINS = " ".join(f"LEFT JOIN uw_master w_{n} ON w_{n}.uw_id = f.uw_{n}" for n in fv.UW_SLOTS)
 UW = f"""SELECT *, CASE WHEN a IS NOT NULL THEN nm END AS uw_name, CASE WHEN a IS NOT NULL THEN {ts('at_x')} END AS uw_assigned_date FROM (
-  SELECT coalesce(f.loan_id, al.loan_id) AS loan_id, coalesce(al.uwas_id, f.uw_last) AS a, coalesce((SELECT uw_name FROM uw_master w WHERE w.uw_id = al.uwas_id), (SELECT uw_name FROM uw_master w WHERE w.uw_id = f.uw_last)) AS nm,
+  SELECT coalesce(f.loan_id, al.loan_id) AS loan_id, coalesce(al.uwas_id, f.uw_last) AS a, coalesce(wa.uw_name, wl.uw_name) AS nm,
     coalesce(al.at_s, f.uwac_created, f.uw_last_at) AS at_x, {', '.join(f'{ts("f." + n)} AS {n}' for n in fv.MILESTONES)}, f.ba_uid, f.preuw_uid, {_SLOT}
-  FROM facts f FULL JOIN alloc al ON al.loan_id = f.loan_id)"""
+  FROM facts f FULL JOIN alloc al ON al.loan_id = f.loan_id LEFT JOIN uw_master wa ON wa.uw_id = al.uwas_id LEFT JOIN uw_master wl ON wl.uw_id = f.uw_last {_SLOT_JOINS})"""
 
 _ROLE = {"agent_uid": "ra", "sub_agent_uid": "rs", "job_assigning": "rj", "portfolio_manager": "rp"}
 _AGENT_COLS = ", ".join(f"{'rs' if 'sub_agent' in src else 'ra'}.{src.replace('_sub_agent', '').replace('_agent', '')}_user AS {n}" for n, src in lead.AGENT_RESULTS.items())
 _ADDR = """trim(coalesce(u.address, '') || ' ' || coalesce(u."add", '') || ' ' || coalesce(u.add2, '') || ' ' || coalesce(u.landmark, ''))"""
 _FC = fv.DEVIATION_CLASSES
-_STATE = lambda code: f"(SELECT CASE upper(trim(coalesce(d.cnd_name, 'unknown'))) " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in fv.CANONICAL_STATES.items()) + \
-    f" ELSE upper(trim(coalesce(d.cnd_name, 'unknown'))) END FROM dictionary d WHERE d.deleted = 'N' AND d.cnd_group IN ('STATE_INDIA', 'LOAN_CITY') AND d.id = u.{code})"
-_LBL = lambda group, code: f"{title(f'''trim((SELECT coalesce(d.cnd_name, 'unknown') FROM dictionary d WHERE d.deleted = 'N' AND {group} AND d.id = u.{code}))''')}"
+
+
+def _state(alias):
+    return f"CASE upper(trim({alias}.cnd_name)) " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in fv.CANONICAL_STATES.items()) + f" ELSE upper(trim({alias}.cnd_name)) END"
+
+
+def _label(alias):
+    return title(f"trim({alias}.cnd_name)")
+
+
+_DICT_JOINS = " ".join(f"LEFT JOIN dct {a} ON {a}.id = {code} AND {a}.{group}" for a, code, group in (
+    ("d_sub", "l.loan_sub_type_cnd", "cnd_group IN ('MAIN_LOAN_TYPE', 'FIP_TYPE', 'INDIA_SUB_LOAN', 'MLP_PLAN_BORROWER')"),
+    ("d_org", "u.origin_state_cnd", "cnd_group IN ('STATE_INDIA', 'LOAN_CITY')"), ("d_st", "u.state_cnd", "cnd_group IN ('STATE_INDIA', 'LOAN_CITY')"),
+    ("d_rel", "u.religion_cnd", "cnd_group = 'INDIA_RELIGION'"), ("d_cas", "u.caste_cnd", "cnd_group LIKE 'RELIGION%'"), ("d_mt", "u.mothertounge_cnd", "cnd_group = 'INDIA_MOTHERTONGUE'")))
 _AGE = "datediff('day', {dob}, {at}) // 365"
 _PASS_U = [c for c in lead.PASS_THROUGH_USER if c != "email_org_user"]
 _PASS_L = [c for c in lead.PASS_THROUGH_LOAN if c not in ("tenure", "rate_expected", "rate_min_approved", "rate_max_approved", "risk_bucket", "loan_sub_staus", "live_date")]
@@ -92,7 +105,7 @@ _ENACH = ["mandate_link_created", "enach_first_link_created_date", "enach_active
 _NACH = ["bankholder", "emailid", "mobile", "bank", "branch", "accountno", "account_type", "ifsccode", "umrn", "created", "start_date", "end_date", "reason", "status", "source"]
 
 WIDE = f"""SELECT l.id AS loan_id, upper(coalesce(l.product_type, 'Others')) AS product_type, {title("trim(coalesce(lb.loan_type, 'Others'))")} AS loan_type,
-  {title(f"trim(coalesce((SELECT d.cnd_name FROM dictionary d WHERE d.deleted = 'N' AND d.cnd_group IN ('MAIN_LOAN_TYPE', 'FIP_TYPE', 'INDIA_SUB_LOAN', 'MLP_PLAN_BORROWER') AND d.id = l.loan_sub_type_cnd), 'Others'))")} AS loan_subtype,
+  {title("trim(coalesce(d_sub.cnd_name, 'Others'))")} AS loan_subtype,
   'Others' AS loan_othertype, lb.loan_currentstate, pr.portfolio_type AS pf, l.uid AS user_id, rl.rule_pass_date AS rp0, rl.rule_reject_date AS rr0, {', '.join('l.' + c for c in _PASS_L)},
   lb.rate_expected, lb.rate_min_approved, lb.rate_max_approved, {between_sql('lb.rate_max_approved', [(12, '1.Premium')] + [(e + 0.001, n) for e, n in fv.RISK_RATE_LE], 'Unrated')} AS risk_bucket, lb.loan_sub_staus, lb.live_date,
   {', '.join('u.' + c for c in _PASS_U)}, me.email_org_user, uw.allocated_date, uw.accepted_date, uw.livec_date AS actual_live_date, uw.rfd_date, pr.f AS first_proposal_date, pr.t AS last_proposal_date, pr.amount AS proposal_amount,
@@ -103,28 +116,35 @@ WIDE = f"""SELECT l.id AS loan_id, upper(coalesce(l.product_type, 'Others')) AS
   u.fname AS user_fname, u.lname AS user_lname, nullif(regexp_extract(upper(trim(right(trim(regexp_replace(lower(u.pan), '{tokens_sql(fv.ID_STATUS_TOKENS)}', '', 'g')), 10))), '[A-Z]{{5}}[0-9]{{4}}[A-Z]'), '') AS user_pan,
   tu.score AS cibil_score, cr.score AS crif_score, cr.day AS crif_score_date, TRY_CAST(l.bureau_code AS INT) AS bureau_score, {day_sql('u.dob')} AS user_dob,
   regexp_replace({title(_ADDR)}, '  +', ' ', 'g') AS user_fulladdress, u.address AS user_address, u."add" AS user_address1, u.add2 AS user_address2, u.landmark AS user_landmark, u.pin AS user_pin,
-  coalesce(g.city_pin, '') AS user_city, coalesce(g.district, '') AS user_district, g.state AS pin_state, {_STATE('origin_state_cnd')} AS user_origion_state, {_STATE('state_cnd')} AS user_input_state, coalesce(g.zone, '') AS user_zone,
+  coalesce(g.city_pin, '') AS user_city, coalesce(g.district, '') AS user_district, g.state AS pin_state, {_state('d_org')} AS user_origion_state, {_state('d_st')} AS user_input_state, coalesce(g.zone, '') AS user_zone,
   u.city AS user_input_city, coalesce(g.city_pin, u.city) AS user_final_city, u.mobile AS user_mobile, {phone_sql('u.mobile')} AS bor_mobile, u.landline AS user_landline, {phone_sql('u.landline')} AS bor_landline,
   me.email_user AS user_email, {day_sql('u.created')} AS user_created_date, {day_sql('u.udated')} AS user_updated_date,
   {', '.join(f"{a}.{src}_user AS {p}_{s}" for p, a in (('user_jobassigned', 'rj'), ('user_portfoliomanager', 'rp')) for s, src in (('name', 'namec'), ('mobile', 'mobile'), ('landline', 'landline'), ('email', 'email')))},
   CASE WHEN ch.sub_category = 'Afinoz' THEN 'Afinoz' ELSE ra.namec_user END AS user_agent_name, {_AGENT_COLS}, ch.channel AS ch, ch.sub_category AS sub, ch.category AS cat,
-  {_LBL("d.cnd_group = 'INDIA_RELIGION'", 'religion_cnd')} AS user_religion, {_LBL("d.cnd_group LIKE 'RELIGION%'", 'caste_cnd')} AS user_caste, {_LBL("d.cnd_group = 'INDIA_MOTHERTONGUE'", 'mothertounge_cnd')} AS user_mothertounge,
+  {_label('d_rel')} AS user_religion, {_label('d_cas')} AS user_caste, {_label('d_mt')} AS user_mothertounge,
   coalesce(u.gender, 'Unknown') AS gender, CASE {' '.join(f"WHEN u.highest_education IN ({', '.join(repr(c) for c in codes)}) THEN '{label}'" for codes, label in fv.EDUCATION_LEVELS)} ELSE 'Unknown' END AS highest_education,
   eav.* EXCLUDE (loan_id), bal.monthly_average_balance, {', '.join(f"CASE WHEN det.loan_id IS NOT NULL THEN {v} END AS {c}" for c, v in dict(child=1, dependent=2, total_exp=3, sibling=4, cibil=5, equinox=6, gross_salary_m=7, take_home_salary_m=8, deductions_m=9, user_devicename="'dev'", dept="'d'", business_reg_proof="'b'", business_owner_proof="'o'", itr_gstin_proof="'i'", itr_ack_num="'n'", itr_valid_message="'v'", itr_valid_status="'s'", refer_product="'r'", is_nbfc_pass="'N'").items())},
   coalesce(det.residence_type, 'Unknown') AS residence_type, coalesce(job.employement_type, 'Unknown') AS employement_type, {', '.join('job.' + c for c in JOB_COLS)}, idn.* EXCLUDE (loan_id), l.reference_id AS referenceid_loan,
   {title("trim(coalesce(ru.fname, '') || ' ' || coalesce(ru.lname, ''))")} AS rn1, {title("trim(coalesce(ru.fname, ''))")} AS rn2, ru.uid AS ruid, ru.mobile AS loan_main_borrower_mobile, ru.landline AS loan_main_borrower_landline, rpl.email_user AS loan_main_borrower_email,
   {', '.join('refs.' + c for c in _REFS)}, {', '.join('perms.' + c for c in _CONTACTS)}, coalesce(u.plus, 0) AS plus, u."minus" AS call_stat, coalesce(fl.fraud_flag, 0) AS fraud_flag, coalesce(fl.ignore_flag, 0) AS ignore_flag, coalesce(fl.ex360_npa, 0) AS ex360_npa,
   uw.cancelled_created AS cancelled_date, uw.foreclosure_created, {', '.join('mn.' + c for c in _ENACH)}, {', '.join('mn.nach_' + c for c in _NACH)}, chq.* EXCLUDE (loan_id),
-  (SELECT namec_user FROM people p WHERE p.uid = devs.dev_created_by) AS dev_created_by, devs.dev_exists, devs.total_dev, {', '.join('devs.' + n for n, _, _ in _FC)}, {', '.join('acct.' + c for c in lead.ACCOUNT_COLUMNS)},
+  pdev.namec_user AS dev_created_by, devs.dev_exists, devs.total_dev, {', '.join('devs.' + n for n, _, _ in _FC)}, {', '.join('acct.' + c for c in lead.ACCOUNT_COLUMNS)},
   fees.registration_fees, fees.processing_fees, uw.ba_uid, uw.preuw_uid, u.source AS src
-FROM raw_loans l JOIN raw_users u ON u.uid = l.uid LEFT JOIN lbase lb ON lb.loan_id = l.id LEFT JOIN people me ON me.uid = u.uid LEFT JOIN people up ON up.uid = l.updated_by
-{' '.join(f'LEFT JOIN people {a} ON {a}.uid = u.{k}' for k, a in _ROLE.items())} LEFT JOIN raw_users ru ON ru.uid = l.reference_id LEFT JOIN people rpl ON rpl.uid = ru.uid
-LEFT JOIN chan ch ON ch.source_key = lower(trim(u.source)) AND trim(u.source) <> '' LEFT JOIN tenure_master tm ON tm.tenure_code = l.tenure LEFT JOIN geo g ON g.pincode = u.pin
-LEFT JOIN job ON job.uid = u.uid LEFT JOIN acct ON acct.uid = u.uid LEFT JOIN disb ds ON ds.loan_id = l.id
-LEFT JOIN (SELECT loan_id, min(day) AS f, max(day) AS t, {money('sum(cp_amount)')} AS amount, {tag_sql()} AS portfolio_type FROM collected GROUP BY loan_id) pr ON pr.loan_id = l.id
-LEFT JOIN tu ON tu.loan_id = l.id LEFT JOIN cr ON cr.loan_id = l.id LEFT JOIN uw ON uw.loan_id = l.id LEFT JOIN ops ON ops.loan_id = l.id LEFT JOIN refs ON refs.loan_id = l.id LEFT JOIN perms ON perms.loan_id = l.id
-LEFT JOIN eav ON eav.loan_id = l.id LEFT JOIN devs ON devs.loan_id = l.id LEFT JOIN bal ON bal.loan_id = l.id LEFT JOIN det ON det.loan_id = l.id LEFT JOIN idn ON idn.loan_id = l.id LEFT JOIN mn ON mn.loan_id = l.id
-LEFT JOIN chq ON chq.loan_id = l.id LEFT JOIN rules rl ON rl.loan_id = l.id LEFT JOIN flags fl ON fl.loan_id = l.id LEFT JOIN fees ON fees.loan_id = l.id"""
+FROM s4"""
+
+# The joins in steps of a dozen; each joined row travels on as one struct column.
+STEPS = {
+    "s1": """SELECT l, u, lb, me, up, ra, rs, rj, rp FROM raw_loans l JOIN raw_users u ON u.uid = l.uid LEFT JOIN lbase lb ON lb.loan_id = l.id LEFT JOIN people me ON me.uid = u.uid
+  LEFT JOIN people up ON up.uid = l.updated_by """ + " ".join(f"LEFT JOIN people {a} ON {a}.uid = u.{k}" for k, a in _ROLE.items()),
+    "s2": f"""SELECT s1.*, ru, rpl, ch, tm, g, job, acct, d_sub, d_org, d_st, d_rel, d_cas, d_mt FROM s1 LEFT JOIN raw_users ru ON ru.uid = l.reference_id LEFT JOIN people rpl ON rpl.uid = ru.uid
+  LEFT JOIN chan ch ON ch.source_key = lower(trim(u.source)) AND trim(u.source) <> '' LEFT JOIN tenure_master tm ON tm.tenure_code = l.tenure LEFT JOIN geo g ON g.pincode = u.pin
+  LEFT JOIN job ON job.uid = u.uid LEFT JOIN acct ON acct.uid = u.uid {_DICT_JOINS}""",
+    "s3": f"""SELECT s2.*, ds, pr, tu, cr, uw, ops, refs, perms, eav FROM s2 LEFT JOIN disb ds ON ds.loan_id = l.id
+  LEFT JOIN (SELECT loan_id, min(day) AS f, max(day) AS t, {money('sum(cp_amount)')} AS amount, {tag_sql()} AS portfolio_type FROM collected GROUP BY loan_id) pr ON pr.loan_id = l.id
+  """ + " ".join(f"LEFT JOIN {a} ON {a}.loan_id = l.id" for a in ("tu", "cr", "uw", "ops", "refs", "perms", "eav")),
+    "s4": "SELECT s3.*, devs, pdev, bal, det, idn, mn, chq, rl, fl, fees FROM s3 LEFT JOIN rules rl ON rl.loan_id = l.id LEFT JOIN flags fl ON fl.loan_id = l.id "
+          + " ".join(f"LEFT JOIN {a} ON {a}.loan_id = l.id" for a in ("devs", "bal", "det", "idn", "mn", "chq", "fees")) + " LEFT JOIN people pdev ON pdev.uid = devs.dev_created_by",
+}
 
 _DERIVED = f"""SELECT *, CASE WHEN pf IS NOT NULL THEN pf WHEN loan_registered_date < DATE '2020-09-01' THEN 'Non-FD' WHEN coalesce(source, '') = 'IMB' THEN 'INDMoney' ELSE 'FD' END AS portfolio_type,
   CASE WHEN rp0 >= loan_registered_date AND (actual_live_date IS NULL OR rp0 <= actual_live_date) THEN rp0 END AS rule_pass_date, CASE WHEN rr0 >= loan_registered_date AND (actual_live_date IS NULL OR rr0 <= actual_live_date) THEN rr0 END AS rule_reject_date,
@@ -163,8 +183,8 @@ BALANCE = f"""SELECT loanid AS loan_id, CAST(round(avg(a), 10) AS DECIMAL(26,10)
     FROM (SELECT *, instr('Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec', {title('month')}) // 4 + 1 AS m FROM bank_months WHERE deleted = 'N') b
     JOIN (SELECT id, {day_sql('created')} AS c FROM raw_loans) l ON l.id = b.loanid) GROUP BY ALL)) WHERE rn <= 3 GROUP BY loanid"""
 _HELPERS = ("pf rp0 rr0 pin_state rn1 rn2 ruid foreclosure_created src ch sub cat top win moved skip ready dropped mx pre sp srep mp mrep rm_others disp st").split()
-LEAD_SQL = f"""WITH {', '.join(f'{k} AS MATERIALIZED ({part(q)})' for k, q in PARTS.items())}, bal AS MATERIALIZED ({BALANCE}), idn AS MATERIALIZED ({IDENT}), job AS MATERIALIZED ({JOB}), mn AS MATERIALIZED ({MANDATE}),
-uw AS MATERIALIZED ({UW}), tu AS MATERIALIZED ({_SCORE_TU}), cr AS MATERIALIZED ({_SCORE_CRIF}), wide AS MATERIALIZED ({WIDE}), derived AS MATERIALIZED ({_DERIVED}), fin AS MATERIALIZED (SELECT *, {_STATUS} AS st FROM ({_FINAL}))
+LEAD_SQL = f"""WITH dct AS MATERIALIZED (SELECT id, cnd_name, cnd_group FROM dictionary WHERE deleted = 'N'), {', '.join(f'{k} AS MATERIALIZED ({part(q)})' for k, q in PARTS.items())}, bal AS MATERIALIZED ({BALANCE}), idn AS MATERIALIZED ({IDENT}), job AS MATERIALIZED ({JOB}), mn AS MATERIALIZED ({MANDATE}),
+uw AS MATERIALIZED ({UW}), tu AS MATERIALIZED ({_SCORE_TU}), cr AS MATERIALIZED ({_SCORE_CRIF}), {', '.join(f'{k} AS MATERIALIZED ({v})' for k, v in STEPS.items())}, wide AS MATERIALIZED ({WIDE}), derived AS MATERIALIZED ({_DERIVED}), fin AS MATERIALIZED (SELECT *, {_STATUS} AS st FROM ({_FINAL}))
 SELECT * EXCLUDE ({', '.join(_HELPERS)}), {D} AS report_datetime, CASE WHEN rule_pass_date IS NOT NULL THEN 1 END AS rule_pass, CASE WHEN rule_reject_date IS NOT NULL THEN 1 END AS rule_reject,
   {between_sql('age_loanregister', upto(fv.GENERATION_LE), None, missing='Unknown')} AS generations,
   CASE WHEN payment_registration_method = 'PDC' THEN 'Reliable Data Services' WHEN payment_registration_method = 'Online' THEN 'Not Known' WHEN icici_mandate_active = 1 THEN 'E-MANDATE thru ICICI'
@@ -184,11 +204,41 @@ SELECT * EXCLUDE ({', '.join(_HELPERS)}), {D} AS report_datetime, CASE WHEN rule
   CASE WHEN st = 'Live' THEN 1 ELSE 0 END AS uw_live_flag, CASE WHEN st = 'Live' AND loan_currentstate = 'Cancelled' AND delist_date > {_UPDATED} THEN 1 ELSE 0 END AS delist_flag FROM fin"""
 
 
-@query("lead_details", sql=LEAD_SQL, uses=ALL_USES)
+def full_oracle() -> str:
+    """The whole mart as one DuckDB statement; planning it takes about a minute, so a test runs it."""
+    return views.oracle(LEAD_SQL, *ALL_USES.split(), materialize=True)
+
+
+@query("lead_details")
 def _(i):
     return lead.lead_details(catalog(i), AS_OF, SITE)
 
 
-@query("lead_borrower", uses=ALL_USES, sql=LEAD_SQL.replace("SELECT * EXCLUDE (pf", "SELECT " + ", ".join(f"{s} AS {n}" for n, s in lead.BORROWER_COLUMNS.items()) + " FROM (SELECT * EXCLUDE (pf") + ")")
+_B_PARTS = {"people": "people_dimension", "chan": "channel_dimension", "lbase": "loan_base", "disb": "disbursement_rollup"}
+_B_USES = " ".join(dict.fromkeys(("raw_loans raw_users dictionary geo crif_scores tu_scores " + " ".join(RAW[q][1] for q in _B_PARTS.values())).split()))
+_B_AGE = _AGE.format(dob=day_sql("u.dob"), at="lb.cl_created")
+
+
+@query("lead_borrower", uses=_B_USES, materialize=True, sql=f"""
+WITH dct AS MATERIALIZED (SELECT id, cnd_name, cnd_group FROM dictionary WHERE deleted = 'N'), {', '.join(f'{k} AS MATERIALIZED ({part(q)})' for k, q in _B_PARTS.items())},
+tu AS MATERIALIZED ({_SCORE_TU}), cr AS MATERIALIZED ({_SCORE_CRIF})
+SELECT l.id AS loan_id, lb.cl_created AS lead_registered_date, {title("trim(coalesce(lb.loan_type, 'Others'))")} AS loan_type, {title("trim(coalesce(d_sub.cnd_name, 'Others'))")} AS loan_subtype, 'Others' AS loan_othertype,
+  upper(coalesce(l.product_type, 'Others')) AS product_type, lb.loan_currentstate AS lead_current_status, l.loan_desc AS lead_description, l.uid AS borrower_id,
+  {between_sql('lb.rate_max_approved', [(12, '1.Premium')] + [(e + 0.001, n) for e, n in fv.RISK_RATE_LE], 'Unrated')} AS risk_bucket, {title("trim(coalesce(u.fname, '') || ' ' || coalesce(u.lname, ''))")} AS borrower_name,
+  nullif(regexp_extract(upper(trim(right(trim(regexp_replace(lower(u.pan), '{tokens_sql(fv.ID_STATUS_TOKENS)}', '', 'g')), 10))), '[A-Z]{{5}}[0-9]{{4}}[A-Z]'), '') AS borrower_pan,
+  tu.score AS cibil_score, cr.score AS crif_score, {day_sql('u.dob')} AS borrower_dob, {_B_AGE} AS borrower_age_loandate, {between_sql('(' + _B_AGE + ')', upto(fv.GENERATION_LE), None, missing='Unknown')} AS borrower_generation,
+  regexp_replace({title(_ADDR)}, '  +', ' ', 'g') AS borrower_address, u.pin AS borrower_pin, coalesce(g.city_pin, '') AS borrower_city, coalesce(g.district, '') AS borrower_district,
+  coalesce(g.state, {_state('d_org')}, '') AS borrower_state, coalesce(g.zone, '') AS borrower_zone, coalesce(g.city_pin, u.city) AS borrower_final_city, coalesce(g.state, {_state('d_st')}, {_state('d_org')}) AS borrower_final_state,
+  {_state('d_org')} AS borrower_origion_state, u.mobile AS borrower_mobile, u.landline AS borrower_landline, me.email_user AS borrower_email, {day_sql('u.created')} AS borrower_created_date,
+  rj.namec_user AS borrower_jobassigned_name, rj.mobile_user AS borrower_jobassigned_mobile, rj.email_user AS borrower_jobassigned_email, CASE WHEN ch.sub_category = 'Afinoz' THEN 'Afinoz' ELSE ra.namec_user END AS borrower_agent_name,
+  ra.mobile_user AS borrower_agent_mobile, ra.email_user AS borrower_agent_email, coalesce(u.gender, 'Unknown') AS borrower_gender, u.aadhaar_number AS borrower_adhaarnumber, u.spouse AS borrower_spouse_name,
+  u.father AS borrower_father_name, u.mother AS borrower_mother_name, CASE WHEN ru.uid IS NOT NULL THEN {title("trim(coalesce(ru.fname, ''))")} END AS loan_main_borrower_first_name,
+  CASE WHEN ru.uid IS NOT NULL THEN {title("trim(coalesce(ru.fname, '') || ' ' || coalesce(ru.lname, ''))")} END AS loan_main_borrower_name, ru.mobile AS loan_main_borrower_mobile, ru.landline AS loan_main_borrower_landline,
+  rpl.email_user AS loan_main_borrower_email
+FROM raw_loans l JOIN raw_users u ON u.uid = l.uid LEFT JOIN lbase lb ON lb.loan_id = l.id LEFT JOIN people me ON me.uid = u.uid LEFT JOIN people ra ON ra.uid = u.agent_uid LEFT JOIN people rj ON rj.uid = u.job_assigning
+LEFT JOIN raw_users ru ON ru.uid = l.reference_id LEFT JOIN people rpl ON rpl.uid = ru.uid LEFT JOIN chan ch ON ch.source_key = lower(trim(u.source)) AND trim(u.source) <> '' LEFT JOIN geo g ON g.pincode = u.pin
+LEFT JOIN dct d_sub ON d_sub.id = l.loan_sub_type_cnd AND d_sub.cnd_group IN ('MAIN_LOAN_TYPE', 'FIP_TYPE', 'INDIA_SUB_LOAN', 'MLP_PLAN_BORROWER')
+LEFT JOIN dct d_org ON d_org.id = u.origin_state_cnd AND d_org.cnd_group IN ('STATE_INDIA', 'LOAN_CITY') LEFT JOIN dct d_st ON d_st.id = u.state_cnd AND d_st.cnd_group IN ('STATE_INDIA', 'LOAN_CITY')
+LEFT JOIN tu ON tu.loan_id = l.id LEFT JOIN cr ON cr.loan_id = l.id""")
 def _(i):
     return lead.lead_borrower(lead.lead_details(catalog(i), AS_OF, SITE))

@@ -26,12 +26,12 @@ class Inputs:
         return views.view(self.spark, self.sf_dir, name)
 
 
-def query(name: str, sql: str | None = None, uses: str = ""):
+def query(name: str, sql: str | None = None, uses: str = "", materialize: bool = False):
     """Register ``fn(inputs) -> DataFrame``; ``uses`` lists the views the SQL names."""
     def wrap(fn):
         QUERIES[name] = lambda spark, sf_dir: fn(Inputs(spark, sf_dir))
         if sql is not None:
             RAW[name] = (sql, uses)
-            ORACLES[name] = views.oracle(sql, *uses.split())
+            ORACLES[name] = views.oracle(sql, *uses.split(), materialize=materialize)
         return fn
     return wrap

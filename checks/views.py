@@ -465,8 +465,8 @@ def _needed(names: list[str]) -> list[str]:
     return order
 
 
-def _compose(names: list[str], body: str, keys: dict) -> str:
-    ctes = ", ".join(f"{n} AS ({VIEWS[n].format(**keys)})" for n in _needed(names))
+def _compose(names: list[str], body: str, keys: dict, how: str = "") -> str:
+    ctes = ", ".join(f"{n} AS {how}({VIEWS[n].format(**keys)})" for n in _needed(names))
     if not ctes:
         return body
     body = body.strip()
@@ -481,8 +481,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(re.sub(r'"(add|minus|House_number)"', r"`\1`", text))
 
 
-def oracle(body: str, *names: str) -> str:
-    """A DuckDB statement: the named views as CTEs in front of ``body``."""
+def oracle(body: str, *names: str, materialize: bool = False) -> str:
+    """A DuckDB statement: the named views as CTEs in front of ``body``.
+
+    ``materialize`` evaluates each view once, for statements that name views many times.
+    """
     keys = {t: t for t in TABLES}
     keys["dayno"] = "datediff('day', DATE '1970-01-01', "
-    return _compose(list(names), body, keys)
+    return _compose(list(names), body, keys, "MATERIALIZED " if materialize else "")
