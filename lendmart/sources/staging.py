@@ -18,7 +18,7 @@ _LOCAL: dict[str, tempfile.TemporaryDirectory] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one for local sessions without a setting."""
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if context.master.startswith("local"):

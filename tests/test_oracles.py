@@ -25,7 +25,8 @@ def con():
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
 def test_query(spark, con, name):
-    assert run(spark, con, SF, name, QUERIES, ORACLES)
+    # The smallest data set leaves some results empty; compare.py at sf0.01 asks for rows.
+    assert run(spark, con, SF, name, QUERIES, ORACLES, need_rows=False)
 
 
 def test_entry(spark):

@@ -202,3 +202,14 @@ def test_scan_reads_only_needed_columns(inputs):
     from lendmart.operators import installments as ins
     plan = plan_of(ins.register_rollup(inputs.payment_register, SITE.ignored_payees))
     assert "l_extendedprice" in plan and "l_discount" not in plan and "l_tax" not in plan
+
+
+def test_staging_uses_the_named_folder(spark, tmp_path):
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        staged = staging.stage(spark.range(3).withColumn("k", F.col("id") % 2), "probe", "k")
+        assert staged.count() == 3 and list((tmp_path / "staging").iterdir())
+        assert staging.shared_folder(spark) == str(tmp_path)
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+    assert staging.shared_folder(spark) != str(tmp_path)
