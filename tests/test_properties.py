@@ -204,12 +204,16 @@ def test_scan_reads_only_needed_columns(inputs):
     assert "l_extendedprice" in plan and "l_discount" not in plan and "l_tax" not in plan
 
 
-def test_staging_uses_the_named_folder(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        staged = staging.stage(spark.range(3).withColumn("k", F.col("id") % 2), "probe", "k")
-        assert staged.count() == 3 and list((tmp_path / "staging").iterdir())
-        assert staging.shared_folder(spark) == str(tmp_path)
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert staging.shared_folder(spark) != str(tmp_path)
+def test_staging_folder_comes_from_the_session(spark):
+    from types import SimpleNamespace as Stub
+
+    def session(named, master, checkpoint=None):
+        conf = Stub(get=lambda key, default=None: named if key == "spark.checkpoint.dir" else default)
+        return Stub(conf=conf, sparkContext=Stub(master=master, applicationId="x", getCheckpointDir=lambda: checkpoint))
+
+    assert staging.shared_folder(session("s3://b/ck/", "yarn")) == "s3://b/ck"
+    assert staging.shared_folder(session(None, "yarn", "hdfs:///ck")) == "hdfs:///ck"
+    with pytest.raises(RuntimeError):
+        staging.shared_folder(session(None, "yarn"))
+    staged = staging.stage(spark.range(3).withColumn("k", F.col("id") % 2), "probe", "k")
+    assert staged.count() == 3 and staged.columns == ["id", "k"]
