@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmart import fixed_values as fv
 from lendmart.config import SiteConfig
 from lendmart.functions.bands import classify, lookup
-from lendmart.functions.dates import (col, date_lit, epoch_to_local_date, epoch_to_timestamp, parse_messy_date,
-                                      safe_epoch_date)
-from lendmart.functions.text import (alternation, canonical_state, filled, person_name, scrub_status_prefix,
+from lendmart.functions.dates import col, date_lit, epoch_to_local_date, parse_messy_date, safe_epoch_date
+from lendmart.functions.text import (canonical_state, filled, person_name, scrub_status_prefix,
                                      title_or)
-from lendmart.operators.rows import active_only, conditional_counts, decode, first_n_by, latest_by
+from lendmart.operators.rows import active_only, conditional_counts, decode, latest_by
 
 
 # --- channel ---------------------------------------------------------------

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendmart import fixed_values as fv
 from lendmart.config import DEFAULT_SITE, SiteConfig
 from lendmart.functions.dates import date_lit
 from lendmart.operators import funnel

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from lendmart import fixed_values as fv
 from lendmart.config import DEFAULT_SITE, SiteConfig
 from lendmart.functions import bands
-from lendmart.functions.bands import classify, lookup
 from lendmart.functions.dates import date_lit, days_between, fiscal_calendar, month_end, months_between
 from lendmart.functions.text import extract_decimal, filled
 from lendmart.operators import cohorts
