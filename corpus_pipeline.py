@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lendmart.llm import exact_dedup, quality_rules, simhash
+from lendmart.llm import bpe, exact_dedup, mixing, quality_rules, simhash
+from lendmart.llm.queries import tokenizer_path
 from lendmart.llm.texts import read_table, stage
 
 
@@ -23,10 +25,22 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mixture reads them; every document at least once."""
+    return mixing.mix(docs, into="__mix").drop("__mix")
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the text they decode to."""
+    return bpe.round_trip(docs, tokenizer_path()).select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "decoded")
+
+
 STAGES = [
     ("quality rules", quality_stage),
     ("exact dedup", exact_stage),
     ("SimHash near-dedup", near_stage),
+    ("mixing sources", mixing_stage),
+    ("BPE", token_stage),
 ]
 
 # Measuring texts, fingerprints and token ids have no SQL form.

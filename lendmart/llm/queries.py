@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendmart.llm import exact_dedup, quality_rules, simhash
+from lendmart.llm import bpe, exact_dedup, mixing, quality_rules, simhash
 from lendmart.llm.texts import read_table
 
+TOKENIZER = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def wrap(fn):
         QUERIES[name] = fn
@@ -33,6 +40,19 @@ def exact_dedup_query(spark, sf_dir):
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@query("op5_bpe")
+def bpe_query(spark, sf_dir):
+    coded = bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return coded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+                        bpe.ids_digest(F.col("token_ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op7_mixing")
+def mixing_query(spark, sf_dir):
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "source", "mix.epoch", "mix.block", "mix.position")
+
+
 @query("op9_quality_rules")
 def quality_rules_query(spark, sf_dir):
     judged = quality_rules.judge(read_table(spark, sf_dir, "documents"))
