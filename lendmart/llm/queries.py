@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendmart.llm import bpe, exact_dedup, mixing, quality_rules, simhash
+from lendmart.llm import bpe, exact_dedup, mixing, pii, quality_rules, simhash
 from lendmart.llm.texts import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -30,6 +30,16 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+@query("op1_pii")
+def pii_query(spark, sf_dir):
+    spans = F.col("pii")
+    base = F.filter(spans, lambda s: s["kind"].isin([k.name for k in pii.KINDS if k.base]))
+    count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+    found = pii.find_spans(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *(count(k.name).alias(f"n_{k.name}") for k in pii.KINDS),
+                        F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(spans).alias("spans"))
+
+
 @query("op2_exact_dedup", """
 WITH n AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)
