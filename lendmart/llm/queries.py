@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendmart.llm import bpe, exact_dedup, mixing, pii, quality_rules, simhash
+from lendmart.llm import bpe, exact_dedup, mixing, pii, quality_cnn, quality_rules, simhash
 from lendmart.llm.texts import read_table
 
+KEEP_SCORE = 0.3
 TOKENIZER = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +64,16 @@ def mixing_query(spark, sf_dir):
     return mixed.select("doc_id", "source", "mix.epoch", "mix.block", "mix.position")
 
 
+@query("op8_quality_cnn")
+def quality_cnn_query(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    # A row without doc_id is never learned from.
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))
+    net = quality_cnn.fit_labelled(docs.where(~held_out), read_table(spark, sf_dir, "labels"))
+    scored = quality_cnn.score_documents(docs, net)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
+
+
 @query("op9_quality_rules")
 def quality_rules_query(spark, sf_dir):
     judged = quality_rules.judge(read_table(spark, sf_dir, "documents"))
