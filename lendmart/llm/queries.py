@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendmart.llm import bpe, exact_dedup, mixing, pii, quality_cnn, quality_rules, simhash
+from lendmart.llm import bpe, exact_dedup, mixing, ngram_lm, pii, quality_cnn, quality_rules, simhash
 from lendmart.llm.texts import read_table
 
 KEEP_SCORE = 0.3
@@ -51,6 +51,13 @@ def exact_dedup_query(spark, sf_dir):
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@query("op3_ngram_lm")
+def ngram_lm_query(spark, sf_dir):
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    scores = ngram_lm.score_documents(read_table(spark, sf_dir, "documents"), ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op5_bpe")
 def bpe_query(spark, sf_dir):
     coded = bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path())

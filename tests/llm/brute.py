@@ -1,7 +1,9 @@
 """Plain versions of the operators, text by text, to hold results against."""
 
 import hashlib
+import math
 import re
+from collections import Counter, defaultdict
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
 IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
@@ -31,3 +33,41 @@ def pii_row(text):
     spans = pii(text)
     listed = ",".join(f"{k}:{s}:{e}" for s, _, k, e in spans)
     return tuple(sum(x[2] == k for x in spans) for k in ("email", "ip", "card", "phone")) + (hashlib.sha256(listed.encode()).hexdigest(),)
+
+
+def discounts(counts):
+    """Modified Kneser-Ney discounts from a collection of counts."""
+    n = [sum(c == k for c in counts) for k in (1, 2, 3, 4)]
+    y = n[0] / (n[0] + 2 * n[1]) if n[0] and n[1] else 0.5
+    return [0] + [min(max(k - (k + 1) * y * (n[k] / n[k - 1] if n[k - 1] else 0.5), 0.05), k - 0.05) for k in (1, 2, 3)]
+
+
+def language_model(rows):
+    """``rows``: (text, train) -> per row (n_tokens, n_known, base, score), and the model as a function p(w | v)."""
+    tokens = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + ["</s>"] for t, _ in rows]
+    pairs, single = Counter(), Counter()
+    for ws, (_, train) in zip(tokens, rows):
+        if train:
+            pairs.update(zip(["<s>", *ws], ws))
+            single.update(ws)
+    seen = Counter(w for _, w in pairs)
+    context, kinds = Counter(), defaultdict(lambda: [0, 0, 0, 0])
+    for (v, _), c in pairs.items():
+        context[v] += c
+        kinds[v][min(c, 3)] += 1
+    d2, d1 = discounts(pairs.values()), discounts(seen.values())
+    total, size = len(pairs), len(single)
+    free = sum(d1[min(a, 3)] for a in seen.values()) / total if total else 1
+
+    def p(v, w):
+        a = seen[w]
+        low = (a - d1[min(a, 3)] if a else 0) / max(total, 1) + free / (size + 1)
+        if not context[v]:
+            return low
+        c = pairs[v, w]
+        return (c - d2[min(c, 3)] if c else 0) / context[v] + sum(d * k for d, k in zip(d2, kinds[v])) / context[v] * low
+
+    n = sum(single.values())
+    out = [(len(ws), sum(single[w] > 0 for w in ws), sum(math.log10((single[w] + 1) / (n + size + 1)) for w in ws),
+            sum(math.log10(p(v, w)) for v, w in zip(["<s>", *ws], ws))) for ws in tokens]
+    return out, p, n, set(single)
