@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendmart.llm import bpe, exact_dedup, mixing, ngram_lm, pii, quality_cnn, quality_rules, simhash
+from lendmart.llm import bpe, exact_dedup, licenses, mixing, ngram_lm, packing, pii, quality_cnn, quality_rules, simhash
 from lendmart.llm.texts import read_table
 
 KEEP_SCORE = 0.3
@@ -58,6 +58,11 @@ def ngram_lm_query(spark, sf_dir):
     return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query("op4_licenses")
+def licenses_query(spark, sf_dir):
+    return licenses.scan_documents(read_table(spark, sf_dir, "documents"))
+
+
 @query("op5_bpe")
 def bpe_query(spark, sf_dir):
     coded = bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path())
@@ -65,6 +70,11 @@ def bpe_query(spark, sf_dir):
                         bpe.ids_digest(F.col("token_ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op6_packing")
+def packing_query(spark, sf_dir):
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query("op7_mixing")
 def mixing_query(spark, sf_dir):
     mixed = mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
