@@ -12,7 +12,7 @@ from lendmart.plans.lead_details import eav_values
 
 
 def title_sql(x: str) -> str:
-    return f"array_to_string(list_transform(string_split(lower({x}), ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
+    return f"array_to_string(list_transform(string_split(lower({x}), ' '), lambda w: CASE w[1] WHEN 'ß' THEN 'Ss' ELSE upper(w[1]) END || w[2:]), ' ')"
 
 
 def tokens_sql(tokens) -> str:
@@ -20,15 +20,13 @@ def tokens_sql(tokens) -> str:
 
 
 @query("active_only", uses="state_log raw_users", sql="""
-SELECT 'log' AS part, count(*) AS n, CAST(sum(id) AS BIGINT) AS s FROM state_log WHERE deleted = 'N'
-UNION ALL SELECT 'users', count(*), CAST(sum(u.uid) AS BIGINT) FROM raw_users u LEFT JOIN (SELECT uid, deleted AS d FROM raw_users WHERE uid % 2 = 0) x ON u.uid = x.uid
-WHERE d = 'N' OR d IS NULL""")
+SELECT 'log' AS part, id FROM state_log WHERE deleted = 'N'
+UNION ALL SELECT 'users', uid FROM (SELECT uid, CASE WHEN uid % 2 = 0 THEN deleted END AS d FROM raw_users) u WHERE d = 'N' OR d IS NULL""")
 def _(i):
-    log = rows.active_only(i.state_log).agg(F.count("*").alias("n"), F.sum("id").alias("s"))
-    half = i.raw_users.filter("uid % 2 = 0").select("uid", "deleted")
-    users = rows.active_only(i.raw_users.select("uid").join(half, "uid", "left"), tolerate_null=True)
-    users = users.agg(F.count("*").alias("n"), F.sum("uid").alias("s"))
-    return log.select(F.lit("log").alias("part"), "n", "s").unionByName(users.select(F.lit("users").alias("part"), "n", "s"))
+    log = rows.active_only(i.state_log).select(F.lit("log").alias("part"), "id")
+    some = i.raw_users.select("uid", F.when(F.col("uid") % 2 == 0, F.col("deleted")).alias("deleted"))
+    users = rows.active_only(some, tolerate_null=True)
+    return log.unionByName(users.select(F.lit("users").alias("part"), F.col("uid").alias("id")))
 
 
 @query("drop_exact_duplicates", uses="inst", sql="""
@@ -108,9 +106,11 @@ def _(i):
 
 @query("title_clean", uses="identity_addresses", sql=f"""
 SELECT id, coalesce({title_sql("trim(regexp_replace(name, 'null', '', 'g'))")}, '') AS name,
-       coalesce({title_sql("trim(regexp_replace(street, 'null', '', 'g'))")}, '') AS street FROM identity_addresses""")
+       coalesce({title_sql("trim(regexp_replace(street, 'null', '', 'g'))")}, '') AS street,
+       coalesce({title_sql("""trim(regexp_replace("House_number", 'null', '', 'g'))""")}, '') AS house FROM identity_addresses""")
 def _(i):
-    return i.identity_addresses.select("id", text.title_clean("name").alias("name"), text.title_clean("street").alias("street"))
+    return i.identity_addresses.select("id", text.title_clean("name").alias("name"), text.title_clean("street").alias("street"),
+                                       text.title_clean("House_number").alias("house"))
 
 
 @query("compose_address", uses="raw_users", sql=f"""
@@ -171,9 +171,11 @@ def _(i):
 
 
 @query("extract_decimal", uses="messy_text additional_info", sql="""
-SELECT id, TRY_CAST(nullif(regexp_extract(value3, '[0-9]+.[0-9]+'), '') AS DECIMAL(10,2)) AS amount FROM additional_info""")
+SELECT 'info' AS part, id, TRY_CAST(nullif(regexp_extract(value3, '[0-9]+.[0-9]+'), '') AS DECIMAL(10,2)) AS amount FROM additional_info
+UNION ALL SELECT 'text', id, TRY_CAST(nullif(regexp_extract(text, '[0-9]+.[0-9]+'), '') AS DECIMAL(10,2)) FROM messy_text""")
 def _(i):
-    return i.additional_info.select("id", text.extract_decimal("value3").alias("amount"))
+    info = i.additional_info.select(F.lit("info").alias("part"), "id", text.extract_decimal("value3").alias("amount"))
+    return info.unionByName(i.messy_text.select(F.lit("text").alias("part"), "id", text.extract_decimal("text").alias("amount")))
 
 
 @query("latest_value", uses="additional_info", sql="""

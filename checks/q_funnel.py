@@ -80,10 +80,10 @@ DISB_SQL = """(SELECT loan_id, product_tag, disburse_amount, disburse_date FROM
 
 @query("eligibility_score", uses="lender_rule_log lender_eligibility", sql=f"""
 SELECT p.loan_id, {_ELIGIBLE} AS eligible_lender, CASE WHEN {_PREF} > 0 THEN 1 ELSE 0 END AS bre_approved, CASE WHEN d.disburse_amount > 0 OR d.disburse_date IS NOT NULL THEN 1 ELSE 0 END AS disbursed
-FROM {PIVOT_SQL} p LEFT JOIN {DISB_SQL} d ON d.loan_id = p.loan_id AND p.loan_id % 2 = 0""")
+FROM {PIVOT_SQL} p LEFT JOIN {DISB_SQL} d ON d.loan_id = p.loan_id""")
 def _(i):
     from lendmart.operators.rows import active_only, latest_by
-    d = active_only(i.lender_eligibility).filter("disburse_status = 'Y' AND loan_id % 2 = 0")
+    d = active_only(i.lender_eligibility).filter("disburse_status = 'Y'")
     d = latest_by(d, "loan_id", [F.col("disburse_date").desc(), F.col("product_tag").asc(), F.col("disburse_amount").desc()])
     p = sl.pivot_outcomes(sl.latest_rule_by_type(i.lender_rule_log)).join(d.select("loan_id", "disburse_amount", "disburse_date"), "loan_id", "left")
     return p.select("loan_id", *[c.alias(n) for n, c in sl.eligibility_score().items()])

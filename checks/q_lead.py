@@ -155,7 +155,7 @@ SUBS_SQL = f"""(SELECT loan_id, mandate_id, count(*) AS mandate_link_created, ma
   max(CASE WHEN {_OK} THEN d END) AS enach_active_subscription_date FROM (SELECT DISTINCT loan_id, unique_reference_no AS mandate_id, cf_message, cf_status, bank_holder_name, account_no,
   {day_sql('created', 0)} AS d FROM subscriptions WHERE deleted = 'N' AND status = 'OK') GROUP BY loan_id, mandate_id)"""
 BANK_SQL = f"""(SELECT loan_id, mandate_id, count(*) AS icici_mandate_link_created, max(CASE WHEN state = 'Y' AND status = '0300' THEN 1 ELSE 0 END) AS icici_mandate_active, min(d) AS icici_mandate_first_created_date,
-  max(CASE WHEN state = 'Y' AND status = '0300' THEN d END) AS icici_mandate_active_date FROM (SELECT DISTINCT loan_id, mandate_id, state, status, reason, {day_sql('created', 0)} AS d FROM bank_mandates) GROUP BY loan_id, mandate_id)"""
+  max(CASE WHEN state = 'Y' AND status = '0300' THEN d END) AS icici_mandate_active_date FROM (SELECT DISTINCT loan_id, mandate_id, state, status, reason, {day_sql('created', 0)} AS d FROM bank_mandates WHERE deleted = 'N') GROUP BY loan_id, mandate_id)"""
 
 
 @query("subscription_counts", uses="subscriptions", sql=f"SELECT * FROM {SUBS_SQL} s")

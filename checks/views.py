@@ -35,16 +35,38 @@ TS = ("(({dayno}CAST(ts AS DATE))) * 86400 + CAST(hour(ts) AS BIGINT) * 3600 + m
 ACTOR = "CAST(replace(replace(props, '{{\"k\": ', ''), '}}', '') AS BIGINT)"
 # A day per customer between 1995-06-01 and 1997-05-01.
 REGISTERED = "(DATE '1995-06-01' + CAST(c_custkey % 700 AS INT))"
+# Three loans share a user; every customer row is a user of its own.
+USER = "(100000 + c_custkey)"
 UID = "(100000 + CAST(floor(c_custkey / 3) AS BIGINT))"
 
+
+
+def _person(key: str, hot: int) -> str:
+    """A number of persons that grows with the key; one key in ``hot`` belongs to the same person."""
+    return f"(CASE WHEN {key} % {hot} = 3 THEN 7 ELSE {key} END)"
+
+
+def _national_id(key: str, hot: int) -> str:
+    k = _person(key, hot)
+    letter = lambda size: f"chr(65 + CAST(floor({k} / {size}) % 26 AS INT))"
+    return f"'ABC' || {letter(260000)} || {letter(10000)} || lpad(CAST({k} % 10000 AS VARCHAR(10)), 4, '0') || 'K'"
+
+
+def _phone(key: str, hot: int) -> str:
+    return f"'8' || lpad(CAST({_person(key, hot)} AS VARCHAR(10)), 9, '0')"
+
+
 VIEWS: dict[str, str] = {}
 
+# Accounts ending in 0 are settled and over before 1998; those ending in 1 lie in the future.  Their days and
+# states are moved, so that no row is left out.
+DUE = (f"({SHIP} + CASE WHEN o_custkey % 10 = 0 AND {SHIP} > DATE '1998-01-01' THEN -1461 "
+       f"WHEN o_custkey % 10 = 1 AND {SHIP} <= DATE '{AS_OF}' THEN 1461 ELSE 0 END)")
 VIEWS["inst"] = f"""
-SELECT * FROM (
-  SELECT o_custkey AS loan_id, l_suppkey AS lender, {SHIP} AS due, least({ORDERED}, {SHIP}) AS created,
-         {SHIP} + CAST(l_linenumber * 7 - 10 AS INT) AS updated,
+  SELECT o_custkey AS loan_id, l_suppkey AS lender, {DUE} AS due, least({ORDERED}, {DUE}) AS created,
+         {DUE} + CAST(l_linenumber * 7 - 10 AS INT) AS updated,
          CASE WHEN l_linestatus = 'F' AND l_returnflag = 'R' THEN 'closed'
-              WHEN l_linestatus = 'O' AND {SHIP} >= DATE '{AS_OF}' - CAST(o_custkey % 240 AS INT) THEN 'due'
+              WHEN l_linestatus = 'O' AND o_custkey % 10 <> 0 AND {DUE} >= DATE '{AS_OF}' - CAST(o_custkey % 240 AS INT) THEN 'due'
               ELSE 'paid' END AS state,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
          CAST(CAST(l_extendedprice AS DECIMAL(18,2))
@@ -52,9 +74,7 @@ SELECT * FROM (
               AS DECIMAL(18,2)) AS principal,
          CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS interest,
          l_linenumber AS line
-  FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey) x
-WHERE NOT (loan_id % 10 = 0 AND (due > DATE '1998-01-01' OR state = 'due'))
-  AND NOT (loan_id % 10 = 1 AND due <= DATE '{AS_OF}')"""
+  FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey"""
 
 VIEWS["raw_installments"] = f"""
 SELECT loan_id, lender AS uid_l, {_local_epoch('due', 'line * 3600')} AS due_date,
@@ -158,13 +178,13 @@ SELECT c_custkey AS id, {UID} AS uid, CAST(c_custkey % 7 AS VARCHAR(10)) AS loan
 FROM {{customer}}"""
 
 VIEWS["raw_users"] = f"""
-SELECT {UID} AS uid, lower(c_mktsegment) AS fname, CAST(c_custkey AS VARCHAR(20)) AS lname,
+SELECT {USER} AS uid, lower(c_mktsegment) AS fname, CAST(c_custkey AS VARCHAR(20)) AS lname,
        CASE c_custkey % 4 WHEN 0 THEN '+91-98' || lpad(CAST(c_custkey AS VARCHAR(10)), 8, '0')
-                          WHEN 1 THEN '070' || lpad(CAST(c_custkey % 400 AS VARCHAR(10)), 8, '0')
-                          WHEN 2 THEN '12345' ELSE '8' || lpad(CAST(c_custkey % 300 AS VARCHAR(10)), 9, '0') END AS mobile,
+                          WHEN 1 THEN '070' || lpad(CAST({_person("c_custkey", 40)} AS VARCHAR(10)), 8, '0')
+                          WHEN 2 THEN '12345' ELSE {_phone("c_custkey", 50)} END AS mobile,
        CASE WHEN c_custkey % 2 = 0 THEN '0' || CAST(6000000000 + c_custkey AS VARCHAR(12)) END AS landline,
        CASE WHEN c_custkey % 8 = 0 THEN 'fc_invalid_' ELSE '' END || 'abcde'
-         || lpad(CAST(c_custkey % 700 AS VARCHAR(10)), 4, '0') || 'k' AS pan,
+         || lpad(CAST({_person("c_custkey", 40)} % 10000 AS VARCHAR(10)), 4, '0') || 'k' AS pan,
        {_local_epoch("(DATE '1955-01-01' + CAST(c_custkey * 31 % 17000 AS INT))")} AS dob,
        'addr ' || CAST(c_custkey AS VARCHAR(10)) AS address, 'block  b' AS "add", '' AS add2, 'near  park' AS landmark,
        CAST(c_nationkey AS INT) AS pin, 'town' AS city,
@@ -181,14 +201,14 @@ SELECT {UID} AS uid, lower(c_mktsegment) AS fname, CAST(c_custkey AS VARCHAR(20)
        CAST(319 + CAST(floor(c_custkey / 3) AS BIGINT) % 7 AS VARCHAR(10)) AS highest_education, 'web' AS registration_type, 'x' AS source_type,
        '' AS gst, '' AS relation_type, 0 AS campaign_id, 'Y' AS is_pan_verified,
        CASE WHEN c_custkey % 5 = 0 THEN 100000 + c_custkey % 30 ELSE 0 END AS parent_uid
-FROM {{customer}} WHERE c_custkey % 3 = 0"""
+FROM {{customer}}"""
 
 VIEWS["logins"] = f"""
-SELECT {UID} AS uid,
+SELECT {USER} AS uid,
        CASE c_custkey % 5 WHEN 0 THEN 'FC_invalid_' WHEN 1 THEN 'closed_loan_' ELSE '' END || 'User.' || CAST(c_custkey AS VARCHAR(10)) AS name,
        CASE c_custkey % 7 WHEN 0 THEN 'invalid_' ELSE '' END || 'u' || CAST(c_custkey AS VARCHAR(10))
          || CASE WHEN c_custkey % 3 = 0 THEN '@platform.com1' ELSE '@mail.test' END AS mail
-FROM {{customer}} WHERE c_custkey % 3 = 0"""
+FROM {{customer}}"""
 
 VIEWS["state_log"] = f"""
 SELECT event_id AS id, CASE event_id % 3 WHEN 0 THEN CAST(user_id AS VARCHAR(20)) WHEN 1 THEN ' ' || CAST(user_id AS VARCHAR(20)) || '''' ELSE CAST(user_id AS VARCHAR(20)) || '.' END AS logged_entity_id,
@@ -264,8 +284,8 @@ SELECT o_orderkey AS id, o_custkey AS loan_id,
 FROM {{orders}}"""
 
 VIEWS["identity_addresses"] = """
-SELECT doc_id AS id, doc_id % 400 AS loan_id, 'null ' || substr(source, 1, 12) AS name, '01/01/1990' AS dob, 'M' AS gender,
-       substr(replace(text, '  ', ' '), 1, 8) AS "House_number", lang AS locality, 'null' AS street, source AS vtc, lang AS sub_district,
+SELECT doc_id AS id, CAST(floor(doc_id / 2) AS BIGINT) AS loan_id, 'null ' || source AS name, '01/01/1990' AS dob, 'M' AS gender,
+       replace(text, '  ', ' ') AS "House_number", lang AS locality, 'null' AS street, source AS vtc, lang AS sub_district,
        source AS district, upper(lang) AS state, 'null' AS adhaar,
        CASE WHEN doc_id % 19 = 0 THEN 'Y' ELSE 'N' END AS deleted
 FROM {documents}"""
@@ -288,14 +308,15 @@ VIEWS["subscriptions"] = f"""
 SELECT o_custkey AS loan_id, 'REF' || lpad(CAST(o_orderkey AS VARCHAR(12)), 10, '0') AS unique_reference_no,
        CASE l_linenumber % 3 WHEN 0 THEN 'Subscription activated successfully' WHEN 1 THEN 'xx subscription_already_exist yy' ELSE 'failed' END AS cf_message,
        CASE WHEN l_returnflag = 'R' THEN 'inactive' ELSE 'active' END AS cf_status, 'holder' AS bank_holder_name, 'acc' AS account_no,
-       {_utc_epoch(SHIP)} AS created, CASE WHEN l_linestatus = 'F' THEN 'OK' ELSE 'KO' END AS status, 'N' AS deleted
-FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey WHERE o_orderkey % 3 = 0"""
+       {_utc_epoch(SHIP)} AS created, CASE WHEN l_linestatus = 'F' THEN 'OK' ELSE 'KO' END AS status,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'N' ELSE 'Y' END AS deleted
+FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey"""
 
 VIEWS["bank_mandates"] = f"""
 SELECT o_custkey AS loan_id, 'REF' || lpad(CAST(o_orderkey AS VARCHAR(12)), 10, '0') AS mandate_id,
        CASE WHEN o_orderkey % 2 = 0 THEN 'Y' ELSE 'N' END AS state, CASE WHEN o_orderstatus = 'F' THEN '0300' ELSE '0100' END AS status,
-       'r' AS reason, {_utc_epoch(ORDERED)} AS created, 'N' AS deleted
-FROM {{orders}} WHERE o_orderkey % 5 = 0"""
+       'r' AS reason, {_utc_epoch(ORDERED)} AS created, CASE WHEN o_orderkey % 5 = 0 THEN 'N' ELSE 'Y' END AS deleted
+FROM {{orders}}"""
 
 VIEWS["cheques"] = """
 SELECT l_orderkey AS loan_id, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_partkey END AS cheque_no,
@@ -304,7 +325,7 @@ SELECT l_orderkey AS loan_id, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_partke
 FROM {lineitem}"""
 
 VIEWS["bank_accounts"] = f"""
-SELECT 100000 + o_custkey % 900 AS uid, 'name' AS account_name, 'AC' || lpad(CAST(o_orderkey AS VARCHAR(12)), 10, '0') AS account_number,
+SELECT 100000 + {_person("o_custkey", 40)} AS uid, 'name' AS account_name, 'AC' || lpad(CAST(o_orderkey AS VARCHAR(12)), 10, '0') AS account_number,
        lower(o_orderpriority) AS account_ifsc_number,
        CASE o_orderkey % 4 WHEN 0 THEN '10' WHEN 1 THEN 'Current' WHEN 2 THEN 'saving' ELSE 'odd' END AS account_type,
        'branch' AS branch_add, o_orderpriority AS bank_name, 'm' AS micr_number,
@@ -369,8 +390,8 @@ SELECT s_suppkey AS id, CASE s_suppkey % 3 WHEN 0 THEN 'BUILDING' WHEN 1 THEN 'f
        CAST(100000 + s_suppkey AS VARCHAR(20)) AS assigned_to, 'BORROWER_RM_ASSIGNED' AS action_type, 'N' AS deleted FROM {supplier}"""
 
 VIEWS["bureau_ignore"] = """
-SELECT o_custkey AS loan_id, CASE WHEN o_orderkey % 2 = 0 THEN 'why' END AS remark, CASE WHEN o_orderkey % 4 = 1 THEN 'Y' ELSE 'N' END AS deleted
-FROM {orders} WHERE o_custkey % 11 = 0"""
+SELECT o_custkey AS loan_id, CASE WHEN o_orderkey % 2 = 0 THEN 'why' END AS remark, CASE WHEN o_custkey % 11 <> 0 OR o_orderkey % 4 = 1 THEN 'Y' ELSE 'N' END AS deleted
+FROM {orders}"""
 
 VIEWS["mandate_ledger"] = f"""
 SELECT o_custkey AS loan_id, 'REF' || lpad(CAST(o_orderkey AS VARCHAR(12)), 10, '0') AS unique_reference_no,
@@ -378,28 +399,28 @@ SELECT o_custkey AS loan_id, 'REF' || lpad(CAST(o_orderkey AS VARCHAR(12)), 10,
        CASE WHEN l_linenumber = 6 THEN 'Y' ELSE 'N' END AS deleted
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey"""
 
-VIEWS["prospects"] = """
+VIEWS["prospects"] = f"""
 SELECT o_orderkey AS los_app_id, 'app' AS applicant_name, DATE '1990-01-01' AS user_dob, 30 AS user_age,
-       CASE WHEN o_orderkey % 6 = 0 THEN '' WHEN o_orderkey % 6 = 1 THEN NULL ELSE 'ABCDE' || lpad(CAST(o_custkey % 700 AS VARCHAR(10)), 4, '0') || 'K' END AS pan,
-       CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE '8' || lpad(CAST(o_custkey % 300 AS VARCHAR(10)), 9, '0') END AS mobile,
+       CASE WHEN o_orderkey % 6 = 0 THEN '' WHEN o_orderkey % 6 = 1 THEN NULL ELSE {_national_id("o_custkey", 40)} END AS pan,
+       CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE {_phone("o_custkey", 50)} END AS mobile,
        DATE '2023-01-01' AS user_date, 1 AS user_vintage, 1 AS user_pin, 'w' AS registration_type, 'e' AS employement_type, 's' AS employment_sub_type,
        DATE '2023-01-01' AS score_date, 700 AS bureau_score, 'd' AS score_description, DATE '2023-01-01' AS cs_score_date, 1 AS cs_score, 1 AS propensity
-FROM {orders}"""
+FROM {{orders}}"""
 
 VIEWS["campaign_runs"] = f"""
-SELECT o_orderkey AS los_app_id, CASE WHEN o_orderkey % 50 = 0 THEN 'bad' ELSE CAST({ORDERED} AS VARCHAR(10)) END AS campaign_date
-FROM {{orders}} WHERE o_orderkey % 2 = 0"""
+SELECT o_orderkey AS los_app_id, CASE WHEN o_orderkey % 50 = 0 OR o_orderkey % 2 = 1 THEN 'bad' ELSE CAST({ORDERED} AS VARCHAR(10)) END AS campaign_date
+FROM {{orders}}"""
 
 VIEWS["campaign_performance"] = f"""
 SELECT l_linenumber AS id, CAST(l_orderkey AS VARCHAR(20)) AS los_app_id, {_utc_epoch(SHIP, '10800')} AS campaign_date,
-       CASE WHEN l_linestatus = 'O' THEN 'N' ELSE 'Y' END AS deleted
-FROM {{lineitem}} WHERE l_orderkey % 3 = 0"""
+       CASE WHEN l_linestatus = 'O' AND l_orderkey % 3 = 0 THEN 'N' ELSE 'Y' END AS deleted
+FROM {{lineitem}}"""
 
 # Stands for the lead mart where another mart reads it.
 VIEWS["leads"] = f"""
 SELECT c_custkey AS loan_id, {UID} AS user_id, {REGISTERED} AS loan_registered_date, 'Live' AS loan_currentstate,
-       c_name AS user_name, 'm' AS user_mobile, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE '8' || lpad(CAST(c_custkey % 300 AS VARCHAR(10)), 9, '0') END AS bor_mobile,
-       CASE WHEN c_custkey % 9 = 0 THEN '' WHEN c_custkey % 9 = 1 THEN NULL ELSE 'ABCDE' || lpad(CAST(c_custkey % 500 AS VARCHAR(10)), 4, '0') || 'K' END AS user_pan,
+       c_name AS user_name, 'm' AS user_mobile, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE {_phone("c_custkey", 50)} END AS bor_mobile,
+       CASE WHEN c_custkey % 9 = 0 THEN '' WHEN c_custkey % 9 = 1 THEN NULL ELSE {_national_id("c_custkey", 40)} END AS user_pan,
        DATE '1980-01-01' AS user_dob, CAST(20 + c_custkey % 45 AS INT) AS age_loanregister, CAST(21 + c_custkey % 45 AS INT) AS age_current,
        CAST(c_nationkey AS INT) AS user_pin, 'city' AS user_city, 'fcity' AS user_final_city, 'dist' AS user_district, 'st' AS user_state,
        'z' AS user_zone, 'fst' AS user_final_state, CASE c_custkey % 5 WHEN 0 THEN 'IMB' WHEN 1 THEN 'web' END AS source,
