@@ -20,16 +20,20 @@ import json
 import re
 import struct
 import unicodedata
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 40
+REMEMBERED, LONGEST_REMEMBERED = 200_000, 40
+SLICE_BYTES = 1 << 21
 ID_BITS, PLACE_BITS = 24, 40
 PLACE_MASK = (1 << PLACE_BITS) - 1
 # White space of the Unicode standard; str.split() also splits at U+001C to U+001F.
@@ -157,7 +161,7 @@ def codec_of(spec: str) -> Codec:
 
 
 def vocabulary(spark: SparkSession, path: str) -> Broadcast:
-    """The vocabulary file, for ``encoded`` and ``decoded``."""
+    """The vocabulary file, for the workers."""
     with open(path, encoding="utf-8") as f:
         return spark.sparkContext.broadcast(f.read())
 
@@ -171,30 +175,39 @@ def encoded(text: Column, spec: Broadcast) -> Column:
     return encode(text)
 
 
-def decoded(ids: Column, spec: Broadcast) -> Column:
-    """The text that the ids stand for, special tokens included."""
-    @F.pandas_udf("string")
-    def decode(lists: pd.Series) -> pd.Series:
-        codec = codec_of(spec.value)
-        return pd.Series([None if x is None else codec.decode(x.tolist()) for x in lists])
-    return decode(ids)
-
-
-def ids_digest(ids: Column) -> Column:
-    """SHA-256 of the ids as little-endian unsigned 32-bit integers, in lower-case hex digits."""
-    @F.pandas_udf("binary")
-    def packed(lists: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None else x.astype("<i4").tobytes() for x in lists])
-    return F.sha2(packed(ids), 256)
-
-
 def encode_documents(docs: DataFrame, path: str, ids: str = "token_ids", text: str = "text") -> DataFrame:
     """``docs`` with their ids as one more column."""
     return docs.withColumn(ids, encoded(F.col(text), vocabulary(docs.sparkSession, path)))
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, token_ids, decoded`` of every row."""
+def round_trip(docs: DataFrame, path: str, packed: bool = False) -> DataFrame:
+    """``doc_id, token_ids, decoded`` of every row; ``decoded`` is made from the ids, special tokens included.
+
+    ``token_ids`` is an array of numbers or, ``packed``, their little-endian unsigned 32-bit form.  Results leave the worker
+    some megabytes at a time.
+    """
     spec = vocabulary(docs.sparkSession, path)
-    coded = docs.select("doc_id", encoded(F.col("text"), spec).alias("token_ids"))
-    return coded.select("doc_id", "token_ids", decoded(F.col("token_ids"), spec).alias("decoded"))
+    kind = pa.binary() if packed else pa.list_(pa.int32())
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of(spec.value)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                encoded = [codec.encode(t.as_py()) for t in part.column("text")]
+                texts = [codec.decode(np.frombuffer(e, "<u4").tolist()) for e in encoded]
+                ids = pa.array(encoded, pa.binary()) if packed else pa.ListArray.from_arrays(
+                    np.cumsum([0, *(len(e) // 4 for e in encoded)]).astype(np.int32), np.frombuffer(b"".join(encoded), "<i4"))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids.cast(kind), pa.array(texts, pa.string())], ["doc_id", "token_ids", "decoded"])
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(
+        coded, f"doc_id {id_type}, token_ids {'binary' if packed else 'array<int>'}, decoded string")
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of about ``most`` bytes of text, at least one row each."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    groups = np.cumsum(sizes, dtype=np.int64) // most
+    cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(batch)] if len(batch) else [0]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)

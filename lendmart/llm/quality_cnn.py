@@ -17,6 +17,7 @@ empty table gives an empty result; the input's columns stay, and the caller name
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHUNK, WIDTH, STRIDE, VECTOR, FILTERS = 16384, 12, 3, 6, 24
+CHUNK, WIDTH, STRIDE, VECTOR, FILTERS = 15000, 12, 3, 6, 24  # the chunk is a multiple of the stride
 LAGS, WINDOW = (2, 24), 16  # the window is a power of two
 SAMPLE, SAMPLE_BYTES, ROUNDS, BATCH, RATE, DECAY = 3000, 65536, 12, 32, 0.01, 1e-4
 
@@ -52,32 +53,31 @@ def loops(b: np.ndarray) -> np.ndarray:
     return best.astype(np.float32) / WINDOW
 
 
-def windows(net: Network, b: np.ndarray) -> np.ndarray:
+def chunks(text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Overlapping chunks that cover the whole text: bytes and their loop channel, the same as in the whole text."""
+    b = np.frombuffer((text or "").encode(), np.uint8)
+    if 0 < len(b) < WIDTH:
+        b = np.pad(b, (0, WIDTH - len(b)), constant_values=32)
+    for at in range(0, len(b) - WIDTH + 1, CHUNK):
+        # The last place of a chunk still sees WIDTH bytes; loops look LAGS back and WINDOW ahead.
+        end, left = min(len(b), at + CHUNK - STRIDE + WIDTH), max(0, at - LAGS[1])
+        yield b[at:end], loops(b[left:end + WINDOW])[at - left:end - left]
+
+
+def windows(net: Network, b: np.ndarray, channel: np.ndarray) -> np.ndarray:
     """The input of the filters at every ``STRIDE``-th place: rows of ``WIDTH`` places, vector and loop channel each."""
     x = np.empty((len(b), VECTOR + 1), np.float32)
     x[:, :VECTOR] = net.vectors[b]
-    x[:, VECTOR] = loops(b)
+    x[:, VECTOR] = channel
     flat = np.lib.stride_tricks.sliding_window_view(x.reshape(-1), WIDTH * (VECTOR + 1))
     return flat[::STRIDE * (VECTOR + 1)]
 
 
-def chunks(text: str | None):
-    """Overlapping byte chunks of the whole text; short ones are padded."""
-    b = np.frombuffer((text or "").encode(), np.uint8)
-    overlap = WIDTH + WINDOW + LAGS[1]
-    overlap += -overlap % STRIDE
-    step = CHUNK - overlap
-    step -= step % STRIDE
-    for at in range(0, max(len(b) - overlap, 1) if len(b) else 0, step):
-        piece = b[at:at + CHUNK]
-        yield piece if len(piece) >= WIDTH + WINDOW else np.pad(piece, (0, WIDTH + WINDOW - len(piece)), constant_values=32)
-
-
 def responses(net: Network, text: str | None) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
     """Each filter's largest response (0 at least), the window that gave it, and its bytes."""
     best, where, raw = np.zeros(FILTERS, np.float32), np.zeros((FILTERS, WIDTH * (VECTOR + 1)), np.float32), np.zeros((FILTERS, WIDTH), np.uint8)
-    for b in chunks(text):
-        w = windows(net, b)
+    for b, channel in chunks(text):
+        w = windows(net, b, channel)
         out = w @ net.filters
         at = out.argmax(axis=0)
         top = out[at, np.arange(FILTERS)] + net.offsets
@@ -88,8 +88,8 @@ def responses(net: Network, text: str | None) -> tuple[np.ndarray, np.ndarray |
 
 def probability(net: Network, text: str | None) -> float:
     best = np.zeros(FILTERS, np.float32)
-    for b in chunks(text):
-        np.maximum(best, (windows(net, b) @ net.filters).max(axis=0) + net.offsets, out=best)
+    for b, channel in chunks(text):
+        np.maximum(best, (windows(net, b, channel) @ net.filters).max(axis=0) + net.offsets, out=best)
     return float(1 / (1 + np.exp(-np.clip(best @ net.weights + net.bias, -30, 30))))
 
 

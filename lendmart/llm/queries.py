@@ -65,9 +65,9 @@ def licenses_query(spark, sf_dir):
 
 @query("op5_bpe")
 def bpe_query(spark, sf_dir):
-    coded = bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path())
-    return coded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
-                        bpe.ids_digest(F.col("token_ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path(), packed=True)
+    return coded.select("doc_id", F.expr("octet_length(token_ids) div 4").cast("long").alias("n_tokens"),
+                        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query("op6_packing")

@@ -71,3 +71,68 @@ def language_model(rows):
     out = [(len(ws), sum(single[w] > 0 for w in ws), sum(math.log10((single[w] + 1) / (n + size + 1)) for w in ws),
             sum(math.log10(p(v, w)) for v, w in zip(["<s>", *ws], ws))) for ws in tokens]
     return out, p, n, set(single)
+
+
+BLANK = r"[^\x20\x09-\x0D]+"
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def rules(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    text = text or ""
+    words = re.findall(BLANK, text)
+    windows = Counter(tuple(words[i:i + 5]) for i in range(len(words) - 4))
+    covered = {k for i in range(len(words) - 4) if windows[tuple(words[i:i + 5])] > 1 for k in range(i, i + 5)}
+    lines = [x for x in text.split("\n") if re.search(BLANK, x)]
+    n = len(words)
+    return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered),
+            n < 10 or 100 * len(covered) > 20 * n)
+
+
+def simhash(text, xxh64):
+    words = re.findall(BLANK, lower(text))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or [" ".join(words)]
+    hashes = [xxh64(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(prints, radius=3):
+    """Smallest id reachable for each ``(id, fingerprint)``."""
+    root = list(range(len(prints)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, (_, a) in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j][1]).bit_count() <= radius:
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(prints):
+        least[find(i)] = min(d, least.get(find(i), d))
+    return [least[find(i)] for i in range(len(prints))]
+
+
+def best_fit_decreasing(lengths, row):
+    room = []
+    out = []
+    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        fits = [(r, k) for k, r in enumerate(room) if r >= lengths[i]]
+        if fits:
+            least = min(fits)[0]
+            k = [k for r, k in fits if r == least][-1]
+        else:
+            k = len(room)
+            room.append(row)
+            out.append([])
+        room[k] -= lengths[i]
+        out[k].append(i)
+    return sorted(room), out

@@ -1,0 +1,388 @@
+"""Operators against plain versions, and their defined results for odd rows, empty tables and clashing columns."""
+
+import collections
+import hashlib
+import math
+import random
+import zlib
+
+import brute
+import numpy as np
+import pytest
+import xxhash
+from conftest import CLASHING, EDGE
+from pyspark.sql import functions as F
+
+from lendmart.llm import bpe, exact_dedup, licenses, mixing, ngram_lm, packing, pii, quality_cnn, quality_rules, queries, simhash
+
+SF = "/root/testdata/sf0.001"
+
+
+def rows_of(df):
+    return collections.Counter(tuple(r) for r in df.collect())
+
+
+def inputs(edge, clashing, nothing):
+    return edge, clashing, nothing
+
+
+# ---- personal data
+
+def test_pii_base(spark, texts):
+    for r in queries.QUERIES["op1_pii"](spark, SF).collect():
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) == brute.pii_row(texts[r.doc_id])
+
+
+@pytest.mark.parametrize("text", [
+    "a@b.c_d@e.f x@y..z foo@bar@baz.com", "1.2.3.4.5.6.7 00255.0.0.0 256.1.1.1 0.00.000.0", "4111-1111-1111-1111 41111111111111112",
+    "+1 (415) 555-2671 +1+2 +123456789012345678", "9" * 30000, "a" * 30000 + "@" + "b." * 9000, "é😀 a@b.co 😀 1.1.1.1", "1.1." * 9000 + "1 9"])
+def test_pii_odd_texts(spark, text):
+    found = pii.find_spans(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().pii
+    assert [(s.start, s.rank, s.kind, s.end) for s in found if s.rank < 4] == brute.pii(text)
+    assert all(text[s.start:s.end] == s.text for s in found)
+
+
+def test_pii_method(spark):
+    texts = ["my bank iban is GB82 WEST 1234 5698 7654 32", "iban GB82 WEST 1234 5698 7654 33", "my ssn: 123-45-6789", "order 123-45-6789", "ssn 000-45-6789"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: [s.kind for s in r.pii] for r in pii.find_spans(df).collect()}
+    assert got == {0: ["iban"], 1: [], 2: ["ssn"], 3: [], 4: []}
+
+
+def test_pii_edges(edge, clashing, nothing):
+    kinds = {r.doc_id: [s.kind for s in r.found] for r in pii.find_spans(edge, "found").collect()}
+    assert kinds[1] == kinds[2] == [] and kinds[8] == ["email", "phone"] and kinds[11] == ["card", "ip"]
+    assert pii.find_spans(clashing, "found").where("m = 'own'").count() == len(EDGE) and pii.find_spans(nothing).count() == 0
+
+
+# ---- exact duplicates
+
+def plain_groups(rows):
+    groups = collections.defaultdict(list)
+    for d, t in rows:
+        groups[brute.lower(t)].append(d)
+    return groups
+
+
+def test_exact_edges(edge, clashing, nothing):
+    groups = plain_groups([(r[0], r[1]) for r in EDGE])
+    want = collections.Counter()
+    for t, ids in groups.items():
+        keep = max((d for d in ids if d is not None), default=None)
+        for d in ids:
+            want[d, keep, len(ids), d == keep, hashlib.sha256(t.encode()).hexdigest()] += 1
+    for df in (edge, clashing):
+        assert rows_of(exact_dedup.exact_duplicates(df)) == want
+    assert exact_dedup.exact_duplicates(nothing).count() == 0 and exact_dedup.drop_duplicates(nothing).count() == 0
+    kept = exact_dedup.drop_duplicates(clashing)
+    assert kept.columns == clashing.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(max((d for d in ids if d is not None), default=None)) for ids in groups.values())
+
+
+def test_exact_without_repeats(docs, texts):
+    want = sorted(max(ids) for ids in plain_groups(texts.items()).values())
+    assert sorted(r.doc_id for r in exact_dedup.drop_duplicates(docs).select("doc_id").collect()) == want
+
+
+def test_exact_small_chunks_and_collisions(docs, texts):
+    """A scheme that collides is found out and replaced; chunks of any size join to the text."""
+    weak = lambda c: F.crc32(c.cast("binary")) % 4
+    got = exact_dedup.exact_duplicates(docs, schemes=[weak, exact_dedup.wide_hash(5)], least=16, most=64)
+    groups = plain_groups(texts.items())
+    assert rows_of(got.select("doc_id", "keep_id", "group_size")) == collections.Counter(
+        (d, max(ids), len(ids)) for ids in groups.values() for d in ids)
+    with pytest.raises(ValueError):
+        exact_dedup.exact_duplicates(docs, schemes=[weak])
+    joined = docs.select(F.array_join(exact_dedup.chunks_of(F.col("text"), 16, 64), "").alias("a"), "text")
+    assert joined.where("a <> text").count() == 0
+
+
+# ---- language model
+
+@pytest.mark.parametrize("block, shard", [(ngram_lm.BLOCK_TOKENS, ngram_lm.SHARD_TOKENS), (700, 5000)])
+def test_lm(docs, texts, block, shard):
+    train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2
+    got = {r.doc_id: r for r in ngram_lm.score_documents(docs, train, block, shard).collect()}
+    ids = sorted(texts)
+    want, p, total, vocabulary = brute.language_model([(texts[d], zlib.crc32(str(d).encode()) % 7 != 2) for d in ids])
+    for d, (n, known, base, score) in zip(ids, want):
+        r = got[d]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9) and math.isclose(r.score, score, rel_tol=1e-9)
+    assert math.isclose(sum(p("the", w) for w in vocabulary) + p("the", "never seen"), 1)
+
+
+def test_lm_edges(edge, clashing, nothing):
+    for df in (edge, clashing):
+        got = ngram_lm.score_documents(df, F.col("doc_id") != 9, 50, 200).collect()
+        assert len(got) == len(EDGE) and {r.doc_id: r.n_tokens for r in got}[1] == 1
+        assert {r.doc_id: r.n_tokens for r in got}[9] == 41 and sum(r.doc_id == 15 for r in got) == 2
+        assert all(r.score < 0 and r.base_score < 0 for r in got)
+    assert ngram_lm.score_documents(nothing, F.lit(True)).count() == 0
+    untrained = ngram_lm.score_documents(edge, F.lit(False)).collect()
+    assert all(r.train_tokens == 0 and r.n_known == 0 for r in untrained)
+
+
+# ---- licences
+
+def test_licenses(spark, edge, clashing, nothing):
+    whole = licenses.WHOLE["MIT"]
+    texts = ["Prose of the day. Licensed under the Apache License, Version 2.0. More of the prose.", whole.replace("sublicense", "sell").upper(),
+             "Licensed under the license of the day", "This work is licensed under the GNU General Public License, version 3.",
+             "Released under the\n MIT License. " * 3, "lorem " * 500 + whole + " ipsum" * 500, "Licensed under CC BY-NC 4.0."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = collections.defaultdict(list)
+    for r in licenses.scan_documents(df).collect():
+        got[r.doc_id].append(r.license)
+    assert got == {0: ["Apache-2.0"], 1: ["MIT"], 3: ["GPL-3.0"], 4: ["MIT"] * 3, 5: ["MIT"], 6: ["CC-BY-NC-4.0"]}
+    for table in (edge, clashing):
+        assert [(r.doc_id, r.license, r.dice, r.first_word) for r in licenses.scan_documents(table).collect()] == [(13, "MIT", 1.0, 0)]
+    assert licenses.scan_documents(nothing).count() == 0
+
+
+def test_license_pruning():
+    """Bounds drop nothing: every run of words is tried."""
+    random.seed(4)
+    known = licenses.Templates([("a", "one two three four five six"), ("b", "two three two three nine")], 0.6)
+    for _ in range(60):
+        words = random.choices("one two three four five six nine ten".split(), k=30)
+        grams = list(zip(words, words[1:]))
+        best = max((2 * sum((collections.Counter(grams[i:j]) & collections.Counter(dict(zip([tuple(x.decode() for x in g) for g in b], b.values())))).values()) / (j - i + n), -i)
+                   for b, n in zip(known.bigrams, known.sizes) for i in range(len(grams)) for j in range(i + 1, len(grams) + 1))
+        got = known.scan(" ".join(words))
+        assert bool(got) == (best[0] >= 0.6) and (not got or math.isclose(max(p["dice"] for p in got), best[0]))
+
+
+# ---- byte pairs
+
+def test_bpe_like_the_library(tokenizer, texts):
+    tokenizers = pytest.importorskip("tokenizers")
+    other = tokenizers.Tokenizer.from_file(tokenizer)
+    other.no_truncation()
+    other.no_padding()
+    own = bpe.Codec(open(tokenizer).read())
+    odd = [r[1] or "" for r in EDGE] + ["a\x1cb", "a b\xa0c", "é å", "İstanbul", "​zero", "ǅ ﬁ Ⅷ ½",
+           "<|endoftext|", "don't they'LL", "x" * 3000, "İΣ ΣΣ"]
+    for t in [*texts.values(), *odd]:
+        want = other.encode(t, add_special_tokens=False).ids
+        ids = np.frombuffer(own.encode(t), "<u4").tolist()
+        assert ids == want and own.decode(ids) == other.decode(want, skip_special_tokens=False)
+
+
+def test_bpe_query(spark, tokenizer, texts):
+    own = bpe.Codec(open(tokenizer).read())
+    for r in queries.QUERIES["op5_bpe"](spark, SF).collect():
+        packed = own.encode(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(packed) // 4, hashlib.sha256(packed).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(own.decode(np.frombuffer(packed, "<u4").tolist()).encode()).hexdigest()
+
+
+def test_bpe_edges(tokenizer, edge, clashing, nothing):
+    for df in (edge, clashing):
+        got = bpe.round_trip(df, tokenizer).collect()
+        assert len(got) == len(EDGE) and all((r.token_ids, r.decoded) == ([], "") for r in got if r.doc_id in (1, 2, 3))
+    assert bpe.encode_documents(clashing, tokenizer).columns == [*clashing.columns, "token_ids"]
+    assert bpe.round_trip(nothing, tokenizer).count() == 0
+
+
+# ---- packing
+
+def test_best_fit_decreasing():
+    random.seed(3)
+    for _ in range(40):
+        row = random.choice([8, 31, 64])
+        lengths = [random.randint(1, row) for _ in range(random.randint(0, 120))]
+        got = packing.best_fit_decreasing(lengths, row)
+        assert sorted(i for r in got for i in r) == list(range(len(lengths)))
+        room = sorted(row - sum(lengths[i] for i in r) for r in got)
+        assert room == brute.best_fit_decreasing(lengths, row)[0] and min(room, default=0) >= 0
+
+
+@pytest.mark.parametrize("row, group", [(64, 500), (2048, packing.GROUP_TOKENS)])
+def test_packing_is_lossless(tokenizer, edge, clashing, nothing, row, group):
+    own = bpe.Codec(open(tokenizer).read())
+    for df in (edge, clashing):
+        found, seen = collections.defaultdict(dict), set()
+        for r in packing.pack_documents(df, tokenizer, row, group).collect():
+            ids, positions = np.frombuffer(r.token_ids, "<u2"), np.frombuffer(r.position_ids, "<u2")
+            assert len(ids) == len(positions) == row and r.cu_seqlens[0] == 0 and r.pack_id not in seen
+            seen.add(r.pack_id)
+            for doc, piece, a, b in zip(r.doc_ids, r.pieces, r.cu_seqlens, r.cu_seqlens[1:]):
+                assert positions[a:b].tolist() == list(range(b - a))
+                found[doc].setdefault(piece, []).append(ids[a:b])
+        for doc, text, *_ in EDGE:
+            ids = np.concatenate([found[doc][k][0] for k in sorted(found[doc])])
+            assert ids.tolist() == np.frombuffer(own.encode(text), "<u4").tolist() + [own.special[packing.END]]
+    assert packing.pack_documents(nothing, tokenizer).count() == 0
+
+
+# ---- mixing
+
+@pytest.mark.parametrize("options", [{}, {"limit": 1.2}, {"entropy": 2.99}, {"budget": 2000.0}])
+def test_mixing_budgets(docs, texts, options):
+    plan = {r.source: r for r in mixing.mixing_plan(docs, **options).collect()}
+    tokens, source = collections.Counter(), {r.doc_id: r.source for r in docs.select("doc_id", "source").collect()}
+    for d, t in texts.items():
+        tokens[source[d]] += len((t or "").encode().split())
+    assert {s: r.source_tokens for s, r in plan.items()} == dict(tokens)
+    assert math.isclose(sum(r.weight for r in plan.values()), 1)
+    read, times = collections.Counter(), collections.Counter()
+    for r in mixing.mix(docs, **options).select("doc_id", "source", "mix.position").collect():
+        read[r.source] += len((texts[r.doc_id] or "").encode().split())
+        times[r.doc_id] += 1
+        assert 0 <= r.position <= 1.001
+    largest = {s: max(len((texts[d] or "").encode().split()) for d in texts if source[d] == s) for s in plan}
+    assert all(abs(read[s] - r.budget) <= largest[s] * 3 for s, r in plan.items())
+    passes = [r.passes for r in plan.values()]
+    if "budget" not in options:
+        assert set(times) == set(texts) and math.isclose(min(passes), 1, abs_tol=1e-6)
+    if "entropy" in options:
+        assert -sum(r.weight * math.log(r.weight) for r in plan.values()) >= 2.99 - 1e-6
+    elif "budget" not in options:
+        assert max(passes) / min(passes) <= options.get("limit", mixing.REPETITION_LIMIT) + 1e-6
+
+
+def test_mixing_edges(edge, clashing, nothing):
+    for df in (edge, clashing):
+        mixed = mixing.mix(df, into="__mix")
+        assert mixed.columns == [*df.columns, "__mix"] and {r.doc_id for r in mixed.collect()} == {r[0] for r in EDGE}
+    assert mixing.mix(nothing).count() == 0
+    same = lambda df: rows_of(df.select("doc_id", "mix.epoch", "mix.block", "mix.position"))
+    assert same(mixing.mix(edge)) == same(mixing.mix(edge.coalesce(1)))
+    blank = edge.where("doc_id IN (1, 2, 3)")
+    assert mixing.mix(blank).count() == 3
+
+
+# ---- quality classifier
+
+def test_classifier_learns(spark):
+    rows = queries.QUERIES["op8_quality_cnn"](spark, "/root/testdata/sf0.01").collect()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    assert len(rows) == 1000 and all(0 <= r.score <= 1 and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    good, bad = [p for p, y in held if y], [p for p, y in held if not y]
+    assert sum(good) / len(good) > 0.97 and sum(bad) / len(bad) < 0.3
+
+
+def test_classifier_covers_whole_texts():
+    net = quality_cnn.fit(["clean words and more of them " * 5, "junk*** words&&& and$$$ more### " * 5] * 20, [1, 0] * 20, rounds=8)
+    prose = "clean words and more of them " * 4000
+    assert quality_cnn.probability(net, prose) > 0.5 > quality_cnn.probability(net, prose + "junk*** words&&& and$$$ more### " * 3)
+    whole = np.frombuffer(prose.encode(), np.uint8)
+    whole = quality_cnn.windows(net, whole, quality_cnn.loops(whole)) @ net.filters
+    assert np.allclose(np.maximum(whole.max(axis=0) + net.offsets, 0), quality_cnn.responses(net, prose)[0], atol=1e-5)
+
+
+def test_classifier_gradient():
+    """The slopes that fitting uses agree with differences of the loss."""
+    texts, y = ["abc abc def " * 4, "zz** zz** q&& " * 4], np.array([1.0, 0.0])
+    net = quality_cnn.fit(texts, [1, 0], rounds=1)
+    best, where, _ = quality_cnn.responses(net, texts[0])
+    p = quality_cnn.probability(net, texts[0])
+    f = int(np.argmax(best * (net.weights != 0)))
+    slope = (p - 1) * net.weights[f] * where[f]
+    k = int(np.argmax(np.abs(slope)))
+    step = 1e-3
+    losses = []
+    for sign in (1, -1):
+        net.filters[k, f] += sign * step
+        losses.append(-math.log(quality_cnn.probability(net, texts[0])))
+        net.filters[k, f] -= sign * step
+    assert math.isclose((losses[0] - losses[1]) / (2 * step), slope[k], rel_tol=0.05, abs_tol=1e-4)
+
+
+def test_classifier_edges(edge, clashing, nothing, spark):
+    none = quality_cnn.fit_labelled(nothing, spark.createDataFrame([], "doc_id long, quality int"))
+    one = quality_cnn.fit_labelled(edge, spark.createDataFrame([(5, 1), (6, 1), (7, 0), (7, 1), (8, None)], "doc_id long, quality int"))
+    for df in (edge, clashing):
+        assert all(r.p == 0.5 for r in quality_cnn.score_documents(df, none, "p").collect())
+        assert all(r.p > 0.9 for r in quality_cnn.score_documents(df, one, "p").collect())
+    assert quality_cnn.score_documents(nothing, one).count() == 0
+
+
+# ---- quality rules
+
+def test_rules_measures(spark, texts):
+    for r in queries.QUERIES["op9_quality_rules"](spark, SF).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute.rules(texts[r.doc_id])
+        assert r.kept == (not r.base_failed and not r.host_rejected)
+
+
+def test_repeated_words_any_window():
+    random.seed(5)
+    for _ in range(300):
+        words = random.choices([b"a", b"b", b"c"], k=random.randint(0, 60))
+        w = random.randint(2, 9)
+        counts = collections.Counter(tuple(words[i:i + w]) for i in range(len(words) - w + 1))
+        want = {k for i in range(len(words) - w + 1) if counts[tuple(words[i:i + w])] > 1 for k in range(i, i + w)}
+        assert quality_rules.repeated_words(words, w) == len(want)
+
+
+def test_rules_host_verdicts(spark):
+    """A host of junk is rejected with its clean page; shrinkage spares a host with one bad document."""
+    clean = "these are ten clean words of prose for the test number {}"
+    rows = [(i, clean.format(i), f"h{i % 20}") for i in range(400)]
+    rows += [(1000 + i, "spam " * 50, "junk") for i in range(60)] + [(2000, clean.format("x"), "junk"), (2001, "short", "tiny"), (2002, clean.format("y"), None)]
+    judged = {r.doc_id: r.quality for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert not judged[2000].base_failed and judged[2000].host_rejected and not judged[2000].kept
+    assert not judged[2001].host_rejected and judged[2002].kept and all(judged[i].kept for i in range(400))
+
+
+def test_rules_edges(edge, clashing, nothing):
+    for df in (edge, clashing):
+        judged = quality_rules.judge(df, into="verdict")
+        assert judged.columns == [*df.columns, "verdict"]
+        got = {r.doc_id: r.verdict for r in judged.collect()}
+        for d, t, *_ in EDGE:
+            assert tuple(got[d])[:6] == brute.rules(t)
+        assert quality_rules.keep_good(df).columns == df.columns
+    assert quality_rules.judge(nothing).count() == 0
+
+
+# ---- SimHash
+
+def test_simhash(spark, texts):
+    rows = queries.QUERIES["op10_simhash"](spark, SF).collect()
+    prints = [(d, brute.simhash(t, xxhash.xxh64_intdigest)) for d, t in sorted(texts.items())]
+    want = {d: (f"{f:016x}", c) for (d, f), c in zip(prints, brute.components(prints))}
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in rows} == want
+
+
+@pytest.mark.parametrize("radius", [1, 2, 3, 4])
+def test_covering_hides_every_difference(radius):
+    masks = simhash.covering(simhash.ALL_BITS, radius)
+    random.seed(radius)
+    for _ in range(3000):
+        difference = sum(1 << b for b in random.sample(range(64), radius))
+        assert any(not difference & m for m in masks)
+
+
+@pytest.mark.parametrize("bucket", [2, 8, simhash.BUCKET])
+def test_simhash_crowded_buckets(spark, bucket):
+    """Chains, balls around a centre and loose fingerprints; crowded buckets are split, no link is lost."""
+    random.seed(bucket)
+    flip = lambda f, k: f ^ sum(1 << b for b in random.sample(range(64), k))
+    centre, chain = random.getrandbits(64), [random.getrandbits(64)]
+    for _ in range(40):
+        chain.append(flip(chain[-1], 3))
+    prints = [*chain, *(flip(centre, random.randint(0, 5)) for _ in range(150)), *(random.getrandbits(64) for _ in range(100))]
+    prints = list(dict.fromkeys(prints))
+    df = spark.createDataFrame([(simhash.signed(f),) for f in prints], "f long")
+    from lendmart.llm.components import component_labels
+    links = simhash.near_links(df, bucket=bucket)
+    got = {r.node: r.label for r in component_labels(links).collect()}
+    groups = lambda labels: {frozenset(i for i, x in enumerate(labels) if x == y) for y in set(labels)}
+    assert groups([got.get(simhash.signed(f), simhash.signed(f)) for f in prints]) == groups(brute.components(list(enumerate(prints))))
+    assert links.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) > 3).count() == 0
+
+
+def test_simhash_edges(edge, clashing, nothing):
+    prints = [(10**6 if r[0] is None else r[0], brute.simhash(r[1], xxhash.xxh64_intdigest)) for r in EDGE]
+    want = collections.Counter((r[0], None if r[0] is None and c == 10**6 else c) for r, c in zip(EDGE, brute.components(prints)))
+    for df in (edge, clashing):
+        assert rows_of(simhash.simhash_groups(df).select("doc_id", "component_id")) == want
+        kept = simhash.keep_one(df)
+        assert kept.columns == df.columns
+        ids = [r.doc_id for r in kept.collect()]
+        assert len(ids) == len(set(ids)) and set(ids) == {c for (_, c) in want} | {None}
+    assert simhash.simhash_groups(nothing).count() == 0 and simhash.keep_one(nothing).count() == 0
