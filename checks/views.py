@@ -73,15 +73,18 @@ VIEWS["inst"] = f"""
               - CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2))
               AS DECIMAL(18,2)) AS principal,
          CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS interest,
-         l_linenumber AS line
+         l_linenumber AS line, CAST(l_orderkey AS VARCHAR(20)) || '-' || CAST(l_linenumber AS VARCHAR(2)) || '-' || CAST(l_partkey AS VARCHAR(20))
+           || '-' || CAST(l_suppkey AS VARCHAR(20)) || '-' || CAST({SHIP} AS VARCHAR(10)) || '-' || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR(20)) AS row_id
   FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey"""
 
-VIEWS["raw_installments"] = f"""
-SELECT loan_id, lender AS uid_l, {_local_epoch('due', 'line * 3600')} AS due_date,
+# Source rows repeat: the second line of every order comes twice.
+_RAW = f"""
+SELECT row_id AS id, loan_id, lender AS uid_l, {_local_epoch('due', 'line * 3600')} AS due_date,
        {_local_epoch('created')} AS created, {_local_epoch('updated', '86399')} AS udated,
        amount, principal, interest, state AS emi_state,
        CASE WHEN line = 7 AND lender % 13 = 0 THEN 'Y' ELSE 'N' END AS deleted
 FROM inst"""
+VIEWS["raw_installments"] = f"{_RAW} UNION ALL {_RAW} WHERE line = 2"
 
 # The installments a mart sees: those not soft-deleted.
 VIEWS["live_inst"] = "SELECT * FROM inst WHERE NOT (line = 7 AND lender % 13 = 0)"

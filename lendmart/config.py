@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 
+# Identifiers, dates and labels of the marts' specification.
 @dataclass(frozen=True)
 class SiteConfig:
     # Word that fills the "{brand}" slot of the status tokens.

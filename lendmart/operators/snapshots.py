@@ -83,17 +83,21 @@ def month_changes(installments: DataFrame, as_of) -> DataFrame:
     """Installments as month-stamped changes, summed per (loan, month).
 
     ``d_`` columns are stamped with the due month, ``p_`` with the settlement month and
-    ``c_`` with the later of both.  Money is in minor units.
+    ``c_`` with the later of both.  Money is in minor units.  A row without a settlement day is
+    never settled and one without a due day is never to be collected, so they make no such change;
+    paid rows without a settlement day count in no figure, as in ``current_month_agg``.
     """
     paid, due, closed = (F.col("state") == s for s in ("paid", "due", "closed"))
+    paid = paid & F.col("updated").isNotNull()
     base = in_minor_units(installments).select(
         "loan_id", "due", "updated", "state", *MEASURES,
         month_end("due").alias("dm"), month_end("updated").alias("um"))
     kinds = [F.struct(F.lit("d").alias("k"), F.col("dm").alias("m"))]
     # Due rows never settle, so they carry no settlement change.
-    settled = [F.struct(F.lit("p").alias("k"), F.col("um").alias("m")),
-               F.struct(F.lit("c").alias("k"), F.greatest("dm", "um").alias("m"))]
-    ev = (base.withColumn("ev", F.explode(F.when(due, F.array(*kinds)).otherwise(F.array(*kinds, *settled))))
+    both = F.when(F.col("dm").isNotNull() & F.col("um").isNotNull(), F.greatest("dm", "um"))
+    settled = [F.struct(F.lit("p").alias("k"), F.col("um").alias("m")), F.struct(F.lit("c").alias("k"), both.alias("m"))]
+    changes = F.filter(F.array(*kinds, *settled), lambda e: (e["k"] == "d") | e["m"].isNotNull())
+    ev = (base.withColumn("ev", F.explode(F.when(due, F.array(*kinds)).otherwise(changes)))
               .select("*", F.col("ev.k").alias("k"), F.col("ev.m").alias("status_month")).drop("ev"))
     d, p, c = (F.col("k") == k for k in ("d", "p", "c"))
     zero = F.lit(0)
@@ -150,9 +154,11 @@ def monthly_asof_agg(spine: DataFrame, installments: DataFrame, as_of) -> DataFr
     all_months = Window.partitionBy("loan_id")
     back = Window.partitionBy("loan_id").orderBy(F.col("status_month").desc()) \
                  .rowsBetween(Window.unboundedPreceding, -1)
+    # Rows without a due day stand under no month: part of the loan, but of no running total.
+    dated = F.col("status_month").isNotNull()
     out = months.select(
         "*",
-        *[F.sum(c).over(upto).alias(f"r_{c}") for c in sums + ["d_open_n", "p_paid_n", "paid_months"]],
+        *[F.sum(F.when(dated, F.col(c)).otherwise(F.lit(0))).over(upto).alias(f"r_{c}") for c in sums + ["d_open_n", "p_paid_n", "paid_months"]],
         F.max("p_last").over(upto).alias("last_paid_date"),
         *[F.sum(f"d_{m}").over(all_months).alias(f"t_{m}") for m in MEASURES],
         F.sum("d_open_n").over(all_months).alias("t_open_n"),

@@ -244,9 +244,7 @@ def _monthly(catalog: Catalog, as_of, site: SiteConfig, only_current: bool) -> D
     disbursed = joined.groupBy(F.col("loan_id").try_cast("long").alias("loan_id")).agg(
         F.min("collection_day").alias("first_day"), F.max("collection_day").alias("last_day"))
     loans = snap.with_disbursal(snap.loan_summary(inst, site.priority_lenders, site.other_portfolio), disbursed)
-    months = None
-    if "month_ends" in catalog.frames or "month_ends" in catalog.mapping:
-        months = catalog["month_ends"]
+    months = catalog["month_ends"] if catalog.has("month_ends") else None
     spine = snap.loan_month_spine(loans, as_of, months, only_current=only_current)
     figures = (snap.current_month_agg if only_current else snap.monthly_asof_agg)(spine, inst, as_of)
     lead = _leads(catalog, LEAD_ATTRIBUTES)

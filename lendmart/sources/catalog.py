@@ -1,7 +1,7 @@
 """Logical table names -> DataFrames.
 
 A :class:`Catalog` resolves a logical name in this order: a DataFrame given directly, a
-table name or path given in ``mapping``, then ``{base}/{name}.parquet`` or ``{base}/{name}``.
+table name or path given in ``mapping``, then ``{base}/{name}``.
 """
 
 from __future__ import annotations
@@ -47,6 +47,15 @@ class Catalog:
             return self.spark.read.parquet(target)
         return self.spark.table(target)
 
+    def has(self, name: str) -> bool:
+        """Whether there is such a table; under ``base`` its folder must exist."""
+        if name in self.frames or name in self.mapping:
+            return True
+        if self.base is None:
+            return False
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
     def with_frames(self, **frames: DataFrame) -> "Catalog":
         return Catalog(self.spark, self.base, self.mapping, {**self.frames, **frames})
 
@@ -59,12 +68,26 @@ def to_long(c: str):
 
 
 def installments(catalog: Catalog, offset_s: int = fv.IST_OFFSET_S) -> DataFrame:
-    """Active installments in canonical form (see ``operators.installments``)."""
+    """Active installments in canonical form (see ``operators.installments``), each source row once.
+
+    Source rows repeat.  Copies agree in every column, ``id`` included where the source has one, so they are removed
+    by a distinct over the whole row: copies meet in the map tasks already and no key is hot.  Money must
+    have two decimals at most; finer amounts are an error, not rounded.
+    """
     raw = catalog.table("installments")
+    row = [c for c in ("id",) if c in raw.columns]
     return (raw.filter(F.col("deleted") == "N")
-            .select(to_long("loan_id"), F.col("uid_l").cast("long").alias("lender"),
+            .select(*row, to_long("loan_id"), F.col("uid_l").cast("long").alias("lender"),
                     epoch_to_local_date("due_date", offset_s).alias("due"),
                     epoch_to_local_date("created", offset_s).alias("created"),
                     epoch_to_local_date("udated", offset_s).alias("updated"),
                     F.col("emi_state").alias("state"),
-                    *[F.col(m).cast("decimal(18,2)").alias(m) for m in ("amount", "principal", "interest")]))
+                    *[hundredths(m) for m in ("amount", "principal", "interest")])
+            .distinct().drop("id"))
+
+
+def hundredths(c: str):
+    """A money column with two decimals; raises where that would change an amount."""
+    exact = F.col(c).cast("decimal(18,2)")
+    if_finer = F.raise_error(F.lit(f"column {c} has more than two decimals"))
+    return F.when(F.abs(F.col(c) - exact) > 0.000001, if_finer.cast("decimal(18,2)")).otherwise(exact).alias(c)

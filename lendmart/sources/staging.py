@@ -2,17 +2,20 @@
 
 They live in the shared folder the cluster names in ``spark.checkpoint.dir``, so they
 survive the loss of executors, cut the lineage, and have a known size when the joins that
-read them are planned.
+read them are planned.  A path without a scheme lies in the cluster's default file system.
+They are deleted by ``release``, at the latest when the driver's Python ends.
 """
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, tempfile.TemporaryDirectory] = {}
+_MADE: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,5 +38,19 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(partition_by)
+    _MADE.append((spark, path))
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release() -> None:
+    """Delete all staging tables of this process; nothing that reads them may be used afterwards."""
+    while _MADE:
+        spark, path = _MADE.pop()
+        if spark.sparkContext._jsc is None:  # the session has ended, and so has access to the folder
+            continue
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+atexit.register(release)

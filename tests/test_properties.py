@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
@@ -217,3 +218,48 @@ def test_staging_folder_comes_from_the_session(spark):
         staging.shared_folder(session(None, "yarn"))
     staged = staging.stage(spark.range(3).withColumn("k", F.col("id") % 2), "probe", "k")
     assert staged.count() == 3 and staged.columns == ["id", "k"]
+
+
+MISSING = [  # loan, lender, due, created, updated, state, amount
+    (1, 10, "2024-01-10", "2024-01-01", "2024-01-10", "paid", 100), (1, 10, "2024-02-10", "2024-01-01", None, "paid", 100),
+    (1, 10, "2024-03-10", "2024-01-01", None, "due", 100), (2, 10, None, "2024-01-01", None, "due", 100),
+    (2, 10, None, "2024-01-01", "2024-02-20", "paid", 100), (2, 10, "2024-02-01", "2024-01-01", "2024-04-02", "paid", 100),
+    (3, 20, "2024-01-31", "2024-01-01", None, "closed", 100), (3, 20, None, "2024-01-01", "2024-03-31", "closed", 100),
+]
+
+
+def test_missing_days_full_equals_refresh(spark):
+    """Rows without a settlement or due day: every month of the full build is what a refresh on its last day gives."""
+    day = lambda x: dt.date.fromisoformat(x) if x else None
+    rows = [(l, u, day(d), day(c), day(s), st, *[Decimal(a)] * 3) for l, u, d, c, s, st, a in MISSING]
+    inst = spark.createDataFrame(rows, "loan_id long, lender long, due date, created date, updated date, state string, "
+                                       "amount decimal(18,2), principal decimal(18,2), interest decimal(18,2)")
+    ends = [dt.date(2024, 1, 31), dt.date(2024, 2, 29), dt.date(2024, 3, 31)]
+    spine = spark.createDataFrame([(l, m) for l in (1, 2, 3) for m in ends], "loan_id long, status_month date")
+    full = snap.monthly_asof_agg(spine, inst, "2024-03-31").drop("bounce_relax_count", "bounce_act_count", "paid_emi_count")
+    for end in ends:
+        month = F.col("status_month") == F.lit(end)
+        now = snap.current_month_agg(spine.filter(month), inst, str(end))
+        same(full.filter(month), now.select(*full.columns))
+    got = {(r.loan_id, r.status_month): r for r in full.collect()}
+    assert got[1, ends[2]].total_paid_amount == 100 and got[1, ends[2]].total_due_amount == 100
+    assert got[2, ends[2]].due_amount_to_collect == 100 and got[2, ends[2]].total_due_amount == 200
+
+
+def test_repeated_source_rows_count_once(spark):
+    from lendmart.sources.catalog import Catalog, installments
+    rows = [(1, 7, 10, 1704067200, 1704067200, 1704067200, Decimal("5.25"), Decimal(5), Decimal("0.25"), "due", "N")]
+    names = "id long, loan_id long, uid_l long, due_date long, created long, udated long, amount decimal(20,4), principal decimal(20,4), interest decimal(20,4), emi_state string, deleted string"
+    twice = spark.createDataFrame(rows * 2 + [(2, *rows[0][1:])], names)
+    assert installments(Catalog(spark, frames={"installments": twice})).count() == 2
+    fine = spark.createDataFrame([(1, 7, 10, 0, 0, 0, Decimal("5.255"), Decimal(5), Decimal(0), "due", "N")], names)
+    with pytest.raises(Exception, match="two decimals"):
+        installments(Catalog(spark, frames={"installments": fine})).collect()
+
+
+def test_month_list_from_a_base_folder(spark, tmp_path):
+    from lendmart.sources.catalog import Catalog
+    base = str(tmp_path)
+    assert not Catalog(spark, base=base).has("month_ends")
+    spark.createDataFrame([(dt.date(2024, 2, 29),)], "months date").write.parquet(f"{base}/month_ends")
+    assert Catalog(spark, base=base).has("month_ends") and Catalog(spark, base=base)["month_ends"].count() == 1
