@@ -33,12 +33,14 @@ def recent_leads(leads: DataFrame, since: str) -> DataFrame:
 def lead_funnel(catalog: Catalog, site: SiteConfig = DEFAULT_SITE) -> DataFrame:
     everyone = catalog["lead_details"]
     leads = recent_leads(everyone, site.funnel_from)
-    rules = sl.pivot_outcomes(sl.latest_rule_by_type(catalog["lender_rule_log"]))
+    # The logs hold every loan ever; only the recent leads' rows are ranked.
+    ids = leads.select("loan_id").distinct()
+    rules = sl.pivot_outcomes(sl.latest_rule_by_type(catalog["lender_rule_log"].join(ids, "loan_id", "left_semi")))
     # Acceptance counts whatever entity type was logged, on unshifted days.
     log = sl.state_log(catalog["state_log"], entity_types=None, offset_s=0)
     accepted = funnel.acceptance(log, leads)
     # One disbursal per lead: the newest, so the join keeps the row count.
-    disb = active_only(catalog["lender_eligibility"]).filter(F.col("disburse_status") == "Y")
+    disb = active_only(catalog["lender_eligibility"]).filter(F.col("disburse_status") == "Y").join(ids, "loan_id", "left_semi")
     disb = latest_by(disb.select("loan_id", "product_tag", "disburse_amount", "disburse_date"), "loan_id",
                      [F.col("disburse_date").desc_nulls_last(), F.col("product_tag").asc(), F.col("disburse_amount").desc()])
     out = leads.join(accepted, "loan_id", "left").join(rules, "loan_id", "left").join(disb, "loan_id", "left")
