@@ -91,12 +91,37 @@ def quality_cnn_query(spark, sf_dir):
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
 
 
-@query("op9_quality_rules")
+def _prior(failed: str) -> str:
+    """Mean and strength of the beta prior over hosts."""
+    return f"""(SELECT mean, greatest(CASE WHEN n > 1 AND spread > 0 THEN mean * (1 - mean) / spread - 1 ELSE 1 END, 1) AS strength
+      FROM (SELECT least(greatest(sum({failed}) / sum(n_docs), 1e-6), 1 - 1e-6) AS mean, var_pop({failed} / n_docs) AS spread, count(*) AS n FROM hosts))"""
+
+
+@query("op9_quality_rules", r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, row_number() OVER () AS rid FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+win AS (SELECT rid, i, array_to_string(ws[i:i + 4], ' ') AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win) WHERE c > 1),
+covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM twice, range(5) r(k) GROUP BY rid),
+m AS (SELECT doc_id, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN covered c ON c.rid = w.rid),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+        CAST(n_words < 10 AS INT) + CAST(100 * n_repeat_words > 20 * n_words AS INT) + CAST(5 * n_symbols > n_words AS INT) + CAST(n_dup_lines > 3 AS INT)
+        + CAST(word_chars < 2 * n_words OR word_chars > 15 * n_words AS INT) AS failures FROM m),
+hosts AS (SELECT source, count(*) AS n_docs, count(*) FILTER (base_failed) AS n_base, count(*) FILTER (failures >= 2) AS n_several FROM f GROUP BY source),
+v AS (SELECT source, (n_base + a.mean * a.strength) / (n_docs + a.strength) AS base_rate, (n_several + b.mean * b.strength) / (n_docs + b.strength) AS several_rate
+      FROM hosts, """ + _prior("n_base") + " a, " + _prior("n_several") + r""" b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND base_rate <= 0.6 AND several_rate <= 0.6 AS kept, round(base_rate, 6) AS host_rate,
+       base_rate > 0.6 OR several_rate > 0.6 AS host_rejected
+FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source""")
 def quality_rules_query(spark, sf_dir):
     judged = quality_rules.judge(read_table(spark, sf_dir, "documents"))
     q = F.col("quality")
-    return judged.select("doc_id", *(q[c].alias(c) for c in (
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate", "host_rejected")))
+    measured = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rejected")
+    return judged.select("doc_id", *(q[c].alias(c) for c in measured), F.round(q["host_rate"], 6).alias("host_rate"))
 
 
 @query("op10_simhash")
