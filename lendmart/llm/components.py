@@ -16,8 +16,9 @@ from lendmart.llm.texts import stage
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else links
-    least = both.groupBy("u").agg(F.min("v").alias("low")).select(
-        F.col("u").alias("w"), F.least("u", "low").alias("low"))
+    # Written, so that the join can split the links of a hub.
+    least = stage(both.groupBy("u").agg(F.min("v").alias("low")).select(
+        F.col("u").alias("w"), F.least("u", "low").alias("low")), "least")
     joined = both.join(least, F.col("u") == F.col("w"))
     if large:
         moved = joined.where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))

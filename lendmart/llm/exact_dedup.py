@@ -75,7 +75,8 @@ def groups_of(listed: DataFrame) -> DataFrame:
 def exact_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256``."""
     listed = recipes(docs, **options)
-    return listed.join(groups_of(listed), "recipe").select(
+    # Written, so that the join reads both sides through exchanges of its own and splits a hot text's documents.
+    return listed.join(stage(groups_of(listed), "text_groups"), "recipe").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 

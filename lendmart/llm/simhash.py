@@ -110,7 +110,8 @@ def near_links(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) ->
         table = spark.createDataFrame([(signed(m), [signed(x) for x in to]) for m, to in finer.items()], "m long, finer array<long>")
         spread = rows.join(F.broadcast(table), F.col("mask") == F.col("m")).select("f", F.explode("finer").alias("mask"))
         keyed = (spread if len(masks) == 1 else spread.distinct()).select("f", "mask", F.col("f").bitwiseAND(F.col("mask")).alias("key"))
-        sizes = keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        # Sizes are written, so that the join can split a crowded bucket; the same holds for components below.
+        sizes = stage(keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bucket_sizes")
         shared = stage(keyed.join(sizes, ["mask", "key"]), "buckets")
         # A bucket is small by its size, or because its mask hides few bits.
         small = (F.col("n") <= bucket) | (F.bit_count("mask") >= 64 - FEW_HIDDEN)
@@ -129,8 +130,8 @@ def simhash_groups(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS,
     marked = stage(docs.select("doc_id", fingerprint(F.col("text"), width, seed).alias("bits")), "fingerprints")
     names = stage(marked.groupBy("bits").agg(F.min("doc_id").alias("least")).withColumnRenamed("bits", "f"), "distinct_fingerprints")
     labels = component_labels(near_links(names.select("f"), radius, bucket))
-    rooted = names.join(labels, F.col("f") == F.col("node"), "left").select("f", "least", F.coalesce("label", "f").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = stage(names.join(labels, F.col("f") == F.col("node"), "left").select("f", "least", F.coalesce("label", "f").alias("root")), "rooted")
+    least = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component_ids")
     named = stage(rooted.join(least, "root").select("f", "component_id"), "components")
     return marked.join(named, F.col("bits") == F.col("f")).select("doc_id", "bits", "component_id")
 
