@@ -205,11 +205,11 @@ SELECT * EXCLUDE ({', '.join(_HELPERS)}), {D} AS report_datetime, CASE WHEN rule
 
 
 def full_oracle() -> str:
-    """The whole mart as one DuckDB statement; planning it takes about a minute, so a test runs it."""
+    """The whole mart as one DuckDB statement."""
     return views.oracle(LEAD_SQL, *ALL_USES.split(), materialize=True)
 
 
-@query("lead_details")
+@query("lead_details", uses=ALL_USES, materialize=True, sql=LEAD_SQL)
 def _(i):
     return lead.lead_details(catalog(i), AS_OF, SITE)
 
