@@ -6,8 +6,8 @@ a filter that sees letters only).  Learned filters slide over the chunk, each fi
 kept, and the maxima are combined into one probability.  Chunks overlap by the filter width, so the
 maximum over chunks is the maximum over the document, whatever its length, in memory of one chunk.
 
-Fitting runs on the driver over a bounded sample of labelled documents: at most ``SAMPLE`` rows of at most ``SAMPLE_BYTES``
-bytes each (longer texts are not used for fitting; all are scored), the first in the order of a hash of ``doc_id``.
+Fitting runs on the driver over a bounded sample of labelled documents: at most ``SAMPLE`` labels, the first in
+the order of a hash of ``doc_id``, with texts of at most ``SAMPLE_BYTES`` bytes each (longer ones are not used for fitting; all are scored).
 Gradients flow through the maxima only, so a step costs one forward pass.
 
 Defined cases: a null or empty text is scored as no response of any filter (its score is the bias alone); no labels, or labels
@@ -140,13 +140,14 @@ def fit(texts: list[str], labels: list[int], seed: int = 0, rounds: int = ROUNDS
 def fit_labelled(docs: DataFrame, labelled: DataFrame, label: str = "quality", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Network:
     """A network from ``docs`` whose ``doc_id`` has a label; ``labelled`` has ``doc_id`` and ``label``.
 
-    Labels that contradict each other for one ``doc_id`` are left out.
+    Labels that contradict each other for one ``doc_id`` are left out; of texts with one ``doc_id`` the smallest counts.
     """
     known = labelled.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("z")) \
-        .where("y = z").select(F.col("doc_id").alias("__id"), "y")
+        .where("y = z").select(F.col("doc_id").alias("__id"), "y").orderBy(F.xxhash64("__id"), "__id").limit(sample)
+    # At most ``sample`` labels are sent to the scan of the texts, and as many texts come back.
     rows = docs.where("text IS NOT NULL").where(F.octet_length("text") <= sample_bytes).select("doc_id", "text") \
-        .join(known, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "y") \
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).collect()
+        .join(F.broadcast(known), F.col("doc_id") == F.col("__id")).groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
+    rows.sort(key=lambda r: r.doc_id)
     return fit([r.text for r in rows], [int(r.y) for r in rows])
 
 

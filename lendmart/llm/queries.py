@@ -86,7 +86,7 @@ def quality_cnn_query(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     # A row without doc_id is never learned from.
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))
-    net = quality_cnn.fit_labelled(docs.where(~held_out), read_table(spark, sf_dir, "labels"))
+    net = quality_cnn.fit_labelled(docs, read_table(spark, sf_dir, "labels").where(~held_out))
     scored = quality_cnn.score_documents(docs, net)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
 
