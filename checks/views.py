@@ -62,7 +62,7 @@ VIEWS: dict[str, str] = {}
 # states are moved, so that no row is left out.
 DUE = (f"({SHIP} + CASE WHEN o_custkey % 10 = 0 AND {SHIP} > DATE '1998-01-01' THEN -1461 "
        f"WHEN o_custkey % 10 = 1 AND {SHIP} <= DATE '{AS_OF}' THEN 1461 ELSE 0 END)")
-VIEWS["inst"] = f"""
+VIEWS["inst_rows"] = f"""
   SELECT o_custkey AS loan_id, l_suppkey AS lender, {DUE} AS due, least({ORDERED}, {DUE}) AS created,
          {DUE} + CAST(l_linenumber * 7 - 10 AS INT) AS updated,
          CASE WHEN l_linestatus = 'F' AND l_returnflag = 'R' THEN 'closed'
@@ -77,13 +77,15 @@ VIEWS["inst"] = f"""
            || '-' || CAST(l_suppkey AS VARCHAR(20)) || '-' || CAST({SHIP} AS VARCHAR(10)) || '-' || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR(20)) AS row_id
   FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey"""
 
+VIEWS["inst"] = "SELECT loan_id, lender, due, created, updated, state, amount, principal, interest, line FROM inst_rows"
+
 # Source rows repeat: the second line of every order comes twice.
 _RAW = f"""
 SELECT row_id AS id, loan_id, lender AS uid_l, {_local_epoch('due', 'line * 3600')} AS due_date,
        {_local_epoch('created')} AS created, {_local_epoch('updated', '86399')} AS udated,
        amount, principal, interest, state AS emi_state,
        CASE WHEN line = 7 AND lender % 13 = 0 THEN 'Y' ELSE 'N' END AS deleted
-FROM inst"""
+FROM inst_rows"""
 VIEWS["raw_installments"] = f"{_RAW} UNION ALL {_RAW} WHERE line = 2"
 
 # The installments a mart sees: those not soft-deleted.
