@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-REMEMBERED, LONGEST_REMEMBERED = 200_000, 40
+REMEMBERED, LONGEST_REMEMBERED = 150_000, 40
 SLICE_BYTES = 1 << 21
 ID_BITS, PLACE_BITS = 24, 40
 PLACE_MASK = (1 << PLACE_BITS) - 1
@@ -53,6 +53,7 @@ class Codec(dict):
 
     def __init__(self, spec: str):
         super().__init__()
+        self.older: dict[str, bytes] = {}
         data = json.loads(spec)
         model = data["model"]
         self.vocab: dict[str, int] = model["vocab"]
@@ -115,19 +116,24 @@ class Codec(dict):
         return [x for x in ids if x >= 0]
 
     def ids_of(self, chunk: str) -> bytes:
-        """Packed ids of a text without white space."""
-        out: list[int] = []
-        for word in self.words.findall(chunk):
-            raw = word.encode()
-            ids = [self.inner[b] for b in raw]
-            ids[-1] = self.final[raw[-1]]
-            out += self.merged(ids)
-        return struct.pack(f"<{len(out)}I", *out)
+        """Packed ids of a text without white space; its words are remembered too."""
+        words = self.words.findall(chunk)
+        if len(words) != 1:
+            return b"".join(map(self.__getitem__, words))
+        raw = words[0].encode()
+        ids = [self.inner[b] for b in raw]
+        ids[-1] = self.final[raw[-1]]
+        ids = self.merged(ids)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, chunk: str) -> bytes:
-        packed = self.ids_of(chunk)
+        packed = self.older.get(chunk)
+        if packed is None:
+            packed = self.ids_of(chunk)
         if len(chunk) <= LONGEST_REMEMBERED:
+            # Words in use move over from the older generation; those that are not go with it.
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[chunk] = packed
         return packed
