@@ -107,9 +107,13 @@ def near_links(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) ->
     while True:
         # One row for each mask of this round, whatever the data.
         finer = {m: {m | c for c in covering(ALL_BITS & ~m, radius)} for m in masks}
-        table = spark.createDataFrame([(signed(m), [signed(x) for x in to]) for m, to in finer.items()], "m long, finer array<long>")
-        spread = rows.join(F.broadcast(table), F.col("mask") == F.col("m")).select("f", F.explode("finer").alias("mask"))
-        keyed = (spread if len(masks) == 1 else spread.distinct()).select("f", "mask", F.col("f").bitwiseAND(F.col("mask")).alias("key"))
+        if masks == [0]:
+            to = F.array(*(F.lit(signed(x)) for x in sorted(finer[0])))
+            spread = rows.select("f", F.explode(to).alias("mask"))
+        else:
+            table = spark.createDataFrame([(signed(m), [signed(x) for x in to]) for m, to in finer.items()], "m long, finer array<long>")
+            spread = rows.join(F.broadcast(table), F.col("mask") == F.col("m")).select("f", F.explode("finer").alias("mask")).distinct()
+        keyed = spread.select("f", "mask", F.col("f").bitwiseAND(F.col("mask")).alias("key"))
         # Sizes are written, so that the join can split a crowded bucket; the same holds for components below.
         sizes = stage(keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bucket_sizes")
         shared = stage(keyed.join(sizes, ["mask", "key"]), "buckets")
