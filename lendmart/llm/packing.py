@@ -1,6 +1,6 @@
 """Token ids packed into rows of fixed length.
 
-Documents are encoded, closed by an end token, and cut into pieces of at most the row length, without loss.  Pieces are
+Documents are encoded with a given byte-level vocabulary, closed by an end token, and cut into pieces of at most the row length, without loss.  Pieces are
 placed by best-fit decreasing: the longest first, each into the row with the least room that still takes it, found by a
 segment tree over the room left.  A packed row holds its ids as one line of the id matrix, the
 cumulative lengths of its segments, and position ids that start anew in every segment.
@@ -15,20 +15,40 @@ null; an empty table gives an empty result; other columns of the input take no p
 
 from __future__ import annotations
 
+import base64
+import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lendmart.llm.bpe import codec_of, vocabulary
-
-ROW, GROUP_TOKENS = 2048, 4_000_000
-END = "<|endoftext|>"
+ROW, GROUP_TOKENS, STRETCH = 2048, 4_000_000, 20_000
 SCHEMA = "pack_id long, doc_ids array<long>, pieces array<int>, cu_seqlens array<int>, token_ids binary, position_ids binary"
 
 
+@functools.lru_cache(2)
+def encoding_of(ranks: str, pattern: str) -> tiktoken.Encoding:
+    """One encoding a worker process and vocabulary: a line for each token, in base 64, and its rank."""
+    parsed = {base64.b64decode(token): int(rank) for token, rank in map(str.split, ranks.splitlines())}
+    return tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=parsed, special_tokens={})
+
+
+def stretches(text: str) -> Iterator[str]:
+    """A long text in parts, cut before a blank where there is one: the encoder's patterns recurse over long runs of blanks."""
+    at = 0
+    while at < len(text):
+        end = at + STRETCH
+        if end < len(text):
+            end = max(text.rfind(" ", at + 1, end), text.rfind("\n", at + 1, end))
+            end = end if end > at else at + STRETCH
+        yield text[at:end]
+        at = end
+
+
 class RoomTree:
     """Open rows by the room they have left; finds the least room that is large enough in logarithmic time."""
 
@@ -92,23 +112,25 @@ def packed_rows(docs: list[tuple[int | None, np.ndarray]], row: int, pad: int, i
                positions.astype("<u2" if row <= 1 << 16 else "<u4").tobytes())
 
 
-def pack_documents(docs: DataFrame, path: str, row: int = ROW, group_tokens: int = GROUP_TOKENS, end: str = END) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, pattern: str, row: int = ROW, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """Packed rows: ids and positions as little-endian numbers, two bytes wide where vocabulary and row length allow.
 
+    ``path`` names the ranks of the vocabulary, ``pattern`` cuts texts into words.  The end token's id is the first free one.
     ``pieces`` counts the pieces of each document in the row from 0; padding behind the last segment has the end id and position 0.
     ``pack_id`` is unique in the result.
     """
-    spec = vocabulary(docs.sparkSession, path)
+    with open(path, encoding="ascii") as f:
+        ranks = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(spec.value)
-        close = np.array([codec.special[end]], "<u4")
-        id_type = "<u2" if max(codec.strings) < 1 << 16 else "<u4"
+        encoding = encoding_of(ranks.value, pattern)
+        close = encoding.max_token_value + 1
+        id_type = "<u2" if close < 1 << 16 else "<u4"
         task, made = TaskContext.get().partitionId() << 33, 0
 
         def flush(group: list) -> Iterator[pa.RecordBatch]:
             nonlocal made
-            columns = list(zip(*packed_rows(group, row, int(close[0]), id_type)))
+            columns = list(zip(*packed_rows(group, row, close, id_type)))
             count = len(columns[0])
             types = (pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary())
             # A few rows at a time: a batch stays some megabytes.
@@ -121,7 +143,8 @@ def pack_documents(docs: DataFrame, path: str, row: int = ROW, group_tokens: int
         group, tokens = [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                ids = np.concatenate([np.frombuffer(codec.encode(text.as_py()), "<u4"), close]).astype(id_type)
+                parts = (encoding.encode_ordinary(s) for s in stretches(text.as_py() or ""))
+                ids = np.array([*itertools.chain.from_iterable(parts), close], id_type)
                 group.append((doc_id.as_py(), ids))
                 tokens += len(ids)
                 if tokens >= group_tokens:

@@ -22,6 +22,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
+    """Path and word pattern of a byte-level vocabulary."""
+    import public_tokenizers
+    return public_tokenizers.path(name), public_tokenizers.PATTERN
+
+
 def query(name: str, sql: str | None = None):
     def wrap(fn):
         QUERIES[name] = fn
@@ -72,7 +78,7 @@ def bpe_query(spark, sf_dir):
 
 @query("op6_packing")
 def packing_query(spark, sf_dir):
-    return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), *byte_vocabulary())
 
 
 @query("op7_mixing")
