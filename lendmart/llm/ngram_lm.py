@@ -31,14 +31,17 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lendmart.llm.bpe import slices
 from lendmart.llm.texts import stage
 
 START, END = 1, 2  # hashes of no word
+SCALE = 1e7
 NO_ID = -(1 << 63)  # stands for a null doc_id
-BLOCK_TOKENS, SHARD_TOKENS, HOT_SHARE = 2_500_000, 3_500_000, 8
+BLOCK_TOKENS, SHARD_TOKENS, HOT_SHARE = 2_000_000, 2_000_000, 8
 
 
 def small(a: np.ndarray) -> np.ndarray:
@@ -66,21 +69,20 @@ def words_of(text: str | None) -> list[bytes]:
 # ---- before dealing: how many tokens, and which words are hot
 
 def survey(share: float):
-    """For each batch of texts: its tokens (word 0) and the words with more than ``share`` of them."""
+    """For each slice of some megabytes of texts: its tokens (word 0) and the words with more than ``share`` of them."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             count: dict[bytes, int] = {}
-            total = starts = 0
-            for text in batch.column(0):
+            total = 0
+            for text in batch.column("text"):
                 words = words_of(text.as_py())
                 total += len(words) + 1
-                starts += 1
                 for w in words:
                     count[w] = count.get(w, 0) + 1
             often = [(w, c) for w, c in count.items() if c > share * total]
             hashes = word_hashes(w for w, _ in often).view(np.int64).tolist()
-            yield pa.RecordBatch.from_pydict({"word": pa.array([0, START, *hashes], pa.int64()),
-                                              "n": pa.array([total, starts, *(c for _, c in often)], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"word": pa.array([0, *hashes], pa.int64()),
+                                              "n": pa.array([total, *(c for _, c in often)], pa.int64())})
     return rows
 
 
@@ -89,8 +91,8 @@ def survey(share: float):
 class Block:
     """Documents of one map task up to ``BLOCK_TOKENS`` tokens, as numbers of the block's own vocabulary."""
 
-    def __init__(self, number: int):
-        self.number, self.vocabulary = number, {}
+    def __init__(self, key: int):
+        self.key, self.vocabulary = key, {}
         self.tokens: list[np.ndarray] = []
         self.before: list[int] = []
         self.rows: list[tuple[int, int, bool]] = []
@@ -106,7 +108,7 @@ class Block:
         self.size += len(self.tokens[-1])
 
     def dealt(self, shards: int, hot: np.ndarray) -> Iterator[tuple[int, bytes]]:
-        """A payload for every shard that gets pairs."""
+        """A payload for every shard that gets pairs; the first of them also has the documents' rows."""
         hashes = np.concatenate([np.array([START, END], np.uint64), word_hashes(self.vocabulary)])
         lengths = np.array([len(t) for t in self.tokens])
         second = np.concatenate(self.tokens).astype(np.int64)
@@ -130,16 +132,16 @@ class Block:
         pair_at, doc_at = np.divmod(found, len(lengths))
         cuts = np.searchsorted(shard[order], np.arange(shards + 1))
         rows = np.array([r[:2] for r in self.rows], np.int64)
-        train = np.array([r[2] for r in self.rows])
+        train = np.packbits([r[2] for r in self.rows])
         for s in np.flatnonzero(np.diff(cuts)):
             a, b = cuts[s], cuts[s + 1]
             x, y = np.searchsorted(pair_at, [a, b])
             own = order[a:b]
             used, local = np.unique(np.concatenate([v[own], w[own]]), return_inverse=True)
-            docs, doc_local = np.unique(doc_at[x:y], return_inverse=True)
             yield int(s), pickle.dumps((
-                hashes[used], small(local[:b - a]), small(local[b - a:]), small(np.bincount(pair_at[x:y] - a, minlength=b - a)),
-                small(doc_local), small(times[x:y]), rows[docs], np.packbits(train[docs])), 5)
+                self.key, rows, hashes[used], small(local[:b - a]), small(local[b - a:]),
+                small(np.bincount(pair_at[x:y] - a, minlength=b - a)), small(doc_at[x:y]), small(times[x:y]), train), 5)
+            rows = None
 
 
 def deal(shards: int, hot: np.ndarray, block_tokens: int):
@@ -149,7 +151,7 @@ def deal(shards: int, hot: np.ndarray, block_tokens: int):
             for s, payload in block.dealt(shards, hot):
                 yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "payload": pa.array([payload], pa.binary())})
 
-        block = Block(0)
+        block = Block(TaskContext.get().partitionId() << 32)
         for batch in batches:
             for *row, text in zip(*(batch.column(c) for c in ("row", "doc_id", "train", "text"))):
                 row, doc_id, train = (x.as_py() for x in row)
@@ -163,7 +165,7 @@ def deal(shards: int, hot: np.ndarray, block_tokens: int):
                     done = at == len(words)
                     if block.size >= block_tokens:
                         yield from out(block)
-                        block = Block(block.number + 1)
+                        block = Block(block.key + 1)
                     if done:
                         break
         if block.size:
@@ -177,18 +179,19 @@ class Shard:
     """The distinct pairs of a shard with their training counts, in the order of first and second word."""
 
     def __init__(self, payloads: list[bytes]):
-        vs, ws, cs = [], [], []
+        parts = []
         for p in payloads:
-            words, v, w, n, doc, times, _, train = pickle.loads(p)
-            flags = np.unpackbits(train)[doc].astype(np.int64) * times
-            cs.append(np.add.reduceat(flags, np.cumsum(n, dtype=np.int64) - n))
-            vs.append(words[v])
-            ws.append(words[w])
-        v, w, c = map(np.concatenate, (vs, ws, cs))
+            _, _, words, v, w, n, doc, times, train = pickle.loads(p)
+            seen = np.unpackbits(train)[doc] * times.astype(np.int32)
+            parts.append((words[v], words[w], np.add.reduceat(seen, np.cumsum(n, dtype=np.int64) - n)))
+        v, w, c = map(np.concatenate, zip(*parts))
+        del parts
         order = np.lexsort((w, v))
         v, w, c = v[order], w[order], c[order]
+        del order
         new = np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (w[1:] != w[:-1])))
         self.v, self.w, self.c = v[new], w[new], np.add.reduceat(c, new)
+        del v, w, c, new
         self.words, self.word_at = np.unique(self.w, return_inverse=True)
 
     def word_sums(self) -> tuple[np.ndarray, np.ndarray]:
@@ -261,7 +264,7 @@ def discounts(n: list[int]) -> np.ndarray:
 
 
 def scored(shards: int, hot: dict[int, list[int]], pair_numbers: list[int], word_numbers: list[int]):
-    """From a shard's payloads and its answers: sums of each input row that has a token here."""
+    """From a shard's payloads and its answers: sums for the documents of each block."""
     d2, d1 = discounts(pair_numbers), discounts(word_numbers[:4])
     n1, n2, more, total_seen, vocabulary, total = word_numbers[0], word_numbers[1], *word_numbers[4:]
 
@@ -286,32 +289,57 @@ def scored(shards: int, hot: dict[int, list[int]], pair_numbers: list[int], word
                 whole = np.maximum(sums[0], 1)
                 left = np.where(sums[0] > 0, (d2[1:] @ sums[1:]) / whole, 1.0)
                 two = np.maximum(shard.c - d2[np.minimum(shard.c, 3)], 0) / whole[at] + left[at] * one[shard.word_at]
-                yield from looked_up(shard, np.log10(two), base[shard.word_at], count[shard.word_at] > 0, payloads)
+                model = np.stack([np.log10(two), base[shard.word_at], count[shard.word_at] > 0], axis=1)
+                keys = mix(shard.v, shard.w)
+                del shard, at, two
+                yield from looked_up(keys, model, payloads)
     return rows
 
 
-def looked_up(shard: Shard, score: np.ndarray, base: np.ndarray, known: np.ndarray, payloads: list[bytes]) -> Iterator[tuple]:
-    """The shard's model as sorted hash arrays in a memory-mapped file, and the sums of the rows of each payload."""
-    keys = mix(shard.v, shard.w)
+def looked_up(keys: np.ndarray, values: np.ndarray, payloads: list[bytes]) -> Iterator[tuple[int, bytes]]:
+    """The shard's model as sorted hash arrays in memory-mapped files, and sums over the pairs of each payload."""
     order = np.argsort(keys)
-    values = np.stack([score[order], base[order], known[order]], axis=1)
     with tempfile.TemporaryDirectory() as folder:
         files = [os.path.join(folder, f"{name}.npy") for name in ("keys", "values")]
-        for path, array in zip(files, (keys[order], values)):
-            np.save(path, array)
+        np.save(files[0], keys[order])
+        np.save(files[1], values[order])
         del keys, values, order
         keys, values = (np.load(path, mmap_mode="r") for path in files)
         for p in payloads:
-            words, v, w, n, doc, times, rows, _ = pickle.loads(p)
+            block, rows, words, v, w, n, doc, times, _ = pickle.loads(p)
             found = values[np.searchsorted(keys, mix(words[v], words[w]))]
             entry, times = np.repeat(np.arange(len(n)), n), times.astype(np.float64)
-            add = lambda x: np.bincount(doc, x, len(rows)).tolist()
-            sums = zip(add(times), *(add(times * found[entry, k]) for k in (2, 1, 0)))
-            for (row, doc_id), (tokens, seen, b, s) in zip(rows.tolist(), sums):
-                yield row, doc_id, int(tokens), int(seen), b, s
+            tokens, *sums = (np.bincount(doc, times if k is None else times * found[entry, k]) for k in (None, 2, 1, 0))
+            docs = np.flatnonzero(tokens)
+            known, base, score = (x[docs] for x in sums)
+            # Parts of sums of logarithms travel as whole numbers of 1 / SCALE.
+            yield block, pickle.dumps((rows, small(docs), small(tokens[docs].astype(np.int64)), small(known.astype(np.int64)),
+                                       *(small(np.rint(-x * SCALE).astype(np.int64)) for x in (base, score))), 5)
         del keys, values
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of blocks from all shards, added up by document; a partition holds few blocks."""
+    rows: dict[int, np.ndarray] = {}
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload").to_pylist()):
+            own, docs, *parts = pickle.loads(payload)
+            if own is not None:
+                rows[block] = own
+            whole = sums.get(block, np.zeros((4, 0)))
+            if (more := int(docs[-1]) + 1 - whole.shape[1]) > 0:
+                whole = np.pad(whole, ((0, 0), (0, more)))
+            for total, part in zip(whole, parts):
+                total[docs] += part
+            sums[block] = whole
+    for block, own in rows.items():
+        tokens, known, base, score = sums[block]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(own[:, 0]), pa.array(own[:, 1]), pa.array(tokens.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base / -SCALE), pa.array(score / -SCALE),
+        ], ["row", "doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+
 def score_documents(docs: DataFrame, train: Column, block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` of every row; rows where ``train`` holds are learned from.
 
@@ -344,7 +372,8 @@ def score_documents(docs: DataFrame, train: Column, block_tokens: int = BLOCK_TO
     word_numbers = added(answers.where("shard = -1"), 8).first()
     returned = answers.where("shard >= 0").repartition(shards, "shard").rdd
     # Both are dealt by the same column to as many partitions: what belongs to a shard has the same place.
-    sums = made(dealt.glom().zip(returned.glom()).mapPartitions(scored(shards, contexts, list(pair_numbers), list(word_numbers))), result)
+    scores = made(dealt.glom().zip(returned.glom()).mapPartitions(scored(shards, contexts, list(pair_numbers), list(word_numbers))), "block long, payload binary")
+    sums = scores.repartition(shards, "block").mapInArrow(gathered, result)
     total = sums.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
     return total.select(F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "n_tokens", "n_known",
                         F.lit(word_numbers[7]).cast("long").alias("train_tokens"), "base_score", "score")
