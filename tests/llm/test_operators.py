@@ -153,6 +153,32 @@ def test_license_pruning():
         assert bool(got) == (best[0] >= 0.6) and (not got or math.isclose(max(p["dice"] for p in got), best[0]))
 
 
+@pytest.mark.parametrize("text, want", [
+    *((licenses.WHOLE[k], [k]) for k in ("BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib", "Unlicense")),
+    ("free: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software "
+     "Foundation, either version 3 of the License, or (at your option) any later version.", ["GPL-3.0"]),
+    ("under the terms of the GNU Lesser General Public License version 2.1 as published by the Free Software Foundation", ["LGPL-2.1"]),
+    ("under a Creative Commons Attribution 4.0 International License.", ["CC-BY-4.0"]),
+    ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", ["CC-BY-NC-SA-4.0"]),
+    ("// SPDX-License-Identifier: BSD-3-Clause", ["BSD-3-Clause"]), ("SPDX-License-Identifier: GPL-2.0-or-later", ["GPL-2.0"]),
+    ("SPDX-License-Identifier: EUPL-1.2", []), ("SPDX-License-Identifier: MIT-0", ["MIT-0"]),
+    ("Licensed under the Apache License 2.0", ["Apache-2.0"]), ("licensed under the terms of the MIT license", ["MIT"]),
+    ("licensed under the terms of the agreement", []), ("Released under the Unlicense.", ["Unlicense"]), ("released under GPLv3", ["GPL-3.0"]),
+    ("Distributed under the New BSD License", ["BSD-3-Clause"]), ("Available under the GNU GPL version 2", ["GPL-2.0"]),
+])
+def test_license_wordings(text, want):
+    known = licenses.Templates(licenses.templates())
+    assert [p["license"] for p in known.scan("Prose before it. " + text + " And more of the prose of the day.")] == want
+
+
+@pytest.mark.parametrize("name", licenses.FILES)
+def test_license_whole_files(name):
+    """A whole text with small changes is one passage, though headers and notices stand in it."""
+    whole = next(t[1] for t in licenses.templates() if t[0] == name and len(t[1]) > 5000)
+    got = licenses.Templates(licenses.templates()).scan("lorem " * 300 + whole.replace("copy", "duplicate", 5) + " ipsum" * 300)
+    assert [p["license"] for p in got] == [name] and 0.95 < got[0]["dice"] < 1
+
+
 # ---- byte pairs
 
 def test_bpe_like_the_library(tokenizer, texts):
