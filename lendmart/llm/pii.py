@@ -1,15 +1,16 @@
 """Personal data: spans proposed by regular expressions, confirmed by checksums, scored by the words around them.
 
 Base kinds (email, ip, card, phone) have fixed patterns and checks; every match that passes its check is reported.
-The method adds kinds of its own: bank account numbers (IBAN, confirmed by mod 97) and social security numbers
-(confirmed by their number ranges); an added span must reach ``ADDED_SCORE`` after the words around it have raised or
+The method adds kinds of its own: bank account numbers (IBAN, confirmed by mod 97 and their country's length) and social security
+numbers (confirmed by their number ranges); an added span must reach ``ADDED_SCORE`` after the words around it have raised or
 lowered its score.  Base spans carry a score as well, for callers who want to be stricter.
 
 Positions come from cutting the text at the pattern: the lengths of the pieces between the matches and of the
 matches themselves add up to code point offsets.  Patterns are written so that a run of characters is tried once: a look-behind
 (or the end of the last match) fixes where a run begins and possessive quantifiers never give back, which changes
 no match but keeps very long runs linear and off the stack.  A text without a kind's telling character
-skips the pattern.
+skips the pattern.  Where an IBAN ends cannot be seen by a run of characters, since words and numbers may follow it after one
+blank: its pattern proposes the country and check digits only, and of the group borders that may end it the longest that passes is taken.
 
 All steps are DataFrame functions.
 
@@ -54,12 +55,20 @@ KINDS = (
          "card|visa|master|amex|credit|debit|payment|pay", "order|invoice|tracking|isbn|serial"),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+", True, 0.7,
          "phone|call|tel|mobile|fax|cell|whatsapp", "version|score|rate"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])", "", False, 0.8,
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9]{4} ?[A-Z0-9]{4})", "", False, 0.8,
          "iban|account|bank|transfer|konto|compte|cuenta", "serial|part|model"),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", False, 0.3,
          "ssn|social|security|taxpayer", "order|invoice|part|serial"),
 )
 
+# Characters of an IBAN by country; codes not listed may have any length from 15 to 34.
+IBAN_LENGTHS = {country: int(n) for country, n in map(str.split, """
+AD 24,AE 23,AL 28,AT 20,AZ 28,BA 20,BE 16,BG 22,BH 22,BI 27,BR 29,BY 28,CH 21,CR 22,CY 28,CZ 24,DE 22,DJ 27,DK 18,DO 28,EE 20,EG 29,ES 24,FI 18,FK 18,FO 18,
+FR 27,GB 22,GE 22,GI 23,GL 18,GR 27,GT 28,HN 28,HR 21,HU 28,IE 22,IL 23,IQ 23,IS 26,IT 27,JO 30,KW 30,KZ 20,LB 28,LC 32,LI 21,LT 20,LU 20,LV 21,LY 25,MC 27,
+MD 24,ME 22,MK 19,MN 20,MR 27,MT 31,MU 30,NI 28,NL 18,NO 15,OM 23,PK 24,PL 28,PS 29,PT 25,QA 29,RO 24,RS 22,RU 33,SA 24,SC 31,SD 18,SE 24,SI 19,SK 24,SM 27,
+SO 23,ST 25,SV 28,TL 23,TN 24,TR 26,UA 29,VA 22,VG 24,XK 20,YE 30""".split(","))}
+IBAN_GROUPS, IBAN_CHARS = range(7, 1, -1), 4 + 7 * 5 + 4  # groups of four after the head; the most characters with blanks
+
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int,text:string,score:double>>"
 
 
@@ -84,6 +93,27 @@ def passes_mod97(match: Column) -> Column:
     return F.char_length(plain).between(15, 34) & (step == 1)
 
 
+def right_length(match: Column) -> Column:
+    """As long as the country's numbers are, where the country is known."""
+    lengths = F.create_map(*(F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair))
+    plain = F.replace(match, F.lit(" "), F.lit(""))
+    return F.coalesce(F.try_element_at(lengths, F.substr(plain, F.lit(1), F.lit(2))) == F.char_length(plain), F.lit(True))
+
+
+def whole_ibans(text: Column, heads: Column) -> Column:
+    """Spans that begin with ``heads`` and end at the last group border that confirms them; none begins inside the one before."""
+    def whole(s: Column) -> Column:
+        run = F.substr(text, s["start"] + 1, F.lit(IBAN_CHARS + 1))
+        ends = F.array(*(F.regexp_extract(run, "^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){%d}%s(?![A-Za-z0-9])" % (n, tail), 0)
+                         for n in IBAN_GROUPS for tail in ("(?: ?[A-Z0-9]{1,3})", "")))
+        good = F.get(F.filter(ends, lambda m: passes_mod97(m) & right_length(m)), F.lit(0))
+        return s.withField("text", good).withField("end", s["start"] + F.char_length(good))
+
+    good = F.filter(F.transform(heads, whole), lambda s: s["text"].isNotNull())
+    return F.aggregate(good, F.array().cast(SPAN), lambda a, s: F.when(
+        F.coalesce(F.get(a, F.size(a) - 1)["end"] <= s["start"], F.lit(True)), F.array_append(a, s)).otherwise(a))
+
+
 def confirmed(kind: str, match: Column) -> Column:
     """The check a match has to pass."""
     if kind == "ip":
@@ -92,8 +122,6 @@ def confirmed(kind: str, match: Column) -> Column:
         return F.char_length(digits_of(match)).between(14, 19) & passes_luhn(digits_of(match))
     if kind == "phone":
         return F.char_length(digits_of(match)).between(10, 15)
-    if kind == "iban":
-        return passes_mod97(match)
     if kind == "ssn":
         return ~match.rlike("^(?:000|666|9)|-00-|-0000$")
     return F.lit(True)
@@ -117,7 +145,7 @@ def spans_of(text: Column, matches: Column, kind: Kind, rank: int) -> Column:
     spans = F.zip_with(starts, matches, lambda s, m: F.struct(
         s.alias("start"), F.lit(rank).alias("rank"), F.lit(kind.name).alias("kind"),
         (s + F.char_length(m)).alias("end"), m.alias("text"), F.lit(kind.score).alias("score")))
-    good = F.filter(spans, lambda s: confirmed(kind.name, s["text"]))
+    good = whole_ibans(text, spans) if kind.name == "iban" else F.filter(spans, lambda s: confirmed(kind.name, s["text"]))
     scored = F.transform(good, lambda s: s.withField("score", score(text, s, kind)))
     kept = scored if kind.base else F.filter(scored, lambda s: s["score"] >= ADDED_SCORE)
     return F.coalesce(F.when(F.size(matches) > 0, kept), F.array().cast(SPAN))

@@ -35,6 +35,22 @@ def pii_row(text):
     return tuple(sum(x[2] == k for x in spans) for k in ("email", "ip", "card", "phone")) + (hashlib.sha256(listed.encode()).hexdigest(),)
 
 
+def ibans(text, lengths):
+    """IBAN spans ``(start, end)``: every start and every end is tried, the longest first."""
+    out, at = [], 0
+    for m in re.finditer(r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})", text):
+        for end in range(min(len(text), m.start() + 43), m.start(), -1):
+            plain = text[m.start():end].replace(" ", "")
+            if m.start() < at or not re.fullmatch(r"[A-Z0-9]{4}( ?[A-Z0-9]{4}){2,7}( ?[A-Z0-9]{1,3})?", text[m.start():end]) \
+                    or re.match("[A-Za-z0-9]", text[end:]) or lengths.get(plain[:2], len(plain)) != len(plain) or not 15 <= len(plain) <= 34:
+                continue
+            if int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+                out.append((m.start(), end))
+                at = end
+                break
+    return out
+
+
 def discounts(counts):
     """Modified Kneser-Ney discounts from a collection of counts."""
     n = [sum(c == k for c in counts) for k in (1, 2, 3, 4)]

@@ -49,6 +49,24 @@ def test_pii_method(spark):
     assert got == {0: ["iban"], 1: [], 2: ["ssn"], 3: [], 4: []}
 
 
+def test_pii_ibans_before_words(spark):
+    """Words and numbers after one blank neither hide an IBAN nor belong to it."""
+    known = ["AT611904300234573201", "BE68539007547034", "ES9121000418450200051332", "PL61109010140000071219812874", "DE89370400440532013000",
+             "GB82WEST12345698765432", "NO9386011117947", "MT84MALT011000012345MTLCAST001S", "FR1420041010050500013M02606", "SE4550000000058398257466"]
+    grouped = [" ".join(k[i:i + 4] for i in range(0, len(k), 4)) for k in known]
+    tails = ["", ".", " Please", " BIC", " 100 euros", " Bank", " CASH", " PAID NOW", " A", " 2024 1234", " é", "x", "1", " I", " " + known[0], " " + grouped[1]]
+    random.seed(6)
+    texts = [f"IBAN {k}{tail}" for k in known + grouped for tail in tails]
+    texts += ["iban " + k[:-1] + str((int(k[-1]) + 1) % 10) + " 12 AB" for k in known + grouped if k[-1].isdigit()]
+    texts += ["account " + " ".join(random.choices(known + grouped + ["AB12", "CASH", "X1", "1234", "pay", "QQ08 1234 5678 9012"], k=6)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.pii if s.kind == "iban"] for r in pii.find_spans(df).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == brute.ibans(text, pii.IBAN_LENGTHS), text
+    assert all(got[i] and got[i][0] == (5, 5 + len(k)) for i, k in ((j * len(tails) + n, k) for j, k in enumerate(known + grouped)
+                                                                   for n in range(len(tails)) if tails[n] not in ("x", "1")))
+
+
 def test_pii_edges(edge, clashing, nothing):
     kinds = {r.doc_id: [s.kind for s in r.found] for r in pii.find_spans(edge, "found").collect()}
     assert kinds[1] == kinds[2] == [] and kinds[8] == ["email", "phone"] and kinds[11] == ["card", "ip"]
