@@ -2,7 +2,7 @@
 
 A text's UTF-8 bytes are cut into overlapping chunks that cover the whole document.  Each byte gives a learned vector and one
 further channel: how much of its surroundings repeats at some short distance (word loops look like nothing to
-a filter that sees letters only).  Learned filters slide over the chunk, each filter's largest response over all chunks is
+a filter that sees letters only).  Learned filters slide over the chunk byte by byte, each filter's largest response over all chunks is
 kept, and the maxima are combined into one probability.  Chunks overlap by the filter width, so the
 maximum over chunks is the maximum over the document, whatever its length, in memory of one chunk.
 
@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHUNK, WIDTH, STRIDE, VECTOR, FILTERS = 15000, 12, 3, 6, 24  # the chunk is a multiple of the stride
+CHUNK, WIDTH, VECTOR, FILTERS = 15000, 12, 6, 24
 LAGS, WINDOW = (2, 24), 16  # the window is a power of two
 SAMPLE, SAMPLE_BYTES, ROUNDS, BATCH, RATE, DECAY = 3000, 65536, 12, 32, 0.01, 1e-4
 
@@ -60,17 +60,17 @@ def chunks(text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         b = np.pad(b, (0, WIDTH - len(b)), constant_values=32)
     for at in range(0, len(b) - WIDTH + 1, CHUNK):
         # The last place of a chunk still sees WIDTH bytes; loops look LAGS back and WINDOW ahead.
-        end, left = min(len(b), at + CHUNK - STRIDE + WIDTH), max(0, at - LAGS[1])
+        end, left = min(len(b), at + CHUNK - 1 + WIDTH), max(0, at - LAGS[1])
         yield b[at:end], loops(b[left:end + WINDOW])[at - left:end - left]
 
 
 def windows(net: Network, b: np.ndarray, channel: np.ndarray) -> np.ndarray:
-    """The input of the filters at every ``STRIDE``-th place: rows of ``WIDTH`` places, vector and loop channel each."""
+    """The input of the filters at every place: rows of ``WIDTH`` places, vector and loop channel each."""
     x = np.empty((len(b), VECTOR + 1), np.float32)
     x[:, :VECTOR] = net.vectors[b]
     x[:, VECTOR] = channel
     flat = np.lib.stride_tricks.sliding_window_view(x.reshape(-1), WIDTH * (VECTOR + 1))
-    return flat[::STRIDE * (VECTOR + 1)]
+    return flat[::VECTOR + 1]
 
 
 def responses(net: Network, text: str | None) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
@@ -82,7 +82,7 @@ def responses(net: Network, text: str | None) -> tuple[np.ndarray, np.ndarray |
         at = out.argmax(axis=0)
         top = out[at, np.arange(FILTERS)] + net.offsets
         for f in np.flatnonzero(top > best):
-            best[f], where[f], raw[f] = top[f], w[at[f]], b[at[f] * STRIDE:at[f] * STRIDE + WIDTH]
+            best[f], where[f], raw[f] = top[f], w[at[f]], b[at[f]:at[f] + WIDTH]
     return best, where, raw
 
 

@@ -326,6 +326,20 @@ def test_classifier_covers_whole_texts():
     assert np.allclose(np.maximum(whole.max(axis=0) + net.offsets, 0), quality_cnn.responses(net, prose)[0], atol=1e-5)
 
 
+def test_classifier_sees_every_place():
+    """Responses are the largest over all places, the last bytes included, in fitting and scoring."""
+    net = quality_cnn.fit(["clean words " * 9, "junk*** wo&&& " * 9], [1, 0], rounds=1)
+    random.seed(8)
+    for n in [*range(12, 30), 15_010, 15_011, 15_012, 15_013]:
+        text = "".join(random.choices("abc *&", k=n))
+        b = np.frombuffer(text.encode(), np.uint8)
+        x = np.column_stack([net.vectors[b], quality_cnn.loops(b)]).astype(np.float32)
+        want = np.max([x[i:i + 12].reshape(-1) @ net.filters for i in range(n - 11)], axis=0) + net.offsets
+        assert np.allclose(np.maximum(want, 0), quality_cnn.responses(net, text)[0], atol=1e-5)
+        score = 1 / (1 + np.exp(-(np.maximum(want, 0) @ net.weights + net.bias)))
+        assert math.isclose(score, quality_cnn.probability(net, text), abs_tol=1e-5)
+
+
 def test_classifier_gradient():
     """The slopes that fitting uses agree with differences of the loss."""
     texts, y = ["abc abc def " * 4, "zz** zz** q&& " * 4], np.array([1.0, 0.0])
