@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import base64
 import functools
-import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +27,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 ROW, GROUP_TOKENS, STRETCH = 2048, 4_000_000, 20_000
+# Blanks as the vocabulary's pattern has them (Unicode White_Space).
+BLANKS = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_BLANKS, BORDER = re.compile(f"(?<![{BLANKS}])[{BLANKS}]{{{STRETCH + 1},}}"), re.compile(f"[^{BLANKS}](?=[{BLANKS}])")
 SCHEMA = "pack_id long, doc_ids array<long>, pieces array<int>, cu_seqlens array<int>, token_ids binary, position_ids binary"
 
 
@@ -38,15 +41,30 @@ def encoding_of(ranks: str, pattern: str) -> tiktoken.Encoding:
 
 
 def stretches(text: str) -> Iterator[str]:
-    """A long text in parts, cut before a blank where there is one: the encoder's patterns recurse over long runs of blanks."""
-    at = 0
-    while at < len(text):
-        end = at + STRETCH
-        if end < len(text):
-            end = max(text.rfind(" ", at + 1, end), text.rfind("\n", at + 1, end))
-            end = end if end > at else at + STRETCH
-        yield text[at:end]
-        at = end
+    """A long text in parts, cut only where words end whatever the rest of the text is.
+
+    No word of the pattern goes on from another character to a blank, so a text may be cut there.  A run of more than ``STRETCH`` blanks is a
+    part of its own, without its last blank if something follows, which begins the next word: so the pattern cuts it too.
+    """
+    at, cuts = 0, []
+    for m in LONG_BLANKS.finditer(text):
+        cuts += [m.start(), m.end() - (m.end() < len(text))]
+    for stop in [*cuts, len(text)]:
+        while stop - at > STRETCH:
+            border = BORDER.search(text, at + STRETCH - 1, stop)
+            if border is None:
+                break
+            yield text[at:border.start() + 1]
+            at = border.start() + 1
+        if stop > at:
+            yield text[at:stop]
+            at = stop
+
+
+def encoded(encoding: tiktoken.Encoding, text: str) -> Iterator[int]:
+    """The ids of the whole text.  A long run of blanks is one word; the pattern, which recurses over its blanks, is not asked."""
+    for part in stretches(text):
+        yield from encoding._encode_single_piece(part) if len(part) >= STRETCH and not part.strip(BLANKS) else encoding.encode_ordinary(part)
 
 
 class RoomTree:
@@ -143,8 +161,7 @@ def pack_documents(docs: DataFrame, path: str, pattern: str, row: int = ROW, gro
         group, tokens = [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                parts = (encoding.encode_ordinary(s) for s in stretches(text.as_py() or ""))
-                ids = np.array([*itertools.chain.from_iterable(parts), close], id_type)
+                ids = np.array([*encoded(encoding, text.as_py() or ""), close], id_type)
                 group.append((doc_id.as_py(), ids))
                 tokens += len(ids)
                 if tokens >= group_tokens:

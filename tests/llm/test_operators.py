@@ -250,6 +250,16 @@ def test_packing_very_long_runs(text):
     assert "".join(parts) == text and all(own.decode(own.encode_ordinary(p)) == p for p in parts)
 
 
+@pytest.mark.parametrize("text", [
+    "aGVsbG8gd29ybGQ" * 8000, "日本語の文章です。" * 9000, "word's " * 9000, "ab  \n c" * 9000, "a" + " " * 50_000 + "b", "a\n" + " \n" * 12_000 + "b 1",
+    " " * 30_001, "x " * 9999 + "\u3000" * 20_001 + "y", ("12ab. " * 3000 + "z" * 25_000 + "\t" * 21_000) * 2])
+def test_packing_ids_of_whole_texts(text):
+    """Ids of long texts are those of the text encoded at once, wherever it is cut."""
+    path, pattern = queries.byte_vocabulary()
+    own = packing.encoding_of(open(path).read(), pattern)
+    assert "".join(packing.stretches(text)) == text and list(packing.encoded(own, text)) == own.encode_ordinary(text)
+
+
 @pytest.mark.parametrize("row, group", [(64, 500), (2048, packing.GROUP_TOKENS)])
 def test_packing_is_lossless(edge, clashing, nothing, row, group):
     path, pattern = queries.byte_vocabulary()
