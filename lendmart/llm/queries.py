@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendmart.llm import bpe, exact_dedup, licenses, mixing, ngram_lm, packing, pii, quality_cnn, quality_rules, simhash
+from lendmart.llm import (bpe, exact_dedup, hard_negatives, licenses, mixing, ngram_lm, packing, pii, quality_cnn, quality_rules, simhash, toxicity,
+                          whitening)
 from lendmart.llm.texts import read_table
 
 KEEP_SCORE = 0.3
+TOXIC_SCORE = 0.5
 TOKENIZER = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +136,35 @@ def quality_rules_query(spark, sf_dir):
 def simhash_query(spark, sf_dir):
     groups = simhash.simhash_groups(read_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", simhash.hexadecimal(F.col("bits")).alias("fingerprint"), "component_id")
+
+
+@query("op11_hard_negatives", """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS found_id, a.label = c.label AS same, CAST(list_inner_product(a.vec, c.vec) AS BIGINT) AS score
+      FROM v a, v c WHERE a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT anchor_id, found_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, found_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, found_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER w <= 10 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, found_id)""")
+def hard_negatives_query(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "label", hard_negatives.whole_components("embedding").alias("vector"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+@query("op12_whitening")
+def whitening_query(spark, sf_dir):
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_toxicity")
+def toxicity_query(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    # A row without doc_id is never learned from.
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))
+    model = toxicity.fit_labelled(docs, read_table(spark, sf_dir, "labels").where(~held_out))
+    scored = toxicity.score_documents(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"))
