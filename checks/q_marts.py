@@ -31,7 +31,7 @@ def catalog(i: Inputs, **frames) -> Catalog:
 
 
 from checks.q_lead import day_sql  # noqa: E402
-from checks.q_portfolio import (AS_OF, FEES_SQL, MEASURES, SITE, SPINE_SQL, SUMMARY_SQL, D, M0, M1, P0, P1, bucket_sql, money,  # noqa: E402
+from checks.q_portfolio import (AS_OF, FEES_SQL, MEASURES, SITE, SPINE_SQL, SUMMARY_SQL, D, M0, M1, P0, P1, bucket_sql, idless, money,  # noqa: E402
                                 monthly_sql, period_sql, position_sql, sum_if, tag_sql)
 from lendmart.plans import lead_details as lead  # noqa: E402
 from lendmart.plans import portfolio, static_pool  # noqa: E402
@@ -104,6 +104,11 @@ def _(i):
     return portfolio.collection_position(i.inst, AS_OF, SITE)
 
 
+@query("collection_position_idless", uses="idless_inst", sql=f"SELECT * FROM {COLLECTION_SQL.format(src='idless_inst')} c")
+def _(i):
+    return portfolio.collection_position(idless(i), AS_OF, SITE)
+
+
 @query("collection_master", uses="live_inst leads", sql=f"""
 SELECT c.*, {D} AS report_datetime FROM {COLLECTION_SQL.format(src='live_inst')} c LEFT JOIN leads l ON l.loan_id = c.loan_id
 WHERE (l.first_disburse_date < {M0} OR (l.first_disburse_date IS NULL AND dpdstart_classification <> 'A8_Future EMI')) AND l.plus <> 420""")

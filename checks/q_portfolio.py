@@ -43,7 +43,16 @@ def sum_if(cond, measure, alias):
 
 @query("installments_source", uses="live_inst", sql="SELECT loan_id, lender, due, created, updated, state, amount, principal, interest FROM live_inst")
 def _(i):
-    return installments(Catalog(i.spark, frames={"installments": i.raw_installments}))
+    return installments(Catalog(i.spark, frames={"installments": i.raw_installments})).drop("emi_month")
+
+
+def idless(i):
+    return installments(Catalog(i.spark, frames={"installments": i.raw_installments_idless}))
+
+
+@query("installments_source_idless", uses="idless_inst", sql="SELECT loan_id, lender, due, created, updated, state, amount, principal, interest FROM idless_inst")
+def _(i):
+    return idless(i).drop("emi_month")
 
 
 @query("portfolio_tag", uses="inst", sql=f"SELECT loan_id, {tag_sql()} AS portfolio_type FROM inst GROUP BY loan_id")
@@ -66,6 +75,14 @@ def _(i):
     return ins.number_installments(i.inst.drop("updated", "principal", "interest"))
 
 
+@query("number_installments_idless", uses="idless_inst", sql=f"""
+SELECT loan_id, due, created, state, amount, dense_rank() OVER (PARTITION BY loan_id ORDER BY date_trunc('month', due) NULLS LAST) AS emi_no,
+  dense_rank() OVER (PARTITION BY loan_id ORDER BY due NULLS LAST) AS emi_no_act, dense_rank() OVER (PARTITION BY loan_id, {_CLS} ORDER BY date_trunc('month', due) NULLS LAST) AS emistate_no,
+  dense_rank() OVER (PARTITION BY loan_id, created ORDER BY date_trunc('month', due) NULLS LAST) AS created_no FROM idless_inst""")
+def _(i):
+    return ins.number_installments(idless(i)).select("loan_id", "due", "created", "state", "amount", "emi_no", "emi_no_act", "emistate_no", "created_no")
+
+
 @query("month_status", uses="inst", sql="""
 SELECT loan_id, due, state, amount, CAST(date_trunc('month', due) AS DATE) AS emi_month,
   CASE WHEN sum(CASE WHEN state = 'due' THEN 1 ELSE 0 END) OVER (PARTITION BY loan_id, date_trunc('month', due)) > 0 THEN 'due' ELSE 'paid' END AS emi_status FROM inst""")
@@ -238,6 +255,11 @@ def _(i):
     return portfolio.loan_position(i.inst, AS_OF, SITE)
 
 
+@query("loan_position_idless", uses="idless_inst", sql=f"SELECT * FROM {position_sql(AS_OF, '1998-06-30', 'idless_inst')} p")
+def _(i):
+    return portfolio.loan_position(idless(i), AS_OF, SITE)
+
+
 @query("loan_position_late_cycle", uses="inst", sql=f"SELECT * FROM {position_sql(views.AS_OF_LATE, '1998-07-31')} p")
 def _(i):
     return portfolio.loan_position(i.inst, views.AS_OF_LATE, SITE)
@@ -324,6 +346,13 @@ def _(i):
     return snap.monthly_asof_agg(snap.loan_month_spine(loans, AS_OF), i.inst, AS_OF)
 
 
+@query("monthly_asof_agg_idless", uses="idless_inst", sql=f"SELECT * FROM {monthly_sql(_KEYS.replace('inst', 'idless_inst'), 'idless_inst')} a")
+def _(i):
+    inst = idless(i)
+    loans = inst.groupBy("loan_id").agg(F.min("created").alias("disburse_date"))
+    return snap.monthly_asof_agg(snap.loan_month_spine(loans, AS_OF), inst, AS_OF)
+
+
 @query("current_month_agg", uses="inst", sql=f"SELECT * FROM {monthly_sql(_KEYS, 'inst')} a WHERE status_month = {M1}")
 def _(i):
     loans = i.inst.groupBy("loan_id").agg(F.min("created").alias("disburse_date"))

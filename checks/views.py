@@ -88,6 +88,25 @@ SELECT row_id AS id, loan_id, lender AS uid_l, {_local_epoch('due', 'line * 3600
 FROM inst_rows"""
 VIEWS["raw_installments"] = f"{_RAW} UNION ALL {_RAW} WHERE line = 2"
 
+# A source without row ids, with a note that no mart reads: the second line comes twice, the third again a second
+# later (another installment of the same day), the fourth again with another note; some days are missing.
+_IDLESS = f"""
+SELECT loan_id, lender AS uid_l, CASE WHEN line = 6 AND lender % 7 = 0 THEN NULL ELSE {_local_epoch('due', 'line * 3600')} END AS due_date,
+       {_local_epoch('created')} AS created, CASE WHEN line = 5 AND lender % 3 = 0 THEN NULL ELSE {_local_epoch('updated', '80000 + again')} END AS udated,
+       amount, principal, interest, state AS emi_state, CASE WHEN line = 7 AND lender % 13 = 0 THEN 'Y' ELSE 'N' END AS deleted,
+       'note ' || CAST(remark AS VARCHAR(2)) AS note
+FROM"""
+VIEWS["raw_installments_idless"] = " UNION ALL ".join(
+    f"{_IDLESS} (SELECT *, {again} AS again, {remark} AS remark FROM inst_rows{where}) AS r{k}"
+    for k, (again, remark, where) in enumerate(((0, 0, ""), (0, 0, " WHERE line = 2"), (1, 0, " WHERE line = 3"), (0, 1, " WHERE line = 4"))))
+
+# The same installments as a mart sees them.
+_DAY = "(DATE '1970-01-01' + CAST(floor(({0} + 19800) / 86400) AS INT))"
+VIEWS["idless_inst"] = f"""
+SELECT loan_id, uid_l AS lender, {_DAY.format('due_date')} AS due, {_DAY.format('created')} AS created, {_DAY.format('udated')} AS updated,
+       emi_state AS state, amount, principal, interest
+FROM (SELECT DISTINCT * FROM raw_installments_idless WHERE deleted = 'N') AS r"""
+
 # The installments a mart sees: those not soft-deleted.
 VIEWS["live_inst"] = "SELECT * FROM inst WHERE NOT (line = 7 AND lender % 13 = 0)"
 

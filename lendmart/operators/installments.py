@@ -1,7 +1,8 @@
 """Installments: numbering, balances, days past due, roll-ups.
 
 Canonical columns: ``loan_id, lender, due, created, updated, state, amount, principal,
-interest`` where ``due/created/updated`` are local days (see ``sources.installments``).
+interest`` where ``due/created/updated`` are local days (see ``sources.installments``), and
+optionally ``emi_month``, the first day of the due month, by which rows may be partitioned.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 
 from lendmart import fixed_values as fv
 from lendmart.functions.dates import col, date_lit, days_between, epoch_to_local_date, month_start
-from lendmart.operators.rows import attach_group_values, dense_positions
+from lendmart.operators.bitmaps import bitmap_ranks, day_number, month_number
+from lendmart.operators.rows import attach_group_values
 
 MEASURES = ("amount", "principal", "interest")
 MONEY = "decimal(28,2)"
@@ -46,15 +48,17 @@ def is_paid() -> Column:
 
 
 def number_installments(df: DataFrame) -> DataFrame:
-    """Running numbers of an installment: by month, by day, within paid / due, within creation day."""
-    out = df.withColumn("emi_month", month_start("due")).withColumn("__cls", F.when(is_paid(), "paid").otherwise("due"))
-    out = dense_positions(out, "loan_id", "emi_month", "emi_no")
-    out = dense_positions(out, "loan_id", "due", "emi_no_act")
-    out = dense_positions(out, ["loan_id", "__cls"], "emi_month", "emistate_no")
-    out = dense_positions(out, ["loan_id", "created"], "emi_month", "created_no")
+    """Running numbers of an installment: by month, by day, within paid / due, within creation day.
+
+    A missing due day comes last; rows without a loan have no numbers.
+    """
+    out = df.withColumn("emi_month", month_start("due"))
+    month, paid = month_number("due"), F.when(is_paid(), 1).otherwise(0).cast("long")
+    out = bitmap_ranks(out, "loan_id", {
+        "emi_no": (None, month), "emi_no_act": (None, day_number("due")), "emistate_no": (paid, month),
+        "created_no": (day_number("created"), month)})
     return (out.withColumn("emidue_no", F.when(F.col("state") == "due", F.col("emistate_no")).otherwise(0))
-               .withColumn("emipaid_no", F.when(is_paid(), F.col("emistate_no")).otherwise(0))
-               .drop("__cls"))
+               .withColumn("emipaid_no", F.when(is_paid(), F.col("emistate_no")).otherwise(0)))
 
 
 def month_status(df: DataFrame) -> DataFrame:
@@ -204,22 +208,28 @@ def total_aggregates() -> tuple[dict[str, Column], dict[str, Column]]:
     return {"first_emi_date": F.min("due"), "last_emi_date": F.max("due"), "last_paid_date": F.max(paid_day)}, out
 
 
+def due_month(df: DataFrame) -> Column:
+    """The due month: the column that rows are already partitioned by, where there is one."""
+    return F.col("emi_month") if "emi_month" in df.columns else month_start("due").alias("emi_month")
+
+
 def by_month(df: DataFrame, aggs: dict, sums: dict | None = None) -> DataFrame:
     """Installments at (loan, month) grain: the only pass over raw rows.
 
     The shuffle key is (loan, month), so an account with very many rows is spread over
     its months, and what follows sees at most one row per account and calendar month.
+    Rows that ``sources.installments`` made distinct under that key are not moved again.
     ``sums`` are money sums; they run in minor units here and are money afterwards.
     """
     sums = sums or {}
-    grouped = (in_minor_units(df).groupBy("loan_id", month_start("due").alias("emi_month"))
+    grouped = (in_minor_units(df).groupBy("loan_id", due_month(df))
                .agg(*[a.alias(n) for n, a in {**aggs, **sums}.items()]))
     return grouped.select("loan_id", "emi_month", *aggs, *[money(n).alias(n) for n in sums])
 
 
 def month_numbers(monthly: DataFrame, running: dict | None = None) -> DataFrame:
-    """Number the months of an account; ``running`` adds running sums (name -> column)."""
-    w = Window.partitionBy("loan_id").orderBy("emi_month")
+    """Number the months of an account, rows without a due day last; ``running`` adds running sums (name -> column)."""
+    w = Window.partitionBy("loan_id").orderBy(F.col("emi_month").asc_nulls_last())
     out = monthly.withColumn("emi_no", F.row_number().over(w))
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for name, c in (running or {}).items():

@@ -1,8 +1,8 @@
 """Loan x month-end snapshots.
 
 The obvious plan joins every installment of a loan to every month of its life and
-aggregates (installments x months rows).  Here each installment is turned into at most
-three month-stamped changes, the changes are summed per (loan, month) in one shuffle, and
+aggregates (installments x months rows).  Here installments are added up once, by loan, due month and
+settlement month; each cell of that cube is at most two month-stamped changes, and
 every point-in-time figure is a running total, running maximum or suffix minimum over the
 months of a loan.  Work grows with installments plus loan-months, and no task ever sees
 more than one row per month of a loan.
@@ -14,28 +14,73 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendmart.functions.dates import date_lit, days_between, month_end, months_between
-from lendmart.operators.installments import MEASURES, in_minor_units, money
+from lendmart.operators.installments import MEASURES, due_month, in_minor_units, money
 
 RELAXED_DAYS = 4
 ACTUAL_DAYS = 0
 
 
+def delta_cube(installments: DataFrame, as_of=None, priority=()) -> DataFrame:
+    """The only pass over raw rows: sums by (loan, due month, settlement month), from which every snapshot figure derives.
+
+    Rows already partitioned by (loan, due month) stay where they are.  Money is in minor units.  Due rows never settle; a
+    row without a settlement day is never settled and one without a due day is never to be collected.  Paid rows without a
+    settlement day count in no figure but the totals.  Bounces need ``as_of``.
+    """
+    st, up = F.col("state"), F.col("updated")
+    due, settles = st == "due", (st != "due") & up.isNotNull()
+    paid = (st == "paid") & up.isNotNull()
+    a = {}
+    for m in MEASURES:
+        a[f"total_{m}"] = F.sum(F.when(st != "closed", F.col(m)).otherwise(F.lit(0)))
+        a[f"due_{m}"] = F.sum(F.when(due, F.col(m)).otherwise(F.lit(0)))
+        a[f"paid_{m}"] = F.sum(F.when(paid, F.col(m)).otherwise(F.lit(0)))
+    a |= {
+        "due_n": F.sum(F.when(due, 1).otherwise(0)), "paid_n": F.sum(F.when(paid, 1).otherwise(0)),
+        "on_end_n": F.sum(F.when(paid & (up == F.last_day(up)), 1).otherwise(0)),
+        "clears": F.max(F.when(settles & st.isin("paid", "closed"), 1).otherwise(0)),
+        "first": F.min("due"), "last": F.max("due"), "created": F.min("created"), "last_paid": F.max(F.when(paid, up)),
+        "low_due": F.min(F.when(due, F.col("due"))), "low_paid": F.min(F.when(paid, F.col("due"))),
+        "low_settled": F.min(F.when(settles, F.col("due")))}
+    for name, days in (("bounce_relax_count", RELAXED_DAYS), ("bounce_act_count", ACTUAL_DAYS)):
+        a[name] = F.lit(0) if as_of is None else F.sum(F.when(bounce_condition(days, as_of), 1).otherwise(0))
+    a |= {f"has_{i}": F.max(F.when(F.col("lender") == uid, 1).otherwise(0)) for i, (uid, _) in enumerate(priority)}
+    cells = in_minor_units(installments).groupBy("loan_id", due_month(installments), F.when(settles, F.last_day(up)).alias("um"))
+    return cells.agg(*[c.alias(n) for n, c in a.items()]).withColumn("dm", F.last_day("emi_month"))
+
+
+def totals(priority) -> dict:
+    """How the totals of cells combine to those of months, and these to those of loans."""
+    return {**{f"total_{m}": F.sum for m in MEASURES}, "first": F.min, "last": F.max, "created": F.min,
+            **{f"has_{i}": F.max for i in range(len(priority))}}
+
+
+def portfolio_label(present, priority, default: str) -> Column:
+    """Label of the first priority lender that is present."""
+    out = F.lit(default)
+    for i, (_, label) in reversed(list(enumerate(priority))):
+        out = F.when(present(f"has_{i}") > 0, label).otherwise(out)
+    return out
+
+
+def by_due_month(cube: DataFrame, priority, **more: Column) -> DataFrame:
+    """Totals by (loan, due month); stays in the partitioning of the cube."""
+    return cube.groupBy("loan_id", "emi_month").agg(
+        F.first("dm").alias("dm"), *[f(n).alias(n) for n, f in totals(priority).items()], *[c.alias(n) for n, c in more.items()])
+
+
+def summary_columns(priority, default: str) -> list[Column]:
+    """A loan's summary from its due months."""
+    return [
+        portfolio_label(F.max, priority, default).alias("portfolio_type"),
+        *[F.sum(money(f"total_{m}")).alias(f"loan_total_{m}") for m in MEASURES],
+        F.count("dm").alias("total_emi_count"), F.min("first").alias("first_emi_date"), F.max("last").alias("last_emi_date"),
+        F.min("created").alias("min_emi_created")]
+
+
 def loan_summary(installments: DataFrame, priority, default: str) -> DataFrame:
     """One row per loan: portfolio, totals, months, first and last day."""
-    by_month = in_minor_units(installments).groupBy("loan_id", month_end("due").alias("m")).agg(
-        *[F.sum(F.when(F.col("state") != "closed", F.col(c)).otherwise(F.lit(0))).alias(c) for c in MEASURES],
-        F.min("due").alias("first"), F.max("due").alias("last"), F.min("created").alias("created"),
-        *[F.max(F.when(F.col("lender") == uid, 1).otherwise(0)).alias(f"has_{i}") for i, (uid, _) in enumerate(priority)])
-    tag = None
-    for i, (_, label) in enumerate(priority):
-        c = F.max(f"has_{i}") > 0
-        tag = F.when(c, label) if tag is None else tag.when(c, label)
-    return by_month.groupBy("loan_id").agg(
-        tag.otherwise(default).alias("portfolio_type"),
-        *[F.sum(money(c)).alias(f"loan_total_{c}") for c in MEASURES],
-        F.count("m").alias("total_emi_count"),
-        F.min("first").alias("first_emi_date"), F.max("last").alias("last_emi_date"),
-        F.min("created").alias("min_emi_created"))
+    return by_due_month(delta_cube(installments, None, priority), priority).groupBy("loan_id").agg(*summary_columns(priority, default))
 
 
 def with_disbursal(summary: DataFrame, disbursals: DataFrame) -> DataFrame:
@@ -79,76 +124,56 @@ def bounce_flags(installments: DataFrame, as_of, relaxed: int = RELAXED_DAYS, ac
         F.sum(F.when(bounce_condition(actual, as_of), 1).otherwise(0)).alias("bounce_act_count"))
 
 
-def month_changes(installments: DataFrame, as_of) -> DataFrame:
-    """Installments as month-stamped changes, summed per (loan, month).
+LOWS = ("due_first", "p_first_paid", "p_first_settled")
+COUNTS = ("d_open_n", "p_paid_n", "p_on_end_n", "bounce_relax_count", "bounce_act_count", "paid_months")
+SUMS = tuple(f"{k}_{m}" for k in "dpc" for m in MEASURES)
+
+
+def month_changes(cube: DataFrame, priority=()) -> DataFrame:
+    """The cube as changes by (loan, month).
 
     ``d_`` columns are stamped with the due month, ``p_`` with the settlement month and
-    ``c_`` with the later of both.  Money is in minor units.  A row without a settlement day is
-    never settled and one without a due day is never to be collected, so they make no such change;
-    paid rows without a settlement day count in no figure, as in ``current_month_agg``.
+    ``c_`` with the later of both; totals stand with the due month.  A due month turns paid at its first settlement:
+    ``paid_months`` counts those that do so in a month.
     """
-    paid, due, closed = (F.col("state") == s for s in ("paid", "due", "closed"))
-    paid = paid & F.col("updated").isNotNull()
-    base = in_minor_units(installments).select(
-        "loan_id", "due", "updated", "state", *MEASURES,
-        month_end("due").alias("dm"), month_end("updated").alias("um"))
-    kinds = [F.struct(F.lit("d").alias("k"), F.col("dm").alias("m"))]
-    # Due rows never settle, so they carry no settlement change.
-    both = F.when(F.col("dm").isNotNull() & F.col("um").isNotNull(), F.greatest("dm", "um"))
-    settled = [F.struct(F.lit("p").alias("k"), F.col("um").alias("m")), F.struct(F.lit("c").alias("k"), both.alias("m"))]
-    changes = F.filter(F.array(*kinds, *settled), lambda e: (e["k"] == "d") | e["m"].isNotNull())
-    ev = (base.withColumn("ev", F.explode(F.when(due, F.array(*kinds)).otherwise(changes)))
-              .select("*", F.col("ev.k").alias("k"), F.col("ev.m").alias("status_month")).drop("ev"))
-    d, p, c = (F.col("k") == k for k in ("d", "p", "c"))
-    zero = F.lit(0)
-    # (loan, month) rows of the settlement side also carry, per due month, the earliest
-    # settlement, which decides when a month counts as paid.
-    aggs = []
+    dm, um = F.col("dm"), F.col("um")
+    kind = lambda month, d, p, c: F.struct(month.alias("m"), d.alias("d"), p.alias("p"), c.alias("c"))
+    yes, no = F.lit(True), F.lit(False)
+    at_due = kind(dm, yes, F.coalesce(dm == um, no), F.coalesce(dm >= um, no))
+    at_settlement = kind(um, no, yes, F.coalesce(dm < um, no))
+    ev = cube.withColumn("ev", F.explode(F.when(um.isNull() | (dm == um), F.array(at_due)).otherwise(F.array(at_due, at_settlement))))
+    d, p, c = (F.col(f"ev.{k}") for k in "dpc")
+    only = lambda cond, name: F.when(cond, F.col(name))
+    aggs = {}
     for m in MEASURES:
-        aggs += [F.sum(F.when(d & (due | paid), F.col(m)).otherwise(zero)).alias(f"d_{m}"),
-                 F.sum(F.when(p & paid, F.col(m)).otherwise(zero)).alias(f"p_{m}"),
-                 F.sum(F.when(c & paid, F.col(m)).otherwise(zero)).alias(f"c_{m}")]
-    aggs += [
-        F.sum(F.when(d & (due | paid), 1).otherwise(0)).alias("d_open_n"),
-        F.sum(F.when(p & paid, 1).otherwise(0)).alias("p_paid_n"),
-        F.sum(F.when(p & paid & (F.col("updated") == F.col("um")), 1).otherwise(0)).alias("p_on_end_n"),
-        F.max(F.when(p & paid, F.col("updated"))).alias("p_last"),
-        F.min(F.when(d & due, F.col("due"))).alias("due_first"),
-        F.min(F.when(p & paid, F.col("due"))).alias("p_first_paid"),
-        F.min(F.when(p, F.col("due"))).alias("p_first_settled"),
-        F.min(F.when(d & (paid | closed), F.col("um"))).alias("month_settled"),
-        F.sum(F.when(d & bounce_condition(RELAXED_DAYS, as_of), 1).otherwise(0)).alias("bounce_relax_count"),
-        F.sum(F.when(d & bounce_condition(ACTUAL_DAYS, as_of), 1).otherwise(0)).alias("bounce_act_count"),
-    ]
-    return ev.groupBy("loan_id", "status_month").agg(*aggs)
+        aggs |= {f"d_{m}": F.sum(F.when(d, F.col(f"due_{m}") + F.col(f"paid_{m}"))), f"p_{m}": F.sum(only(p, f"paid_{m}")), f"c_{m}": F.sum(only(c, f"paid_{m}"))}
+    aggs |= {
+        "d_open_n": F.sum(F.when(d, F.col("due_n") + F.col("paid_n"))), "p_paid_n": F.sum(only(p, "paid_n")), "p_on_end_n": F.sum(only(p, "on_end_n")),
+        "bounce_relax_count": F.sum(only(d, "bounce_relax_count")), "bounce_act_count": F.sum(only(d, "bounce_act_count")),
+        "due_first": F.min(only(d, "low_due")), "p_first_paid": F.min(only(p, "low_paid")), "p_first_settled": F.min(only(p, "low_settled")),
+        "p_last": F.max(only(p, "last_paid")), "due_month": F.max(F.when(d & dm.isNotNull(), 1)),
+        "cleared": F.min(F.when(d & dm.isNotNull() & (F.col("clears") == 1), um)),
+        **{n: f(only(d, n)) for n, f in totals(priority).items()}}
+    months = ev.groupBy("loan_id", F.col("ev.m").alias("status_month")).agg(*[x.alias(n) for n, x in aggs.items()])
+    # One more change where a due month turns paid; it carries nothing else.
+    own = F.array(F.struct(F.col("status_month").alias("m"), F.lit(0).alias("n")))
+    turned = F.array(F.struct(F.col("cleared").alias("m"), F.lit(1).alias("n")))
+    months = months.withColumn("ev", F.explode(F.when(F.col("cleared").isNull(), own).otherwise(F.concat(own, turned))))
+    kept = [n for n in aggs if n != "cleared"]
+    return months.select("loan_id", F.col("ev.m").alias("status_month"), F.col("ev.n").alias("paid_months"),
+                         *[F.when(F.col("ev.n") == 0, F.col(n)).alias(n) for n in kept])
 
 
-def monthly_asof_agg(spine: DataFrame, installments: DataFrame, as_of) -> DataFrame:
-    """Point-in-time figures for every (loan, month) of the spine."""
-    changes = month_changes(installments, as_of)
-    # A due month turns paid at its first settlement: one more change per (loan, month) row.
-    own = F.struct(F.col("status_month").alias("m"), F.lit(0).alias("is_paid_month"))
-    paid_month = F.struct(F.col("month_settled").alias("m"), F.lit(1).alias("is_paid_month"))
-    changes = (changes.withColumn("ev", F.explode(F.when(F.col("month_settled").isNull(), F.array(own))
-                                                  .otherwise(F.array(own, paid_month))))
-               .withColumn("status_month", F.col("ev.m")).withColumn("paid_months", F.col("ev.is_paid_month"))
-               .drop("ev", "month_settled"))
-    figures = [c for c in changes.columns if c not in ("loan_id", "status_month", "paid_months")]
-    original = F.col("paid_months") == 0
-    changes = changes.select("loan_id", "status_month", "paid_months",
-                             *[F.when(original, F.col(c)).alias(c) for c in figures])
-    keys = spine.select("loan_id", "status_month", F.lit(1).alias("wanted"))
-    # At most a few rows per loan and month from here on: one exchange on the loan serves
-    # the regrouping, both windows and the joins of the caller.
-    months = changes.unionByName(keys, allowMissingColumns=True).repartition("loan_id")
-    sums = [f"{k}_{m}" for k in "dpc" for m in MEASURES]
-    counts = ["d_open_n", "p_paid_n", "p_on_end_n", "bounce_relax_count", "bounce_act_count", "paid_months"]
-    lows = ["due_first", "p_first_paid", "p_first_settled"]
-    months = months.groupBy("loan_id", "status_month").agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums + counts],
-        *[F.min(c).alias(c) for c in lows],
-        F.max("p_last").alias("p_last"), F.max("wanted").alias("wanted"))
+def months_of_loans(changes: DataFrame, priority=(), more: tuple = ()) -> DataFrame:
+    """One row for each (loan, month) of changes, loans kept together; ``more`` are columns of which the largest is kept."""
+    return changes.repartition("loan_id").groupBy("loan_id", "status_month").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUMS + COUNTS], *[F.min(c).alias(c) for c in LOWS], F.max("p_last").alias("p_last"),
+        F.max("due_month").alias("due_month"), *[f(n).alias(n) for n, f in totals(priority).items() if n in changes.columns],
+        *[F.max(c).alias(c) for c in more])
+
 
+def running(months: DataFrame, summary: list | None = None) -> DataFrame:
+    """Running totals (``r_``), totals of the loan (``t_``) and minima over later months; ``summary`` adds values of the loan."""
     w = Window.partitionBy("loan_id").orderBy("status_month")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     all_months = Window.partitionBy("loan_id")
@@ -156,67 +181,130 @@ def monthly_asof_agg(spine: DataFrame, installments: DataFrame, as_of) -> DataFr
                  .rowsBetween(Window.unboundedPreceding, -1)
     # Rows without a due day stand under no month: part of the loan, but of no running total.
     dated = F.col("status_month").isNotNull()
-    out = months.select(
-        "*",
-        *[F.sum(F.when(dated, F.col(c)).otherwise(F.lit(0))).over(upto).alias(f"r_{c}") for c in sums + ["d_open_n", "p_paid_n", "paid_months"]],
-        F.max("p_last").over(upto).alias("last_paid_date"),
+    return months.select(
+        "*", F.lead("status_month").over(w).alias("next_month"), F.row_number().over(w).alias("no"),
+        *[F.sum(F.when(dated, F.col(c)).otherwise(F.lit(0))).over(upto).alias(f"r_{c}") for c in SUMS + ("d_open_n", "p_paid_n", "paid_months")],
+        F.max("p_last").over(upto).alias("r_p_last"),
         *[F.sum(f"d_{m}").over(all_months).alias(f"t_{m}") for m in MEASURES],
         F.sum("d_open_n").over(all_months).alias("t_open_n"),
         F.min("due_first").over(all_months).alias("low_due"),
         F.min("p_first_paid").over(back).alias("low_paid_later"),
         F.min("p_first_settled").over(back).alias("low_settled_later"),
-    ).filter(F.col("wanted") == 1)
+        *[c.over(all_months).alias(n) for n, c in summary or []])
+
+
+def figures() -> list[Column]:
+    """The point-in-time figures of a row of ``running``."""
     oldest_open = F.least("low_due", "low_paid_later")
-    return out.select(
-        "loan_id", "status_month",
+    return [
         (F.col("t_open_n") - F.col("r_p_paid_n") + F.col("p_on_end_n")).alias("active_count"),
         F.col("r_paid_months").alias("paid_emi_count"),
         *[money(F.col(f"r_p_{m}")).alias(f"total_paid_{m}") for m in MEASURES],
         *[money(F.col(f"p_{m}")).alias(f"total_paid_{m}_this_month") for m in MEASURES],
-        "last_paid_date",
+        F.col("r_p_last").alias("last_paid_date"),
         F.least("low_due", "low_settled_later").alias("due_emi_date"),
         *[money(F.col(f"t_{m}") - F.col(f"r_p_{m}")).alias(f"total_due_{m}") for m in MEASURES],
         *[money(F.col(f"r_d_{m}") - F.col(f"r_c_{m}")).alias(f"due_{m}_to_collect") for m in MEASURES],
         F.when(F.last_day(oldest_open) <= F.col("status_month"), oldest_open).alias("min_overdue_emi_date"),
-        "bounce_relax_count", "bounce_act_count")
+        F.col("bounce_relax_count"), F.col("bounce_act_count")]
+
+
+def monthly_asof_agg(spine: DataFrame, installments: DataFrame, as_of) -> DataFrame:
+    """Point-in-time figures for every (loan, month) of the spine."""
+    changes = month_changes(delta_cube(installments, as_of))
+    keys = spine.select("loan_id", "status_month", F.lit(1).alias("wanted"))
+    # At most a few rows per loan and month from here on: one exchange on the loan serves
+    # the regrouping, the windows and the joins of the caller.
+    months = months_of_loans(changes.unionByName(keys, allowMissingColumns=True), more=("wanted",))
+    return running(months).filter(F.col("wanted") == 1).select("loan_id", "status_month", *figures())
+
+
+SUMMARY = ("portfolio_type", *(f"loan_total_{m}" for m in MEASURES), "total_emi_count", "first_emi_date", "last_emi_date")
+DISBURSAL = ("disburse_date", "first_disburse_date", "last_disburse_date")
+
+
+def monthly_frame(installments: DataFrame, disbursals: DataFrame, as_of, priority, default: str, months: DataFrame | None = None) -> DataFrame:
+    """Summary, disbursal and figures of every loan at every month end from its disbursal to the month of ``as_of``.
+
+    Everything derives from the rows of one cube.  Months in which nothing changes are filled in from the month before
+    them, after all totals are known; those before a loan's first change from that change.
+    """
+    changed = months_of_loans(month_changes(delta_cube(installments, as_of, priority), priority), priority)
+    summary = [(f"loan_total_{m}", F.sum(f"total_{m}")) for m in MEASURES] + [
+        ("total_emi_count", F.sum("due_month")), ("first_emi_date", F.min("first")), ("last_emi_date", F.max("last")),
+        ("min_emi_created", F.min("created")), *[(f"any_{i}", F.max(f"has_{i}")) for i in range(len(priority))]]
+    out = with_disbursal(running(changed, summary).drop("first", "last", "created"), disbursals)
+    last = F.last_day(date_lit(as_of))
+    own, start = F.col("status_month"), F.last_day("disburse_date")
+    end = F.least(F.coalesce(F.last_day(F.add_months("next_month", -1)), last), last)
+    # Ends of months by their first days: a sequence of last days would stick to the shortest month.
+    ends = lambda a, b: F.when(a <= b, F.transform(F.sequence(F.trunc(a, "month"), F.trunc(b, "month"), F.expr("interval 1 month")), F.last_day))
+    none = F.array().cast("array<date>")
+    before = F.when(F.col("no") == 1, ends(start, F.least(F.coalesce(F.last_day(F.add_months(own, -1)), end), end)))
+    since = ends(F.greatest(own, start), end)
+    filled = F.concat(F.transform(F.coalesce(before, none), lambda m: F.struct(m.alias("m"), F.lit(True).alias("early"))),
+                      F.transform(F.coalesce(F.when(own.isNotNull(), since), none), lambda m: F.struct(m.alias("m"), F.lit(False).alias("early"))))
+    out = out.withColumn("at", F.explode(filled))
+    month, early = F.col("at.m"), F.col("at.early")
+    here = month.eqNullSafe(own)
+    changes = {c: F.when(here, F.col(c)).otherwise(F.lit(0)) for c in (*SUMS, "p_on_end_n", "bounce_relax_count", "bounce_act_count")}
+    totals_so_far = {f"r_{c}": F.when(early, F.lit(0)).otherwise(F.col(f"r_{c}")) for c in SUMS + ("d_open_n", "p_paid_n", "paid_months")}
+    # Before the first change, that change still lies ahead.
+    ahead = {later: F.when(early, F.least(later, low)).otherwise(F.col(later))
+             for later, low in (("low_paid_later", "p_first_paid"), ("low_settled_later", "p_first_settled"))}
+    out = out.withColumns({**changes, **totals_so_far, **ahead, "r_p_last": F.when(~early, F.col("r_p_last")), "status_month": month})
+    if months is not None:
+        out = out.join(months.select(F.col("months").alias("status_month")), "status_month", "left_semi")
+    label = portfolio_label(lambda n: F.col(n.replace("has_", "any_")), priority, default)
+    return out.withColumn("portfolio_type", label).withColumns({f"loan_total_{m}": money(f"loan_total_{m}") for m in MEASURES}) \
+        .withColumn("total_emi_count", F.coalesce("total_emi_count", F.lit(0))).select("loan_id", "status_month", *SUMMARY, *DISBURSAL, *figures())
+
+
+def current_aggregates(as_of) -> tuple[dict, dict]:
+    """Figures of the month of ``as_of`` over the cells of a due month, and how they combine to a loan."""
+    end = F.last_day(date_lit(as_of))
+    dm, um = F.col("dm"), F.col("um")
+    settled, still = um <= end, um > end
+    own = lambda cond, name: F.when(cond, F.col(name))
+    counts = {
+        "active_count": F.sum(F.col("due_n") + F.when(still, F.col("paid_n")).when(um == end, F.col("on_end_n")).otherwise(F.lit(0))),
+        "paid_emi_count": F.max(F.when(settled & dm.isNotNull() & (F.col("clears") == 1), 1).otherwise(0)),
+        **{c: F.sum(F.when(dm == end, F.col(c)).otherwise(F.lit(0))) for c in ("bounce_relax_count", "bounce_act_count")}}
+    days = {
+        "last_paid_date": F.max(own(settled, "last_paid")),
+        "due_emi_date": F.min(F.least("low_due", own(still, "low_settled"))),
+        "min_overdue_emi_date": F.min(F.when(dm <= end, F.least("low_due", own(still, "low_paid"))))}
+    sums = {}
+    for m in MEASURES:
+        open_after = F.col(f"due_{m}") + F.when(still, F.col(f"paid_{m}")).otherwise(F.lit(0))
+        sums |= {f"total_paid_{m}": F.sum(F.when(settled, F.col(f"paid_{m}")).otherwise(F.lit(0))),
+                 f"total_paid_{m}_this_month": F.sum(F.when(um == end, F.col(f"paid_{m}")).otherwise(F.lit(0))),
+                 f"total_due_{m}": F.sum(open_after), f"due_{m}_to_collect": F.sum(F.when(dm <= end, open_after).otherwise(F.lit(0)))}
+    combined = {**{n: F.sum(n) for n in counts}, "last_paid_date": F.max("last_paid_date"), "due_emi_date": F.min("due_emi_date"),
+                "min_overdue_emi_date": F.min("min_overdue_emi_date"), **{n: F.sum(money(n)) for n in sums}}
+    return {**counts, **days, **sums}, combined
 
 
 def current_month_agg(spine: DataFrame, installments: DataFrame, as_of) -> DataFrame:
-    """The same figures for the month of ``as_of`` only: one conditional aggregate per loan.
+    """The same figures for the month of ``as_of`` only: conditional aggregates over the cells of the cube.
 
     Two levels, (loan, due month) then loan, so that distinct months are counted without a
     distinct aggregate and a hot loan is spread over its months.
     """
-    end = F.last_day(date_lit(as_of))
-    start = F.trunc(date_lit(as_of), "month")
-    st, up, dm = F.col("state"), F.col("updated"), month_end("due")
-    paid, due = st == "paid", st == "due"
-    open_after = due | (paid & (up > end))
-    a = {
-        "active_count": F.sum(F.when(due | (paid & (up >= end)), 1).otherwise(0)),
-        "paid_emi_count": F.max(F.when((st != "due") & (up <= end), 1).otherwise(0)),
-        "last_paid_date": F.max(F.when(paid & (up <= end), up)),
-        "due_emi_date": F.min(F.when(due | (up > end), F.col("due"))),
-        "min_overdue_emi_date": F.min(F.when(open_after & (dm <= end), F.col("due"))),
-        "bounce_relax_count": F.sum(F.when((dm == end) & bounce_condition(RELAXED_DAYS, as_of), 1).otherwise(0)),
-        "bounce_act_count": F.sum(F.when((dm == end) & bounce_condition(ACTUAL_DAYS, as_of), 1).otherwise(0)),
-    }
-    for m in MEASURES:
-        a[f"total_paid_{m}"] = F.sum(F.when(paid & (up <= end), F.col(m)).otherwise(F.lit(0)))
-        a[f"total_paid_{m}_this_month"] = F.sum(F.when(paid & up.between(start, end), F.col(m)).otherwise(F.lit(0)))
-        a[f"total_due_{m}"] = F.sum(F.when(open_after, F.col(m)).otherwise(F.lit(0)))
-        a[f"due_{m}_to_collect"] = F.sum(F.when(open_after & (dm <= end), F.col(m)).otherwise(F.lit(0)))
-    by_month = in_minor_units(installments).groupBy("loan_id", dm.alias("dm")).agg(*[x.alias(n) for n, x in a.items()])
-    lows, highs = {"due_emi_date", "min_overdue_emi_date"}, {"last_paid_date"}
-
-    def total(n):
-        return F.sum(money(n) if n.endswith(("amount", "principal", "interest", "_this_month", "_to_collect")) else n)
-
-    per_loan = by_month.groupBy("loan_id").agg(
-        *[(F.min(n) if n in lows else F.max(n) if n in highs else total(n)).alias(n) for n in a])
+    cells, combined = current_aggregates(as_of)
+    per_loan = by_due_month(delta_cube(installments, as_of), (), **cells).groupBy("loan_id").agg(*[c.alias(n) for n, c in combined.items()])
     return spine.select("loan_id", "status_month").join(per_loan, "loan_id")
 
 
+def current_frame(installments: DataFrame, disbursals: DataFrame, as_of, priority, default: str, months: DataFrame | None = None) -> DataFrame:
+    """The month of ``as_of`` of ``monthly_frame``, from the same cube without running totals."""
+    cells, combined = current_aggregates(as_of)
+    loans = by_due_month(delta_cube(installments, as_of, priority), priority, **cells).groupBy("loan_id").agg(
+        *summary_columns(priority, default), *[c.alias(n) for n, c in combined.items()])
+    spine = loan_month_spine(with_disbursal(loans, disbursals), as_of, months, only_current=True)
+    return spine.select("loan_id", "status_month", *SUMMARY, *DISBURSAL, *combined)
+
+
 def months_on_book(first_due, disbursed, status_month) -> dict[str, Column]:
     """Months since the first installment (counting it) and since the disbursal month."""
     return {

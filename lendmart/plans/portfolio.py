@@ -243,12 +243,10 @@ def _monthly(catalog: Catalog, as_of, site: SiteConfig, only_current: bool) -> D
     joined = ins.collected_proposals(catalog["proposals"], catalog["proposal_collections"])
     disbursed = joined.groupBy(F.col("loan_id").try_cast("long").alias("loan_id")).agg(
         F.min("collection_day").alias("first_day"), F.max("collection_day").alias("last_day"))
-    loans = snap.with_disbursal(snap.loan_summary(inst, site.priority_lenders, site.other_portfolio), disbursed)
     months = catalog["month_ends"] if catalog.has("month_ends") else None
-    spine = snap.loan_month_spine(loans, as_of, months, only_current=only_current)
-    figures = (snap.current_month_agg if only_current else snap.monthly_asof_agg)(spine, inst, as_of)
+    frame = snap.current_frame if only_current else snap.monthly_frame
     lead = _leads(catalog, LEAD_ATTRIBUTES)
-    out = figures.join(loans, "loan_id").join(lead, "loan_id", "left")
+    out = frame(inst, disbursed, as_of, site.priority_lenders, site.other_portfolio, months).join(lead, "loan_id", "left")
     d = date_lit(as_of)
     at = F.least(F.col("status_month"), d)
     active = F.col("active_count") > 0

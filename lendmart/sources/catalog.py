@@ -67,23 +67,30 @@ def to_long(c: str):
     return F.col(c).try_cast("long").alias(c)
 
 
-def installments(catalog: Catalog, offset_s: int = fv.IST_OFFSET_S) -> DataFrame:
+def installments(catalog: Catalog, offset_s: int = fv.IST_OFFSET_S, co_partitioned: bool = True) -> DataFrame:
     """Active installments in canonical form (see ``operators.installments``), each source row once.
 
-    Source rows repeat.  Copies agree in every column, ``id`` included where the source has one, so they are removed
-    by a distinct over the whole row: copies meet in the map tasks already and no key is hot.  Money must
-    have two decimals at most; finer amounts are an error, not rounded.
+    Source rows repeat.  Copies agree in every source column, so rows are compared as they arrive, before seconds become days;
+    where the source has an ``id``, it and the columns that are used tell rows apart, otherwise all columns do.  Copies are
+    removed inside the (loan, due month) partitioning that the aggregates of ``operators`` go on with, so the rows are moved once.
+    ``co_partitioned=False`` removes them under a partitioning by the whole row instead: one more movement of aggregated rows,
+    but a single (loan, month) that holds a large share of all rows is spread.  Money must have two decimals at most;
+    finer amounts are an error, not rounded.
     """
-    raw = catalog.table("installments")
-    row = [c for c in ("id",) if c in raw.columns]
-    return (raw.filter(F.col("deleted") == "N")
-            .select(*row, to_long("loan_id"), F.col("uid_l").cast("long").alias("lender"),
-                    epoch_to_local_date("due_date", offset_s).alias("due"),
-                    epoch_to_local_date("created", offset_s).alias("created"),
-                    epoch_to_local_date("udated", offset_s).alias("updated"),
-                    F.col("emi_state").alias("state"),
-                    *[hundredths(m) for m in ("amount", "principal", "interest")])
-            .distinct().drop("id"))
+    raw = catalog.table("installments").filter(F.col("deleted") == "N")
+    used = ("loan_id", "uid_l", "due_date", "created", "udated", "emi_state", "amount", "principal", "interest")
+    if "id" in raw.columns:
+        raw = raw.select("id", *used)
+    due = epoch_to_local_date("due_date", offset_s)
+    keys = {"__loan": F.col("loan_id").try_cast("long"), "__month": F.trunc(due, "month")}
+    rows = raw.withColumns(keys)
+    if co_partitioned:
+        rows = rows.repartition(*keys)
+    # The money columns take part as they came; only then are they read.
+    return rows.distinct().select(
+        F.col("__loan").alias("loan_id"), F.col("uid_l").cast("long").alias("lender"), due.alias("due"),
+        epoch_to_local_date("created", offset_s).alias("created"), epoch_to_local_date("udated", offset_s).alias("updated"),
+        F.col("emi_state").alias("state"), *[hundredths(m) for m in ("amount", "principal", "interest")], F.col("__month").alias("emi_month"))
 
 
 def hundredths(c: str):
