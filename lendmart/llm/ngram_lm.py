@@ -1,24 +1,28 @@
-"""Language model scores: an interpolated modified Kneser-Ney model of word pairs, counted and applied in shards.
-
-Tokens are words between blanks, A-Z lower-cased, and one end for each text; the first token follows a start.  Words are
-64-bit hashes.  A pair's counts are discounted by three discounts (for counts of one, two, and three or more, estimated
-from the counts of counts), and what they free goes to the continuation probability of the word: in how many
-different contexts it was seen, discounted in the same way, and the rest to all words alike, an unknown one among them.
-
-No worker holds the model.  Map tasks reduce blocks of documents to their distinct pairs and, for each pair, the
-documents it stands in; pairs are dealt to shards by their first word, and once.  A shard is counted by one task:
-its pairs, its contexts.  What a word needs from all shards (continuations, count) is added up by word in a second,
-smaller exchange and returned to the shards that asked.  Then each shard's model is written as sorted hash arrays, memory-mapped,
-and the blocks' pairs are looked up in it; sums by document go back to the block.  A first word with a large share of all
-tokens is dealt to all shards by the second word as well; at most ``HOT_SHARE`` times the number of shards such words can exist.
-
-The dealt pairs are used twice, for counting and for scoring, through one shuffle (the second job skips its map
-stage; if an executor is lost, Spark computes its part anew).
-
-Defined cases: a null or empty text, or one of blanks, is its end token alone; a null ``doc_id`` counts as a training row in the
-caller's rule (``train`` decides); repeated rows are counted and scored one by one; without training rows every token has the probability of
-an unknown one; an empty table gives an empty result; other columns of the input, whatever their names, take no part; texts
-longer than a block are cut into blocks that know the word before them, and their sums are added.
+"""Language model scores: an interpolated modified Kneser-Ney model of word n-grams (``order`` 2 or 3), counted and applied in shards.
+
+Tokens are words between blanks, A-Z lower-cased, and one end for each text; the first token follows a start.  The highest order is
+discounted by its counts, the lower ones by continuation counts (in how many different contexts an n-gram was seen; its count where it
+begins with the start), each with three discounts (for one, two, and three or more) estimated from the counts of counts.
+What is freed goes to the next lower order, and from single words to all words alike, an unknown one among them.
+
+Words are 64-bit hashes of which the whole corpus has shown that no two words share one; otherwise another seed is taken.  That count of
+words also tells how many tokens there are and which words are frequent: a list of at most ``FREQUENT``.
+
+No worker holds the model.  Map tasks reduce blocks of documents to their distinct n-grams and, for each, the
+documents it stands in.  An n-gram ``u v w`` goes to the shard of its middle word ``v`` (of its first word, without ``u``), and once: there stand
+all that shares the context ``u v``, all contexts of ``v w``, and all that follows ``v``.  A frequent ``v`` that alone would fill a part of
+a shard is dealt to all shards by ``w`` as well; its contexts are then known in parts.  What a shard lacks (continuations and counts of
+words, sums of divided contexts) is added up by key in a second, smaller exchange and returned to the shards that asked.  Then a shard's
+n-grams are written as sorted hash arrays, memory-mapped, and the blocks' n-grams looked up; sums by document go back to the block.
+
+Counting and scoring read the dealt n-grams from one shuffle: the second job skips its map stage, and what it needs from the second exchange
+is dealt by the same partitioner, so both meet in a task without moving the n-grams again.  If an executor is lost, Spark
+computes its part anew.  A payload holds at least one n-gram, so there are never more payloads than distinct n-grams of blocks.
+
+Defined cases: a null or empty text, or one of blanks, is its end token alone; ``doc_id`` is a whole number or null, and a null one counts as a
+training row where the caller's rule (``train``) is null; repeated rows are counted and scored one by one; without training rows every
+token has the probability of an unknown one; an empty table gives an empty result; other columns of the input, whatever their names,
+take no part; texts longer than a block are cut into blocks that know the words before them, and their sums are added.
 """
 
 from __future__ import annotations
@@ -38,26 +42,51 @@ from pyspark.sql import functions as F
 from lendmart.llm.bpe import slices
 from lendmart.llm.texts import stage
 
-START, END = 1, 2  # hashes of no word
-SCALE = 1e7
+NOTHING, START, END = 0, 1, 2  # hashes of no word, and numbers of no word in a block
 NO_ID = -(1 << 63)  # stands for a null doc_id
-BLOCK_TOKENS, SHARD_TOKENS, HOT_SHARE = 2_000_000, 2_000_000, 8
+ORDER, BLOCK_TOKENS, SHARD_TOKENS, HOT_SHARE, FREQUENT = 3, 4_000_000, 3_000_000, 8, 1 << 16
+WORDS_AT_ONCE = 1 << 20
+SEEDS = (0, 1, 2)
 
 
+# ---- compact payloads
+
 def small(a: np.ndarray) -> np.ndarray:
     """The same whole numbers in the least wide unsigned type."""
     return a.astype(np.min_scalar_type(int(a.max())) if len(a) else np.uint8)
 
 
-def mix(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+def spread_bytes(a: np.ndarray) -> np.ndarray:
+    """First bytes first: alike bytes stand together."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T)
+
+
+def packed(*parts) -> bytes:
+    """Arrays of one dimension and other values in a compressed payload."""
+    plain = [("a", x.dtype.str, spread_bytes(x)) if isinstance(x, np.ndarray) and x.ndim == 1 else ("v", x) for x in parts]
+    raw = pickle.dumps(plain, 5)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(payload: bytes) -> list:
+    raw = pa.decompress(payload[8:], decompressed_size=int.from_bytes(payload[:8], "little"), codec="zstd", asbytes=True)
+    return [np.ascontiguousarray(x[2].T).reshape(-1).view(x[1]) if x[0] == "a" else x[1] for x in pickle.loads(raw)]
+
+
+def steps(ascending: np.ndarray) -> np.ndarray:
+    """Differences of ascending hashes: shorter numbers than the hashes."""
+    return np.diff(ascending, prepend=np.uint64(0))
+
+
+def mix(v: np.ndarray, w: np.ndarray, seed: int = 0) -> np.ndarray:
     """One 64-bit hash of two."""
-    x = (v * np.uint64(0x9E3779B97F4A7C15)) ^ (w + np.uint64(0x632BE59BD9B4E019))
+    x = (v * np.uint64(0x9E3779B97F4A7C15 + 2 * seed)) ^ (w + np.uint64(0x632BE59BD9B4E019))
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(29))
 
 
-def word_hashes(words: Iterable[bytes]) -> np.ndarray:
-    out = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64)
+def word_hashes(words: Iterable[bytes], seed: int) -> np.ndarray:
+    out = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64)
     out[out < 3] += np.uint64(3)
     return out
 
@@ -66,89 +95,142 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-# ---- before dealing: how many tokens, and which words are hot
+# ---- words
 
-def survey(share: float):
-    """For each slice of some megabytes of texts: its tokens (word 0) and the words with more than ``share`` of them."""
+def count_words(seed: int):
+    """Rows ``hash, word, n`` of the words of some megabytes of texts; the end of texts is a word."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            hashes = np.append(word_hashes(count, seed), np.uint64(END))
+            return pa.RecordBatch.from_pydict({"hash": pa.array(hashes.view(np.int64)), "word": pa.array([*count, b""], pa.binary()),
+                                               "n": pa.array([*count.values(), ends], pa.int64())})
+        count: dict[bytes, int] = {}
+        ends = 0
         for batch in (part for whole in batches for part in slices(whole, "text")):
-            count: dict[bytes, int] = {}
-            total = 0
             for text in batch.column("text"):
-                words = words_of(text.as_py())
-                total += len(words) + 1
-                for w in words:
+                ends += 1
+                for w in words_of(text.as_py()):
                     count[w] = count.get(w, 0) + 1
-            often = [(w, c) for w, c in count.items() if c > share * total]
-            hashes = word_hashes(w for w, _ in often).view(np.int64).tolist()
-            yield pa.RecordBatch.from_pydict({"word": pa.array([0, *hashes], pa.int64()),
-                                              "n": pa.array([total, *(c for _, c in often)], pa.int64())})
+            if len(count) > WORDS_AT_ONCE:
+                yield out()
+                count, ends = {}, 0
+        if ends:
+            yield out()
     return rows
 
 
-# ---- map side: documents to pairs by shard
+def vocabulary(texts: DataFrame, seeds=SEEDS) -> tuple[DataFrame, int]:
+    """``hash, n`` of every word, written once, and the seed under which no two words share a hash."""
+    for seed in seeds:
+        counted = texts.select("text").mapInArrow(count_words(seed), "hash long, word binary, n long").groupBy("hash", "word").agg(F.sum("n").alias("n"))
+        words = stage(counted.groupBy("hash").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")), "words")
+        if words.where("words > 1").isEmpty():
+            return words, seed
+    raise ValueError("under every seed two words of this corpus share a hash")
+
+
+class Dealing:
+    """What all tasks know: the seed, the most frequent words, and which of them are divided among shards."""
+
+    def __init__(self, order: int, shards: int, seed: int, frequent: np.ndarray, hot: np.ndarray):
+        self.order, self.shards, self.seed, self.frequent = order, shards, seed, np.sort(frequent)
+        self.hot = np.sort(np.append(hot, np.uint64(START)))
+
+    def shard_of(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        by = v.copy()
+        divided = np.isin(by, self.hot)
+        by[divided] = mix(by[divided], w[divided])
+        return (by % np.uint64(self.shards)).astype(np.int64)
+
+    def place(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash among the frequent ones, -1 if it is not there."""
+        if not len(self.frequent):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.frequent, hashes), len(self.frequent) - 1)
+        return np.where(self.frequent[at] == hashes, at, -1)
+
+
+# ---- map side: documents to n-grams by shard
 
 class Block:
-    """Documents of one map task up to ``BLOCK_TOKENS`` tokens, as numbers of the block's own vocabulary."""
+    """Documents of one map task up to some number of tokens, as numbers of the block's own vocabulary."""
 
     def __init__(self, key: int):
         self.key, self.vocabulary = key, {}
         self.tokens: list[np.ndarray] = []
-        self.before: list[int] = []
+        self.before: list[tuple[int, int]] = []
         self.rows: list[tuple[int, int, bool]] = []
         self.size = 0
 
-    def add(self, row: tuple[int, int, bool], words: list[bytes], previous: bytes | None, last: bool) -> None:
-        """``words`` of a document, after ``previous`` (None: the start), with the end if they are its ``last``."""
+    def add(self, row: tuple[int, int, bool], words: list[bytes], before: list[bytes], last: bool) -> None:
+        """``words`` of a document, after the words ``before`` them (none: the start), with the end if they are its ``last``."""
         known = self.vocabulary
-        ids = np.fromiter((known.setdefault(w, len(known) + 2) for w in words), np.int32, len(words))
-        self.before.append(0 if previous is None else known.setdefault(previous, len(known) + 2))
-        self.tokens.append(np.append(ids, np.int32(1)) if last else ids)
+        number = lambda w: known.setdefault(w, len(known) + 3)
+        ids = np.fromiter(map(number, words), np.int32, len(words))
+        earlier = [NOTHING, START, *map(number, before)][-2:]
+        self.before.append((earlier[0], earlier[1]))
+        self.tokens.append(np.append(ids, np.int32(END)) if last else ids)
         self.rows.append(row)
         self.size += len(self.tokens[-1])
 
-    def dealt(self, shards: int, hot: np.ndarray) -> Iterator[tuple[int, bytes]]:
-        """A payload for every shard that gets pairs; the first of them also has the documents' rows."""
-        hashes = np.concatenate([np.array([START, END], np.uint64), word_hashes(self.vocabulary)])
+    def dealt(self, how: Dealing) -> Iterator[tuple[int, bytes]]:
+        """A payload for every shard that gets n-grams; the first of them also has the documents' rows."""
+        hashes = np.concatenate([np.array([NOTHING, START, END], np.uint64), word_hashes(self.vocabulary, how.seed)])
+        self.vocabulary = {}
         lengths = np.array([len(t) for t in self.tokens])
-        second = np.concatenate(self.tokens).astype(np.int64)
-        first = np.empty_like(second)
-        first[1:] = second[:-1]
+        w = np.concatenate(self.tokens)
+        self.tokens = []
+        before = np.array(self.before, np.int32)
         starts = np.cumsum(lengths) - lengths
-        first[starts] = self.before
-        place = np.repeat(np.arange(len(lengths)), lengths)
-        pairs, inverse = np.unique(first * len(hashes) + second, return_inverse=True)
-        del first, second
-        v, w = np.divmod(pairs, len(hashes))
-        by = hashes[v]
-        spread = np.isin(by, hot)
-        by[spread] = mix(by[spread], hashes[w[spread]])
-        shard = (by % np.uint64(shards)).astype(np.int64)
-        # Occurrences by shard, pair and document, with how often the pair stands in the document.
-        rank = np.empty(len(pairs), np.int64)
-        order = np.argsort(shard, kind="stable")
-        rank[order] = np.arange(len(pairs))
-        found, times = np.unique(rank[inverse] * len(lengths) + place, return_counts=True)
-        pair_at, doc_at = np.divmod(found, len(lengths))
-        cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+        some = lengths > 0
+        v, u = np.empty_like(w), np.empty_like(w)
+        v[1:], u[2:] = w[:-1], w[:-2]
+        second = starts[lengths > 1] + 1
+        u[second] = before[lengths > 1, 1]
+        v[starts[some]], u[starts[some]] = before[some, 1], before[some, 0]
+        if how.order == 2:
+            u[:] = NOTHING
+        place = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        # Tokens in the order of their n-grams, and in it of their documents.
+        order = np.lexsort((place, w, u, v))
+        u, v, w, place = u[order], v[order], w[order], place[order]
+        new = np.append(True, (v[1:] != v[:-1]) | (u[1:] != u[:-1]) | (w[1:] != w[:-1]))
+        other = new | np.append(True, place[1:] != place[:-1])
+        at = np.flatnonzero(other)
+        times, doc = np.diff(np.append(at, len(w))), place[at]
+        gram = (np.cumsum(new) - 1)[at]          # n-gram of each (n-gram, document)
+        first = np.flatnonzero(new)
+        u, v, w = u[first], v[first], w[first]
+        n = np.bincount(gram, minlength=len(u))
+        begin = np.cumsum(n) - n
+        shard = how.shard_of(hashes[v], hashes[w])
+        by_shard = np.argsort(shard, kind="stable")
+        cuts = np.searchsorted(shard[by_shard], np.arange(how.shards + 1))
         rows = np.array([r[:2] for r in self.rows], np.int64)
         train = np.packbits([r[2] for r in self.rows])
+        frequent = how.place(hashes)
+        # Words by their number in a payload: frequent ones by place, then the others by hash.
+        rank = np.lexsort((hashes, frequent, frequent < 0))
+        ranked = np.empty(len(hashes), np.int64)
+        ranked[rank] = np.arange(len(hashes))
+        u, v, w = ranked[u], ranked[v], ranked[w]
         for s in np.flatnonzero(np.diff(cuts)):
-            a, b = cuts[s], cuts[s + 1]
-            x, y = np.searchsorted(pair_at, [a, b])
-            own = order[a:b]
-            used, local = np.unique(np.concatenate([v[own], w[own]]), return_inverse=True)
-            yield int(s), pickle.dumps((
-                self.key, rows, hashes[used], small(local[:b - a]), small(local[b - a:]),
-                small(np.bincount(pair_at[x:y] - a, minlength=b - a)), small(doc_at[x:y]), small(times[x:y]), train), 5)
+            own = by_shard[cuts[s]:cuts[s + 1]]
+            used, local = np.unique(np.concatenate([u[own], v[own], w[own]]), return_inverse=True)
+            k, names = len(own), rank[used]
+            common = int((frequent[names] >= 0).sum())
+            entries = np.repeat(begin[own] - np.append(0, np.cumsum(n[own])[:-1]), n[own]) + np.arange(int(n[own].sum()))
+            yield int(s), packed(
+                self.key, rows, small(frequent[names[:common]]), steps(hashes[names[common:]]), small(local[:k]), small(np.diff(local[k:2 * k], prepend=0) % (1 << 32)),
+                small(local[2 * k:]), small(n[own]), small(doc[entries]), small(times[entries]), train)
             rows = None
 
 
-def deal(shards: int, hot: np.ndarray, block_tokens: int):
-    """Rows ``row, doc_id, train, text`` to rows ``(shard, payload)``; ``row`` is unique to an input row."""
+def deal(how: Dealing, block_tokens: int):
+    """Rows ``row, doc_id, train, text`` to rows ``shard, payload``; ``row`` is unique to an input row."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(block: Block) -> Iterator[pa.RecordBatch]:
-            for s, payload in block.dealt(shards, hot):
+            for s, payload in block.dealt(how):
                 yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "payload": pa.array([payload], pa.binary())})
 
         block = Block(TaskContext.get().partitionId() << 32)
@@ -156,12 +238,11 @@ def deal(shards: int, hot: np.ndarray, block_tokens: int):
             for *row, text in zip(*(batch.column(c) for c in ("row", "doc_id", "train", "text"))):
                 row, doc_id, train = (x.as_py() for x in row)
                 row = (row, NO_ID if doc_id is None else doc_id, train)
-                words, previous, at = words_of(text.as_py()), None, 0
+                words, at = words_of(text.as_py()), 0
                 while True:
                     part = words[at:at + block_tokens - block.size]
+                    block.add(row, part, words[max(0, at - 2):at], at + len(part) == len(words))
                     at += len(part)
-                    block.add(row, part, previous, at == len(words))
-                    previous = part[-1] if part else previous
                     done = at == len(words)
                     if block.size >= block_tokens:
                         yield from out(block)
@@ -175,82 +256,143 @@ def deal(shards: int, hot: np.ndarray, block_tokens: int):
 
 # ---- a shard
 
-class Shard:
-    """The distinct pairs of a shard with their training counts, in the order of first and second word."""
-
-    def __init__(self, payloads: list[bytes]):
-        parts = []
-        for p in payloads:
-            _, _, words, v, w, n, doc, times, train = pickle.loads(p)
-            seen = np.unpackbits(train)[doc] * times.astype(np.int32)
-            parts.append((words[v], words[w], np.add.reduceat(seen, np.cumsum(n, dtype=np.int64) - n)))
-        v, w, c = map(np.concatenate, zip(*parts))
-        del parts
-        order = np.lexsort((w, v))
-        v, w, c = v[order], w[order], c[order]
-        del order
-        new = np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (w[1:] != w[:-1])))
-        self.v, self.w, self.c = v[new], w[new], np.add.reduceat(c, new)
-        del v, w, c, new
-        self.words, self.word_at = np.unique(self.w, return_inverse=True)
-
-    def word_sums(self) -> tuple[np.ndarray, np.ndarray]:
-        """For each second word: contexts it was seen in, and its count."""
-        n = len(self.words)
-        return np.bincount(self.word_at, self.c > 0, n).astype(np.int64), np.bincount(self.word_at, self.c, n).astype(np.int64)
-
-    def contexts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The first words, for each pair its place among them, and their sums: count, pairs seen once, twice, more often."""
-        first, at = np.unique(self.v, return_inverse=True)
-        sums = [np.bincount(at, x, len(first)) for x in (self.c, self.c == 1, self.c == 2, self.c > 2)]
-        return first, at, np.array(sums)
-
-
-def by_shard(rows: Iterable) -> Iterator[tuple[int, list]]:
-    """The rows of a partition by their first field; a partition holds few shards, each of bounded size."""
-    found: dict[int, list] = {}
-    for r in rows:
-        found.setdefault(r[0], []).append(r[1:])
-    return iter(sorted(found.items()))
+def words_and_grams(parts: list, how: Dealing) -> tuple:
+    """Of an unpacked payload: hashes of its words, and the numbers among them of ``u``, ``v`` and ``w``."""
+    _, _, common, rare, u, v, w, *_ = parts
+    v = np.cumsum(v.astype(np.int64)) & ((1 << 32) - 1)
+    return np.concatenate([how.frequent[common.astype(np.int64)], np.cumsum(rare, dtype=np.uint64)]), u, v, w
+
+
+def numbered(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of the keys in their order, as one row of ``keys`` each, and the number of every row among them."""
+    size = 1
+    for k in keys:
+        size *= int(k.max(initial=0)) + 1
+    if size < 1 << 62:
+        code = np.zeros(len(keys[0]), np.int64)
+        for k in keys:
+            code = code * (int(k.max(initial=0)) + 1) + k
+        order = np.argsort(code, kind="stable")
+        code = code[order]
+        new = np.append(True, code[1:] != code[:-1])[:len(code)]
+    else:
+        order = np.lexsort(keys[::-1])
+        new = np.append(True, np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0))[:len(order)]
+    at = np.empty(len(order), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return order[new], at
+
+
+def kinds(at: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` groups the sum of counts and how many are one, two, and more."""
+    return np.array([np.bincount(at, x, n) for x in (counts, counts == 1, counts == 2, counts > 2)])
 
 
-def parts(words: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
-    """The sorted words by the shard that adds them up."""
-    to = (words % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(to, kind="stable")
-    cuts = np.searchsorted(to[order], np.arange(shards + 1))
-    for s in np.flatnonzero(np.diff(cuts)):
-        yield int(s), order[cuts[s]:cuts[s + 1]]
-
+class Shard:
+    """The distinct n-grams of a shard with their training counts, their pairs ``v w``, and both kinds of contexts."""
 
-def counted(shards: int, hot: np.ndarray):
-    """From a shard: requests ``to, shard, payload``; numbers to be added up under ``to`` -1 (counts of counts) and -2 (hot contexts)."""
+    def __init__(self, payloads: list[bytes], how: Dealing):
+        tables, grams = [], []
+        for p in payloads:
+            parts = unpacked(p)
+            words, u, v, w = words_and_grams(parts, how)
+            n, doc, times, train = parts[7:]
+            seen = np.unpackbits(train)[doc] * times.astype(np.int64)
+            tables.append(words)
+            grams.append((u, v, w, np.add.reduceat(seen, np.cumsum(n, dtype=np.int64) - n)))
+        self.hashes, at = np.unique(np.concatenate(tables), return_inverse=True)
+        ends = np.cumsum([len(t) for t in tables])
+        to = [at[e - len(t):e] for e, t in zip(ends, tables)]
+        u, v, w = (np.concatenate([t[g[k]] for t, g in zip(to, grams)]) for k in range(3))
+        c = np.concatenate([g[3] for g in grams])
+        del tables, grams, at, to
+        first, at = numbered(v, u, w)
+        self.c = np.bincount(at, c, len(first)).astype(np.int64)
+        self.u, self.v, self.w = u[first], v[first], w[first]
+        del u, v, w, c, at
+        # Pairs: in how many contexts they were seen; the count itself where they are the highest order or begin a text.
+        first, self.pair = numbered(self.v, self.w)
+        self.pair_v, self.pair_w = self.v[first], self.w[first]
+        count = np.bincount(self.pair, self.c, len(first)).astype(np.int64)
+        starts = self.hashes[self.pair_v] == START
+        self.seen = count if how.order == 2 else np.where(starts, count, np.bincount(self.pair, self.c > 0, len(first)).astype(np.int64))
+        first, self.context = numbered(self.v, self.u)
+        self.context_v, self.context_u = self.v[first], self.u[first]
+        self.sums3 = kinds(self.context, self.c, len(first))
+        first, self.lower = numbered(self.pair_v)
+        self.lower_v = self.pair_v[first]
+        self.sums2 = kinds(self.lower, self.seen, len(first))
+        first, self.word = numbered(self.pair_w)
+        self.words = self.hashes[self.pair_w[first]]
+        self.word_seen = np.bincount(self.word, self.seen > 0, len(first)).astype(np.int64)
+        self.word_count = np.bincount(self.word, count, len(first)).astype(np.int64)
+
+    def divided(self, how: Dealing) -> list[tuple]:
+        """Contexts that other shards have parts of: places, ``v``, ``u`` and sums of those ``u v``, then the same of those ``v`` (``u`` is no word)."""
+        out = []
+        for v, u, sums in ((self.context_v, self.context_u, self.sums3), (self.lower_v, None, self.sums2)):
+            at = np.flatnonzero(np.isin(self.hashes[v], how.hot))
+            u = np.full(len(at), np.uint64((1 << 64) - 1)) if u is None else self.hashes[u[at]]
+            out.append((at, self.hashes[v[at]], u, sums[:, at].astype(np.int64)))
+        return out
+
+    def requests(self, how: Dealing) -> Iterator[tuple]:
+        """For each shard that adds up: what is asked of it, as places here and as a payload."""
+        word_to = (self.words % np.uint64(how.shards)).astype(np.int64)
+        parts = self.divided(how)
+        v, u = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+        sums = np.concatenate([p[3] for p in parts], axis=1)
+        key_to = (mix(v, u) % np.uint64(how.shards)).astype(np.int64)
+        for to in range(how.shards):
+            own, keys = np.flatnonzero(word_to == to), np.flatnonzero(key_to == to)
+            if len(own) or len(keys):
+                yield to, own, keys, lambda own=own, keys=keys: packed(
+                    steps(self.words[own]), small(self.word_seen[own]), small(self.word_count[own]), v[keys], u[keys], *(small(s[keys]) for s in sums))
+
+
+def counts_of_counts(c: np.ndarray) -> list[int]:
+    return [int((c == k).sum()) for k in (1, 2, 3, 4)]
+
+
+def counted(how: Dealing):
+    """From a shard: requests ``to, shard, payload``; counts of counts to be added up, under ``to`` -1."""
     def rows(partition: Iterable) -> Iterator[tuple]:
-        for number, payloads in by_shard(partition):
-            shard = Shard([p for p, in payloads])
-            seen, count = shard.word_sums()
-            for to, own in parts(shard.words, shards):
-                yield to, number, pickle.dumps((shard.words[own], small(seen[own]), small(count[own])), 5), None
-            yield -1, number, None, [int((shard.c == k).sum()) for k in (1, 2, 3, 4)]
-            first, _, sums = shard.contexts()
-            for k in np.flatnonzero(np.isin(first, hot)):
-                yield -2, int(first[k].view(np.int64)), None, [int(x) for x in sums[:, k]]
+        for number, payloads in by_first(partition):
+            shard = Shard(payloads, how)
+            for to, _, _, payload in shard.requests(how):
+                yield to, number, payload(), None
+            yield -1, number, None, counts_of_counts(shard.c) + counts_of_counts(shard.seen)
     return rows
 
 
-def answered(partition: Iterable) -> Iterator[tuple]:
-    """From the requests of a word shard: totals for each shard that asked, in its order; numbers to be added up under ``shard`` -1."""
-    for to, requests in by_shard(partition):
-        asked = [(shard, *pickle.loads(p)) for shard, p, _ in requests]
-        words, at = np.unique(np.concatenate([w for _, w, _, _ in asked]), return_inverse=True)
-        seen = np.bincount(at, np.concatenate([a for _, _, a, _ in asked]), len(words)).astype(np.int64)
-        count = np.bincount(at, np.concatenate([c for _, _, _, c in asked]), len(words)).astype(np.int64)
-        yield -1, to, None, [int((seen == k).sum()) for k in (1, 2, 3, 4)] + [int(x.sum()) for x in (seen > 2, seen, seen > 0, count)]
-        begin = 0
-        for shard, own, _, _ in asked:
-            mine = at[begin:begin + len(own)]
-            begin += len(own)
-            yield shard, to, pickle.dumps((small(seen[mine]), small(count[mine])), 5), None
+def by_first(rows: Iterable) -> Iterator[tuple[int, list]]:
+    """The rows of a partition by their first field; a partition holds few shards, each of bounded size."""
+    found: dict[int, list] = {}
+    for key, value in rows:
+        found.setdefault(key, []).append(value)
+    for key in sorted(found):
+        yield key, found.pop(key)
+
+
+def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From the requests to a shard: totals for each shard that asked, in its order; numbers to be added up, under ``shard`` -1."""
+    def row(shard, to, payload, numbers) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "to": pa.array([to], pa.int32()),
+                                           "payload": pa.array([payload], pa.binary()), "numbers": pa.array([numbers], pa.list_(pa.int64()))})
+
+    rows = ((to, (shard, p)) for b in batches for to, shard, p in zip(*(b.column(c).to_pylist() for c in ("to", "shard", "payload"))))
+    for to, requests in by_first(rows):
+        asked = [(shard, *unpacked(p)) for shard, p in requests]
+        words, at = np.unique(np.concatenate([np.cumsum(r[1], dtype=np.uint64) for r in asked]), return_inverse=True)
+        seen, count = (np.bincount(at, np.concatenate([r[k] for r in asked]), len(words)).astype(np.int64) for k in (2, 3))
+        first, key = numbered(*(np.unique(np.concatenate([r[k] for r in asked]), return_inverse=True)[1] for k in (4, 5)))
+        sums = [np.bincount(key, np.concatenate([r[k] for r in asked]), len(first)).astype(np.int64) for k in (6, 7, 8, 9)]
+        yield row(-1, to, None, counts_of_counts(seen) + [int(x.sum()) for x in (seen > 2, seen, count > 0, count)])
+        a = b = 0
+        for r in asked:
+            own, keys = at[a:a + len(r[1])], key[b:b + len(r[4])]
+            a, b = a + len(own), b + len(keys)
+            yield row(r[0], to, packed(small(seen[own]), small(count[own]), *(small(s[keys]) for s in sums)), None)
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -263,58 +405,78 @@ def discounts(n: list[int]) -> np.ndarray:
     return np.array(d)
 
 
-def scored(shards: int, hot: dict[int, list[int]], pair_numbers: list[int], word_numbers: list[int]):
-    """From a shard's payloads and its answers: sums for the documents of each block."""
-    d2, d1 = discounts(pair_numbers), discounts(word_numbers[:4])
-    n1, n2, more, total_seen, vocabulary, total = word_numbers[0], word_numbers[1], *word_numbers[4:]
+def interpolated(count: np.ndarray, of: np.ndarray, sums: np.ndarray, lower: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Discounted shares of contexts ``of``, and what is left of them for ``lower``."""
+    whole = np.maximum(sums[0], 1)
+    left = np.where(sums[0] > 0, (d[1:] @ sums[1:]) / whole, 1.0)
+    return np.maximum(count - d[np.minimum(count, 3)], 0) / whole[of] + left[of] * lower
+
+
+def scored(how: Dealing, gram_numbers: list[int], word_numbers: list[int]):
+    """From a shard's payloads, and after them its answers: sums for the documents of each block."""
+    d3, d2, d1 = discounts(gram_numbers[:4]), discounts(gram_numbers[4:]), discounts(word_numbers[:4])
+    n1, n2, more, total_seen, size, total = word_numbers[0], word_numbers[1], *word_numbers[4:]
 
     def rows(partition: Iterable) -> Iterator[tuple]:
-        for dealt, answers in partition:
-            replies = dict(by_shard(answers))
-            for number, payloads in by_shard(dealt):
-                payloads = [p for p, in payloads]
-                shard = Shard(payloads)
-                seen, count = np.zeros(len(shard.words)), np.zeros(len(shard.words))
-                reply = {to: pickle.loads(p) for to, p, _ in replies[number]}
-                for to, own in parts(shard.words, shards):
-                    seen[own], count[own] = reply[to]
-                unknown = 1 / (vocabulary + 1)
-                free = (d1[1] * n1 + d1[2] * n2 + d1[3] * more) / total_seen if total_seen else 1.0
-                one = np.maximum(seen - d1[np.minimum(seen, 3).astype(int)], 0) / max(total_seen, 1) + free * unknown
-                base = np.log10((count + 1) / (total + vocabulary + 1))
-                first, at, sums = shard.contexts()
-                for k, v in enumerate(first.view(np.int64).tolist()):
-                    if v in hot:
-                        sums[:, k] = hot[v]
-                whole = np.maximum(sums[0], 1)
-                left = np.where(sums[0] > 0, (d2[1:] @ sums[1:]) / whole, 1.0)
-                two = np.maximum(shard.c - d2[np.minimum(shard.c, 3)], 0) / whole[at] + left[at] * one[shard.word_at]
-                model = np.stack([np.log10(two), base[shard.word_at], count[shard.word_at] > 0], axis=1)
-                keys = mix(shard.v, shard.w)
-                del shard, at, two
-                yield from looked_up(keys, model, payloads)
+        for _, values in by_first(partition):
+            payloads = [p for p in values if isinstance(p, bytes)]
+            answers = {to: p for to, p in (x for x in values if isinstance(x, tuple))}
+            if not payloads:
+                continue
+            shard = Shard(payloads, how)
+            word_seen, word_count = np.zeros(len(shard.words), np.int64), np.zeros(len(shard.words), np.int64)
+            parts = shard.divided(how)
+            whole = np.concatenate([p[3] for p in parts], axis=1)
+            for to, own, keys, _ in shard.requests(how):
+                word_seen[own], word_count[own], *sums = unpacked(answers.pop(to))
+                whole[:, keys] = sums
+            shard.sums3[:, parts[0][0]] = whole[:, :len(parts[0][0])]
+            shard.sums2[:, parts[1][0]] = whole[:, len(parts[0][0]):]
+            free = (d1[1] * n1 + d1[2] * n2 + d1[3] * more) / total_seen if total_seen else 1.0
+            one = np.maximum(word_seen - d1[np.minimum(word_seen, 3)], 0) / max(total_seen, 1) + free / (size + 1)
+            base = np.log10((word_count + 1) / (total + size + 1))[shard.word][shard.pair]
+            known = (word_count > 0)[shard.word][shard.pair]
+            p = interpolated(shard.seen, shard.lower, shard.sums2, one[shard.word], d2)[shard.pair]
+            if how.order == 3:
+                p = interpolated(shard.c, shard.context, shard.sums3, p, d3)
+            grams = [shard.hashes[x] for x in (shard.u, shard.v, shard.w)]
+            del shard, word_seen, word_count, one, whole, parts, answers, values
+            yield from looked_up(grams, np.stack([np.log10(p), base, known], axis=1), payloads, how)
     return rows
 
 
-def looked_up(keys: np.ndarray, values: np.ndarray, payloads: list[bytes]) -> Iterator[tuple[int, bytes]]:
-    """The shard's model as sorted hash arrays in memory-mapped files, and sums over the pairs of each payload."""
-    order = np.argsort(keys)
+def gram_keys(u: np.ndarray, v: np.ndarray, w: np.ndarray, seed: int) -> np.ndarray:
+    return mix(mix(v, w, seed), u, seed)
+
+
+def looked_up(grams: list[np.ndarray], values: np.ndarray, payloads: list[bytes], how: Dealing) -> Iterator[tuple[int, bytes]]:
+    """The shard's model as sorted hash arrays in memory-mapped files, and sums over the n-grams of each payload."""
+    for seed in range(64):
+        keys = gram_keys(*grams, seed)
+        order = np.argsort(keys)
+        keys = keys[order]
+        if not (keys[1:] == keys[:-1]).any():  # no two n-grams share a key
+            break
+    else:
+        raise ValueError("under every seed two n-grams of a shard share a key")
     with tempfile.TemporaryDirectory() as folder:
         files = [os.path.join(folder, f"{name}.npy") for name in ("keys", "values")]
-        np.save(files[0], keys[order])
+        np.save(files[0], keys)
         np.save(files[1], values[order])
         del keys, values, order
+        grams.clear()
         keys, values = (np.load(path, mmap_mode="r") for path in files)
         for p in payloads:
-            block, rows, words, v, w, n, doc, times, _ = pickle.loads(p)
-            found = values[np.searchsorted(keys, mix(words[v], words[w]))]
+            parts = unpacked(p)
+            block, rows = parts[:2]
+            words, u, v, w = words_and_grams(parts, how)
+            n, doc, times, _ = parts[7:]
+            found = values[np.searchsorted(keys, gram_keys(words[u], words[v], words[w], seed))]
             entry, times = np.repeat(np.arange(len(n)), n), times.astype(np.float64)
             tokens, *sums = (np.bincount(doc, times if k is None else times * found[entry, k]) for k in (None, 2, 1, 0))
             docs = np.flatnonzero(tokens)
             known, base, score = (x[docs] for x in sums)
-            # Parts of sums of logarithms travel as whole numbers of 1 / SCALE.
-            yield block, pickle.dumps((rows, small(docs), small(tokens[docs].astype(np.int64)), small(known.astype(np.int64)),
-                                       *(small(np.rint(-x * SCALE).astype(np.int64)) for x in (base, score))), 5)
+            yield block, packed(rows, small(docs), small(tokens[docs].astype(np.int64)), small(known.astype(np.int64)), base, score)
         del keys, values
 
 
@@ -324,7 +486,7 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload").to_pylist()):
-            own, docs, *parts = pickle.loads(payload)
+            own, docs, *parts = unpacked(payload)
             if own is not None:
                 rows[block] = own
             whole = sums.get(block, np.zeros((4, 0)))
@@ -334,51 +496,58 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 total[docs] += part
             sums[block] = whole
     for block, own in rows.items():
-        tokens, known, base, score = sums[block]
+        # A part of a text without words and end has no sums.
+        tokens, known, base, score = np.pad(sums[block], ((0, 0), (0, len(own) - sums[block].shape[1])))
         yield pa.RecordBatch.from_arrays([
-            pa.array(own[:, 0]), pa.array(own[:, 1]), pa.array(tokens.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base / -SCALE), pa.array(score / -SCALE),
+            pa.array(own[:, 0]), pa.array(own[:, 1]), pa.array(tokens.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score),
         ], ["row", "doc_id", "n_tokens", "n_known", "base_score", "score"])
 
 
-def score_documents(docs: DataFrame, train: Column, block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def place(shard: int) -> int:
+    """The partition of a shard; one function, so that both sides have equal partitioners."""
+    return shard
+
+
+def score_documents(docs: DataFrame, train: Column, order: int = ORDER, block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS,
+                    frequent: int = FREQUENT) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` of every row; rows where ``train`` holds are learned from.
 
     ``base_score`` is the score of single words with one added to every count.
     """
+    if order not in (2, 3):
+        raise ValueError("the order is 2 or 3")
     spark = docs.sparkSession
-    texts = docs.select("doc_id", F.coalesce(train, F.lit(True)).alias("train"), "text")
-    # At least as many shards as it takes for their size; a hot word is one that would fill a part of a shard.
-    size = texts.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
-    guess = max(1, ((size[0] or 0) // 5 + size[1]) // shard_tokens)
-    surveyed = texts.select("text").mapInArrow(survey(1 / (2 * HOT_SHARE * guess)), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    surveyed = stage(surveyed, "word_survey")
-    tokens = (surveyed.where("word = 0").first() or (0, 0))[1]
-    shards = max(1, -(-tokens // shard_tokens))
-    # Each of these words has more than its share of all tokens, so there are at most HOT_SHARE * shards of them.
-    often = surveyed.where((F.col("word") != 0) & (F.col("n") > tokens / (HOT_SHARE * shards))).select("word").collect()
-    hot = np.unique(np.array([r.word for r in often] + [START], np.int64).view(np.uint64))
-
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(train, F.lit(True)).alias("train"), "text")
+    words, seed = vocabulary(texts)
+    tokens = words.agg(F.sum("n")).first()[0] or 0
     result = "row long, doc_id long, n_tokens long, n_known long, base_score double, score double"
     if not tokens:
         return spark.createDataFrame([], result + ", train_tokens long").drop("row")
+    shards = max(1, -(-tokens // shard_tokens))
+    # At most ``frequent`` words, however large the corpus.
+    top = words.orderBy(F.col("n").desc(), "hash").limit(frequent).select("hash", "n").collect()
+    hashes, n = np.array([r.hash for r in top], np.int64).view(np.uint64), np.array([r.n for r in top], np.int64)
+    how = Dealing(order, shards, seed, hashes, hashes[n > tokens / (HOT_SHARE * shards)])
+
     keyed = texts.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "train", "text")
-    dealt = keyed.mapInArrow(deal(shards, hot, block_tokens), "shard int, payload binary").repartition(shards, "shard").rdd
+    dealt = keyed.mapInArrow(deal(how, block_tokens), "shard int, payload binary").rdd.map(lambda r: (r[0], bytes(r[1]))).partitionBy(shards, place)
     made = lambda rdd, columns: spark.createDataFrame(rdd, columns, verifySchema=False)
-    requests = stage(made(dealt.mapPartitions(counted(shards, hot)), "to int, shard long, payload binary, numbers array<long>"), "word_requests")
-    pair_numbers = added(requests.where("to = -1"), 4).first()
-    contexts = {r.shard: list(r[1:]) for r in added(requests.where("to = -2").groupBy("shard"), 4).collect()}
-    asked = requests.where("to >= 0").repartition(shards, "to").rdd
-    answers = stage(made(asked.mapPartitions(answered), "shard int, to int, payload binary, numbers array<long>"), "word_totals")
-    word_numbers = added(answers.where("shard = -1"), 8).first()
-    returned = answers.where("shard >= 0").repartition(shards, "shard").rdd
-    # Both are dealt by the same column to as many partitions: what belongs to a shard has the same place.
-    scores = made(dealt.glom().zip(returned.glom()).mapPartitions(scored(shards, contexts, list(pair_numbers), list(word_numbers))), "block long, payload binary")
+    requests = stage(made(dealt.mapPartitions(counted(how)), "to int, shard int, payload binary, numbers array<long>"), "requests")
+    gram_numbers = added(requests.where("to = -1"), 8)
+    answers = stage(requests.where("to >= 0").repartitionById(shards, "to").mapInArrow(
+        answered, "shard int, to int, payload binary, numbers array<long>"), "answers")
+    word_numbers = added(answers.where("shard = -1"), 8)
+    returned = answers.where("shard >= 0").select("shard", "to", "payload").rdd.map(lambda r: (r[0], (r[1], bytes(r[2])))).partitionBy(shards, place)
+    both = dealt.union(returned)
+    if both.getNumPartitions() != dealt.getNumPartitions():  # should Spark not see that both are dealt alike
+        both = both.partitionBy(shards, place)
+    scores = made(both.mapPartitions(scored(how, gram_numbers, word_numbers)), "block long, payload binary")
     sums = scores.repartition(shards, "block").mapInArrow(gathered, result)
     total = sums.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
     return total.select(F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "n_tokens", "n_known",
                         F.lit(word_numbers[7]).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def added(rows, width: int):
-    """The numbers of all rows, or of each group, added up place by place."""
-    return rows.agg(*(F.coalesce(F.sum(F.col("numbers")[k]), F.lit(0)).alias(f"n{k}") for k in range(width)))
+def added(rows: DataFrame, width: int) -> list[int]:
+    """The numbers of all rows, added up place by place."""
+    return list(rows.agg(*(F.coalesce(F.sum(F.col("numbers")[k]), F.lit(0)).alias(f"n{k}") for k in range(width))).first())

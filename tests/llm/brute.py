@@ -58,34 +58,49 @@ def discounts(counts):
     return [0] + [min(max(k - (k + 1) * y * (n[k] / n[k - 1] if n[k - 1] else 0.5), 0.05), k - 0.05) for k in (1, 2, 3)]
 
 
-def language_model(rows):
-    """``rows``: (text, train) -> per row (n_tokens, n_known, base, score), and the model as a function p(w | v)."""
+def language_model(rows, order):
+    """``rows``: (text, train) -> per row (n_tokens, n_known, base, score), the model as a function p(w | u v), tokens, words."""
     tokens = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + ["</s>"] for t, _ in rows]
-    pairs, single = Counter(), Counter()
+    grams = lambda ws: zip([None, "<s>", *ws], ["<s>", *ws], ws)
+    three, single = Counter(), Counter()
     for ws, (_, train) in zip(tokens, rows):
         if train:
-            pairs.update(zip(["<s>", *ws], ws))
+            three.update(grams(ws))
             single.update(ws)
-    seen = Counter(w for _, w in pairs)
-    context, kinds = Counter(), defaultdict(lambda: [0, 0, 0, 0])
-    for (v, _), c in pairs.items():
-        context[v] += c
-        kinds[v][min(c, 3)] += 1
-    d2, d1 = discounts(pairs.values()), discounts(seen.values())
-    total, size = len(pairs), len(single)
+    two, count = Counter((v, w) for _, v, w in three), Counter()
+    for (_, v, w), c in three.items():
+        count[v, w] += c
+    if order == 2:
+        two = count
+    else:
+        two = Counter({k: count[k] if k[0] == "<s>" else n for k, n in two.items()})
+    seen = Counter(w for _, w in two)
+
+    def contexts(counts):
+        sums, kinds = Counter(), defaultdict(lambda: [0, 0, 0, 0])
+        for gram, c in counts.items():
+            sums[gram[:-1]] += c
+            kinds[gram[:-1]][min(c, 3)] += 1
+        return sums, kinds, discounts(counts.values())
+
+    d1 = discounts(seen.values())
+    total, size = len(two), len(single)
     free = sum(d1[min(a, 3)] for a in seen.values()) / total if total else 1
+    levels = [(two, *contexts(two)), (three, *contexts(three))]
 
-    def p(v, w):
+    def p(u, v, w):
         a = seen[w]
         low = (a - d1[min(a, 3)] if a else 0) / max(total, 1) + free / (size + 1)
-        if not context[v]:
-            return low
-        c = pairs[v, w]
-        return (c - d2[min(c, 3)] if c else 0) / context[v] + sum(d * k for d, k in zip(d2, kinds[v])) / context[v] * low
+        for (counts, sums, kinds, d), gram in zip(levels[:order - 1], ((v, w), (u, v, w))):
+            of = gram[:-1]
+            if sums[of]:
+                c = counts[gram]
+                low = (c - d[min(c, 3)] if c else 0) / sums[of] + sum(x * k for x, k in zip(d, kinds[of])) / sums[of] * low
+        return low
 
     n = sum(single.values())
     out = [(len(ws), sum(single[w] > 0 for w in ws), sum(math.log10((single[w] + 1) / (n + size + 1)) for w in ws),
-            sum(math.log10(p(v, w)) for v, w in zip(["<s>", *ws], ws))) for ws in tokens]
+            sum(math.log10(p(*g)) for g in grams(ws))) for ws in tokens]
     return out, p, n, set(single)
 
 

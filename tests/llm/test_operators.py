@@ -117,30 +117,45 @@ def test_exact_small_chunks_and_collisions(docs, texts):
 
 # ---- language model
 
-@pytest.mark.parametrize("block, shard", [(ngram_lm.BLOCK_TOKENS, ngram_lm.SHARD_TOKENS), (700, 5000)])
-def test_lm(docs, texts, block, shard):
+@pytest.mark.parametrize("order", [2, 3])
+@pytest.mark.parametrize("block, shard, frequent", [(ngram_lm.BLOCK_TOKENS, ngram_lm.SHARD_TOKENS, ngram_lm.FREQUENT), (700, 5000, 40), (9000, 30000, 0)])
+def test_lm(docs, texts, order, block, shard, frequent):
     train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2
-    got = {r.doc_id: r for r in ngram_lm.score_documents(docs, train, block, shard).collect()}
+    got = {r.doc_id: r for r in ngram_lm.score_documents(docs, train, order, block, shard, frequent).collect()}
     ids = sorted(texts)
-    want, p, total, vocabulary = brute.language_model([(texts[d], zlib.crc32(str(d).encode()) % 7 != 2) for d in ids])
+    want, p, total, vocabulary = brute.language_model([(texts[d], zlib.crc32(str(d).encode()) % 7 != 2) for d in ids], order)
     for d, (n, known, base, score) in zip(ids, want):
         r = got[d]
         assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)
-        assert math.isclose(r.base_score, base, rel_tol=1e-6) and math.isclose(r.score, score, rel_tol=1e-6)
-    assert math.isclose(sum(p("the", w) for w in vocabulary) + p("the", "never seen"), 1)
+        assert math.isclose(r.base_score, base, rel_tol=1e-12) and math.isclose(r.score, score, rel_tol=1e-11)
+    for context in (("of", "the"), (None, "<s>"), ("never", "seen")):
+        assert math.isclose(sum(p(*context, w) for w in vocabulary) + p(*context, "never seen"), 1)
 
 
 def test_lm_edges(edge, clashing, nothing):
+    want = {}
+    for order in (2, 3):
+        rows = [(r[1], r[0] != 9) for r in EDGE]
+        want[order] = collections.Counter((r[0], *x[:2], round(x[2], 6), round(x[3], 6)) for r, x in zip(EDGE, brute.language_model(rows, order)[0]))
     for df in (edge, clashing):
-        got = ngram_lm.score_documents(df, F.col("doc_id") != 9, 50, 200).collect()
-        assert len(got) == len(EDGE) and {r.doc_id: r.n_tokens for r in got}[1] == 1
-        assert {r.doc_id: r.n_tokens for r in got}[9] == 41 and sum(r.doc_id == 15 for r in got) == 2
-        assert all(r.score < 0 and r.base_score < 0 for r in got)
+        for order, block in ((2, 50), (3, 50), (3, 1), (3, 2)):
+            got = ngram_lm.score_documents(df, F.col("doc_id") != 9, order, block, 200, 5).collect()
+            assert collections.Counter((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in got) == want[order]
     assert ngram_lm.score_documents(nothing, F.lit(True)).count() == 0
     untrained = ngram_lm.score_documents(edge, F.lit(False)).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 for r in untrained)
 
 
+def test_lm_words_are_verified(docs, monkeypatch):
+    """Where two words share a hash, another seed is taken; without one the job fails."""
+    plain = ngram_lm.word_hashes
+    monkeypatch.setattr(ngram_lm, "word_hashes", lambda words, seed: plain(words, seed) % np.uint64(1 << 62 if seed == 1 else 64) + np.uint64(3))
+    words, seed = ngram_lm.vocabulary(docs)
+    assert seed == 1 and words.agg(F.sum("n")).first()[0] > 0
+    with pytest.raises(ValueError):
+        ngram_lm.vocabulary(docs, seeds=(0, 2))
+
+
 # ---- licences
 
 def test_licenses(spark, edge, clashing, nothing):
