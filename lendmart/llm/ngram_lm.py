@@ -30,7 +30,9 @@ from __future__ import annotations
 import os
 import pickle
 import tempfile
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,7 @@ from lendmart.llm.texts import stage
 
 NOTHING, START, END = 0, 1, 2  # hashes of no word, and numbers of no word in a block
 NO_ID = -(1 << 63)  # stands for a null doc_id
-ORDER, BLOCK_TOKENS, SHARD_TOKENS, HOT_SHARE, FREQUENT = 3, 4_000_000, 3_000_000, 8, 1 << 16
+ORDER, BLOCK_TOKENS, SHARD_TOKENS, HOT_SHARE, FREQUENT = 3, 2_000_000, 2_000_000, 8, 1 << 16
 WORDS_AT_ONCE = 1 << 20
 SEEDS = (0, 1, 2)
 
@@ -97,33 +99,37 @@ def words_of(text: str | None) -> list[bytes]:
 
 # ---- words
 
-def count_words(seed: int):
-    """Rows ``hash, word, n`` of the words of some megabytes of texts; the end of texts is a word."""
+def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``word, n`` of the words of many texts; the end of texts is the empty word."""
+    made = lambda: pa.RecordBatch.from_pydict({"word": pa.array(count, pa.binary()), "n": pa.array(count.values(), pa.int64())})
+    count: Counter = Counter()
+    for batch in (part for whole in batches for part in slices(whole, "text")):
+        for text in batch.column("text"):
+            count.update(words_of(text.as_py()))
+            count[b""] += 1
+        if len(count) > WORDS_AT_ONCE:
+            yield made()
+            count = Counter()
+    if count:
+        yield made()
+
+
+def hash_words(seed: int):
+    """Rows ``word, n`` to rows ``hash, n``."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out() -> pa.RecordBatch:
-            hashes = np.append(word_hashes(count, seed), np.uint64(END))
-            return pa.RecordBatch.from_pydict({"hash": pa.array(hashes.view(np.int64)), "word": pa.array([*count, b""], pa.binary()),
-                                               "n": pa.array([*count.values(), ends], pa.int64())})
-        count: dict[bytes, int] = {}
-        ends = 0
-        for batch in (part for whole in batches for part in slices(whole, "text")):
-            for text in batch.column("text"):
-                ends += 1
-                for w in words_of(text.as_py()):
-                    count[w] = count.get(w, 0) + 1
-            if len(count) > WORDS_AT_ONCE:
-                yield out()
-                count, ends = {}, 0
-        if ends:
-            yield out()
+        for batch in batches:
+            words = batch.column("word").to_pylist()
+            hashes = word_hashes(words, seed)
+            hashes[[i for i, w in enumerate(words) if not w]] = END
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch.column("n")], ["hash", "n"])
     return rows
 
 
 def vocabulary(texts: DataFrame, seeds=SEEDS) -> tuple[DataFrame, int]:
     """``hash, n`` of every word, written once, and the seed under which no two words share a hash."""
+    counted = texts.select("text").mapInArrow(count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     for seed in seeds:
-        counted = texts.select("text").mapInArrow(count_words(seed), "hash long, word binary, n long").groupBy("hash", "word").agg(F.sum("n").alias("n"))
-        words = stage(counted.groupBy("hash").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")), "words")
+        words = stage(counted.mapInArrow(hash_words(seed), "hash long, n long").groupBy("hash").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")), "words")
         if words.where("words > 1").isEmpty():
             return words, seed
     raise ValueError("under every seed two words of this corpus share a hash")
@@ -152,11 +158,19 @@ class Dealing:
 
 # ---- map side: documents to n-grams by shard
 
+def numbers() -> defaultdict:
+    """Words by the order in which they first come; the first three numbers are of no words."""
+    known: defaultdict = defaultdict()
+    known.default_factory = known.__len__
+    known.update({NOTHING: NOTHING, START: START, END: END})
+    return known
+
+
 class Block:
     """Documents of one map task up to some number of tokens, as numbers of the block's own vocabulary."""
 
     def __init__(self, key: int):
-        self.key, self.vocabulary = key, {}
+        self.key, self.vocabulary = key, numbers()
         self.tokens: list[np.ndarray] = []
         self.before: list[tuple[int, int]] = []
         self.rows: list[tuple[int, int, bool]] = []
@@ -164,8 +178,7 @@ class Block:
 
     def add(self, row: tuple[int, int, bool], words: list[bytes], before: list[bytes], last: bool) -> None:
         """``words`` of a document, after the words ``before`` them (none: the start), with the end if they are its ``last``."""
-        known = self.vocabulary
-        number = lambda w: known.setdefault(w, len(known) + 3)
+        number = self.vocabulary.__getitem__
         ids = np.fromiter(map(number, words), np.int32, len(words))
         earlier = [NOTHING, START, *map(number, before)][-2:]
         self.before.append((earlier[0], earlier[1]))
@@ -175,8 +188,8 @@ class Block:
 
     def dealt(self, how: Dealing) -> Iterator[tuple[int, bytes]]:
         """A payload for every shard that gets n-grams; the first of them also has the documents' rows."""
-        hashes = np.concatenate([np.array([NOTHING, START, END], np.uint64), word_hashes(self.vocabulary, how.seed)])
-        self.vocabulary = {}
+        hashes = np.concatenate([np.array([NOTHING, START, END], np.uint64), word_hashes(islice(self.vocabulary, 3, None), how.seed)])
+        self.vocabulary = numbers()
         lengths = np.array([len(t) for t in self.tokens])
         w = np.concatenate(self.tokens)
         self.tokens = []
@@ -192,7 +205,11 @@ class Block:
             u[:] = NOTHING
         place = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         # Tokens in the order of their n-grams, and in it of their documents.
-        order = np.lexsort((place, w, u, v))
+        size = len(hashes)
+        if size ** 3 < 1 << 62:
+            order = np.argsort((v.astype(np.int64) * size + u) * size + w, kind="stable")
+        else:
+            order = np.lexsort((w, u, v))
         u, v, w, place = u[order], v[order], w[order], place[order]
         new = np.append(True, (v[1:] != v[:-1]) | (u[1:] != u[:-1]) | (w[1:] != w[:-1]))
         other = new | np.append(True, place[1:] != place[:-1])
@@ -283,6 +300,13 @@ def numbered(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[new], at
 
 
+def runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``numbered``, for keys that are in order already."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return np.flatnonzero(new), np.cumsum(new) - 1
+
+
 def kinds(at: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
     """For each of ``n`` groups the sum of counts and how many are one, two, and more."""
     return np.array([np.bincount(at, x, n) for x in (counts, counts == 1, counts == 2, counts > 2)])
@@ -316,10 +340,10 @@ class Shard:
         count = np.bincount(self.pair, self.c, len(first)).astype(np.int64)
         starts = self.hashes[self.pair_v] == START
         self.seen = count if how.order == 2 else np.where(starts, count, np.bincount(self.pair, self.c > 0, len(first)).astype(np.int64))
-        first, self.context = numbered(self.v, self.u)
+        first, self.context = runs(self.v, self.u)
         self.context_v, self.context_u = self.v[first], self.u[first]
         self.sums3 = kinds(self.context, self.c, len(first))
-        first, self.lower = numbered(self.pair_v)
+        first, self.lower = runs(self.pair_v)
         self.lower_v = self.pair_v[first]
         self.sums2 = kinds(self.lower, self.seen, len(first))
         first, self.word = numbered(self.pair_w)
@@ -434,14 +458,15 @@ def scored(how: Dealing, gram_numbers: list[int], word_numbers: list[int]):
             shard.sums2[:, parts[1][0]] = whole[:, len(parts[0][0]):]
             free = (d1[1] * n1 + d1[2] * n2 + d1[3] * more) / total_seen if total_seen else 1.0
             one = np.maximum(word_seen - d1[np.minimum(word_seen, 3)], 0) / max(total_seen, 1) + free / (size + 1)
-            base = np.log10((word_count + 1) / (total + size + 1))[shard.word][shard.pair]
-            known = (word_count > 0)[shard.word][shard.pair]
+            base = np.log10((word_count + 1) / (total + size + 1))
+            word_of = shard.word[shard.pair].astype(np.int32)
             p = interpolated(shard.seen, shard.lower, shard.sums2, one[shard.word], d2)[shard.pair]
             if how.order == 3:
                 p = interpolated(shard.c, shard.context, shard.sums3, p, d3)
             grams = [shard.hashes[x] for x in (shard.u, shard.v, shard.w)]
+            known = word_count > 0
             del shard, word_seen, word_count, one, whole, parts, answers, values
-            yield from looked_up(grams, np.stack([np.log10(p), base, known], axis=1), payloads, how)
+            yield from looked_up(grams, np.log10(p), word_of, base, known, payloads, how)
     return rows
 
 
@@ -449,8 +474,12 @@ def gram_keys(u: np.ndarray, v: np.ndarray, w: np.ndarray, seed: int) -> np.ndar
     return mix(mix(v, w, seed), u, seed)
 
 
-def looked_up(grams: list[np.ndarray], values: np.ndarray, payloads: list[bytes], how: Dealing) -> Iterator[tuple[int, bytes]]:
-    """The shard's model as sorted hash arrays in memory-mapped files, and sums over the n-grams of each payload."""
+def looked_up(grams: list[np.ndarray], score: np.ndarray, word: np.ndarray, base: np.ndarray, known: np.ndarray, payloads: list[bytes],
+              how: Dealing) -> Iterator[tuple[int, bytes]]:
+    """The shard's model as sorted hash arrays in memory-mapped files, and sums over the n-grams of each payload.
+
+    An n-gram has its score and the number of its last word, a word its ``base`` score and whether it is ``known``.
+    """
     for seed in range(64):
         keys = gram_keys(*grams, seed)
         order = np.argsort(keys)
@@ -460,24 +489,25 @@ def looked_up(grams: list[np.ndarray], values: np.ndarray, payloads: list[bytes]
     else:
         raise ValueError("under every seed two n-grams of a shard share a key")
     with tempfile.TemporaryDirectory() as folder:
-        files = [os.path.join(folder, f"{name}.npy") for name in ("keys", "values")]
-        np.save(files[0], keys)
-        np.save(files[1], values[order])
-        del keys, values, order
+        files = [os.path.join(folder, f"{name}.npy") for name in ("keys", "scores", "words")]
+        for path, values in zip(files, (keys, score[order], word[order])):
+            np.save(path, values)
+        del keys, values, order, score, word
         grams.clear()
-        keys, values = (np.load(path, mmap_mode="r") for path in files)
+        keys, scores, last = (np.load(path, mmap_mode="r") for path in files)
         for p in payloads:
             parts = unpacked(p)
             block, rows = parts[:2]
             words, u, v, w = words_and_grams(parts, how)
             n, doc, times, _ = parts[7:]
-            found = values[np.searchsorted(keys, gram_keys(words[u], words[v], words[w], seed))]
+            at = np.searchsorted(keys, gram_keys(words[u], words[v], words[w], seed))
+            own, of = scores[at], last[at]
             entry, times = np.repeat(np.arange(len(n)), n), times.astype(np.float64)
-            tokens, *sums = (np.bincount(doc, times if k is None else times * found[entry, k]) for k in (None, 2, 1, 0))
+            tokens, *sums = (np.bincount(doc, times if x is None else times * x[entry]) for x in (None, known[of], base[of], own))
             docs = np.flatnonzero(tokens)
-            known, base, score = (x[docs] for x in sums)
-            yield block, packed(rows, small(docs), small(tokens[docs].astype(np.int64)), small(known.astype(np.int64)), base, score)
-        del keys, values
+            n_known, n_base, n_score = (x[docs] for x in sums)
+            yield block, packed(rows, small(docs), small(tokens[docs].astype(np.int64)), small(n_known.astype(np.int64)), n_base, n_score)
+        del keys, scores, last
 
 
 def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
