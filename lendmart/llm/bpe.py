@@ -9,7 +9,7 @@ The file is a ``tokenizers`` JSON with a BPE model; the driver reads it once and
 size is that of a vocabulary, whatever the data).  Supported are the parts these files use: NFC, white space and lower-case
 normalisers, splitting by a pattern that never matches white space, byte-level symbols, and special tokens.
 
-Defined cases: a null text counts as empty and gives no ids and an empty decoded text; repeated rows are encoded alike;
+Defined cases: a null text counts as empty and gives no ids and an empty decoded text; a very long text is encoded word by word, whole; repeated rows are encoded alike;
 an empty table gives an empty result; the input's other columns stay, and the caller names the new ones.
 """
 

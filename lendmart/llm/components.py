@@ -4,6 +4,10 @@ Every round points each node's neighbours at the smallest node in reach, first t
 ones, until nothing moves: then each component is one star around its smallest node.  A round is two
 aggregations and two joins over the links; each round is written to the shared folder, so the plan does not grow and a
 lost executor costs no more than its tasks.  Hub nodes are handled by a partial aggregation and a skew-split join.
+
+Defined cases: links are undirected; a link with a null end, and one from a node to itself, says nothing, so a node that has only such links has
+no label; links that repeat count once; equal smallest nodes cannot be; an empty table gives an empty result; columns other than
+``u, v``, whatever their names, take no part.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ def _mark(links: DataFrame) -> tuple:
 
 def component_labels(links: DataFrame) -> DataFrame:
     """``node, label`` of every node with a link; ``links`` has long columns ``u, v``; the label is the smallest node."""
-    now = stage(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    now = stage(links.select("u", "v").where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     mark = _mark(now)
     while mark[0]:
         now = stage(_star(_star(now, large=True), large=False), "links")

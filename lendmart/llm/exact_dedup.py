@@ -9,7 +9,8 @@ alone are grouped and joined.
 
 All steps are DataFrame functions.
 
-Defined cases: a null text counts as empty and equals every other empty text; an empty table gives an empty
+Defined cases: a null text counts as empty and equals every other empty text; a very long text is one more list of chunks, each moved on its own
+(its list alone stands in one row); an empty table gives an empty
 result; null ``doc_id`` values order below all others, so such a row stays only where its whole group has none,
 and then all rows of that group are alike; rows that repeat a ``doc_id`` with the same text carry the same
 verdict and ``drop_duplicates`` leaves one of them; other columns of the input, whatever their names, take no
@@ -23,7 +24,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendmart.llm.texts import lower_ascii, stage, text_of
+from lendmart.llm.texts import free_names, lower_ascii, stage, text_of
 
 MIN_CHUNK, MAX_CHUNK = 512, 4096
 BORDER = "\n.!?;。！？"
@@ -86,19 +87,20 @@ def drop_duplicates(docs: DataFrame, **options) -> DataFrame:
     The decision is by ``doc_id``, which names a text.  Where ``doc_id`` values repeat, the rows of one
     ``doc_id`` and text are reduced to one by a partial aggregation.
     """
+    n_keep, n_sha, n_again, n_digest = free_names(docs.columns, "keep", "sha", "again", "digest")
     listed = recipes(docs, **options)
     keepers = stage(listed.groupBy("recipe").agg(
         F.max("doc_id").alias("keep_id"), F.max("text_sha256").alias("sha"),
-    ).select(F.col("keep_id").alias("__keep"), F.col("sha").alias("__sha")), "keepers")
-    same = docs["doc_id"].eqNullSafe(keepers["__keep"])
-    repeats = listed.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again"))
+    ).select(F.col("keep_id").alias(n_keep), F.col("sha").alias(n_sha)), "keepers")
+    same = docs["doc_id"].eqNullSafe(keepers[n_keep])
+    repeats = listed.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(n_again))
     if repeats.isEmpty():
         return docs.join(keepers, same, "left_semi")
     # Some doc_id stands in several rows: the text decides too, and one row of each text stays.
     digest = F.sha2(lower_ascii(text_of(docs["text"])), 256)
     again = stage(repeats, "repeats")
-    single = docs.join(again, docs["doc_id"].eqNullSafe(again["__again"]), "left_anti")
-    multiple = docs.join(again, docs["doc_id"].eqNullSafe(again["__again"]), "left_semi")
-    kept = multiple.join(keepers, multiple["doc_id"].eqNullSafe(keepers["__keep"]) & (digest == keepers["__sha"]), "left_semi")
-    one = kept.withColumn("__digest", F.sha2(lower_ascii(text_of()), 256)).dropDuplicates(["doc_id", "__digest"]).drop("__digest")
-    return single.join(keepers, single["doc_id"].eqNullSafe(keepers["__keep"]), "left_semi").unionByName(one)
+    single = docs.join(again, docs["doc_id"].eqNullSafe(again[n_again]), "left_anti")
+    multiple = docs.join(again, docs["doc_id"].eqNullSafe(again[n_again]), "left_semi")
+    kept = multiple.join(keepers, multiple["doc_id"].eqNullSafe(keepers[n_keep]) & (digest == keepers[n_sha]), "left_semi")
+    one = kept.withColumn(n_digest, F.sha2(lower_ascii(text_of()), 256)).dropDuplicates(["doc_id", n_digest]).drop(n_digest)
+    return single.join(keepers, single["doc_id"].eqNullSafe(keepers[n_keep]), "left_semi").unionByName(one)

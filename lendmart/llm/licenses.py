@@ -12,8 +12,8 @@ all licences, so a notice may have a core, the words that tell the licence: a pa
 
 The index of template bigrams is small and fixed by the templates; the text is read once and nothing is shuffled.
 
-Defined cases: a null, empty or one-word text has no passage; repeated rows are scanned alike; ties go to the longer template, then to the
-name, then to the earlier passage; an empty table gives an empty result; other columns of the input take no part.
+Defined cases: a null, empty or one-word text has no passage; a very long text is scanned whole; repeated rows are scanned alike; ties go to the longer template, then to the
+name, then to the earlier passage; an empty table gives an empty result; other columns of the input, whatever their names, take no part.
 """
 
 from __future__ import annotations

@@ -12,9 +12,10 @@ documents get their passes from the plan and their own hash, without moving text
 mixture is the smallest that holds every document once: small sources repeat, no document is lost.
 
 Defined cases: a null source is a source of its own; a null or empty text has no tokens, but its document takes part
-with its block; a source without tokens is read once; repeated rows fall into the same block and are repeated alike, as are
-rows with null ``doc_id``; an empty table gives an empty result; the input's columns stay and the three new ones stand in one struct
-whose name the caller may choose.
+with its block; a very long text is counted whole, makes its block as large as it is, and the budget is met to that block; a source
+without tokens is read once; sources of equal size get equal weights; repeated rows fall into the same block and are repeated alike, as are
+rows with null ``doc_id``; an empty table gives an empty result; the input's columns stay, whatever their names, and the three new ones
+stand in one struct whose name the caller chooses (a column of that name is replaced).
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendmart.llm.texts import stage, text_of
+from lendmart.llm.texts import free_names, stage, text_of
 
 BLOCKS = 512
 STEPS = 40
@@ -115,16 +116,27 @@ def mix(docs: DataFrame, limit: float = REPETITION_LIMIT, entropy: float | None
 
     ``position`` sorts the mixture: the pass, and in it the permuted block, as a part of all the source's passes.
     """
+    n_source, n_plan, n_block, n_epoch = free_names([*docs.columns, into], "of_source", "plan", "block", "epoch")
     plan = mixing_plan(docs, limit, entropy, budget, seed, blocks).select(
-        F.col("source").alias("__source"), F.struct("passes", "whole_passes", "last_pass").alias("__plan"))
-    p, block = F.col("__plan"), F.col("__block")
-    placed = docs.withColumn("__block", block_of(F.col("doc_id"), seed, blocks)).join(plan, F.col("source").eqNullSafe(F.col("__source")))
+        F.col("source").alias(n_source), F.struct("passes", "whole_passes", "last_pass").alias(n_plan))
+    p, block, epoch = F.col(n_plan), F.col(n_block), F.col(n_epoch)
+    placed = docs.withColumn(n_block, block_of(F.col("doc_id"), seed, blocks)).join(plan, F.col("source").eqNullSafe(F.col(n_source)))
     times = p["whole_passes"] + F.array_contains(p["last_pass"], block).cast("int")
-    repeated = placed.withColumn("__epoch", F.explode(F.when(times > 0, F.sequence(F.lit(0), times - 1)).otherwise(F.array().cast("array<int>"))))
-    place = F.pmod(block_order(F.col("source"), F.col("__epoch"), block, seed), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    repeated = placed.withColumn(n_epoch, F.explode(F.when(times > 0, F.sequence(F.lit(0), times - 1)).otherwise(F.array().cast("array<int>"))))
+    place = F.pmod(block_order(F.col("source"), epoch, block, seed), F.lit(1 << 40)) / F.lit(float(1 << 40))
     # Documents of a block keep together, in an order of their own in each pass.
-    within = F.pmod(F.xxhash64(F.lit(seed + 2), F.col("__epoch"), F.col("doc_id")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    spread = F.least(F.lit(1.0), p["passes"] - F.col("__epoch"))
-    position = (F.col("__epoch") + spread * (place + within / blocks / 1000)) / F.greatest(p["passes"], F.lit(1.0))
-    return repeated.withColumn(into, F.struct(F.col("__epoch").alias("epoch"), block.alias("block"), position.alias("position"))) \
-        .drop("__block", "__source", "__plan", "__epoch")
+    within = F.pmod(F.xxhash64(F.lit(seed + 2), epoch, F.col("doc_id")), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    spread = F.least(F.lit(1.0), p["passes"] - epoch)
+    position = (epoch + spread * (place + within / blocks / 1000)) / F.greatest(p["passes"], F.lit(1.0))
+    return repeated.withColumn(into, F.struct(epoch.alias("epoch"), block.alias("block"), position.alias("position"))) \
+        .drop(n_block, n_source, n_plan, n_epoch)
+
+
+def in_order(mixed: DataFrame, by: str = "mix", partitions: int | None = None) -> DataFrame:
+    """The mixture in the order of its positions: partitions hold ranges of them, and their rows stand in order.
+
+    Written to files, part after part, the rows are read as the mixture says.
+    """
+    place, doc = F.col(f"{by}.position"), F.col("doc_id")
+    ranged = mixed.repartitionByRange(place, doc) if partitions is None else mixed.repartitionByRange(partitions, place, doc)
+    return ranged.sortWithinPartitions(place, doc)

@@ -114,22 +114,22 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield made()
 
 
-def hash_words(seed: int):
+def hash_words(seed: int, hashes_of=word_hashes):
     """Rows ``word, n`` to rows ``hash, n``."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column("word").to_pylist()
-            hashes = word_hashes(words, seed)
+            hashes = hashes_of(words, seed)
             hashes[[i for i, w in enumerate(words) if not w]] = END
             yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch.column("n")], ["hash", "n"])
     return rows
 
 
-def vocabulary(texts: DataFrame, seeds=SEEDS) -> tuple[DataFrame, int]:
+def vocabulary(texts: DataFrame, seeds=SEEDS, hashes_of=word_hashes) -> tuple[DataFrame, int]:
     """``hash, n`` of every word, written once, and the seed under which no two words share a hash."""
     counted = texts.select("text").mapInArrow(count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     for seed in seeds:
-        words = stage(counted.mapInArrow(hash_words(seed), "hash long, n long").groupBy("hash").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")), "words")
+        words = stage(counted.mapInArrow(hash_words(seed, hashes_of), "hash long, n long").groupBy("hash").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")), "words")
         if words.where("words > 1").isEmpty():
             return words, seed
     raise ValueError("under every seed two words of this corpus share a hash")

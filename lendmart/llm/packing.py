@@ -9,7 +9,7 @@ Each task packs its own documents, a group of about ``GROUP_TOKENS`` tokens at a
 and memory does not depend on the data; each group leaves at most one badly filled row or so.  A longer document is a
 group of its own.
 
-Defined cases: a null or empty text is its end token alone; repeated rows are packed one by one; a null ``doc_id`` is listed as
+Defined cases: a null or empty text is its end token alone; a very long text is encoded in stretches and split over as many rows as it takes; repeated rows are packed one by one; a null ``doc_id`` is listed as
 null; an empty table gives an empty result; other columns of the input take no part.
 """
 

@@ -1,8 +1,9 @@
 """Personal data: spans proposed by regular expressions, confirmed by checksums, scored by the words around them.
 
 Base kinds (email, ip, card, phone) have fixed patterns and checks; every match that passes its check is reported.
-The method adds kinds of its own: bank account numbers (IBAN, confirmed by mod 97 and their country's length) and social security
-numbers (confirmed by their number ranges); an added span must reach ``ADDED_SCORE`` after the words around it have raised or
+The method adds kinds of its own: bank account numbers (IBAN, confirmed by mod 97 and their country's length), social security
+numbers (confirmed by their number ranges) and secrets (keys and tokens, proposed by known beginnings or by the name they are assigned
+to, confirmed by the entropy of their characters); an added span must reach ``ADDED_SCORE`` after the words around it have raised or
 lowered its score.  Base spans carry a score as well, for callers who want to be stricter.
 
 Positions come from cutting the text at the pattern: the lengths of the pieces between the matches and of the
@@ -15,7 +16,8 @@ blank: its pattern proposes the country and check digits only, and of the group
 All steps are DataFrame functions.
 
 Defined cases: a null or empty text has no spans; spans of different kinds may overlap and are all reported; repeated
-rows are searched alike; an empty table gives an empty result; the input's columns stay, and the caller names the new one.
+rows are searched alike; an empty table gives an empty result; the input's columns stay, whatever their names, and the caller names the new
+one (a column of that name is replaced).
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendmart.llm.texts import lower_ascii, text_of
+from lendmart.llm.texts import free_names, lower_ascii, text_of
 
 CONTEXT_CHARS = 40
 ADDED_SCORE = 0.5
@@ -59,7 +61,13 @@ KINDS = (
          "iban|account|bank|transfer|konto|compte|cuenta", "serial|part|model"),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", False, 0.3,
          "ssn|social|security|taxpayer", "order|invoice|part|serial"),
+    # Whole words only; the name in front of a value is looked for only where a word is long enough to be one.
+    Kind("secret", r"(?<![A-Za-z0-9_+/.-])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,255}+|sk-[A-Za-z0-9_-]{20,255}+|xox[abprs]-[A-Za-z0-9-]{10,255}+"
+         r"|AIza[A-Za-z0-9_-]{35}|(?=[A-Za-z0-9_+/.-][A-Za-z0-9_+/=.-]{15})"
+         r"(?<=(?i:token|secret|password|passwd|api.?key|access.?key|private.?key|credentials?)[\"']{0,1}[ \t]{0,3}[:=]{1,2}[ \t]{0,3}[\"']{0,1})[A-Za-z0-9_+/=.-]{16,255}+)"
+         r"(?![A-Za-z0-9_+/=.-])", "", False, 0.7, "token|secret|password|key|credential|auth", "sha|checksum|digest|commit|hash"),
 )
+SECRET_BITS = 3.0  # entropy of a secret's characters
 
 # Characters of an IBAN by country; codes not listed may have any length from 15 to 34.
 IBAN_LENGTHS = {country: int(n) for country, n in map(str.split, """
@@ -124,9 +132,18 @@ def confirmed(kind: str, match: Column) -> Column:
         return F.char_length(digits_of(match)).between(10, 15)
     if kind == "ssn":
         return ~match.rlike("^(?:000|666|9)|-00-|-0000$")
+    if kind == "secret":
+        return match.rlike("[0-9]") & match.rlike("[A-Za-z]") & (entropy(match) >= SECRET_BITS)
     return F.lit(True)
 
 
+def entropy(match: Column) -> Column:
+    """Bits a character, from how often each stands in the match."""
+    n = F.char_length(match).cast("double")
+    share = lambda c: (n - F.char_length(F.replace(match, c, F.lit("")))) / n
+    return F.aggregate(F.array_distinct(F.split(match, "")), F.lit(0.0), lambda bits, c: bits - F.when(c != "", share(c) * F.log2(share(c))).otherwise(F.lit(0.0)))
+
+
 def proposed(text: Column, kind: Kind) -> Column:
     """All matches of the kind's pattern; null where its telling character is missing."""
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
@@ -165,7 +182,7 @@ def find_spans(docs: DataFrame, into: str = "pii", text: str = "text") -> DataFr
     """``docs`` with all confirmed spans, by start and then by kind, in the array column ``into``."""
     whole = text_of(text)
     # Matches are columns of a step of their own, so that no pattern runs twice for the expressions that use them.
-    names = [f"__proposed_{k.name}" for k in KINDS]
+    names = free_names([*docs.columns, into], *(f"proposed_{k.name}" for k in KINDS))
     tried = docs.withColumns({n: proposed(whole, k) for n, k in zip(names, KINDS)})
     found = F.concat(*(spans_of(whole, F.col(n), k, i) for i, (n, k) in enumerate(zip(names, KINDS))))
     return tried.withColumn(into, F.array_sort(found)).drop(*names)

@@ -4,13 +4,18 @@ Every document is measured and put to the base rules (too few words, too much re
 rules that only count against its host (symbols, repeated lines, odd word lengths).  Failures are aggregated by
 host, each host's failure rates are shrunk towards the rates of all hosts with a beta prior whose two parameters
 come from the data (method of moments over hosts), and the verdict on the host is joined back to its documents.
-A host is rejected when more than ``HOST_LIMIT`` of its documents are expected to fail the base rules, or to fail
-at least ``SEVERAL`` rules at once.
 
-Defined cases: a null text has no words and fails the base rules; a null host is a host of its own; repeated
-rows are measured and counted one by one; with fewer than two hosts, or hosts that do not differ, the prior
-weighs one document; an empty table gives an empty result; columns of the input stay as they are, and the
-measures come in one struct column whose name the caller may choose.
+A host is judged against all hosts, once for failures of the base rules and once for failures of at least ``SEVERAL`` rules: it is
+rejected when even the lower end of its rate (``SURE`` standard deviations of the posterior below its mean) has more than
+``WORSE`` times the odds of the rate of all hosts, and is above ``LEAST_RATE``.  So small hosts are rejected on strong
+evidence only, and a host of mostly good pages is never rejected for being worse than very good ones.
+
+Texts are measured once: the measures are written with the documents, and both passes read them.
+
+Defined cases: a null text has no words and fails the base rules; a very long text is measured whole, in a few integers a word; a null host
+is a host of its own; repeated rows are measured and counted one by one; hosts that tie get the same verdict; with fewer than two hosts,
+or hosts that do not differ, the prior weighs one document; an empty table gives an empty result; columns of the input stay as they are,
+whatever their names, and the measures come in one struct column whose name the caller chooses (a column of that name is replaced).
 """
 
 from __future__ import annotations
@@ -20,12 +25,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendmart.llm.texts import stage
+from lendmart.llm.texts import free_names, stage
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\f\r"
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 10, 20, 5
-HOST_LIMIT, SEVERAL = 0.6, 2
+SEVERAL, SURE, WORSE, LEAST_RATE = 2, 1.645, 3.0, 0.3
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
@@ -108,38 +113,49 @@ def beta_prior(hosts: DataFrame, failed: str, total: str) -> tuple[float, float]
     return mean * strength, (1 - mean) * strength
 
 
-def host_verdicts(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
-    """``host, n_docs, base_rate, several_rate, rejected`` of every host; rates are shrunk.  Written once."""
-    m = F.col("m")
-    measured = docs.select(F.col(host).alias("host"), measures(F.col("text")).alias("m"))
-    counted = stage(measured.groupBy("host").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum(base_failed(m).cast("long")).alias("n_base"),
-        F.sum((failures(m) >= SEVERAL).cast("long")).alias("n_several")), "hosts")
-    rates = {}
-    for column in ("n_base", "n_several"):
-        a, b = beta_prior(counted, column, "n_docs")
-        rates[column] = (F.col(column) + F.lit(a)) / (F.col("n_docs") + F.lit(a + b))
-    return stage(counted.select("host", "n_docs", rates["n_base"].alias("base_rate"), rates["n_several"].alias("several_rate"))
-                 .withColumn("rejected", (F.col("base_rate") > limit) | (F.col("several_rate") > limit)), "host_verdicts")
+def worse_than_all(failed: Column, total: Column, a: float, b: float) -> tuple[Column, Column]:
+    """The shrunk rate of a host, and whether it is surely worse than that of all hosts."""
+    n = total + F.lit(a + b)
+    rate = (failed + F.lit(a)) / n
+    low = rate - F.lit(SURE) * F.sqrt(rate * (1 - rate) / (n + 1))
+    odds = F.lit(WORSE * a / b)  # of the mean of all hosts, a / (a + b)
+    return rate, (low > odds * (1 - low)) & (low > F.lit(LEAST_RATE))
+
+
+def host_verdicts(measured: DataFrame, host: str = "host", m: str = "m") -> DataFrame:
+    """``host, n_docs, base_rate, several_rate, rejected`` of every host; rates are shrunk.  Written once.
+
+    ``measured`` has the host of every document and the struct ``m`` of its measures.
+    """
+    of = F.col(m)
+    counted = stage(measured.groupBy(F.col(host).alias("host")).agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum(base_failed(of).cast("long")).alias("n_base"),
+        F.sum((failures(of) >= SEVERAL).cast("long")).alias("n_several")), "hosts")
+    base, base_worse = worse_than_all(F.col("n_base"), F.col("n_docs"), *beta_prior(counted, "n_base", "n_docs"))
+    several, several_worse = worse_than_all(F.col("n_several"), F.col("n_docs"), *beta_prior(counted, "n_several", "n_docs"))
+    return stage(counted.select("host", "n_docs", base.alias("base_rate"), several.alias("several_rate"), (base_worse | several_worse).alias("rejected")), "host_verdicts")
 
 
-def judge(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT, into: str = "quality") -> DataFrame:
-    """``docs`` with a struct column ``into``: the measures, ``base_failed``, the host's rates and ``kept``.
+def judge(docs: DataFrame, host: str = "source", into: str = "quality", columns: list[str] | None = None) -> DataFrame:
+    """``docs`` (or those of its ``columns``) with a struct column ``into``: the measures, ``base_failed``, the host's rates and ``kept``.
 
     Hosts are few against documents; their table is broadcast only when its measured size allows, otherwise it
     is a sort-merge join in which a hot host's documents are split.
     """
-    verdicts = host_verdicts(docs, host, limit).select(
-        F.col("host").alias("__host"), F.struct("base_rate", "several_rate", "rejected").alias("__verdict"))
-    judged = docs.withColumn("__m", measures(F.col("text"))).join(
-        verdicts, F.col(host).eqNullSafe(F.col("__host")), "left")
-    m, v = F.col("__m"), F.col("__verdict")
+    kept = [c for c in (docs.columns if columns is None else columns) if c != into]
+    n_host, n_m, n_of, n_verdict = free_names([*docs.columns, into], "host", "m", "of_host", "verdict")
+    measured = stage(docs.select(*kept, F.col(host).alias(n_host), measures(F.col("text")).alias(n_m)), "measured")
+    verdicts = host_verdicts(measured, n_host, n_m).select(
+        F.col("host").alias(n_of), F.struct("base_rate", "several_rate", "rejected").alias(n_verdict))
+    judged = measured.join(verdicts, F.col(n_host).eqNullSafe(F.col(n_of)), "left")
+    m, v = F.col(n_m), F.col(n_verdict)
     return judged.withColumn(into, F.struct(
-        "__m.*", base_failed(m).alias("base_failed"), v["base_rate"].alias("host_rate"),
+        f"{n_m}.*", base_failed(m).alias("base_failed"), v["base_rate"].alias("host_rate"),
         v["rejected"].alias("host_rejected"),
-        (~base_failed(m) & ~v["rejected"]).alias("kept"))).drop("__m", "__host", "__verdict")
+        (~base_failed(m) & ~v["rejected"]).alias("kept"))).select(*kept, into)
 
 
-def keep_good(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
+def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
     """The rows of ``docs`` that pass the base rules and whose host is not rejected, with their columns."""
-    return judge(docs, host, limit, into="__quality").where("__quality.kept").drop("__quality")
+    verdict, = free_names(docs.columns, "quality")
+    return judge(docs, host, into=verdict).where(F.col(verdict)["kept"]).drop(verdict)

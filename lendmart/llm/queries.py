@@ -45,8 +45,8 @@ def pii_query(spark, sf_dir):
     base = F.filter(spans, lambda s: s["kind"].isin([k.name for k in pii.KINDS if k.base]))
     count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
     found = pii.find_spans(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", *(count(k.name).alias(f"n_{k.name}") for k in pii.KINDS),
-                        F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(spans).alias("spans"))
+    return found.select("doc_id", *(count(k.name).alias(f"n_{k.name}") for k in pii.KINDS), F.sha2(pii.listed(base), 256).alias("base_sha256"),
+                        pii.listed(spans).alias("spans"), F.transform(spans, lambda s: s["score"]).alias("scores"))
 
 
 @query("op2_exact_dedup", """
@@ -105,8 +105,8 @@ def _prior(failed: str) -> str:
       FROM (SELECT least(greatest(sum({failed}) / sum(n_docs), 1e-6), 1 - 1e-6) AS mean, var_pop({failed} / n_docs) AS spread, count(*) AS n FROM hosts))"""
 
 
-@query("op9_quality_rules", r"""
-WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, row_number() OVER () AS rid FROM documents),
+RULES_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, row_number() OVER () AS rid FROM {docs}),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
 win AS (SELECT rid, i, array_to_string(ws[i:i + 4], ' ') AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
@@ -119,19 +119,37 @@ f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
         CAST(n_words < 10 AS INT) + CAST(100 * n_repeat_words > 20 * n_words AS INT) + CAST(5 * n_symbols > n_words AS INT) + CAST(n_dup_lines > 3 AS INT)
         + CAST(word_chars < 2 * n_words OR word_chars > 15 * n_words AS INT) AS failures FROM m),
 hosts AS (SELECT source, count(*) AS n_docs, count(*) FILTER (base_failed) AS n_base, count(*) FILTER (failures >= 2) AS n_several FROM f GROUP BY source),
-v AS (SELECT source, (n_base + a.mean * a.strength) / (n_docs + a.strength) AS base_rate, (n_several + b.mean * b.strength) / (n_docs + b.strength) AS several_rate
-      FROM hosts, """ + _prior("n_base") + " a, " + _prior("n_several") + r""" b)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND base_rate <= 0.6 AND several_rate <= 0.6 AS kept, round(base_rate, 6) AS host_rate,
-       base_rate > 0.6 OR several_rate > 0.6 AS host_rejected
-FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source""")
-def quality_rules_query(spark, sf_dir):
-    judged = quality_rules.judge(read_table(spark, sf_dir, "documents"))
+hosts_rated AS (SELECT source, n_docs, a.mean AS mean_a, b.mean AS mean_b, a.strength AS weight_a, b.strength AS weight_b,
+        (n_base + a.mean * a.strength) / (n_docs + a.strength) AS base_rate, (n_several + b.mean * b.strength) / (n_docs + b.strength) AS several_rate
+      FROM hosts, """ + _prior("n_base") + " a, " + _prior("n_several") + r""" b),
+low AS (SELECT *, base_rate - 1.645 * sqrt(base_rate * (1 - base_rate) / (n_docs + weight_a + 1)) AS low_a,
+        several_rate - 1.645 * sqrt(several_rate * (1 - several_rate) / (n_docs + weight_b + 1)) AS low_b FROM hosts_rated),
+v AS (SELECT source, base_rate, (low_a > 0.3 AND low_a / (1 - low_a) > 3 * mean_a / (1 - mean_a)) OR (low_b > 0.3 AND low_b / (1 - low_b) > 3 * mean_b / (1 - mean_b)) AS rejected FROM low)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept,
+       round(base_rate, 6) AS host_rate, rejected AS host_rejected
+FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source"""
+
+
+def _judged(docs, host: str = "source"):
+    judged = quality_rules.judge(docs, host, columns=["doc_id"])
     q = F.col("quality")
     measured = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rejected")
     return judged.select("doc_id", *(q[c].alias(c) for c in measured), F.round(q["host_rate"], 6).alias("host_rate"))
 
 
+@query("op9_quality_rules", RULES_SQL.replace("{docs}", "documents"))
+def quality_rules_query(spark, sf_dir):
+    return _judged(read_table(spark, sf_dir, "documents"))
+
+
+# Some sources divided by length, so that one part of them is a host of short junk.
+@query("quality_rules_by_section", RULES_SQL.replace("{docs}", """(SELECT doc_id, text, CASE WHEN source IN ('src1', 'src2') AND coalesce(length(text), 0) < 200 THEN 'short' ELSE source END AS source FROM documents)"""))
+def quality_rules_by_section_query(spark, sf_dir):
+    short = F.col("source").isin("src1", "src2") & (F.coalesce(F.char_length("text"), F.lit(0)) < 200)
+    docs = read_table(spark, sf_dir, "documents").withColumn("section", F.when(short, "short").otherwise(F.col("source")))
+    return _judged(docs, "section")
+
+
 @query("op10_simhash")
 def simhash_query(spark, sf_dir):
     groups = simhash.simhash_groups(read_table(spark, sf_dir, "documents"))

@@ -13,8 +13,9 @@ keeps every pair.  This ends after a few rounds, since ``FEW_HIDDEN`` hidden bit
 links leaves the task, never all pairs.
 
 Defined cases: a null or empty text, or one of blanks only, has fingerprint 0 and is linked like any other; fewer
-words than a shingle give one shingle of all words; repeated rows get the same component; a null ``doc_id`` takes no
-part in naming a component (null if nothing else is in it); an empty table gives an empty result; other columns of the input take no part.
+words than a shingle give one shingle of all words; a very long text is counted whole, in blocks; repeated rows get the same component; a null ``doc_id`` takes no
+part in naming a component (null if nothing else is in it); an empty table gives an empty result; other columns of the input,
+whatever their names, take no part, and ``keep_one`` returns them.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmart.llm.components import component_labels
-from lendmart.llm.texts import stage
+from lendmart.llm.texts import free_names, stage
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 BUCKET, FEW_HIDDEN = 512, 12
@@ -147,12 +148,13 @@ def keep_one(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, seed:
     one of them stays.
     """
     groups = simhash_groups(docs, width, radius, seed)
-    keep = stage(groups.where("doc_id = component_id").groupBy("component_id").agg(F.count(F.lit(1)).alias("__times"))
-                 .withColumnRenamed("component_id", "__keep"), "kept")
-    same = F.col("doc_id") == F.col("__keep")
+    n_keep, n_times = free_names(docs.columns, "keep", "times")
+    keep = stage(groups.where("doc_id = component_id").groupBy(F.col("component_id").alias(n_keep)).agg(F.count(F.lit(1)).alias(n_times)), "kept")
+    same = F.col("doc_id") == F.col(n_keep)
     rest = docs.where("doc_id IS NULL")
-    if keep.where("__times > 1").isEmpty():
+    several = F.col(n_times) > 1
+    if keep.where(several).isEmpty():
         return docs.join(keep, same, "left_semi").unionByName(rest)
-    once = docs.join(keep.where("__times = 1"), same, "left_semi")
-    again = docs.join(keep.where("__times > 1"), same, "left_semi").dropDuplicates(["doc_id"])
+    once = docs.join(keep.where(~several), same, "left_semi")
+    again = docs.join(keep.where(several), same, "left_semi").dropDuplicates(["doc_id"])
     return once.unionByName(again).unionByName(rest)

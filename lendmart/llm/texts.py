@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lendmart.sources.staging import stage
 
-__all__ = ["lower_ascii", "read_table", "stage", "text_of"]
+__all__ = ["free_names", "lower_ascii", "read_table", "stage", "text_of"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -16,6 +16,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """Names like the wanted ones that are none of ``taken``, whatever the case, nor of each other."""
+    used, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_of(column: str | Column = "text") -> Column:
     """The text, empty where it is null."""
     c = F.col(column) if isinstance(column, str) else column

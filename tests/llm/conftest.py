@@ -17,7 +17,9 @@ EDGE = [
 ]
 NAMES = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that operators use inside.
-CLASHING = ("m", "v", "mask", "key", "n", "f", "u", "recipe", "keep_id", "norm", "tokens", "block", "budget", "shard", "row", "label", "node", "pii", "quality", "score")
+CLASHING = ("m", "v", "mask", "key", "n", "f", "u", "recipe", "keep_id", "norm", "tokens", "block", "budget", "shard", "row", "label", "node", "pii", "quality", "score",
+            "__mix", "__source", "__plan", "__block", "__epoch", "__host", "__m", "__verdict", "__quality", "__keep", "__times", "__sha", "__again", "__digest",
+            "__proposed_ip", "__id", "of_source", "plan", "epoch", "host", "of_host", "verdict", "keep", "times", "sha", "again", "digest", "proposed_ip", "mix", "m_")
 
 
 @pytest.fixture(scope="session")

@@ -1,11 +1,15 @@
 """The pipeline's stages against plain versions, one after the other."""
 
+import collections
+
 import brute
 import corpus_pipeline
 import numpy as np
 import xxhash
 
-from lendmart.llm import bpe
+from pyspark.sql import functions as F
+
+from lendmart.llm import bpe, mixing
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,6 +36,14 @@ def test_stages(spark, docs, texts, tokenizer):
         else:
             assert set(got) == ids and len(got) >= len(ids)
         now = out
+        if name == "mixing sources":
+            # One partition after the other, the rows stand in the mixture's order.
+            place = {(r.doc_id, r.epoch): r.position for r in mixing.mix(docs.where(F.col("doc_id").isin(list(ids)))).select("doc_id", "mix.*").collect()}
+            epoch, order = collections.Counter(), []
+            for d in got:
+                order.append((place[d, epoch[d]], d))
+                epoch[d] += 1
+            assert order == sorted(order)
     own = bpe.Codec(open(tokenizer).read())
     for r in now.collect():
         assert r.token_ids == np.frombuffer(own.encode(texts[r.doc_id]), "<u4").tolist() and r.n_tokens == len(r.token_ids)
