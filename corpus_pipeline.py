@@ -1,4 +1,11 @@
-"""From raw documents to token ids: each stage works on what its predecessor kept."""
+"""From raw documents to token ids: each stage works on what its predecessor kept.
+
+Each stage takes and, but for the last, returns the columns of its input, whatever further columns it has and however they are named.  What a
+stage does with nulls, empty and very long texts, ties, repeated rows and empty tables is its operator's definition (see there); in short:
+texts that are null, empty or short fail the rules; equal texts leave the row with the largest ``doc_id``, near copies that with the smallest;
+rows without ``doc_id`` stay unless an equal text has one; a null source is a source of its own; an empty table passes through all stages.
+Very long texts are read whole by every stage.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lendmart.llm import bpe, exact_dedup, mixing, quality_rules, simhash
 from lendmart.llm.queries import tokenizer_path
-from lendmart.llm.texts import read_table, stage
+from lendmart.llm.texts import free_names, read_table, stage
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +33,9 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mixture reads them; every document at least once."""
-    return mixing.mix(docs, into="__mix").drop("__mix")
+    """The documents as often as the mixture reads them, in its order; every document at least once."""
+    mix, = free_names(docs.columns, "mix")
+    return mixing.in_order(mixing.mix(docs, into=mix), by=mix).drop(mix)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
