@@ -46,8 +46,9 @@ from lendmart.llm.texts import stage
 
 NOTHING, START, END = 0, 1, 2  # hashes of no word, and numbers of no word in a block
 NO_ID = -(1 << 63)  # stands for a null doc_id
-ORDER, BLOCK_TOKENS, SHARD_TOKENS, HOT_SHARE, FREQUENT = 3, 2_000_000, 2_000_000, 8, 1 << 16
-WORDS_AT_ONCE = 1 << 20
+ORDER, BLOCK_TOKENS, SHARD_TOKENS, HOT_SHARE, FREQUENT = 3, 3_000_000, 3_000_000, 8, 1 << 16
+WORDS_AT_ONCE = 1 << 19
+PIECE = 1 << 14  # bytes of a payload that travel together
 SEEDS = (0, 1, 2)
 
 
@@ -99,39 +100,66 @@ def words_of(text: str | None) -> list[bytes]:
 
 # ---- words
 
-def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``word, n`` of the words of many texts; the end of texts is the empty word."""
-    made = lambda: pa.RecordBatch.from_pydict({"word": pa.array(count, pa.binary()), "n": pa.array(count.values(), pa.int64())})
-    count: Counter = Counter()
-    for batch in (part for whole in batches for part in slices(whole, "text")):
-        for text in batch.column("text"):
-            count.update(words_of(text.as_py()))
-            count[b""] += 1
-        if len(count) > WORDS_AT_ONCE:
+def count_words(seed: int, buckets: int, hashes_of=word_hashes):
+    """Rows ``bucket, payload`` of the words of many texts and how often they stand there, by their hashes; the end of texts is no word yet."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made() -> pa.RecordBatch:
+            words, n = np.array(list(count), object), np.fromiter(count.values(), np.int64)
+            bucket = (hashes_of(words, seed) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            payloads = [packed(b" ".join(words[order[x:y]]), small(n[order[x:y]]), ends if k == 0 else 0) for k, (x, y) in enumerate(zip(cuts, cuts[1:]))]
+            return pa.RecordBatch.from_pydict({"bucket": pa.array(range(buckets), pa.int32()), "payload": pa.array(payloads, pa.binary())})
+
+        count: Counter = Counter()
+        ends = 0
+        for batch in (part for whole in batches for part in slices(whole, "text")):
+            for text in batch.column("text"):
+                count.update(words_of(text.as_py()))
+                ends += 1
+            if len(count) > WORDS_AT_ONCE:
+                yield made()
+                count, ends = Counter(), 0
+        if ends:
             yield made()
-            count = Counter()
-    if count:
-        yield made()
+    return rows
+
 
+def merge_words(seed: int, listed: int, hashes_of=word_hashes):
+    """From the payloads of a bucket, which has every word of its hashes: rows ``kind, hash, n``.
 
-def hash_words(seed: int, hashes_of=word_hashes):
-    """Rows ``word, n`` to rows ``hash, n``."""
+    Kind 0: tokens; kind 1: words that share a hash; kind 2: the ``listed`` most frequent words.
+    """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count: Counter = Counter()
+        ends = 0
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            hashes = hashes_of(words, seed)
-            hashes[[i for i, w in enumerate(words) if not w]] = END
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch.column("n")], ["hash", "n"])
+            for payload in batch.column("payload"):
+                words, n, more = unpacked(payload.as_py())
+                ends += more
+                for w, k in zip(words.split(), n.tolist()):
+                    count[w] += k
+        n, hashes = np.fromiter(count.values(), np.int64), hashes_of(list(count), seed)
+        shared = len(hashes) - len(np.unique(hashes))
+        top = np.lexsort((hashes, -n))[:listed]
+        kinds = np.array([0, 1, 2] + [2] * len(top), np.int32)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(kinds), pa.array(np.concatenate([np.array([0, 0, END], np.uint64), hashes[top]]).view(np.int64)),
+            pa.array(np.concatenate([[int(n.sum()) + ends, shared, ends], n[top]]))], ["kind", "hash", "n"])
     return rows
 
 
-def vocabulary(texts: DataFrame, seeds=SEEDS, hashes_of=word_hashes) -> tuple[DataFrame, int]:
-    """``hash, n`` of every word, written once, and the seed under which no two words share a hash."""
-    counted = texts.select("text").mapInArrow(count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def vocabulary(texts: DataFrame, frequent: int = FREQUENT, seeds=SEEDS, hashes_of=word_hashes) -> tuple[int, int, list]:
+    """How many tokens there are, the seed under which no two words share a hash, and ``hash, n`` of at most ``frequent`` words."""
+    buckets = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for seed in seeds:
-        words = stage(counted.mapInArrow(hash_words(seed, hashes_of), "hash long, n long").groupBy("hash").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")), "words")
-        if words.where("words > 1").isEmpty():
-            return words, seed
+        dealt = texts.select("text").mapInArrow(count_words(seed, buckets, hashes_of), "bucket int, payload binary").repartitionById(buckets, "bucket")
+        listed = max(16, -(-frequent // buckets))
+        counted = stage(dealt.mapInArrow(merge_words(seed, listed, hashes_of), "kind int, hash long, n long"), "words")
+        tokens, shared = counted.agg(F.sum(F.when(F.col("kind") == 0, F.col("n"))), F.sum(F.when(F.col("kind") == 1, F.col("n")))).first()
+        if not shared:
+            top = counted.where("kind = 2 AND n > 0").groupBy("hash").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "hash").limit(frequent)
+            return tokens or 0, seed, top.collect()
     raise ValueError("under every seed two words of this corpus share a hash")
 
 
@@ -244,11 +272,11 @@ class Block:
 
 
 def deal(how: Dealing, block_tokens: int):
-    """Rows ``row, doc_id, train, text`` to rows ``shard, payload``; ``row`` is unique to an input row."""
+    """Rows ``row, doc_id, train, text`` to rows ``shard, block, payload``; ``row`` is unique to an input row."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(block: Block) -> Iterator[pa.RecordBatch]:
             for s, payload in block.dealt(how):
-                yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "payload": pa.array([payload], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "block": pa.array([block.key]), "payload": pa.array([payload], pa.binary())})
 
         block = Block(TaskContext.get().partitionId() << 32)
         for batch in batches:
@@ -381,8 +409,8 @@ def counts_of_counts(c: np.ndarray) -> list[int]:
 def counted(how: Dealing):
     """From a shard: requests ``to, shard, payload``; counts of counts to be added up, under ``to`` -1."""
     def rows(partition: Iterable) -> Iterator[tuple]:
-        for number, payloads in by_first(partition):
-            shard = Shard(payloads, how)
+        for number, payloads, _ in whole(partition):
+            shard = Shard(list(payloads.values()), how)
             for to, _, _, payload in shard.requests(how):
                 yield to, number, payload(), None
             yield -1, number, None, counts_of_counts(shard.c) + counts_of_counts(shard.seen)
@@ -398,6 +426,28 @@ def by_first(rows: Iterable) -> Iterator[tuple[int, list]]:
         yield key, found.pop(key)
 
 
+def pieces(kind: int):
+    """Rows ``shard, number, payload`` to pairs of the shard and pieces, so that no buffer on the way holds many whole payloads."""
+    def pairs(row) -> Iterator[tuple]:
+        shard, number, payload = row
+        for at in range(0, len(payload), PIECE):
+            yield shard, (kind, number, at, bytes(payload[at:at + PIECE]))
+    return pairs
+
+
+def whole(partition: Iterable) -> Iterator[tuple[int, dict, dict]]:
+    """From pieces: for each shard its payloads by block (kind 0) and its answers by the shard that gave them (kind 1)."""
+    for shard, found in by_first(partition):
+        parts: tuple[dict, dict] = ({}, {})
+        for kind, number, at, piece in found:
+            parts[kind].setdefault(number, []).append((at, piece))
+        found.clear()
+        for of in parts:
+            for number in of:
+                of[number] = b"".join(piece for _, piece in sorted(of[number]))
+        yield shard, *parts
+
+
 def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From the requests to a shard: totals for each shard that asked, in its order; numbers to be added up, under ``shard`` -1."""
     def row(shard, to, payload, numbers) -> pa.RecordBatch:
@@ -442,20 +492,17 @@ def scored(how: Dealing, gram_numbers: list[int], word_numbers: list[int]):
     n1, n2, more, total_seen, size, total = word_numbers[0], word_numbers[1], *word_numbers[4:]
 
     def rows(partition: Iterable) -> Iterator[tuple]:
-        for _, values in by_first(partition):
-            payloads = [p for p in values if isinstance(p, bytes)]
-            answers = {to: p for to, p in (x for x in values if isinstance(x, tuple))}
-            if not payloads:
-                continue
+        for _, payloads, answers in whole(partition):
+            payloads = list(payloads.values())
             shard = Shard(payloads, how)
             word_seen, word_count = np.zeros(len(shard.words), np.int64), np.zeros(len(shard.words), np.int64)
             parts = shard.divided(how)
-            whole = np.concatenate([p[3] for p in parts], axis=1)
+            sums = np.concatenate([p[3] for p in parts], axis=1)
             for to, own, keys, _ in shard.requests(how):
-                word_seen[own], word_count[own], *sums = unpacked(answers.pop(to))
-                whole[:, keys] = sums
-            shard.sums3[:, parts[0][0]] = whole[:, :len(parts[0][0])]
-            shard.sums2[:, parts[1][0]] = whole[:, len(parts[0][0]):]
+                word_seen[own], word_count[own], *totals = unpacked(answers.pop(to))
+                sums[:, keys] = totals
+            shard.sums3[:, parts[0][0]] = sums[:, :len(parts[0][0])]
+            shard.sums2[:, parts[1][0]] = sums[:, len(parts[0][0]):]
             free = (d1[1] * n1 + d1[2] * n2 + d1[3] * more) / total_seen if total_seen else 1.0
             one = np.maximum(word_seen - d1[np.minimum(word_seen, 3)], 0) / max(total_seen, 1) + free / (size + 1)
             base = np.log10((word_count + 1) / (total + size + 1))
@@ -465,7 +512,7 @@ def scored(how: Dealing, gram_numbers: list[int], word_numbers: list[int]):
                 p = interpolated(shard.c, shard.context, shard.sums3, p, d3)
             grams = [shard.hashes[x] for x in (shard.u, shard.v, shard.w)]
             known = word_count > 0
-            del shard, word_seen, word_count, one, whole, parts, answers, values
+            del shard, word_seen, word_count, one, sums, parts, answers
             yield from looked_up(grams, np.log10(p), word_of, base, known, payloads, how)
     return rows
 
@@ -548,26 +595,24 @@ def score_documents(docs: DataFrame, train: Column, order: int = ORDER, block_to
         raise ValueError("the order is 2 or 3")
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(train, F.lit(True)).alias("train"), "text")
-    words, seed = vocabulary(texts)
-    tokens = words.agg(F.sum("n")).first()[0] or 0
+    tokens, seed, top = vocabulary(texts, frequent)
     result = "row long, doc_id long, n_tokens long, n_known long, base_score double, score double"
     if not tokens:
         return spark.createDataFrame([], result + ", train_tokens long").drop("row")
     shards = max(1, -(-tokens // shard_tokens))
     # At most ``frequent`` words, however large the corpus.
-    top = words.orderBy(F.col("n").desc(), "hash").limit(frequent).select("hash", "n").collect()
     hashes, n = np.array([r.hash for r in top], np.int64).view(np.uint64), np.array([r.n for r in top], np.int64)
     how = Dealing(order, shards, seed, hashes, hashes[n > tokens / (HOT_SHARE * shards)])
 
     keyed = texts.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "train", "text")
-    dealt = keyed.mapInArrow(deal(how, block_tokens), "shard int, payload binary").rdd.map(lambda r: (r[0], bytes(r[1]))).partitionBy(shards, place)
+    dealt = keyed.mapInArrow(deal(how, block_tokens), "shard int, block long, payload binary").rdd.flatMap(pieces(0)).partitionBy(shards, place)
     made = lambda rdd, columns: spark.createDataFrame(rdd, columns, verifySchema=False)
     requests = stage(made(dealt.mapPartitions(counted(how)), "to int, shard int, payload binary, numbers array<long>"), "requests")
     gram_numbers = added(requests.where("to = -1"), 8)
     answers = stage(requests.where("to >= 0").repartitionById(shards, "to").mapInArrow(
         answered, "shard int, to int, payload binary, numbers array<long>"), "answers")
     word_numbers = added(answers.where("shard = -1"), 8)
-    returned = answers.where("shard >= 0").select("shard", "to", "payload").rdd.map(lambda r: (r[0], (r[1], bytes(r[2])))).partitionBy(shards, place)
+    returned = answers.where("shard >= 0").select("shard", "to", "payload").rdd.flatMap(pieces(1)).partitionBy(shards, place)
     both = dealt.union(returned)
     if both.getNumPartitions() != dealt.getNumPartitions():  # should Spark not see that both are dealt alike
         both = both.partitionBy(shards, place)

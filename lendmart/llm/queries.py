@@ -166,7 +166,7 @@ p AS (SELECT anchor_id, found_id AS positive_id, score AS positive_score FROM s
       QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, found_id) <= 5)
 SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, found_id AS negative_id, positive_score, score AS negative_score
 FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
-QUALIFY row_number() OVER w <= 10 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, found_id)""")
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, found_id) QUALIFY row_number() OVER w <= 10""")
 def hard_negatives_query(spark, sf_dir):
     rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "label", hard_negatives.whole_components("embedding").alias("vector"))
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))

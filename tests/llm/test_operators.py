@@ -164,12 +164,15 @@ def test_lm_edges(edge, clashing, nothing):
     assert all(r.train_tokens == 0 and r.n_known == 0 for r in untrained)
 
 
-def test_lm_words_are_verified(docs):
+def test_lm_words_are_verified(docs, texts):
     """Where two words share a hash, another seed is taken; without one the job fails."""
     plain = ngram_lm.word_hashes
     weak_hashes = lambda words, seed: plain(words, seed) % np.uint64(1 << 62 if seed == 1 else 64) + np.uint64(3)
-    words, seed = ngram_lm.vocabulary(docs, hashes_of=weak_hashes)
-    assert seed == 1 and words.agg(F.sum("n")).first()[0] > 0
+    tokens, seed, top = ngram_lm.vocabulary(docs, hashes_of=weak_hashes)
+    count = collections.Counter(w for t in texts.values() for w in [*ngram_lm.words_of(t), b""])
+    assert seed == 1 and tokens == sum(count.values()) and sorted(r.n for r in top) == sorted(count.values())
+    few = ngram_lm.vocabulary(docs, 40)[2]
+    assert [r.n for r in few][:10] == [n for _, n in count.most_common(10)] and len(few) == 40
     with pytest.raises(ValueError):
         ngram_lm.vocabulary(docs, seeds=(0, 2), hashes_of=weak_hashes)
 
