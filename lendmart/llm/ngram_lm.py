@@ -235,15 +235,19 @@ class Block:
         # Tokens in the order of their n-grams, and in it of their documents.
         size = len(hashes)
         if size ** 3 < 1 << 62:
-            order = np.argsort((v.astype(np.int64) * size + u) * size + w, kind="stable")
+            order = np.argsort((v.astype(np.int64) * size + u) * size + w)
         else:
             order = np.lexsort((w, u, v))
         u, v, w, place = u[order], v[order], w[order], place[order]
         new = np.append(True, (v[1:] != v[:-1]) | (u[1:] != u[:-1]) | (w[1:] != w[:-1]))
+        gram = np.cumsum(new) - 1
+        # Documents in their order, where an n-gram stands more than once.
+        several = np.flatnonzero(~new | np.append(~new[1:], False))
+        place[several] = place[several[np.argsort(gram[several] * len(lengths) + place[several])]]
         other = new | np.append(True, place[1:] != place[:-1])
         at = np.flatnonzero(other)
         times, doc = np.diff(np.append(at, len(w))), place[at]
-        gram = (np.cumsum(new) - 1)[at]          # n-gram of each (n-gram, document)
+        gram = gram[at]                          # n-gram of each (n-gram, document)
         first = np.flatnonzero(new)
         u, v, w = u[first], v[first], w[first]
         n = np.bincount(gram, minlength=len(u))
@@ -259,10 +263,15 @@ class Block:
         ranked = np.empty(len(hashes), np.int64)
         ranked[rank] = np.arange(len(hashes))
         u, v, w = ranked[u], ranked[v], ranked[w]
+        is_used, number = np.zeros(len(hashes), bool), np.empty(len(hashes), np.int64)
         for s in np.flatnonzero(np.diff(cuts)):
             own = by_shard[cuts[s]:cuts[s + 1]]
-            used, local = np.unique(np.concatenate([u[own], v[own], w[own]]), return_inverse=True)
-            k, names = len(own), rank[used]
+            named = np.concatenate([u[own], v[own], w[own]])
+            is_used[:] = False
+            is_used[named] = True
+            used = np.flatnonzero(is_used)
+            number[used] = np.arange(len(used))
+            local, k, names = number[named], len(own), rank[used]
             common = int((frequent[names] >= 0).sum())
             entries = np.repeat(begin[own] - np.append(0, np.cumsum(n[own])[:-1]), n[own]) + np.arange(int(n[own].sum()))
             yield int(s), packed(
@@ -317,7 +326,7 @@ def numbered(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         code = np.zeros(len(keys[0]), np.int64)
         for k in keys:
             code = code * (int(k.max(initial=0)) + 1) + k
-        order = np.argsort(code, kind="stable")
+        order = np.argsort(code)
         code = code[order]
         new = np.append(True, code[1:] != code[:-1])[:len(code)]
     else:
@@ -521,6 +530,16 @@ def gram_keys(u: np.ndarray, v: np.ndarray, w: np.ndarray, seed: int) -> np.ndar
     return mix(mix(v, w, seed), u, seed)
 
 
+def find(keys: np.ndarray, index: np.ndarray, shift: int, wanted: np.ndarray) -> np.ndarray:
+    """Places of keys that are there in a sorted array of hashes; ``index`` has where each leading part begins."""
+    at = index[(wanted >> np.uint64(shift)).astype(np.int64)]
+    late = np.flatnonzero(keys[at] < wanted)
+    while len(late):
+        at[late] += 1
+        late = late[keys[at[late]] < wanted[late]]
+    return at
+
+
 def looked_up(grams: list[np.ndarray], score: np.ndarray, word: np.ndarray, base: np.ndarray, known: np.ndarray, payloads: list[bytes],
               how: Dealing) -> Iterator[tuple[int, bytes]]:
     """The shard's model as sorted hash arrays in memory-mapped files, and sums over the n-grams of each payload.
@@ -542,12 +561,15 @@ def looked_up(grams: list[np.ndarray], score: np.ndarray, word: np.ndarray, base
         del keys, values, order, score, word
         grams.clear()
         keys, scores, last = (np.load(path, mmap_mode="r") for path in files)
+        bits = max(1, len(keys).bit_length())
+        shift = 64 - bits
+        index = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(shift)).astype(np.int32)
         for p in payloads:
             parts = unpacked(p)
             block, rows = parts[:2]
             words, u, v, w = words_and_grams(parts, how)
             n, doc, times, _ = parts[7:]
-            at = np.searchsorted(keys, gram_keys(words[u], words[v], words[w], seed))
+            at = find(keys, index, shift, gram_keys(words[u], words[v], words[w], seed))
             own, of = scores[at], last[at]
             entry, times = np.repeat(np.arange(len(n)), n), times.astype(np.float64)
             tokens, *sums = (np.bincount(doc, times if x is None else times * x[entry]) for x in (None, known[of], base[of], own))
