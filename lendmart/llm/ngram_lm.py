@@ -27,6 +27,7 @@ take no part; texts longer than a block are cut into blocks that know the words
 
 from __future__ import annotations
 
+import ctypes
 import os
 import pickle
 import tempfile
@@ -52,6 +53,15 @@ PIECE = 1 << 14  # bytes of a payload that travel together
 SEEDS = (0, 1, 2)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers are reused, and what they keep counts against their executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 # ---- compact payloads
 
 def small(a: np.ndarray) -> np.ndarray:
@@ -122,6 +132,8 @@ def count_words(seed: int, buckets: int, hashes_of=word_hashes):
                 count, ends = Counter(), 0
         if ends:
             yield made()
+        del count
+        give_back()
     return rows
 
 
@@ -260,10 +272,10 @@ class Block:
         frequent = how.place(hashes)
         # Words by their number in a payload: frequent ones by place, then the others by hash.
         rank = np.lexsort((hashes, frequent, frequent < 0))
-        ranked = np.empty(len(hashes), np.int64)
+        ranked = np.empty(len(hashes), np.int32)
         ranked[rank] = np.arange(len(hashes))
         u, v, w = ranked[u], ranked[v], ranked[w]
-        is_used, number = np.zeros(len(hashes), bool), np.empty(len(hashes), np.int64)
+        is_used, number = np.zeros(len(hashes), bool), np.empty(len(hashes), np.int32)
         for s in np.flatnonzero(np.diff(cuts)):
             own = by_shard[cuts[s]:cuts[s + 1]]
             named = np.concatenate([u[own], v[own], w[own]])
@@ -275,7 +287,7 @@ class Block:
             common = int((frequent[names] >= 0).sum())
             entries = np.repeat(begin[own] - np.append(0, np.cumsum(n[own])[:-1]), n[own]) + np.arange(int(n[own].sum()))
             yield int(s), packed(
-                self.key, rows, small(frequent[names[:common]]), steps(hashes[names[common:]]), small(local[:k]), small(np.diff(local[k:2 * k], prepend=0) % (1 << 32)),
+                self.key, rows, small(frequent[names[:common]]), steps(hashes[names[common:]]), small(local[:k]), small(np.diff(local[k:2 * k].astype(np.int64), prepend=0) % (1 << 32)),
                 small(local[2 * k:]), small(n[own]), small(doc[entries]), small(times[entries]), train)
             rows = None
 
@@ -301,10 +313,13 @@ def deal(how: Dealing, block_tokens: int):
                     if block.size >= block_tokens:
                         yield from out(block)
                         block = Block(block.key + 1)
+                        give_back()
                     if done:
                         break
         if block.size:
             yield from out(block)
+        del block
+        give_back()
     return rows
 
 
@@ -332,7 +347,7 @@ def numbered(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     else:
         order = np.lexsort(keys[::-1])
         new = np.append(True, np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0))[:len(order)]
-    at = np.empty(len(order), np.int64)
+    at = np.empty(len(order), np.int32)
     at[order] = np.cumsum(new) - 1
     return order[new], at
 
@@ -341,7 +356,7 @@ def runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Like ``numbered``, for keys that are in order already."""
     new = np.ones(len(keys[0]), bool)
     new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
-    return np.flatnonzero(new), np.cumsum(new) - 1
+    return np.flatnonzero(new), (np.cumsum(new) - 1).astype(np.int32)
 
 
 def kinds(at: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
@@ -362,6 +377,7 @@ class Shard:
             tables.append(words)
             grams.append((u, v, w, np.add.reduceat(seen, np.cumsum(n, dtype=np.int64) - n)))
         self.hashes, at = np.unique(np.concatenate(tables), return_inverse=True)
+        at = at.astype(np.int32)
         ends = np.cumsum([len(t) for t in tables])
         to = [at[e - len(t):e] for e, t in zip(ends, tables)]
         u, v, w = (np.concatenate([t[g[k]] for t, g in zip(to, grams)]) for k in range(3))
@@ -423,6 +439,8 @@ def counted(how: Dealing):
             for to, _, _, payload in shard.requests(how):
                 yield to, number, payload(), None
             yield -1, number, None, counts_of_counts(shard.c) + counts_of_counts(shard.seen)
+            del shard, payloads
+            give_back()
     return rows
 
 
@@ -523,6 +541,8 @@ def scored(how: Dealing, gram_numbers: list[int], word_numbers: list[int]):
             known = word_count > 0
             del shard, word_seen, word_count, one, sums, parts, answers
             yield from looked_up(grams, np.log10(p), word_of, base, known, payloads, how)
+            del grams, p, word_of, base, known, payloads
+            give_back()
     return rows
 
 
