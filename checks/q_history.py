@@ -309,3 +309,12 @@ def _(i):
 SELECT id, CASE WHEN id IN (SELECT loan_id FROM bureau_ignore WHERE deleted = 'N') THEN 1 ELSE 0 END AS ignore_flag FROM raw_loans""")
 def _(i):
     return rows.exists_flag(i.raw_loans.select("id"), "id", rows.active_only(i.bureau_ignore), "loan_id", "ignore_flag")
+
+
+@query("asof_score_many_events", uses="scores disbursals", sql="""
+SELECT e.loanid, e.disbursed, s.raw_score AS score, s.day AS score_day
+FROM (SELECT DISTINCT loanid, disbursed FROM disbursals) e
+LEFT JOIN LATERAL (SELECT raw_score, day FROM scores s WHERE s.loanid = e.loanid AND s.day <= e.disbursed ORDER BY day DESC, id DESC LIMIT 1) s ON TRUE""")
+def _(i):
+    scores = i.scores.select("loanid", F.col("raw_score").alias("score"), F.col("day").alias("score_day"), "id")
+    return rows.asof_events(scores, i.disbursals, "loanid", "score", "score_day", "disbursed", "id", bucket="week")

@@ -291,11 +291,12 @@ def _(i):
 
 @query("detail_frame", uses="loan_detail dictionary", sql=f"""
 SELECT loan_id, CASE residence_type_cnd WHEN 1 THEN 'Rented' WHEN 2 THEN 'Self Owned' WHEN 3 THEN 'Owned By Parent Or Sibling' WHEN 4 THEN 'Relatives'
-  ELSE {title("coalesce(d.cnd_name, 'unknown')")} END AS residence_type, {day_sql('TRY_CAST(residence_shifting_date AS BIGINT)')} AS residence_shifting_date
+  ELSE {title("coalesce(d.cnd_name, 'unknown')")} END AS residence_type, {day_sql('TRY_CAST(residence_shifting_date AS BIGINT)')} AS residence_shifting_date,
+  {', '.join('l.' + c for c in lead.LOAN_DETAIL_COLUMNS)}
 FROM (SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY id DESC) AS rn FROM loan_detail) l LEFT JOIN (SELECT * FROM dictionary WHERE deleted = 'N' AND cnd_group = 'RESIDENCE_TYPE') d
 ON d.id = l.residence_type_cnd WHERE rn = 1 AND l.deleted = 'N'""")
 def _(i):
-    return lead.detail_frame(i.loan_detail, rows.active_only(i.dictionary)).select("loan_id", "residence_type", "residence_shifting_date")
+    return lead.detail_frame(i.loan_detail, rows.active_only(i.dictionary))
 
 
 def _rate(code):

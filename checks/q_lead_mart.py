@@ -123,7 +123,7 @@ WIDE = f"""SELECT l.id AS loan_id, upper(coalesce(l.product_type, 'Others')) AS
   CASE WHEN ch.sub_category = 'Afinoz' THEN 'Afinoz' ELSE ra.namec_user END AS user_agent_name, {_AGENT_COLS}, ch.channel AS ch, ch.sub_category AS sub, ch.category AS cat,
   {_label('d_rel')} AS user_religion, {_label('d_cas')} AS user_caste, {_label('d_mt')} AS user_mothertounge,
   coalesce(u.gender, 'Unknown') AS gender, CASE {' '.join(f"WHEN u.highest_education IN ({', '.join(repr(c) for c in codes)}) THEN '{label}'" for codes, label in fv.EDUCATION_LEVELS)} ELSE 'Unknown' END AS highest_education,
-  eav.* EXCLUDE (loan_id), bal.monthly_average_balance, {', '.join(f"CASE WHEN det.loan_id IS NOT NULL THEN {v} END AS {c}" for c, v in dict(child=1, dependent=2, total_exp=3, sibling=4, cibil=5, equinox=6, gross_salary_m=7, take_home_salary_m=8, deductions_m=9, user_devicename="'dev'", dept="'d'", business_reg_proof="'b'", business_owner_proof="'o'", itr_gstin_proof="'i'", itr_ack_num="'n'", itr_valid_message="'v'", itr_valid_status="'s'", refer_product="'r'", is_nbfc_pass="'N'").items())},
+  eav.* EXCLUDE (loan_id), bal.monthly_average_balance, {', '.join('det.field1 AS user_devicename' if c == 'field1' else f'det.{c}' for c in lead.LOAN_DETAIL_COLUMNS)},
   coalesce(det.residence_type, 'Unknown') AS residence_type, coalesce(job.employement_type, 'Unknown') AS employement_type, {', '.join('job.' + c for c in JOB_COLS)}, idn.* EXCLUDE (loan_id), l.reference_id AS referenceid_loan,
   {title("trim(coalesce(ru.fname, '') || ' ' || coalesce(ru.lname, ''))")} AS rn1, {title("trim(coalesce(ru.fname, ''))")} AS rn2, ru.uid AS ruid, ru.mobile AS loan_main_borrower_mobile, ru.landline AS loan_main_borrower_landline, rpl.email_user AS loan_main_borrower_email,
   {', '.join('refs.' + c for c in _REFS)}, {', '.join('perms.' + c for c in _CONTACTS)}, coalesce(u.plus, 0) AS plus, u."minus" AS call_stat, coalesce(fl.fraud_flag, 0) AS fraud_flag, coalesce(fl.ignore_flag, 0) AS ignore_flag, coalesce(fl.ex360_npa, 0) AS ex360_npa,
@@ -241,4 +241,4 @@ LEFT JOIN dct d_sub ON d_sub.id = l.loan_sub_type_cnd AND d_sub.cnd_group IN ('M
 LEFT JOIN dct d_org ON d_org.id = u.origin_state_cnd AND d_org.cnd_group IN ('STATE_INDIA', 'LOAN_CITY') LEFT JOIN dct d_st ON d_st.id = u.state_cnd AND d_st.cnd_group IN ('STATE_INDIA', 'LOAN_CITY')
 LEFT JOIN tu ON tu.loan_id = l.id LEFT JOIN cr ON cr.loan_id = l.id""")
 def _(i):
-    return lead.lead_borrower(lead.lead_details(catalog(i), AS_OF, SITE))
+    return lead.lead_borrower(lead.LeadMart(catalog(i), AS_OF, SITE))

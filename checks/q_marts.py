@@ -35,7 +35,8 @@ from checks.q_portfolio import (AS_OF, FEES_SQL, MEASURES, SITE, SPINE_SQL, SUMM
                                 monthly_sql, period_sql, position_sql, sum_if, tag_sql)
 from lendmart.plans import lead_details as lead  # noqa: E402
 from lendmart.plans import portfolio, static_pool  # noqa: E402
-from lendmart.sources.staging import stage  # noqa: E402
+from lendmart.sources import sinks  # noqa: E402
+from lendmart.sources.staging import scratch, stage  # noqa: E402
 
 DISBURSED_SQL = "(SELECT loan_id, min(day) AS first_disburse_date, max(day) AS last_disburse_date FROM collected GROUP BY loan_id)"
 
@@ -207,3 +208,31 @@ def _(i):
 @query("lead_channel", uses="leads", sql="SELECT loan_id AS lead_id, source, channel, sub_category, category FROM leads")
 def _(i):
     return lead.lead_channel(i.leads)
+
+
+@query("monthly_refreshed", uses="live_inst collected leads", sql=f"SELECT * FROM {MONTHLY_SQL} m")
+def _(i):
+    """Written by months with a spoiled current month, which two refreshes replace, and read back."""
+    path = scratch(i.spark, "monthly_table")
+    full = portfolio.loan_at_monthly_full(catalog(i), AS_OF, SITE)
+    spoiled = F.when(F.col("status_month") == F.last_day(F.lit(AS_OF).cast("date")), "spoiled").otherwise(F.col("loan_status"))
+    sinks.write_snapshots(full.withColumn("loan_status", spoiled), path)
+    for _ in range(2):
+        sinks.refresh_snapshots(portfolio.loan_at_monthly_current(catalog(i), AS_OF, SITE), path)
+    return i.spark.read.schema(full.schema).parquet(path).select(*full.columns)
+
+
+@query("published_rebuild", uses="leads", sql="""
+SELECT 'open before' AS reader, loan_id AS lead_id, source, upper(channel) AS channel, sub_category, category FROM leads
+UNION ALL SELECT 'open after', loan_id, source, channel, sub_category, category FROM leads""")
+def _(i):
+    """A rebuild while an earlier version is open: that reader keeps its rows, the next one gets the new ones."""
+    path = scratch(i.spark, "published_table")
+    mart = lead.lead_channel(i.leads)
+    published = Catalog(i.spark, mapping={"lead_channel": path})
+    sinks.publish(mart.withColumn("channel", F.upper("channel")), path)
+    before = published["lead_channel"]
+    sinks.publish(mart, path)
+    after = published["lead_channel"]
+    reader = lambda df, name: df.select(F.lit(name).alias("reader"), *mart.columns)
+    return reader(before, "open before").unionByName(reader(after, "open after"))

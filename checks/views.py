@@ -210,8 +210,8 @@ SELECT {USER} AS uid, lower(c_mktsegment) AS fname, CAST(c_custkey AS VARCHAR(20
        CASE WHEN c_custkey % 8 = 0 THEN 'fc_invalid_' ELSE '' END || 'abcde'
          || lpad(CAST({_person("c_custkey", 40)} % 10000 AS VARCHAR(10)), 4, '0') || 'k' AS pan,
        {_local_epoch("(DATE '1955-01-01' + CAST(c_custkey * 31 % 17000 AS INT))")} AS dob,
-       'addr ' || CAST(c_custkey AS VARCHAR(10)) AS address, 'block  b' AS "add", '' AS add2, 'near  park' AS landmark,
-       CAST(c_nationkey AS INT) AS pin, 'town' AS city,
+       'addr ' || CAST(c_custkey AS VARCHAR(10)) AS address, 'block  ' || CAST(c_custkey % 31 AS VARCHAR(10)) AS "add", CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'lane ' || CAST(c_custkey % 37 AS VARCHAR(10)) END AS add2, 'near  park ' || CAST(c_custkey % 41 AS VARCHAR(10)) AS landmark,
+       CAST(c_nationkey AS INT) AS pin, 'town ' || CAST(c_custkey % 43 AS VARCHAR(10)) AS city,
        CASE c_custkey % 5 WHEN 0 THEN 'IMB' WHEN 1 THEN lower(c_mktsegment) WHEN 2 THEN c_mktsegment WHEN 3 THEN '' END AS source,
        CASE WHEN c_custkey % 3 = 0 AND c_custkey % 4 = 0 THEN 100000 + c_custkey % 15 ELSE 0 END AS agent_uid,
        100000 + c_custkey % 12 AS sub_agent_uid, 100000 + c_custkey % 9 AS job_assigning, 100000 + c_custkey % 5 AS portfolio_manager,
@@ -220,10 +220,10 @@ SELECT {USER} AS uid, lower(c_mktsegment) AS fname, CAST(c_custkey AS VARCHAR(20
        CASE c_custkey % 6 WHEN 0 THEN 420 WHEN 1 THEN 301 WHEN 2 THEN 5 WHEN 3 THEN 30 END AS plus,
        CAST(c_custkey % 4 AS INT) AS "minus", {_local_epoch(REGISTERED)} AS created, {_local_epoch(REGISTERED)} AS udated,
        CASE WHEN c_custkey % 41 = 0 THEN 'Y' ELSE 'N' END AS deleted,
-       'sp' AS spouse, 'fa' AS father, 'mo' AS mother, '1' AS aadhaar_number, 'single' AS marital_status,
-       CASE WHEN c_custkey % 2 = 0 THEN 'Male' END AS gender, 1 AS reg_step, 'old' AS old_source, 'Y' AS mobile_verify,
-       CAST(319 + CAST(floor(c_custkey / 3) AS BIGINT) % 7 AS VARCHAR(10)) AS highest_education, 'web' AS registration_type, 'x' AS source_type,
-       '' AS gst, '' AS relation_type, 0 AS campaign_id, 'Y' AS is_pan_verified,
+       'sp' || CAST(c_custkey % 47 AS VARCHAR(10)) AS spouse, 'fa' || CAST(c_custkey % 53 AS VARCHAR(10)) AS father, 'mo' || CAST(c_custkey % 59 AS VARCHAR(10)) AS mother, '1' || CAST(c_custkey % 61 AS VARCHAR(10)) AS aadhaar_number, 'single' || CAST(c_custkey % 2 AS VARCHAR(10)) AS marital_status,
+       CASE WHEN c_custkey % 2 = 0 THEN 'Male' END AS gender, CAST(1 + c_custkey % 6 AS INT) AS reg_step, 'old' || CAST(c_custkey % 67 AS VARCHAR(10)) AS old_source, CASE WHEN c_custkey % 2 = 0 THEN 'Y' ELSE 'N' END AS mobile_verify,
+       CAST(319 + CAST(floor(c_custkey / 3) AS BIGINT) % 7 AS VARCHAR(10)) AS highest_education, 'web' || CAST(c_custkey % 71 AS VARCHAR(10)) AS registration_type, 'x' || CAST(c_custkey % 73 AS VARCHAR(10)) AS source_type,
+       'g' || CAST(c_custkey % 79 AS VARCHAR(10)) AS gst, 'rel' || CAST(c_custkey % 83 AS VARCHAR(10)) AS relation_type, CAST(c_custkey % 89 AS INT) AS campaign_id, CASE WHEN c_custkey % 5 = 0 THEN 'N' ELSE 'Y' END AS is_pan_verified,
        CASE WHEN c_custkey % 5 = 0 THEN 100000 + c_custkey % 30 ELSE 0 END AS parent_uid
 FROM {{customer}}"""
 
@@ -268,8 +268,11 @@ VIEWS["tu_scores"] = """
 SELECT loanid, CASE id % 9 WHEN 0 THEN '000' WHEN 1 THEN '003' WHEN 2 THEN '0-1' ELSE raw_score END AS cibil_score, created FROM scores"""
 
 VIEWS["milestone"] = """
-SELECT user_id AS loanid, min(CAST(ts AS DATE)) AS first_disburse_date FROM {events}
-WHERE event_type = 'purchase' AND user_id % 4 <> 0 AND CAST(ts AS DATE) >= DATE '2024-01-10' GROUP BY user_id"""
+SELECT user_id AS loanid, min(CASE WHEN event_type = 'purchase' AND user_id % 4 <> 0 AND CAST(ts AS DATE) >= DATE '2024-01-10' THEN CAST(ts AS DATE) END)
+         AS first_disburse_date FROM {events} GROUP BY user_id"""
+
+# Every disbursal of a loan, many a loan.
+VIEWS["disbursals"] = "SELECT user_id AS loanid, CAST(ts AS DATE) AS disbursed FROM {events} WHERE event_type = 'purchase'"
 
 VIEWS["rule_runs"] = f"""
 SELECT user_id AS loan_id, {TS} AS created,
@@ -358,14 +361,14 @@ FROM {{orders}}"""
 
 VIEWS["employment"] = f"""
 SELECT o_orderkey AS id, {UID.replace('c_custkey', 'o_custkey')} AS uid, 'Y' AS is_current, lower(o_orderpriority) AS comp_designation,
-       CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE ' acme corp ' END AS comp_name, 'line one' AS comp_address, '2' AS comp_tenure,
-       'pin ' || CAST(o_orderkey % 30 AS VARCHAR(10)) AS comp_pin, '1' AS comp_phone, ' A@B ' AS comp_email,
+       CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE ' acme corp ' END AS comp_name, 'line ' || CAST(1 + o_orderkey % 97 AS VARCHAR(10)) AS comp_address, CAST(100 + o_orderkey % 23 AS VARCHAR(10)) AS comp_tenure,
+       'pin ' || CAST(o_orderkey % 30 AS VARCHAR(10)) AS comp_pin, CAST(700 + o_orderkey % 89 AS VARCHAR(10)) AS comp_phone, ' A' || CAST(1 + o_orderkey % 83 AS VARCHAR(10)) || '@B ' AS comp_email,
        CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'nan' WHEN 2 THEN '6309528114600' ELSE CAST({_local_epoch(ORDERED)} AS VARCHAR(20)) END AS comp_start,
        CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE CAST({_local_epoch(ORDERED)} AS VARCHAR(20)) END AS comp_end,
-       '1' AS company_profit, '1' AS company_depreciation, '1' AS company_salary_paid, 'Y' AS is_verified, '1' AS other_salaries_paid,
-       '1' AS work_exp, '1' AS prev_takehome_sal, 'type' AS business_type,
-       CASE o_orderkey % 4 WHEN 0 THEN '1' WHEN 1 THEN '0' WHEN 2 THEN 'null' END AS office_type, '1' AS no_of_employee,
-       '1' AS company_turnover, '1' AS comp_registration_no, '1' AS contact2, 'caution' AS caution_profile, '1' AS business_cash_component,
+       CAST(1000 + o_orderkey % 11 AS VARCHAR(10)) AS company_profit, CAST(2000 + o_orderkey % 13 AS VARCHAR(10)) AS company_depreciation, CAST(3000 + o_orderkey % 17 AS VARCHAR(10)) AS company_salary_paid, CASE WHEN o_orderkey % 2 = 0 THEN 'Y' ELSE 'N' END AS is_verified, CAST(4000 + o_orderkey % 19 AS VARCHAR(10)) AS other_salaries_paid,
+       CAST(5000 + o_orderkey % 29 AS VARCHAR(10)) AS work_exp, CAST(6000 + o_orderkey % 31 AS VARCHAR(10)) AS prev_takehome_sal, 'type ' || CAST(1 + o_orderkey % 37 AS VARCHAR(10)) AS business_type,
+       CASE o_orderkey % 4 WHEN 0 THEN '1' WHEN 1 THEN '0' WHEN 2 THEN 'null' END AS office_type, CAST(7000 + o_orderkey % 41 AS VARCHAR(10)) AS no_of_employee,
+       CAST(8000 + o_orderkey % 43 AS VARCHAR(10)) AS company_turnover, CAST(9000 + o_orderkey % 47 AS VARCHAR(10)) AS comp_registration_no, CAST(10000 + o_orderkey % 53 AS VARCHAR(10)) AS contact2, 'caution ' || CAST(1 + o_orderkey % 3 AS VARCHAR(10)) AS caution_profile, CAST(11000 + o_orderkey % 59 AS VARCHAR(10)) AS business_cash_component,
        CASE o_orderkey % 3 WHEN 0 THEN '60' ELSE CAST(9800 + o_orderkey % 28 AS VARCHAR(10)) END AS industry_type,
        6000 + o_orderkey % 26 AS employment_type_cnd, CASE WHEN o_orderkey % 7 = 0 THEN 90000116 ELSE 55 END AS comp_business_type_cnd,
        7000 + o_orderkey % 27 AS comp_industry_cnd, 1 AS company_offc_ownership_cnd, 2 AS desig_level_cnd, 7000 + o_orderkey % 25 AS profession_cnd,
@@ -375,9 +378,9 @@ FROM {{orders}}"""
 VIEWS["loan_detail"] = """
 SELECT o_orderkey AS id, o_custkey AS loan_id, 8000 + o_orderkey % 27 - CASE WHEN o_orderkey % 5 = 0 THEN 8000 ELSE 0 END AS residence_type_cnd,
        CASE WHEN o_orderkey % 2 = 0 THEN '800000000' ELSE 'x' END AS residence_shifting_date,
-       1 AS child, 2 AS dependent, 3 AS total_exp, 4 AS sibling, 5 AS cibil, 6 AS equinox, 7 AS gross_salary_m, 8 AS take_home_salary_m,
-       9 AS deductions_m, 'dev' AS field1, 'd' AS dept, 'b' AS business_reg_proof, 'o' AS business_owner_proof, 'i' AS itr_gstin_proof,
-       'n' AS itr_ack_num, 'v' AS itr_valid_message, 's' AS itr_valid_status, 'r' AS refer_product, 'N' AS is_nbfc_pass,
+       CAST(100 + o_orderkey % 2 AS INT) AS child, CAST(200 + o_orderkey % 3 AS INT) AS dependent, CAST(300 + o_orderkey % 5 AS INT) AS total_exp, CAST(400 + o_orderkey % 7 AS INT) AS sibling, CAST(500 + o_orderkey % 11 AS INT) AS cibil, CAST(600 + o_orderkey % 13 AS INT) AS equinox, CAST(700 + o_orderkey % 17 AS INT) AS gross_salary_m, CAST(800 + o_orderkey % 19 AS INT) AS take_home_salary_m,
+       CAST(900 + o_orderkey % 23 AS INT) AS deductions_m, 'dev' || CAST(0 + o_orderkey % 29 AS VARCHAR(10)) AS field1, 'd' || CAST(0 + o_orderkey % 31 AS VARCHAR(10)) AS dept, 'b' || CAST(0 + o_orderkey % 37 AS VARCHAR(10)) AS business_reg_proof, 'o' || CAST(0 + o_orderkey % 41 AS VARCHAR(10)) AS business_owner_proof, 'i' || CAST(0 + o_orderkey % 43 AS VARCHAR(10)) AS itr_gstin_proof,
+       'n' || CAST(0 + o_orderkey % 47 AS VARCHAR(10)) AS itr_ack_num, 'v' || CAST(0 + o_orderkey % 53 AS VARCHAR(10)) AS itr_valid_message, 's' || CAST(0 + o_orderkey % 59 AS VARCHAR(10)) AS itr_valid_status, 'r' || CAST(0 + o_orderkey % 61 AS VARCHAR(10)) AS refer_product, CASE WHEN o_orderkey % 2 = 0 THEN 'N' ELSE 'Y' END AS is_nbfc_pass,
        CASE WHEN o_orderkey % 17 = 0 THEN 'Y' ELSE 'N' END AS deleted
 FROM {orders}"""
 

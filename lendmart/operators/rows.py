@@ -83,33 +83,49 @@ def dense_positions(df: DataFrame, by, order: str, name: str, where: Column | No
     return out if where is None else out.withColumn(name, F.when(where, F.col(name)).otherwise(F.lit(0)))
 
 
+# So many consecutive whole-number tie-breakers make a range that one task sorts.
+TIE_RANGE = 1 << 20
+
+
 def numbered_with_previous(df: DataFrame, key: str, day: str, tie: str, number_as: str,
-                           previous: dict) -> DataFrame:
+                           previous: dict, tie_range: int = TIE_RANGE) -> DataFrame:
     """Sequence number within ``key`` by (day, tie), and values of the row before.
 
-    Two levels, so that a key holding a large share of the rows is never sorted by one
-    task: rows are ordered inside (key, day), days are ordered inside key with one row
-    each carrying the count and the last values, then both are put together.
+    Prefix sums over three levels, so that neither a key nor a single day of a key that holds a large share of the
+    rows is sorted by one task.  Rows are ordered inside (key, day, range), where a range is ``tie_range`` consecutive
+    whole numbers of the tie-breaker: at most that many rows, as tie-breakers differ.  Ranges carry their count and last
+    values and are ordered inside (key, day), days likewise inside key; counts of what comes before are added up and the last
+    values carried over.  A tie-breaker that is no whole number has one range a day.
     ``previous``: result column -> source column.
     """
     vals = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(previous.values())])
-    inner = Window.partitionBy(key, day).orderBy(tie)
+    split = dict(df.dtypes)[tie] in ("tinyint", "smallint", "int", "bigint")
+    df = df.withColumn("__range", F.floor(F.col(tie) / F.lit(tie_range)) if split else F.lit(0).cast("long"))
+    inner = Window.partitionBy(key, day, "__range").orderBy(tie)
     rows = (df.withColumn("__vals", vals)
               .withColumn("__n", F.row_number().over(inner))
               .withColumn("__before", F.lag("__vals").over(inner)))
-    days = df.groupBy(key, day).agg(F.count(F.lit(1)).alias("__cnt"),
-                                    F.max_by(vals, F.col(tie)).alias("__last"))
-    outer = Window.partitionBy(key).orderBy(day)
-    days = days.select(
-        key, day,
-        F.coalesce(F.sum("__cnt").over(outer.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
-        F.lag("__last").over(outer).alias("__carry"))
-    out = rows.join(days, [key, day], "left")
+    ranges = df.groupBy(key, day, "__range").agg(F.count(F.lit(1)).alias("__cnt"), F.max_by(vals, F.col(tie)).alias("__last"))
+
+    def before(of, order, counts, last) -> list[Column]:
+        """How many rows come before a part of ``of``, and the last values among them."""
+        w = Window.partitionBy(*of).orderBy(order)
+        return [F.coalesce(F.sum(counts).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), F.lag(last).over(w)]
+
+    off, carry = before([key, day], "__range", "__cnt", "__last")
+    placed = ranges.select("*", off.alias("__off"), carry.alias("__carry"))
+    days = ranges.groupBy(key, day).agg(F.sum("__cnt").alias("__cnt"), F.max_by("__last", "__range").alias("__last"))
+    off, carry = before([key], day, "__cnt", "__last")
+    days = days.select(key, day, off.alias("__day_off"), carry.alias("__day_carry"))
+    by = [key, day, "__range"]
+    placed = placed.join(days, [key, day]).select(
+        *by, (F.col("__off") + F.col("__day_off")).alias("__off"), F.coalesce("__carry", "__day_carry").alias("__carry"))
+    out = rows.join(placed, by, "left")
     prev = F.coalesce(F.col("__before"), F.col("__carry"))
     out = out.withColumn(number_as, (F.col("__off") + F.col("__n")).cast("long"))
     for i, name in enumerate(previous):
         out = out.withColumn(name, prev[f"v{i}"])
-    return out.drop("__vals", "__n", "__before", "__off", "__carry")
+    return out.drop("__vals", "__n", "__before", "__off", "__carry", "__range")
 
 
 def string_collect(df: DataFrame, key: str, value, name: str, sep: str = "|") -> DataFrame:
@@ -203,6 +219,31 @@ def asof_score(scores: DataFrame, events: DataFrame, key: str, score: str, score
     return best.select(key, F.col("__s")["v"].alias(score), score_day)
 
 
+def asof_events(scores: DataFrame, events: DataFrame, key: str, score: str, score_day: str, event_day: str, tie: str,
+                bucket: str = "year") -> DataFrame:
+    """For every event of a key, however many: the latest score at or before its day, NULL where there is none.
+
+    Scores and events become one stream; nothing is joined many to many.  Both are first reduced to one row for each key and
+    day.  The stream is scanned inside (key, time bucket); the last score of a bucket is carried over to later
+    buckets, of which a key has few, so a hot key is spread over its buckets.  Columns ``key, event_day, score, score_day``.
+    """
+    daily = (scores.filter(F.col(score_day).isNotNull()).groupBy(key, F.col(score_day).alias("__day"))
+             .agg(F.max_by(F.struct(F.lit(1).alias("is_score"), F.col(score).alias("v")), F.col(tie)).alias("__s")))
+    daily = daily.withColumn("__s", F.struct(F.col("__s.v").alias("v"), F.col("__day").alias("d")))
+    wanted = events.select(key, F.col(event_day).alias("__day")).distinct().withColumn("__event", F.lit(True))
+    stream = daily.unionByName(wanted, allowMissingColumns=True).groupBy(key, "__day").agg(
+        F.max("__s").alias("__s"), F.coalesce(F.max("__event"), F.lit(False)).alias("__event"))
+    stream = stream.withColumn("__bucket", F.trunc("__day", bucket))
+    inside = Window.partitionBy(key, "__bucket").orderBy("__day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = stream.withColumn("__own", F.last("__s", ignorenulls=True).over(inside)).filter("__event")
+    buckets = stream.groupBy(key, "__bucket").agg(F.max_by("__s", F.when(F.col("__s").isNotNull(), F.col("__day"))).alias("__last"))
+    earlier = Window.partitionBy(key).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.select(key, "__bucket", F.last("__last", ignorenulls=True).over(earlier).alias("__carry"))
+    out = scanned.join(buckets, [key, "__bucket"], "left")
+    found = F.coalesce("__own", "__carry")
+    return out.select(key, F.col("__day").alias(event_day), found["v"].alias(score), found["d"].alias(score_day))
+
+
 def earliest_match(left: DataFrame, right: DataFrame, pairs, pick, keep) -> DataFrame:
     """For each left row the best right row reachable through any of several keys.
 

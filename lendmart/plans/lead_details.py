@@ -3,13 +3,22 @@
 Built from sub-frames that are each unique by their key.  Borrower-keyed frames meet the
 loans first (one exchange on the borrower), then the loan-keyed frames are joined on the
 loan, whose frames already arrive partitioned by it from their own aggregation.
+
+``LeadMart`` is the plan of the mart: making one, asking for its columns or narrowing it with ``select`` starts no job.
+``frame`` stages what several consumers read and returns the mart as a DataFrame; only those sub-frames are
+built, staged and joined that the selected columns use.
+
+    leads = LeadMart(catalog, as_of).select("loan_id", "channel")
+    with Scope(spark) as scope:
+        sinks.write_mart(leads.frame(scope.stage), path)
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+from functools import cache, cached_property, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmart import fixed_values as fv
@@ -25,7 +34,7 @@ from lendmart.operators import leads as ld
 from lendmart.operators import rows
 from lendmart.operators import state_log as sl
 from lendmart.sources.catalog import Catalog
-from lendmart.sources.staging import stage
+from lendmart.sources.staging import stage, together, unstaged
 
 
 # --- sub-frames keyed by loan ----------------------------------------------
@@ -212,14 +221,21 @@ def detail_frame(details: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 # --- borrower side ---------------------------------------------------------
 
-def borrower_frame(catalog: Catalog, people: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Users with roles, employment, account and pincode attributes: one row per user."""
+def borrower_frame(catalog: Catalog, people: DataFrame, dictionary: DataFrame, wanted=None) -> DataFrame:
+    """Users with roles, employment, account and pincode attributes: one row per user.
+
+    ``wanted`` (a function from columns to whether any is wanted) leaves out parts.
+    """
+    wanted = wanted or (lambda columns: True)
     users = ld.user_profile(catalog["users"], people, dictionary).drop("deleted", "created", "udated")
     pins = catalog["pincode_master"].select("pincode", "city_pin", "district", F.col("state").alias("pin_state"), "zone")
-    users = users.join(pins, users["pin"] == pins["pincode"], "left").drop("pincode")
-    job = ld.employment_profile(catalog["employment"], dictionary, catalog["pincode_master"])
-    account = ld.primary_account(catalog["bank_accounts"], catalog["loans"])
-    return users.join(job, "uid", "left").join(account, "uid", "left")
+    if wanted(("city_pin", "district", "pin_state", "zone")):
+        users = users.join(pins, users["pin"] == pins["pincode"], "left").drop("pincode")
+    if wanted(("employement_type", *EMPLOYMENT_COLUMNS)):
+        users = users.join(ld.employment_profile(catalog["employment"], dictionary, catalog["pincode_master"]), "uid", "left")
+    if wanted(ACCOUNT_COLUMNS):
+        users = users.join(ld.primary_account(catalog["bank_accounts"], catalog["loans"]), "uid", "left")
+    return users
 
 
 def reference_borrowers(people: DataFrame, users: DataFrame) -> DataFrame:
@@ -271,160 +287,296 @@ AGENT_FIELDS = {"name": "name_user", "mobile": "mobile_user", "login_name": "nam
                 "login_name_clean": "namec_user", "email_original": "email_org_user", "name_from_email": "email_user"}
 
 
-def loan_frames(catalog: Catalog, people: DataFrame, dictionary: DataFrame, base: DataFrame, site: SiteConfig,
-                stage) -> list[DataFrame]:
-    """Every loan-keyed sub-frame, each with one row per loan."""
-    info = split_info(catalog["additional_info"], stage)
-    disbursed = stage(ins.register_rollup(catalog["payment_register"], site.ignored_payees), "disbursed")
-    proposals = ins.proposal_rollup(ins.collected_proposals(catalog["proposals"], catalog["proposal_collections"]),
-                                    site.priority_lenders, site.other_portfolio)
-    proposals = proposals.withColumnsRenamed({"first_day": "first_proposal_date", "last_day": "last_proposal_date"})
-    best = ld.mandate_status(ld.best_mandate(catalog["mandates"]), ld.subscription_counts(catalog["subscriptions"]),
-                             ld.bank_mandate_counts(catalog["bank_mandates"])).drop("nach_priority")
-    rules = sl.daily_rule_outcome(catalog["rule_runs"], site.fill(fv.RULE_ACTIONS))
-    rules = rules.withColumnsRenamed({"rule_pass_date": "__pass", "rule_reject_date": "__reject"})
-    tu = score_frame(catalog["tu_scores"], disbursed, "cibil_score", "cibil_score", 0, fv.SCORE_CODES, "1", None)
-    crif = score_frame(catalog["crif_scores"], disbursed, "score", "crif_score", fv.IST_OFFSET_S, None, "0", "0")
-    staff = rows.latest_by(catalog["uw_master"].select(F.col("uw_id").cast("long").alias("uw_id"), "uw_name"),
-                           "uw_id", [F.col("uw_name").asc()])
-    facts = log_frame(sl.state_log(catalog["state_log"]), staff, site)
-    return [
-        disbursed, proposals, tu, crif, underwriting_frame(catalog, facts, staff),
-        ops_remarks(info["remark"], catalog["logins"], catalog["dictionary"]), reference_contacts(info["reference"]),
-        permanent_contacts(info["permanent"]), eav_values(info["answer"]), ld.deviation_counts(info["deviation"], people),
-        identity_frame(catalog["identity_addresses"]), bank_balance(catalog["bank_months"], base),
-        detail_frame(catalog["loan_detail"], dictionary), best, ld.cheque_counts(catalog["cheques"]), rules,
-        ld.lead_existence_flags(catalog["bureau_ignore"], catalog["loans"]), ins.fee_totals(catalog["transactions"]),
-    ]
+def loan_frames(catalog: Catalog, people: DataFrame, dictionary: DataFrame, base: DataFrame, site: SiteConfig, stage) -> dict:
+    """Every loan-keyed sub-frame, each with one row per loan, as a function that builds it; parts they share are staged once."""
+    info = cache(lambda: split_info(catalog["additional_info"], stage))
+    disbursed = cache(lambda: stage(ins.register_rollup(catalog["payment_register"], site.ignored_payees), "disbursed"))
+
+    def proposals():
+        rollup = ins.proposal_rollup(ins.collected_proposals(catalog["proposals"], catalog["proposal_collections"]),
+                                     site.priority_lenders, site.other_portfolio)
+        return rollup.withColumnsRenamed({"first_day": "first_proposal_date", "last_day": "last_proposal_date"})
+
+    def mandates():
+        return ld.mandate_status(ld.best_mandate(catalog["mandates"]), ld.subscription_counts(catalog["subscriptions"]),
+                                 ld.bank_mandate_counts(catalog["bank_mandates"])).drop("nach_priority")
+
+    def rules():
+        found = sl.daily_rule_outcome(catalog["rule_runs"], site.fill(fv.RULE_ACTIONS))
+        return found.withColumnsRenamed({"rule_pass_date": "__pass", "rule_reject_date": "__reject"})
+
+    def underwriting():
+        staff = rows.latest_by(catalog["uw_master"].select(F.col("uw_id").cast("long").alias("uw_id"), "uw_name"),
+                               "uw_id", [F.col("uw_name").asc()])
+        return underwriting_frame(catalog, log_frame(sl.state_log(catalog["state_log"]), staff, site), staff)
+
+    return {
+        "disbursed": disbursed, "proposals": proposals,
+        "tu": lambda: score_frame(catalog["tu_scores"], disbursed(), "cibil_score", "cibil_score", 0, fv.SCORE_CODES, "1", None),
+        "crif": lambda: score_frame(catalog["crif_scores"], disbursed(), "score", "crif_score", fv.IST_OFFSET_S, None, "0", "0"),
+        "underwriting": underwriting,
+        "remarks": lambda: ops_remarks(info()["remark"], catalog["logins"], catalog["dictionary"]),
+        "references": lambda: reference_contacts(info()["reference"]), "permanent": lambda: permanent_contacts(info()["permanent"]),
+        "answers": lambda: eav_values(info()["answer"]), "deviations": lambda: ld.deviation_counts(info()["deviation"], people),
+        "identity": lambda: identity_frame(catalog["identity_addresses"]), "balance": lambda: bank_balance(catalog["bank_months"], base),
+        "detail": lambda: detail_frame(catalog["loan_detail"], dictionary), "mandates": mandates,
+        "cheques": lambda: ld.cheque_counts(catalog["cheques"]), "rules": rules,
+        "flags": lambda: ld.lead_existence_flags(catalog["bureau_ignore"], catalog["loans"]), "fees": lambda: ins.fee_totals(catalog["transactions"]),
+    }
+
+
+def names_in(c: Column, known) -> set[str]:
+    """The names among ``known`` that an expression mentions; more than it uses at worst (a text may look like a name)."""
+    return set(re.findall(r"[A-Za-z_][A-Za-z_0-9]*", str(c))) & set(known)
+
+
+def alias_of(c) -> str:
+    """The name of a column, or of the column a name stands for."""
+    if isinstance(c, str):
+        return c
+    return re.search(r"(?:^Column<'| AS )`?([A-Za-z_][A-Za-z_0-9]*)`?'>$", str(c))[1]
+
+
+def named(columns: dict) -> list[Column]:
+    return [c.alias(n) for n, c in columns.items()]
+
+
+class LeadMart:
+    """The plan of the lead mart, or of some of its columns."""
+
+    def __init__(self, catalog: Catalog, as_of, site: SiteConfig = DEFAULT_SITE, columns=None):
+        self.catalog, self.as_of, self.site, self.selected = catalog, as_of, site, None if columns is None else list(columns)
+
+    def select(self, *columns: str) -> "LeadMart":
+        unknown = [c for c in columns if c not in self.columns]
+        if unknown:
+            raise ValueError(f"no such columns: {unknown}")
+        narrowed = LeadMart(self.catalog, self.as_of, self.site, columns)
+        narrowed.__dict__["schemas"] = self.schemas
+        return narrowed
+
+    @property
+    def columns(self) -> list[str]:
+        return self.every_column if self.selected is None else self.selected
+
+    # --- what there is, and what it needs: analysis only, no job
+
+    @cached_property
+    def schemas(self) -> dict[str, list[str]]:
+        """Columns of every part of the wide row."""
+        wide, frames = self.wide(unstaged, None)
+        return {"application": wide.columns, **{n: [c for c in build().columns if c != "loan_id"] for n, build in frames.items()}}
+
+    @cached_property
+    def names(self) -> list[str]:
+        return [c for part in self.schemas.values() for c in part]
+
+    @cached_property
+    def every_column(self) -> list[str]:
+        given = [n for n in (*self.first(self.names), *self.labels()) if n not in ("__ch", "__sub", "__cat")]
+        people = [f"{who}_{n}" for who in ("ba", "preuw") for n in AGENT_FIELDS]
+        return ["report_datetime", *dict.fromkeys([*given, "rm", *people, *self.after()]), *self.flags()]
+
+    def needs(self) -> tuple[set[str], set[str]]:
+        """Columns that have to be made for the selected ones, and those of the wide row that they read."""
+        made = {**self.first(self.names)}
+        levels = [self.flags(), self.after(), self.labels()]
+        known = [*made, *(n for level in levels for n in level), "rm", "disp_name"]
+        todo, seen, read = list(self.columns), set(), {"loan_id"}
+        while todo:
+            c = todo.pop()
+            if c in seen:
+                continue
+            seen.add(c)
+            who = re.match(r"(ba|preuw)_(.+)$", c)
+            level = next((x for x in levels if c in x), None)
+            if level is not None:
+                todo += names_in(level[c], known)
+            elif c == "rm":
+                todo += ["sub_agent_uid", "agent_uid", "source", "sub_category", "channel"]
+            elif c == "disp_name":
+                todo.append("plus")
+            elif who and who[2] in AGENT_FIELDS:
+                todo.append(f"{who[1]}_uid")
+            if c in made:
+                read |= names_in(made[c], self.names)
+        return seen, read
+
+    # --- the wide row
+
+    def wide(self, stage, read: set[str] | None):
+        """Applications with their borrowers, and builders of the frames keyed by loan."""
+        catalog, site = self.catalog, self.site
+        wanted = lambda columns: read is None or bool(read & set(columns))
+        dictionary, people = together(
+            lambda: stage(rows.active_only(catalog["dictionary"]), "dictionary"),
+            lambda: stage(ld.people_dimension(catalog["logins"], catalog["users"], site), "people"))
+        base, borrowers = together(
+            lambda: stage(loan_base(catalog, dictionary), "loan_base"),
+            lambda: stage(borrower_frame(catalog, people, dictionary, wanted), "borrowers"))
+        self.shared = dictionary, people
+        # Borrower-keyed joins first, loan-keyed joins after.
+        loan_cols = [c for c in base.columns if c not in ("uid", "deleted", "created", "udated", "updated_by", "reference_id")]
+        df = base.select(*loan_cols, F.col("uid").alias("uid"), F.col("updated_by").alias("__updated_by"),
+                         F.col("reference_id").cast("long").alias("referenceid_loan"))
+        df = df.join(borrowers, "uid")
+        updated_by = {"loan_updatedby_name": "namec_user", "loan_updatedby_mobile": "mobile_user",
+                      "loan_updatedby_landline": "landline_user", "loan_updatedby_email": "email_user"}
+        if wanted(updated_by):
+            df = ld.attach_person(df, people, "__updated_by", updated_by)
+        if wanted([f"loan_main_borrower_{c}" for c in MAIN_BORROWER]):
+            df = df.join(reference_borrowers(people, catalog["users"]), "referenceid_loan", "left")
+        if wanted(("__ch", "__sub", "__cat")):
+            dim = ld.channel_dimension(catalog["channel_master"]).withColumnsRenamed(
+                {"channel": "__ch", "sub_category": "__sub", "category": "__cat"})
+            df = df.join(dim, ld.source_key("source") == dim["source_key"], "left").drop("source_key")
+        if wanted(("tenure_months", "tenure_monthsno")):
+            tenure = catalog["tenure_master"].select(F.col("tenure_code").alias("tenure"), "tenure_months",
+                                                     F.col("tenure").alias("tenure_monthsno"))
+            df = df.join(tenure, "tenure", "left")
+        return df, loan_frames(catalog, people, dictionary, base, site, stage)
+
+    # --- columns, level by level
+
+    def first(self, names: list[str]) -> dict[str, Column]:
+        """Columns from the wide row."""
+        site, as_of = self.site, self.as_of
+        first_disb = F.coalesce("first_disburse_date", "first_proposal_date")
+        last_disb = F.coalesce("last_disburse_date", "last_proposal_date")
+        cancelled_state = F.col("loan_state") == 10
+        state = F.when(~F.coalesce(cancelled_state, F.lit(False)), F.col("loan_currentstate")).otherwise("Cancelled")
+        agent = ld.agent_label(site, "__sub")
+        product = F.upper(F.coalesce("product_type", F.lit("Others")))
+        born, reg = F.col("cu_dob"), F.col("cl_created")
+        age = age_years(born, reg)
+        city = lookup("loan_city", fv.CITY_OVERRIDES, F.initcap(F.trim(F.coalesce("loan_city", F.lit("")))))
+        registration = ld.registration_method(as_of)
+
+        out = [
+            "loan_id", product.alias("product_type"), title_or("loan_type", "Others").alias("loan_type"),
+            title_or("loan_subtype", "Others").alias("loan_subtype"),
+            title_or("other_loan_type", "Others").alias("loan_othertype"),
+            state.alias("loan_currentstate"),
+            ld.default_portfolio(site).alias("portfolio_type"), F.col("uid").alias("user_id"),
+            *[c.alias(n) for n, c in sl.rule_window_flags("cl_created", "livec_date", "__pass", "__reject").items()],
+            *[c for c in PASS_THROUGH_LOAN if c != "tenure"], *PASS_THROUGH_USER,
+            "allocated_date", "accepted_date", F.col("livec_date").alias("actual_live_date"), "rfd_date",
+            "first_proposal_date", F.trunc("first_proposal_date", "month").alias("first_proposal_month"),
+            "last_proposal_date", F.trunc("last_proposal_date", "month").alias("last_proposal_month"), "proposal_amount",
+            first_disb.alias("first_disburse_date"), F.trunc(first_disb, "month").alias("first_disburse_month"),
+            last_disb.alias("last_disburse_date"), F.trunc(last_disb, "month").alias("last_disburse_month"),
+            F.coalesce(F.col("disburse_amount").cast("decimal(38,2)"), F.col("proposal_amount").cast("decimal(38,2)")).alias("disburse_amount"),
+            "tenure_months", "tenure_monthsno", reg.alias("loan_registered_date"), F.col("cl_updated").alias("loan_updated_date"),
+            *[f"loan_updatedby_{c}" for c in ("name", "mobile", "landline", "email")],
+            "uw_name", "uw_assigned_date", *[c for s in fv.UW_SLOTS for c in (f"uw_{s}", f"uw_{s}_date")],
+            "ops_remark", "ops_reason", city.alias("loan_city"), F.col("original_loan_amt").alias("loan_original_amount"),
+            person_name("fname", "lname").alias("user_name"), F.col("fname").alias("user_fname"), F.col("lname").alias("user_lname"),
+            extract_national_id("pan", site.fill(fv.ID_STATUS_TOKENS)).alias("user_pan"),
+            "cibil_score", "crif_score", "crif_score_date",
+            F.when(~F.col("bureau_code").isin("null", "", "NaN"), F.col("bureau_code").try_cast("int")).alias("bureau_score"),
+            born.alias("user_dob"), age.alias("age_loanregister"), age_years(born, date_lit(as_of)).alias("age_current"),
+            bands.generation(age).alias("generations"),
+            compose_address(["address", "add", "add2", "landmark"]).alias("user_fulladdress"),
+            F.col("address").alias("user_address"), F.col("add").alias("user_address1"), F.col("add2").alias("user_address2"),
+            F.col("landmark").alias("user_landmark"), F.col("pin").alias("user_pin"),
+            F.coalesce("city_pin", F.lit("")).alias("user_city"), F.coalesce("district", F.lit("")).alias("user_district"),
+            F.coalesce("pin_state", "origion_state", F.lit("")).alias("user_state"), F.coalesce("zone", F.lit("")).alias("user_zone"),
+            F.col("city").alias("user_input_city"), F.coalesce("city_pin", "city").alias("user_final_city"),
+            F.col("input_state").alias("user_input_state"),
+            F.coalesce("pin_state", "input_state", "origion_state").alias("user_final_state"),
+            F.col("origion_state").alias("user_origion_state"), F.col("mobile").alias("user_mobile"),
+            normalize_phone("mobile").alias("bor_mobile"), F.col("landline").alias("user_landline"),
+            normalize_phone("landline").alias("bor_landline"), F.col("email_user").alias("user_email"),
+            F.col("cu_created").alias("user_created_date"), F.col("cu_updated").alias("user_updated_date"),
+            *[F.col(f"{field}_{role}").alias(f"{prefix}_{suffix}")
+              for prefix, (role, fields) in ROLE_RESULTS.items() for suffix, field in fields.items()],
+            agent.alias("user_agent_name"), *[F.col(c).alias(n) for n, c in AGENT_RESULTS.items()],
+            F.col("religion").alias("user_religion"), F.col("caste").alias("user_caste"),
+            F.col("mothertounge").alias("user_mothertounge"), F.coalesce("gender", F.lit("Unknown")).alias("gender"),
+            classify("highest_education", fv.EDUCATION_LEVELS, "Unknown").alias("highest_education"),
+            "total_obligation", "obligation", "savings", "income", "foir_before", "foir_after", "monthly_average_balance",
+            *[c for c in LOAN_DETAIL_COLUMNS if c != "field1"], F.coalesce("residence_type", F.lit("Unknown")).alias("residence_type"),
+            F.col("field1").alias("user_devicename"),
+            F.coalesce("employement_type", F.lit("Unknown")).alias("employement_type"), *EMPLOYMENT_COLUMNS,
+            *[c for c in names if c.startswith("adhaar_")], "referenceid_loan",
+            *[f"loan_main_borrower_{c}" for c in ("name", "first_name", "mobile", "landline", "email")],
+            *[c for c in names if c.startswith(("permannent_", "ref_name", "ref_contact"))],
+            F.coalesce("plus", F.lit(0)).alias("plus"), F.col("minus").alias("call_stat"),
+            *[F.coalesce(c, F.lit(0)).alias(c) for c in ("fraud_flag", "ignore_flag", "ex360_npa")],
+            F.when(state == "Foreclosure Initiated", F.col("foreclosure_created")).alias("foreclosure_initiated_date"),
+            F.col("cancelled_created").alias("cancelled_date"),
+            F.when((F.col("cancelled_created") >= F.col("livec_date")) & ((state == "Cancelled") | cancelled_state),
+                   F.col("cancelled_created")).alias("delist_date"),
+            "mandate_id", *[c for c in names if c.startswith("nach_")],
+            "enach_approved_date", "mandate_link_created", "enach_first_link_created_date", "enach_active_subscription_date",
+            "mandate_active", "icici_mandate_link_created", "icici_mandate_active", "icici_mandate_first_created_date",
+            "icici_mandate_active_date", "mandate_status",
+            *[c.alias(n) for n, c in registration.items()],
+            *[c for c in names if c.startswith("cheque_")],
+            "dev_created_by", "dev_exists", "total_dev", *[n for n, _, _ in fv.DEVIATION_CLASSES], *ACCOUNT_COLUMNS,
+            "registration_fees", "processing_fees", "ba_uid", "preuw_uid", "__ch", "__sub", "__cat"]
+        return {alias_of(c): F.col(c) if isinstance(c, str) else c for c in out}
+
+    def labels(self) -> dict[str, Column]:
+        return ld.attribute_channel(self.site, channel="__ch", sub_category="__sub", category="__cat")
+
+    def after(self) -> dict[str, Column]:
+        """Columns from those above, the disposition and the people."""
+        return {"call_disposition": ld.disposition(), "call_status": lookup("call_stat", fv.CALL_STATES), **sl.resolve_latest_event(), **sl.prequal_flags(),
+                "disbursed_flag": F.when(F.col("first_disburse_date").isNotNull(), 1).otherwise(0)}
+
+    def flags(self) -> dict[str, Column]:
+        def flag(c):
+            return F.when(c, 1).otherwise(0)
+
+        status = F.col("uw_status_final")
+        return {
+            "uw_allocated_flag": flag(F.col("uw_name_final") != "UW Not Assigned"), "uw_cancelled_flag": flag(status == "Cancelled"),
+            "uw_returned_flag": flag(status == "Returned"), "uw_forward_to_cs_flag": flag(status == "Forward to CS"), "uw_live_flag": flag(status == "Live"),
+            "delist_flag": flag((F.col("delist_date") > F.col("uw_updated_date")) & (F.col("loan_currentstate") == "Cancelled") & (status == "Live"))}
+
+    # --- the mart
+
+    def frame(self, stage=stage) -> DataFrame:
+        """Build the mart.  What several consumers read is staged once as a table."""
+        seen, read = (None, None) if self.selected is None else self.needs()
+        made = lambda n: seen is None or n in seen
+        df, frames = self.wide(stage, read)
+        used = {n: build for n, build in frames.items() if read is None or read & set(self.schemas[n])}
+        # What several frames share is staged before them, side by side.
+        together(*(frames[n] for n in ("disbursed", "remarks") if any(x in used for x in SHARING[n])))
+        df = reduce(lambda left, right: left.join(right, "loan_id", "left"), [build() for build in used.values()], df)
+        agents = [who for who in ("ba", "preuw") if any(made(f"{who}_{n}") for n in AGENT_FIELDS)]
+        if agents:
+            # The wide row is written once: agents are picked from it, and everything below is derived from it.
+            df = stage(df, "applications")
+        dictionary, people = self.shared
+        out = df.select(*named({n: c for n, c in self.first(df.columns if read is None else self.names).items() if made(n)}))
+        # Columns that depend on the ones above.
+        out = out.select("*", *named({n: c for n, c in self.labels().items() if made(n)})).drop("__ch", "__sub", "__cat")
+        if made("disp_name"):
+            d = rows.dictionary_slice(dictionary, "DISPOSITION", key="cnd_code") \
+                    .groupBy("__code").agg(F.min("__label").alias("disp_name"))
+            out = out.join(d, out["plus"].cast("string") == d["__code"], "left").drop("__code")
+        if made("rm"):
+            out = ld.assign_rep(out, ld.agent_reps(self.catalog["rep_assignments"]), ld.source_reps(self.catalog["source_owners"], people), self.site)
+        if agents:
+            known = ld.referenced_people(people, out, [f"{who}_uid" for who in agents])
+            for who in agents:
+                out = ld.attach_person(out, known, f"{who}_uid", {f"{who}_{n}": f for n, f in AGENT_FIELDS.items()})
+        out = out.select("*", *named({n: c for n, c in self.after().items() if made(n)}))
+        out = out.select(date_lit(self.as_of).alias("report_datetime"), "*", *named({n: c for n, c in self.flags().items() if made(n)})).drop("disp_name")
+        return out if self.selected is None else out.select(*self.selected)
+
+
+# Frames whose first one, once built, has staged what they share.
+SHARING = {"disbursed": ("disbursed", "tu", "crif"), "remarks": ("remarks", "references", "permanent", "answers", "deviations")}
+MAIN_BORROWER = ("name", "first_name", "mobile", "landline", "email")
 
 
 def lead_details(catalog: Catalog, as_of, site: SiteConfig = DEFAULT_SITE, stage=stage) -> DataFrame:
-    """Build the mart.  What several consumers read is staged once as a table."""
-    dictionary = stage(rows.active_only(catalog["dictionary"]), "dictionary")
-    people = stage(ld.people_dimension(catalog["logins"], catalog["users"], site), "people")
-    base = stage(loan_base(catalog, dictionary), "loan_base")
-    borrowers = stage(borrower_frame(catalog, people, dictionary), "borrowers")
-
-    # Borrower-keyed joins first, loan-keyed joins after.
-    loan_cols = [c for c in base.columns if c not in ("uid", "deleted", "created", "udated", "updated_by", "reference_id")]
-    df = base.select(*loan_cols, F.col("uid").alias("uid"), F.col("updated_by").alias("__updated_by"),
-                     F.col("reference_id").cast("long").alias("referenceid_loan"))
-    df = df.join(borrowers, "uid")
-    df = ld.attach_person(df, people, "__updated_by", {
-        "loan_updatedby_name": "namec_user", "loan_updatedby_mobile": "mobile_user",
-        "loan_updatedby_landline": "landline_user", "loan_updatedby_email": "email_user"})
-    df = df.join(reference_borrowers(people, catalog["users"]), "referenceid_loan", "left")
-    dim = ld.channel_dimension(catalog["channel_master"]).withColumnsRenamed(
-        {"channel": "__ch", "sub_category": "__sub", "category": "__cat"})
-    df = df.join(dim, ld.source_key("source") == dim["source_key"], "left").drop("source_key")
-    tenure = catalog["tenure_master"].select(F.col("tenure_code").alias("tenure"), "tenure_months",
-                                             F.col("tenure").alias("tenure_monthsno"))
-    df = df.join(tenure, "tenure", "left")
-    df = reduce(lambda left, right: left.join(right, "loan_id", "left"), loan_frames(catalog, people, dictionary, base, site, stage), df)
-    # The wide row is written once; everything below is derived from it.
-    df = stage(df, "applications")
-
-    first_disb = F.coalesce("first_disburse_date", "first_proposal_date")
-    last_disb = F.coalesce("last_disburse_date", "last_proposal_date")
-    cancelled_state = F.col("loan_state") == 10
-    state = F.when(~F.coalesce(cancelled_state, F.lit(False)), F.col("loan_currentstate")).otherwise("Cancelled")
-    agent = ld.agent_label(site, "__sub")
-    product = F.upper(F.coalesce("product_type", F.lit("Others")))
-    born, reg = F.col("cu_dob"), F.col("cl_created")
-    age = age_years(born, reg)
-    city = lookup("loan_city", fv.CITY_OVERRIDES, F.initcap(F.trim(F.coalesce("loan_city", F.lit("")))))
-    registration = ld.registration_method(as_of)
-
-    first = df.select(
-        "loan_id", product.alias("product_type"), title_or("loan_type", "Others").alias("loan_type"),
-        title_or("loan_subtype", "Others").alias("loan_subtype"),
-        title_or("other_loan_type", "Others").alias("loan_othertype"),
-        state.alias("loan_currentstate"),
-        ld.default_portfolio(site).alias("portfolio_type"), F.col("uid").alias("user_id"),
-        *[c.alias(n) for n, c in sl.rule_window_flags("cl_created", "livec_date", "__pass", "__reject").items()],
-        *[c for c in PASS_THROUGH_LOAN if c != "tenure"], *PASS_THROUGH_USER,
-        "allocated_date", "accepted_date", F.col("livec_date").alias("actual_live_date"), "rfd_date",
-        "first_proposal_date", F.trunc("first_proposal_date", "month").alias("first_proposal_month"),
-        "last_proposal_date", F.trunc("last_proposal_date", "month").alias("last_proposal_month"), "proposal_amount",
-        first_disb.alias("first_disburse_date"), F.trunc(first_disb, "month").alias("first_disburse_month"),
-        last_disb.alias("last_disburse_date"), F.trunc(last_disb, "month").alias("last_disburse_month"),
-        F.coalesce(F.col("disburse_amount").cast("decimal(38,2)"), F.col("proposal_amount").cast("decimal(38,2)")).alias("disburse_amount"),
-        "tenure_months", "tenure_monthsno", reg.alias("loan_registered_date"), F.col("cl_updated").alias("loan_updated_date"),
-        *[f"loan_updatedby_{c}" for c in ("name", "mobile", "landline", "email")],
-        "uw_name", "uw_assigned_date", *[c for s in fv.UW_SLOTS for c in (f"uw_{s}", f"uw_{s}_date")],
-        "ops_remark", "ops_reason", city.alias("loan_city"), F.col("original_loan_amt").alias("loan_original_amount"),
-        person_name("fname", "lname").alias("user_name"), F.col("fname").alias("user_fname"), F.col("lname").alias("user_lname"),
-        extract_national_id("pan", site.fill(fv.ID_STATUS_TOKENS)).alias("user_pan"),
-        "cibil_score", "crif_score", "crif_score_date",
-        F.when(~F.col("bureau_code").isin("null", "", "NaN"), F.col("bureau_code").try_cast("int")).alias("bureau_score"),
-        born.alias("user_dob"), age.alias("age_loanregister"), age_years(born, date_lit(as_of)).alias("age_current"),
-        bands.generation(age).alias("generations"),
-        compose_address(["address", "add", "add2", "landmark"]).alias("user_fulladdress"),
-        F.col("address").alias("user_address"), F.col("add").alias("user_address1"), F.col("add2").alias("user_address2"),
-        F.col("landmark").alias("user_landmark"), F.col("pin").alias("user_pin"),
-        F.coalesce("city_pin", F.lit("")).alias("user_city"), F.coalesce("district", F.lit("")).alias("user_district"),
-        F.coalesce("pin_state", "origion_state", F.lit("")).alias("user_state"), F.coalesce("zone", F.lit("")).alias("user_zone"),
-        F.col("city").alias("user_input_city"), F.coalesce("city_pin", "city").alias("user_final_city"),
-        F.col("input_state").alias("user_input_state"),
-        F.coalesce("pin_state", "input_state", "origion_state").alias("user_final_state"),
-        F.col("origion_state").alias("user_origion_state"), F.col("mobile").alias("user_mobile"),
-        normalize_phone("mobile").alias("bor_mobile"), F.col("landline").alias("user_landline"),
-        normalize_phone("landline").alias("bor_landline"), F.col("email_user").alias("user_email"),
-        F.col("cu_created").alias("user_created_date"), F.col("cu_updated").alias("user_updated_date"),
-        *[F.col(f"{field}_{role}").alias(f"{prefix}_{suffix}")
-          for prefix, (role, fields) in ROLE_RESULTS.items() for suffix, field in fields.items()],
-        agent.alias("user_agent_name"), *[F.col(c).alias(n) for n, c in AGENT_RESULTS.items()],
-        F.col("religion").alias("user_religion"), F.col("caste").alias("user_caste"),
-        F.col("mothertounge").alias("user_mothertounge"), F.coalesce("gender", F.lit("Unknown")).alias("gender"),
-        classify("highest_education", fv.EDUCATION_LEVELS, "Unknown").alias("highest_education"),
-        "total_obligation", "obligation", "savings", "income", "foir_before", "foir_after", "monthly_average_balance",
-        *[c for c in LOAN_DETAIL_COLUMNS if c != "field1"], F.coalesce("residence_type", F.lit("Unknown")).alias("residence_type"),
-        F.col("field1").alias("user_devicename"),
-        F.coalesce("employement_type", F.lit("Unknown")).alias("employement_type"), *EMPLOYMENT_COLUMNS,
-        *[c for c in df.columns if c.startswith("adhaar_")], "referenceid_loan",
-        *[f"loan_main_borrower_{c}" for c in ("name", "first_name", "mobile", "landline", "email")],
-        *[c for c in df.columns if c.startswith(("permannent_", "ref_name", "ref_contact"))],
-        F.coalesce("plus", F.lit(0)).alias("plus"), F.col("minus").alias("call_stat"),
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("fraud_flag", "ignore_flag", "ex360_npa")],
-        F.when(state == "Foreclosure Initiated", F.col("foreclosure_created")).alias("foreclosure_initiated_date"),
-        F.col("cancelled_created").alias("cancelled_date"),
-        F.when((F.col("cancelled_created") >= F.col("livec_date")) & ((state == "Cancelled") | cancelled_state),
-               F.col("cancelled_created")).alias("delist_date"),
-        "mandate_id", *[c for c in df.columns if c.startswith("nach_")],
-        "enach_approved_date", "mandate_link_created", "enach_first_link_created_date", "enach_active_subscription_date",
-        "mandate_active", "icici_mandate_link_created", "icici_mandate_active", "icici_mandate_first_created_date",
-        "icici_mandate_active_date", "mandate_status",
-        *[c.alias(n) for n, c in registration.items()],
-        *[c for c in df.columns if c.startswith("cheque_")],
-        "dev_created_by", "dev_exists", "total_dev", *[n for n, _, _ in fv.DEVIATION_CLASSES], *ACCOUNT_COLUMNS,
-        "registration_fees", "processing_fees", "ba_uid", "preuw_uid", "__ch", "__sub", "__cat")
-
-    # Columns that depend on the ones above.
-    labels = ld.attribute_channel(site, channel="__ch", sub_category="__sub", category="__cat")
-    out = first.select("*", *[c.alias(n) for n, c in labels.items()]).drop("__ch", "__sub", "__cat")
-    d = rows.dictionary_slice(dictionary, "DISPOSITION", key="cnd_code") \
-            .groupBy("__code").agg(F.min("__label").alias("disp_name"))
-    out = out.join(d, out["plus"].cast("string") == d["__code"], "left").drop("__code")
-    out = ld.assign_rep(out, ld.agent_reps(catalog["rep_assignments"]), ld.source_reps(catalog["source_owners"], people), site)
-    agents = ld.referenced_people(people, out, ["ba_uid", "preuw_uid"])
-    for who in ("ba", "preuw"):
-        out = ld.attach_person(out, agents, f"{who}_uid", {f"{who}_{n}": f for n, f in AGENT_FIELDS.items()})
-    out = out.select(
-        "*", ld.disposition().alias("call_disposition"), lookup("call_stat", fv.CALL_STATES).alias("call_status"),
-        *[c.alias(n) for n, c in {**sl.resolve_latest_event(), **sl.prequal_flags()}.items()],
-        F.when(F.col("first_disburse_date").isNotNull(), 1).otherwise(0).alias("disbursed_flag")).drop("disp_name")
-
-    def flag(c):
-        return F.when(c, 1).otherwise(0)
-
-    status = F.col("uw_status_final")
-    return out.select(
-        date_lit(as_of).alias("report_datetime"), "*",
-        flag(F.col("uw_name_final") != "UW Not Assigned").alias("uw_allocated_flag"),
-        flag(status == "Cancelled").alias("uw_cancelled_flag"), flag(status == "Returned").alias("uw_returned_flag"),
-        flag(status == "Forward to CS").alias("uw_forward_to_cs_flag"), flag(status == "Live").alias("uw_live_flag"),
-        flag((F.col("delist_date") > F.col("uw_updated_date")) & (F.col("loan_currentstate") == "Cancelled")
-             & (status == "Live")).alias("delist_flag"))
+    """All columns of the mart."""
+    return LeadMart(catalog, as_of, site).frame(stage)
 
 
 # Published columns of the two projections.
@@ -455,5 +607,8 @@ def lead_channel(leads: DataFrame) -> DataFrame:
     return leads.select(*[F.col(s).alias(n) for n, s in CHANNEL_COLUMNS.items()])
 
 
-def lead_borrower(leads: DataFrame) -> DataFrame:
+def lead_borrower(leads: DataFrame | LeadMart, stage=stage) -> DataFrame:
+    """The borrower's columns, from the mart as a table, or from its plan, of which only what they use is built."""
+    if isinstance(leads, LeadMart):
+        leads = leads.select(*dict.fromkeys(BORROWER_COLUMNS.values())).frame(stage)
     return leads.select(*[F.col(s).alias(n) for n, s in BORROWER_COLUMNS.items()])

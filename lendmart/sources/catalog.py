@@ -1,7 +1,8 @@
 """Logical table names -> DataFrames.
 
 A :class:`Catalog` resolves a logical name in this order: a DataFrame given directly, a
-table name or path given in ``mapping``, then ``{base}/{name}``.
+table name or path given in ``mapping``, then ``{base}/{name}``.  A path with published versions
+(``sinks.publish``) is read in its current version.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lendmart import fixed_values as fv
 from lendmart.functions.dates import epoch_to_local_date
+from lendmart.sources.sinks import current_version
 
 # Logical names of the operational tables the marts read.
 SOURCES = (
@@ -44,7 +46,7 @@ class Catalog:
                 raise KeyError(f"no source for table {name!r}")
             target = f"{self.base}/{name}"
         if "/" in target:
-            return self.spark.read.parquet(target)
+            return self.spark.read.parquet(current_version(self.spark, target) or target)
         return self.spark.table(target)
 
     def has(self, name: str) -> bool:
