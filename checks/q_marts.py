@@ -200,8 +200,15 @@ SELECT *, CASE WHEN non_starter = 1 THEN 'Yes' ELSE 'No' END AS non_starter_flag
   {', '.join(f"CASE WHEN dpd IN ({', '.join(_LADDER[k:])}) THEN 1 ELSE 0 END AS {n}_count, CASE WHEN dpd IN ({', '.join(_LADDER[k:])}) THEN pos ELSE 0 END AS {n}" for n, k in fv.DELINQUENCY_STARTS.items())}
 FROM b""")
 def _(i):
-    # The monthly mart is a table by the time the pool reads it.
-    monthly = stage(portfolio.loan_at_monthly_full(catalog(i), AS_OF, SITE), "monthly", "status_month")
+    return pool_over(i, monthly_table(i))
+
+
+def monthly_table(i):
+    """The monthly mart is a table by the time the pool reads it."""
+    return stage(portfolio.loan_at_monthly_full(catalog(i), AS_OF, SITE), "monthly", "status_month")
+
+
+def pool_over(i, monthly):
     return static_pool.static_pool(catalog(i, loan_details_at_monthly=monthly), AS_OF, SITE)
 
 
