@@ -325,9 +325,13 @@ def loan_frames(catalog: Catalog, people: DataFrame, dictionary: DataFrame, base
     }
 
 
-def names_in(c: Column, known) -> set[str]:
-    """The names among ``known`` that an expression mentions; more than it uses at worst (a text may look like a name)."""
-    return set(re.findall(r"[A-Za-z_][A-Za-z_0-9]*", str(c))) & set(known)
+# Columns of the frames keyed by loan; the same whatever the catalog, so they are looked at once.
+_FRAME_COLUMNS: dict[str, list[str]] = {}
+
+
+def words_in(c: Column) -> set[str]:
+    """The names that an expression mentions, and other words; more than it uses at worst."""
+    return set(re.findall(r"[A-Za-z_][A-Za-z_0-9]*", str(c)))
 
 
 def alias_of(c) -> str:
@@ -345,14 +349,14 @@ class LeadMart:
     """The plan of the lead mart, or of some of its columns."""
 
     def __init__(self, catalog: Catalog, as_of, site: SiteConfig = DEFAULT_SITE, columns=None):
-        self.catalog, self.as_of, self.site, self.selected = catalog, as_of, site, None if columns is None else list(columns)
+        self.catalog, self.as_of, self.site, self.selected = catalog.opened(), as_of, site, None if columns is None else list(columns)
 
     def select(self, *columns: str) -> "LeadMart":
         unknown = [c for c in columns if c not in self.columns]
         if unknown:
             raise ValueError(f"no such columns: {unknown}")
         narrowed = LeadMart(self.catalog, self.as_of, self.site, columns)
-        narrowed.__dict__["schemas"] = self.schemas
+        narrowed.__dict__.update(catalog=self.catalog, schemas=self.schemas)
         return narrowed
 
     @property
@@ -363,9 +367,12 @@ class LeadMart:
 
     @cached_property
     def schemas(self) -> dict[str, list[str]]:
-        """Columns of every part of the wide row."""
-        wide, frames = self.wide(unstaged, None)
-        return {"application": wide.columns, **{n: [c for c in build().columns if c != "loan_id"] for n, build in frames.items()}}
+        """Columns of every frame keyed by loan."""
+        if not _FRAME_COLUMNS:
+            dictionary, people, base = self.shared_frames(unstaged)
+            frames = loan_frames(self.catalog, people, dictionary, base, self.site, unstaged)
+            _FRAME_COLUMNS.update({n: [c for c in build().columns if c != "loan_id"] for n, build in frames.items()})
+        return _FRAME_COLUMNS
 
     @cached_property
     def names(self) -> list[str]:
@@ -378,7 +385,7 @@ class LeadMart:
         return ["report_datetime", *dict.fromkeys([*given, "rm", *people, *self.after()]), *self.flags()]
 
     def needs(self) -> tuple[set[str], set[str]]:
-        """Columns that have to be made for the selected ones, and those of the wide row that they read."""
+        """Columns that have to be made for the selected ones, and the words of what they read of the wide row."""
         made = {**self.first(self.names)}
         levels = [self.flags(), self.after(), self.labels()]
         known = [*made, *(n for level in levels for n in level), "rm", "disp_name"]
@@ -391,7 +398,7 @@ class LeadMart:
             who = re.match(r"(ba|preuw)_(.+)$", c)
             level = next((x for x in levels if c in x), None)
             if level is not None:
-                todo += names_in(level[c], known)
+                todo += words_in(level[c]) & set(known)
             elif c == "rm":
                 todo += ["sub_agent_uid", "agent_uid", "source", "sub_category", "channel"]
             elif c == "disp_name":
@@ -399,22 +406,26 @@ class LeadMart:
             elif who and who[2] in AGENT_FIELDS:
                 todo.append(f"{who[1]}_uid")
             if c in made:
-                read |= names_in(made[c], self.names)
+                read |= words_in(made[c])
         return seen, read
 
     # --- the wide row
 
+    def shared_frames(self, stage) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Dictionary, people and applications, which several frames read."""
+        catalog = self.catalog
+        dictionary, people = together(
+            lambda: stage(rows.active_only(catalog["dictionary"]), "dictionary"),
+            lambda: stage(ld.people_dimension(catalog["logins"], catalog["users"], self.site), "people"))
+        return dictionary, people, stage(loan_base(catalog, dictionary), "loan_base")
+
     def wide(self, stage, read: set[str] | None):
         """Applications with their borrowers, and builders of the frames keyed by loan."""
         catalog, site = self.catalog, self.site
         wanted = lambda columns: read is None or bool(read & set(columns))
-        dictionary, people = together(
-            lambda: stage(rows.active_only(catalog["dictionary"]), "dictionary"),
-            lambda: stage(ld.people_dimension(catalog["logins"], catalog["users"], site), "people"))
-        base, borrowers = together(
-            lambda: stage(loan_base(catalog, dictionary), "loan_base"),
-            lambda: stage(borrower_frame(catalog, people, dictionary, wanted), "borrowers"))
+        dictionary, people, base = self.shared_frames(stage)
         self.shared = dictionary, people
+        borrowers = stage(borrower_frame(catalog, people, dictionary, wanted), "borrowers")
         # Borrower-keyed joins first, loan-keyed joins after.
         loan_cols = [c for c in base.columns if c not in ("uid", "deleted", "created", "udated", "updated_by", "reference_id")]
         df = base.select(*loan_cols, F.col("uid").alias("uid"), F.col("updated_by").alias("__updated_by"),
@@ -551,7 +562,7 @@ class LeadMart:
             # The wide row is written once: agents are picked from it, and everything below is derived from it.
             df = stage(df, "applications")
         dictionary, people = self.shared
-        out = df.select(*named({n: c for n, c in self.first(df.columns if read is None else self.names).items() if made(n)}))
+        out = df.select(*named({n: c for n, c in self.first(self.names).items() if made(n)}))
         # Columns that depend on the ones above.
         out = out.select("*", *named({n: c for n, c in self.labels().items() if made(n)})).drop("__ch", "__sub", "__cat")
         if made("disp_name"):

@@ -61,6 +61,18 @@ class Catalog:
     def with_frames(self, **frames: DataFrame) -> "Catalog":
         return Catalog(self.spark, self.base, self.mapping, {**self.frames, **frames})
 
+    def opened(self) -> "Catalog":
+        """A catalog of the same tables that opens each of them once, when it is first asked for."""
+        class Opened(Catalog):
+            def table(opened, name: str) -> DataFrame:
+                if name not in opened.frames:
+                    opened.frames[name] = self.table(name)
+                return opened.frames[name]
+
+            __getitem__ = table
+
+        return Opened(self.spark, self.base, self.mapping)
+
     __getitem__ = table
 
 
