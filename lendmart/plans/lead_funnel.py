@@ -33,8 +33,9 @@ def recent_leads(leads: DataFrame, since: str) -> DataFrame:
 def lead_funnel(catalog: Catalog, site: SiteConfig = DEFAULT_SITE) -> DataFrame:
     everyone = catalog["lead_details"]
     leads = recent_leads(everyone, site.funnel_from)
-    # The logs hold every loan ever; only the recent leads' rows are ranked.
-    ids = leads.select("loan_id").distinct()
+    # The logs hold every loan ever; only the recent leads' rows are ranked.  Ids may repeat: a semi join does not mind,
+    # and Spark builds a Bloom filter over a plain scan of them that drops the other rows where the log is read.
+    ids = leads.select("loan_id")
     rules = sl.pivot_outcomes(sl.latest_rule_by_type(catalog["lender_rule_log"].join(ids, "loan_id", "left_semi")))
     # Acceptance counts whatever entity type was logged, on unshifted days.
     log = sl.state_log(catalog["state_log"], entity_types=None, offset_s=0)

@@ -13,6 +13,13 @@ RUNTIME_SETTINGS = {
     # Split a hot join key even where that costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Rows of large logs that a selective side cannot match are dropped by a Bloom filter before their shuffle.  The
+    # filter is built when its side is small enough to be worth it and never holds more than so many keys and bits.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64MB",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "134217728",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
 }

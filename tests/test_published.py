@@ -1,4 +1,4 @@
-"""Versions of a table, prefix sums over a hot day, scores at many events."""
+"""Versions of a table, prefix sums over a hot day, scores at many events, logs filtered where they are read."""
 
 import datetime as dt
 import random
@@ -106,3 +106,30 @@ def test_scores_at_many_events(spark, bucket):
     assert got == want
     plan = rows.asof_events(s, e, "k", "score", "d", "at", "id", bucket)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+# --- logs of recent leads ---------------------------------------------------
+
+def test_old_log_rows_are_dropped_at_the_scan(spark, tmp_path):
+    from checks.q_marts import SITE, catalog
+    from checks.registry import Inputs
+    from lendmart.plans.lead_funnel import lead_funnel
+    inputs = Inputs(spark, "/root/testdata/sf0.001")
+    frames = {}
+    for name, view in (("lead_details", "leads"), ("lender_rule_log", "lender_rule_log"), ("lender_eligibility", "lender_eligibility")):
+        getattr(inputs, view).write.parquet(str(tmp_path / name))
+        frames[name] = (lambda name=name: spark.read.parquet(str(tmp_path / name)))
+    plain = lead_funnel(catalog(inputs, **frames), SITE)
+    want = sorted(map(str, plain.collect()))
+    large = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = {k: spark.conf.get(k) for k in (large, "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        # As if the logs were large: no broadcast, and a scan of any size is worth a filter.
+        spark.conf.set(large, "1")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = lead_funnel(catalog(inputs, **frames), SITE)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("might_contain") >= 2 and sorted(map(str, got.collect())) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
