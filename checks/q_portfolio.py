@@ -281,7 +281,7 @@ SELECT loan_id, {money('CASE WHEN p > 0 THEN p ELSE a1 END')} AS emi FROM (SELEC
 def _(i):
     m = ins.month_numbers(ins.by_month(i.inst, {}, {"a": F.sum("amount")}))
     n = {k: F.sum(F.when(F.col("emi_no") == k, F.col("a")).otherwise(F.lit(0))) for k in (1, 2, 3)}
-    return m.groupBy("loan_id").agg(ins.representative_installment(n[2], n[3], F.max("emi_no"), n[1]).alias("emi"))
+    return m.groupBy("loan_id").agg(ins.representative_installment(n[2], n[3], n[1]).alias("emi"))
 
 
 @query("loan_totals", uses="inst", sql=f"""SELECT loan_id, {sum_if("state <> 'closed' AND amount >= 0", 'amount', 'amount_total')},

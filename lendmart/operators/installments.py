@@ -237,7 +237,7 @@ def month_numbers(monthly: DataFrame, running: dict | None = None) -> DataFrame:
     return out
 
 
-def representative_installment(second: Column, third: Column, months: Column, first: Column) -> Column:
+def representative_installment(second: Column, third: Column, first: Column) -> Column:
     """The smaller of the second and third installment where positive, else the first.
 
     Without a second or third month the sums are zero, so short accounts use the first.

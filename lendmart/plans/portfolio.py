@@ -86,7 +86,7 @@ def loan_position(inst: DataFrame, as_of, site: SiteConfig = DEFAULT_SITE, cycle
         F.coalesce(F.col("due_lo") - 1, F.col("count_total_emi")).cast("long").alias("count_paid_emi"),
         F.coalesce(F.col("count_total_emi") - F.col("due_lo") + 1, F.lit(0)).cast("long").alias("count_balance_emi"),
         F.col("emi_1").alias("first_emi_amount"),
-        ins.representative_installment(F.col("emi_2"), F.col("emi_3"), F.col("count_total_emi"), F.col("emi_1")).alias("loan_emi_amount"),
+        ins.representative_installment(F.col("emi_2"), F.col("emi_3"), F.col("emi_1")).alias("loan_emi_amount"),
         "amount_total", "principal_total", "interest_total", "emi_total_paid", "principal_total_paid",
         "interest_total_paid", "first_emi_date", "last_emi_date", "last_paid_date", *zero.values(),
         "emi_due_date",

@@ -163,3 +163,49 @@ def test_fiscal_calendar(spark, start, day, fy, q, m):
     df = spark.createDataFrame([(day,)], "d date").select(*[c.alias(n) for n, c in dates.fiscal_calendar("d", start).items()])
     r = df.first()
     assert (r.fy, r.fy_qtr, r.fy_month) == (fy, f"{fy}-{q}", m)
+
+
+# --- published band edges, value by value -----------------------------------
+
+def labels(spark, band, values, kind="double"):
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], f"k int, x {kind}")
+    return [r.b for r in df.select("k", band("x").alias("b")).orderBy("k").collect()]
+
+
+@pytest.mark.parametrize("band, kind, first, edges, last, null", [
+    (bands.tenure_band, "int", "A1 <12", [(12, "A2 12-15"), (16, "A3 16-18"), (19, "A4 19-24"), (25, "A5 25-30"), (31, "A6 31-36"), (37, None)], None, None),
+    (bands.age_band, "int", "A1 <25", [(25, "A2 25-30"), (31, "A3 31-35"), (36, "A4 36-40"), (41, "A5 41-45"), (46, "A6 46-50"), (51, "A7 51-55"), (56, "A8 55+")], "A8 55+", "A8 55+"),
+    (bands.amount_band, "int", "A01 <=25K", [(25001, "A02 25K-50K"), (50001, "A03 50K-1L"), (100001, "A04 1L-1.5L"), (150001, "A05 1.5L-2L"), (200001, "A06 2L-2.5L"),
+                                             (250001, "A07 2.5L-3L"), (300001, "A08 3L-5L"), (500001, "A09 5L-7L"), (700001, "A10 7L+")], "A10 7L+", "A10 7L+"),
+    (bands.turnaround_band, "int", "A1 Same Day", [(2, "A2 2-4 Days"), (5, "A3 a Week"), (9, "A4 a Fortnight"), (16, "A5 a Month"), (32, "A6 2 Month"), (61, "A7 2+ Month")], "A7 2+ Month", "NA"),
+    (bands.vintage_band, "int", "A1 Upto 6M", [(7, "A2 6-12M"), (13, "A3 12-24M"), (25, "A4 24-36M"), (37, "A5 36-60M"), (61, "A6 60+ M")], "A6 60+ M", "NA"),
+])
+def test_band_edges(spark, band, kind, first, edges, last, null):
+    """The value before an edge has the label before it, the edge and what follows its own."""
+    values, want, before = [edges[0][0] - 1, None], [first, null], first
+    for edge, label in edges:
+        values += [edge - 1, edge]
+        want += [before, label]
+        before = label
+    values.append(10**8)
+    want.append(last)
+    assert labels(spark, band, values, kind) == want
+
+
+@pytest.mark.parametrize("band, employment, edges", [
+    (bands.obligation_before_band, "Salaried", "SA01 <18,18 SA02 18-25,25 SA03 25-32,32 SA04 32-37,37 SA05 37-42,42 SA06 42-48,48 SA07 48-54,54 SA08 54+"),
+    (bands.obligation_before_band, "Other", "SE01 <19,19 SE02 19-25,25 SE03 25-32,32 SE04 32-37,37 SE05 37-42,42 SE06 42-48,48 SE07 48-55,55 SE08 55-66,66 SE09 66+"),
+    (bands.obligation_after_band, "Salaried", "SA01 <40,40 SA02 40-48,49 SA03 49-55,56 SA04 56-60,61 SA05 61-66,67 SA06 67-70,71 SA07 71-75,76 SA08 76-81,82 SA09 81+"),
+    (bands.obligation_after_band, "Other", "SE01 <34,34 SE02 34-40,41 SE03 41-48,49 SE04 49-55,56 SE05 56-62,63 SE06 63-70,71 SE07 71-78,79 SE08 79-84,85 SE09 85+"),
+])
+def test_obligation_edges(spark, band, employment, edges):
+    first, *later = edges.split(",")
+    who = fv.SALARIED if employment == "Salaried" else "someone else"
+    values, want, before = ["0.5", "", None], [first, first[:2] + "_NA", first[:2] + "_NA"], first
+    for part in later:
+        edge, label = part.split(" ", 1)
+        values += [str(int(edge) - 0.001), edge]
+        want += [before, label]
+        before = label
+    df = spark.createDataFrame([(k, who, v) for k, v in enumerate(values)], "k int, e string, x string").withColumn("v", F.nullif("x", F.lit("")).cast("decimal(10,3)"))
+    assert [r.b for r in df.select("k", band("e", "v", "x").alias("b")).orderBy("k").collect()] == want
