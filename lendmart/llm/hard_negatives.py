@@ -124,6 +124,9 @@ def walk(anchors: pa.Table, candidates: Candidates, width: int, asked) -> Iterat
     everyone = np.arange(len(candidates.rows))
     for i, up in enumerate(parents.tolist()):
         allowed, windows, k = asked(i)
+        # Scores beyond what doubles tell apart: bounds hold within ``unsure``, and windows are cut by whole numbers.
+        largest = candidates.most * float(np.sqrt((points[i].astype(np.float64) ** 2).sum()))
+        unsure = 0.0 if largest < 1 << 52 else largest * 1e-14
         if up < 0:
             low = high = candidates.scores(points[i], None).astype(np.float64)
         else:
@@ -135,11 +138,11 @@ def walk(anchors: pa.Table, candidates: Candidates, width: int, asked) -> Iterat
             low, high = low - reach, high + reach
             needed = np.zeros(len(everyone), bool)
             for least, most in windows:
-                inside = allowed & (high >= least) & (low <= most)
-                certain = inside & (low >= least) & (high <= most)
+                inside = allowed & (high >= least - unsure) & (low <= most + unsure)
+                certain = inside & (low >= least + unsure) & (high <= most - unsure)
                 if (n := int(certain.sum())) >= k:
                     # So many are certain to be in the window with at least this score.
-                    inside &= high >= np.partition(low[certain], n - k)[n - k]
+                    inside &= high >= np.partition(low[certain], n - k)[n - k] - unsure
                 needed |= inside
             at = np.flatnonzero(needed)
             if 2 * len(at) > len(everyone):
@@ -150,8 +153,12 @@ def walk(anchors: pa.Table, candidates: Candidates, width: int, asked) -> Iterat
             bounds[i] = low, high
         exact = low == high
         for number, (least, most) in enumerate(windows):
-            at = np.flatnonzero(allowed & exact & (low >= least) & (low <= most))
-            found = best_places(low[at], at, k)
+            at = np.flatnonzero(allowed & exact & (low >= least - unsure) & (low <= most + unsure))
+            scores = candidates.scores(points[i], at) if unsure else low[at]
+            if unsure:
+                inside = (scores >= least) & (scores <= most)
+                at, scores = at[inside], scores[inside]
+            found = best_places(scores, at, k)
             if len(found):
                 yield i, number, found, candidates.scores(points[i], found)
 

@@ -105,6 +105,16 @@ def test_negatives_bounds(spark, spread, scale):
         assert found(hard_negatives.mine(df, F.col("vec_id") % 4 == 0, 3, 4, 20, 95, *blocks)) == want
 
 
+def test_negatives_beyond_doubles(spark):
+    """Scores that differ by one, far beyond what doubles tell apart."""
+    big = 2_000_000_000
+    rows = [(0, 0, [big, 1]), (4, 0, [big, 0])] + [(100 + k, 0 if k < 4 else 1, [big, -k]) for k in range(30)] + [(200, 1, [big - 1, big]), (204, 1, [big // 2, 3])]
+    df = spark.createDataFrame(rows, "vec_id long, label int, vector array<long>")
+    for low, high in ((20, 100), (100, 100), (50, 99)):
+        want = plain_negatives(rows, [i for i, r in enumerate(rows) if r[0] % 4 == 0], 3, 4, low, high)
+        assert found(hard_negatives.mine(df, F.col("vec_id") % 4 == 0, 3, 4, low, high)) == want
+
+
 def test_negatives_are_pruned():
     """Between near anchors most candidates are never scored, and the result is that of scoring all."""
     random.seed(2)
