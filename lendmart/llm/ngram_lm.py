@@ -47,7 +47,7 @@ from lendmart.llm.texts import stage
 
 NOTHING, START, END = 0, 1, 2  # hashes of no word, and numbers of no word in a block
 NO_ID = -(1 << 63)  # stands for a null doc_id
-ORDER, BLOCK_TOKENS, SHARD_TOKENS, HOT_SHARE, FREQUENT = 3, 2_500_000, 2_500_000, 8, 1 << 16
+ORDER, BLOCK_TOKENS, SHARD_TOKENS, HOT_SHARE, FREQUENT = 3, 2_000_000, 2_500_000, 8, 1 << 16
 WORDS_AT_ONCE = 1 << 19
 PIECE = 1 << 14  # bytes of a payload that travel together
 SEEDS = (0, 1, 2)
@@ -264,9 +264,12 @@ class Block:
         u, v, w = u[first], v[first], w[first]
         n = np.bincount(gram, minlength=len(u))
         begin = np.cumsum(n) - n
+        times = small(times)
+        del order, place, new, several, other, at, gram, first
         shard = how.shard_of(hashes[v], hashes[w])
         by_shard = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[by_shard], np.arange(how.shards + 1))
+        del shard
         rows = np.array([r[:2] for r in self.rows], np.int64)
         train = np.packbits([r[2] for r in self.rows])
         frequent = how.place(hashes)
