@@ -47,7 +47,7 @@ from lendmart.llm.texts import stage
 
 NOTHING, START, END = 0, 1, 2  # hashes of no word, and numbers of no word in a block
 NO_ID = -(1 << 63)  # stands for a null doc_id
-ORDER, BLOCK_TOKENS, SHARD_TOKENS, HOT_SHARE, FREQUENT = 3, 3_000_000, 3_000_000, 8, 1 << 18
+ORDER, BLOCK_TOKENS, SHARD_TOKENS, HOT_SHARE, FREQUENT = 3, 3_000_000, 2_000_000, 8, 1 << 18
 WORDS_AT_ONCE = 1 << 19
 PIECE = 1 << 14  # bytes of a payload that travel together
 SEEDS = (0, 1, 2)
