@@ -100,6 +100,14 @@ VIEWS["raw_installments_idless"] = " UNION ALL ".join(
     f"{_IDLESS} (SELECT *, {again} AS again, {remark} AS remark FROM inst_rows{where}) AS r{k}"
     for k, (again, remark, where) in enumerate(((0, 0, ""), (0, 0, " WHERE line = 2"), (1, 0, " WHERE line = 3"), (0, 1, " WHERE line = 4"))))
 
+# The same rows for Spark, which would join the tables anew for each of these parts: one join, whose rows are repeated.
+_COPIES = {2: ((0, 0), (0, 0)), 3: ((0, 0), (1, 0)), 4: ((0, 0), (0, 1))}
+SPARK_VIEWS = {
+    "raw_installments": f"{_RAW} LATERAL VIEW explode(CASE WHEN line = 2 THEN array(0, 1) ELSE array(0) END) c AS copy",
+    "raw_installments_idless": f"{_IDLESS} (SELECT * FROM inst_rows LATERAL VIEW inline(CASE line "
+    + " ".join(f"WHEN {n} THEN array({', '.join(f'struct({a} AS again, {r} AS remark)' for a, r in pairs)})" for n, pairs in _COPIES.items())
+    + " ELSE array(struct(0 AS again, 0 AS remark)) END) c AS again, remark) AS r"}
+
 # The same installments as a mart sees them.
 _DAY = "(DATE '1970-01-01' + CAST(floor(({0} + 19800) / 86400) AS INT))"
 VIEWS["idless_inst"] = f"""
@@ -513,8 +521,8 @@ def _needed(names: list[str]) -> list[str]:
     return order
 
 
-def _compose(names: list[str], body: str, keys: dict, how: str = "") -> str:
-    ctes = ", ".join(f"{n} AS {how}({VIEWS[n].format(**keys)})" for n in _needed(names))
+def _compose(names: list[str], body: str, keys: dict, how: str = "", texts: dict = VIEWS) -> str:
+    ctes = ", ".join(f"{n} AS {how}({texts[n].format(**keys)})" for n in _needed(names))
     if not ctes:
         return body
     body = body.strip()
@@ -524,7 +532,7 @@ def _compose(names: list[str], body: str, keys: dict, how: str = "") -> str:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     keys = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}
     keys["dayno"] = "datediff(DAY, DATE '1970-01-01', "
-    text = _compose([name], f"SELECT * FROM {name}", keys)
+    text = _compose([name], f"SELECT * FROM {name}", keys, texts=VIEWS | SPARK_VIEWS)
     # Double quotes mark identifiers in standard SQL, back quotes in Spark.
     return spark.sql(re.sub(r'"(add|minus|House_number)"', r"`\1`", text))
 

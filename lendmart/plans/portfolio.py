@@ -246,7 +246,7 @@ def _monthly(catalog: Catalog, as_of, site: SiteConfig, only_current: bool) -> D
     months = catalog["month_ends"] if catalog.has("month_ends") else None
     frame = snap.current_frame if only_current else snap.monthly_frame
     lead = _leads(catalog, LEAD_ATTRIBUTES)
-    out = frame(inst, disbursed, as_of, site.priority_lenders, site.other_portfolio, months).join(lead, "loan_id", "left")
+    out = frame(inst, disbursed, as_of, site.priority_lenders, site.other_portfolio, months, lead)
     d = date_lit(as_of)
     at = F.least(F.col("status_month"), d)
     active = F.col("active_count") > 0
