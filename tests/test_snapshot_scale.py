@@ -1,6 +1,8 @@
 """What keeps the installment marts small as their input grows: movements, scans and joins of their plans."""
 
+import os
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from checks.q_portfolio import AS_OF, SITE
 from checks.registry import Inputs
 from lendmart.operators import snapshots as snap
 from lendmart.plans import portfolio
-from lendmart.session import RUNTIME_SETTINGS
+from lendmart.session import MART_SETTINGS
+from lendmart.sources import sinks
 from tests.test_installment_plans import SF, plan_of, same, sources  # noqa: F401
 
 
@@ -36,4 +39,20 @@ def test_source_views_join_their_tables_once(spark):
 
 
 def test_shuffles_start_with_more_parts_than_a_cluster_has_by_default():
-    assert int(RUNTIME_SETTINGS["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) > 200
+    assert int(MART_SETTINGS["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) > 200
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    def files():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in folders for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+    before = files()
+    counts = spark.range(100000).groupBy((F.col("id") % 1000).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    for name in ("a", "b"):
+        sinks.write_snapshots(counts.withColumn("status_month", F.col("k") % 3), str(tmp_path / name))
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.5)
+    assert not files() - before
+    assert spark.read.parquet(str(tmp_path / "b")).agg(F.sum("n")).first()[0] == 100000
