@@ -16,7 +16,7 @@ from lendmart.operators.bitmaps import bitmap_ranks, day_number, month_number
 from lendmart.operators.rows import attach_group_values
 
 MEASURES = ("amount", "principal", "interest")
-MONEY = "decimal(28,2)"
+MONEY, TOTAL = "decimal(28,2)", "decimal(38,2)"
 
 
 def in_minor_units(df: DataFrame, measures=MEASURES) -> DataFrame:
@@ -33,6 +33,11 @@ def money(c) -> Column:
     return (col(c).cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY)
 
 
+def in_money(df: DataFrame, names) -> DataFrame:
+    """Sums of an account, added up as hundredths, as money; elsewhere ``money`` would be worked out for every month."""
+    return df.withColumns({n: money(n).cast(TOTAL) for n in names})
+
+
 def portfolio_tag(priority, lender: str = "lender", default: str = "Non-FD") -> Column:
     """Aggregate: label of the first priority lender present in the group."""
     out = None
@@ -143,7 +148,7 @@ def period_aggregates(as_of) -> dict[str, Column]:
 def period_sums(df: DataFrame, as_of, key: str = "loan_id") -> DataFrame:
     """Paid, due and to-collect sums of this month, last month and the month start."""
     aggs = period_aggregates(as_of)
-    return by_month(df, {}, aggs).groupBy(key).agg(*[F.sum(n).alias(n) for n in aggs])
+    return in_money(by_month(df, {}, aggs, minor=True).groupBy(key).agg(*[F.sum(n).alias(n) for n in aggs]), aggs)
 
 
 # --- account roll-ups ------------------------------------------------------
@@ -184,14 +189,14 @@ def combine(name: str) -> Column:
 def due_rollup(df: DataFrame, as_of, tracked_lender: int, cutoff) -> DataFrame:
     """Outstanding position of the accounts that have due rows."""
     days, sums = due_rollup_aggregates(as_of, tracked_lender, cutoff)
-    m = by_month(df.filter(F.col("state") == "due"), days, sums)
-    return m.groupBy("loan_id").agg(*[combine(n) for n in (*days, *sums)])
+    m = by_month(df.filter(F.col("state") == "due"), days, sums, minor=True)
+    return in_money(m.groupBy("loan_id").agg(*[combine(n) for n in (*days, *sums)]), sums)
 
 
 def loan_totals(df: DataFrame) -> DataFrame:
     """Totals, first and last day and last payment per account."""
     days, sums = total_aggregates()
-    return by_month(df, days, sums).groupBy("loan_id").agg(*[combine(n) for n in (*days, *sums)])
+    return in_money(by_month(df, days, sums, minor=True).groupBy("loan_id").agg(*[combine(n) for n in (*days, *sums)]), sums)
 
 
 def total_aggregates() -> tuple[dict[str, Column], dict[str, Column]]:
@@ -213,18 +218,19 @@ def due_month(df: DataFrame) -> Column:
     return F.col("emi_month") if "emi_month" in df.columns else month_start("due").alias("emi_month")
 
 
-def by_month(df: DataFrame, aggs: dict, sums: dict | None = None) -> DataFrame:
+def by_month(df: DataFrame, aggs: dict, sums: dict | None = None, minor: bool = False) -> DataFrame:
     """Installments at (loan, month) grain: the only pass over raw rows.
 
     The shuffle key is (loan, month), so an account with very many rows is spread over
     its months, and what follows sees at most one row per account and calendar month.
     Rows that ``sources.installments`` made distinct under that key are not moved again.
-    ``sums`` are money sums; they run in minor units here and are money afterwards.
+    ``sums`` are money sums; they run in minor units here and are money afterwards.  ``minor`` leaves them as whole hundredths,
+    for callers that add months up to accounts: there are many more months than accounts, and a long takes a third of the space.
     """
     sums = sums or {}
     grouped = (in_minor_units(df).groupBy("loan_id", due_month(df))
                .agg(*[a.alias(n) for n, a in {**aggs, **sums}.items()]))
-    return grouped.select("loan_id", "emi_month", *aggs, *[money(n).alias(n) for n in sums])
+    return grouped.select("loan_id", "emi_month", *aggs, *[F.col(n) if minor else money(n).alias(n) for n in sums])
 
 
 def month_numbers(monthly: DataFrame, running: dict | None = None) -> DataFrame:
@@ -248,8 +254,8 @@ def representative_installment(second: Column, third: Column, first: Column) ->
 
 def last_installment_amount(df: DataFrame) -> DataFrame:
     """Amount due in the last month of an account."""
-    m = by_month(df, {}, {"emi_amount": F.sum("amount")})
-    return m.groupBy("loan_id").agg(F.max_by("emi_amount", "emi_month").alias("emi"))
+    m = by_month(df, {}, {"emi_amount": F.sum("amount")}, minor=True)
+    return m.groupBy("loan_id").agg(money(F.max_by("emi_amount", "emi_month")).alias("emi"))
 
 
 def fee_totals(txns: DataFrame, types: dict = fv.FEE_TYPES, settled: int = fv.SETTLED_TXN_STATE) -> DataFrame:

@@ -64,7 +64,7 @@ def loan_position(inst: DataFrame, as_of, site: SiteConfig = DEFAULT_SITE, cycle
         **{f"has_{i}": F.max(F.when(F.col("lender") == uid, 1).otherwise(0))
            for i, (uid, _) in enumerate(site.priority_lenders)},
     }
-    months = ins.month_numbers(ins.by_month(inst, month_aggs, {**sums, "month_amount": F.sum("amount")}))
+    months = ins.month_numbers(ins.by_month(inst, month_aggs, {**sums, "month_amount": F.sum("amount")}, minor=True))
     tag = None
     for i, (_, label) in enumerate(site.priority_lenders):
         c = F.max(f"has_{i}") > 0
@@ -78,6 +78,7 @@ def loan_position(inst: DataFrame, as_of, site: SiteConfig = DEFAULT_SITE, cycle
         F.max("emi_no").alias("count_total_emi"), F.min(due_no).alias("due_lo"), F.max(due_no).alias("due_hi"),
         F.max(F.when(F.col("emi_no") == 1, F.col("first_paid_probe"))
               .otherwise(F.lit(fv.NOT_FIRST_SENTINEL).cast("date"))).alias("first_emi_paid_date"))
+    loans = ins.in_money(loans, (*sums, *nth))
     zero = {c: F.coalesce(F.col(c), F.lit(0)).alias(c) for c in
             [f"current_total_due_{m}" for m in MEASURES] + [f"current_due_{m}" for m in MEASURES]
             + [f"pt_current_due{m}" for m in ("amount", "principal")]}
@@ -158,7 +159,7 @@ def collection_position(inst: DataFrame, as_of, site: SiteConfig = DEFAULT_SITE,
         **{f"has_{i}": F.max(F.when(F.col("lender") == uid, 1).otherwise(0))
            for i, (uid, _) in enumerate(site.collection_lenders)},
     }
-    months = ins.month_numbers(ins.by_month(inst, month_aggs, {**sums, "month_amount": F.sum("amount")}),
+    months = ins.month_numbers(ins.by_month(inst, month_aggs, {**sums, "month_amount": F.sum("amount")}, minor=True),
                                {"paid_no": "has_paid", "due_no": "has_due"})
     tag = None
     for i, (_, label) in enumerate(site.collection_lenders):
@@ -186,6 +187,7 @@ def collection_position(inst: DataFrame, as_of, site: SiteConfig = DEFAULT_SITE,
         upto((F.col("open_start") == 1) & (F.col("emi_month") <= m0)).alias("due_emi_count_start_month"),
         F.min("low_due").alias("due_emi_date"), F.min("low_start").alias("due_emi_date_start_month"),
         F.min("low_prev").alias("low_prev"))
+    acc = ins.in_money(acc, (*sums, "first_emi_amount", "emi_amount"))
 
     def dpd(low, month_limit, at):
         return F.when(F.trunc(low, "month") <= month_limit, days_between(low, at))
