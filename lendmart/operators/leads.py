@@ -253,10 +253,24 @@ def people_dimension(logins: DataFrame, users: DataFrame, site: SiteConfig) -> D
         F.replace(mail, F.lit(domains[0]), F.lit(domains[1])).alias("email_user"))
 
 
-def attach_person(df: DataFrame, people: DataFrame, key: str, fields: dict) -> DataFrame:
-    """Left join of a slim people dimension under new column names."""
+# Rows that name nobody are dealt over so many places.
+BLANK_PLACES = 512
+
+
+def attach_person(df: DataFrame, people: DataFrame, key: str, fields: dict, spread_by: str | None = None) -> DataFrame:
+    """Left join of a slim people dimension under new column names.
+
+    Most rows may name nobody (a null or zero key).  With ``spread_by``, a column that tells rows apart, these are dealt over
+    ``BLANK_PLACES`` instead of meeting in one task; a person numbered zero stands at each of these places, so matches are the same.
+    """
     p = people.select(F.col("uid").alias("__uid"), *[F.col(s).alias(n) for n, s in fields.items()])
-    return df.join(p, df[key].cast("long") == p["__uid"], "left").drop("__uid")
+    if spread_by is None:
+        return df.join(p, df[key].cast("long") == p["__uid"], "left").drop("__uid")
+    blank = F.coalesce(F.col(key).cast("long"), F.lit(0)) == 0
+    df = df.withColumn("__at", F.when(blank, F.pmod(F.xxhash64(spread_by), F.lit(BLANK_PLACES))).otherwise(F.lit(0)).cast("int"))
+    last = F.when(F.col("__uid") == 0, F.lit(BLANK_PLACES - 1)).otherwise(F.lit(0))
+    p = p.withColumn("__place", F.explode(F.sequence(F.lit(0), last)))
+    return df.join(p, (df[key].cast("long") == p["__uid"]) & (df["__at"] == p["__place"]), "left").drop("__uid", "__at", "__place")
 
 
 def referenced_people(people: DataFrame, df: DataFrame, keys) -> DataFrame:
@@ -282,7 +296,7 @@ def user_profile(users: DataFrame, people: DataFrame, dictionary: DataFrame) ->
     slim = referenced_people(people, users, list(ROLE_FIELDS))
     out = users
     for key, (role, fields) in ROLE_FIELDS.items():
-        out = attach_person(out, slim, key, {f"{f}_{role}": f"{f}_user" for f in fields})
+        out = attach_person(out, slim, key, {f"{f}_{role}": f"{f}_user" for f in fields}, spread_by="uid")
     out = attach_person(out, people, "uid", {"email_user": "email_user", "email_org_user": "email_org_user"})
     dictionary = dictionary.withColumn("cnd_name", F.coalesce("cnd_name", F.lit("unknown")))
     for code, groups, name in (("religion_cnd", "INDIA_RELIGION", "religion"),

@@ -574,7 +574,8 @@ class LeadMart:
         if agents:
             known = ld.referenced_people(people, out, [f"{who}_uid" for who in agents])
             for who in agents:
-                out = ld.attach_person(out, known, f"{who}_uid", {f"{who}_{n}": f for n, f in AGENT_FIELDS.items()})
+                out = ld.attach_person(out, known, f"{who}_uid", {f"{who}_{n}": f for n, f in AGENT_FIELDS.items()},
+                                       spread_by="loan_id")
         out = out.select("*", *named({n: c for n, c in self.after().items() if made(n)}))
         out = out.select(date_lit(self.as_of).alias("report_datetime"), "*", *named({n: c for n, c in self.flags().items() if made(n)})).drop("disp_name")
         return out if self.selected is None else out.select(*self.selected)
