@@ -13,6 +13,9 @@ Skew rules used throughout:
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,37 +98,52 @@ def numbered_with_previous(df: DataFrame, key: str, day: str, tie: str, number_a
     rows is sorted by one task.  Rows are ordered inside (key, day, range), where a range is ``tie_range`` consecutive
     whole numbers of the tie-breaker: at most that many rows, as tie-breakers differ.  Ranges carry their count and last
     values and are ordered inside (key, day), days likewise inside key; counts of what comes before are added up and the last
-    values carried over.  A tie-breaker that is no whole number has one range a day.
+    values carried over.  Where the tie-breaker is no whole number, days are not divided, and there are two levels.
     ``previous``: result column -> source column.
     """
-    vals = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(previous.values())])
     split = dict(df.dtypes)[tie] in ("tinyint", "smallint", "int", "bigint")
-    df = df.withColumn("__range", F.floor(F.col(tie) / F.lit(tie_range)) if split else F.lit(0).cast("long"))
-    inner = Window.partitionBy(key, day, "__range").orderBy(tie)
+    if split:
+        df = df.withColumn("__range", F.floor(F.col(tie) / F.lit(tie_range)))
+    own, inside = df.columns, [key, day, "__range"] if split else [key, day]
+    # Rows are moved once, for their order and for the figures of their part: a structure is never null, so joins on it put no
+    # filter on one of the two sides, and the last row is picked as a whole, so that both need the same columns.
+    df = df.withColumn("__part", F.struct(*inside)).repartition("__part")
+    inner = Window.partitionBy("__part").orderBy(tie)
+    vals = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(previous.values())])
     rows = (df.withColumn("__vals", vals)
               .withColumn("__n", F.row_number().over(inner))
               .withColumn("__before", F.lag("__vals").over(inner)))
-    ranges = df.groupBy(key, day, "__range").agg(F.count(F.lit(1)).alias("__cnt"), F.max_by(vals, F.col(tie)).alias("__last"))
+    parts = df.groupBy("__part").agg(F.count(F.lit(1)).alias("__cnt"), F.max_by(F.struct(*own), F.col(tie)).alias("__row"))
+    last = F.struct(*[F.col("__row")[c].alias(f"v{i}") for i, c in enumerate(previous.values())])
+    parts = parts.select("__part", *[F.col("__part")[c].alias(c) for c in inside], "__cnt",
+                         F.when(F.col("__row").isNotNull(), last).alias("__last"))
 
     def before(of, order, counts, last) -> list[Column]:
         """How many rows come before a part of ``of``, and the last values among them."""
-        w = Window.partitionBy(*of).orderBy(order)
+        w = Window.partitionBy(of).orderBy(order)
         return [F.coalesce(F.sum(counts).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), F.lag(last).over(w)]
 
-    off, carry = before([key, day], "__range", "__cnt", "__last")
-    placed = ranges.select("*", off.alias("__off"), carry.alias("__carry"))
-    days = ranges.groupBy(key, day).agg(F.sum("__cnt").alias("__cnt"), F.max_by("__last", "__range").alias("__last"))
-    off, carry = before([key], day, "__cnt", "__last")
-    days = days.select(key, day, off.alias("__day_off"), carry.alias("__day_carry"))
-    by = [key, day, "__range"]
-    placed = placed.join(days, [key, day]).select(
-        *by, (F.col("__off") + F.col("__day_off")).alias("__off"), F.coalesce("__carry", "__day_carry").alias("__carry"))
-    out = rows.join(placed, by, "left")
-    prev = F.coalesce(F.col("__before"), F.col("__carry"))
-    out = out.withColumn(number_as, (F.col("__off") + F.col("__n")).cast("long"))
+    if split:
+        ranges = parts.withColumn("__day", F.struct(key, day))
+        off, carry = before("__day", "__range", "__cnt", "__last")
+        placed = ranges.select("__part", "__day", off.alias("__off"), carry.alias("__carry"))
+        days = ranges.groupBy("__day").agg(F.sum("__cnt").alias("__cnt"), F.max_by("__last", "__range").alias("__last"))
+        days = days.select("__day", F.col("__day")[key].alias(key), F.col("__day")[day].alias(day), "__cnt", "__last")
+        off, carry = before(key, day, "__cnt", "__last")
+        days = days.select("__day", off.alias("__day_off"), carry.alias("__day_carry"))
+        placed = placed.join(days, "__day").select(
+            "__part", (F.col("__off") + F.col("__day_off")).alias("__off"), F.coalesce("__carry", "__day_carry").alias("__carry"))
+    else:
+        off, carry = before(key, day, "__cnt", "__last")
+        placed = parts.select("__part", off.alias("__off"), carry.alias("__carry"))
+    out = rows.join(placed, "__part", "left")
+    # A row without a key, day or tie-breaker's range has no number.
+    known = reduce(and_, [F.col(c).isNotNull() for c in inside])
+    prev = F.coalesce(F.col("__before"), F.when(known, F.col("__carry")))
+    out = out.withColumn(number_as, F.when(known, F.col("__off") + F.col("__n")).cast("long"))
     for i, name in enumerate(previous):
         out = out.withColumn(name, prev[f"v{i}"])
-    return out.drop("__vals", "__n", "__before", "__off", "__carry", "__range")
+    return out.drop("__vals", "__n", "__before", "__off", "__carry", "__range", "__part")
 
 
 def string_collect(df: DataFrame, key: str, value, name: str, sep: str = "|") -> DataFrame:
