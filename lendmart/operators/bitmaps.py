@@ -50,18 +50,22 @@ def bitmap_ranks(df: DataFrame, key: str, ranks: dict[str, tuple[Column | None,
     """Dense ranks within ``key``: result column -> (part, position), both whole numbers below ``PART_LIMIT``.
 
     The rank of a position is counted among the key's rows of the same part (None: all of them; a null part is a part).
-    A null position comes last; a row without a key has no rank.
+    ``key`` is a number or text.  A null position comes last; a row without a key has no rank.
     """
     ranks = {name: (part, F.coalesce(at, F.lit(PART_LIMIT))) for name, (part, at) in ranks.items()}
     words = F.array(*[F.struct(_code(k, part, at).alias("code"), _left(1, _in_word(at)).alias("bit"))
                       for k, (part, at) in enumerate(ranks.values())])
-    cells = (df.filter(F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.explode(words).alias("w"))
+    # Rows without a key have no words and get no rank, but go along as key 0: a filter for null keys, here or by the join, would be put on
+    # one of the two sides, and where rows are moved before they come here, one exchange serves both.
+    has_key = F.col(key).isNotNull()
+    df = df.withColumn("__own", F.coalesce(F.col(key), F.lit("0").cast(dict(df.dtypes)[key])))
+    cells = (df.select(F.col("__own").alias("__key"), F.explode(F.when(has_key, words)).alias("w"))
              .groupBy("__key", F.col("w.code").alias("code")).agg(F.bit_or("w.bit").alias("bits")))
     lists = cells.groupBy("__key").agg(F.sort_array(F.collect_list(F.struct("code", "bits"))).alias("w"))
     before = F.aggregate("w.bits", F.array(F.lit(0)), lambda seen, b: F.concat(seen, F.array(F.element_at(seen, -1) + F.bit_count(b))))
     lists = lists.select("__key", F.col("w.code").alias("__codes"), F.col("w.bits").alias("__bits"), before.alias("__before"),
                          F.transform("w.code", lambda c: F.shiftright(c, PLACE_BITS)).alias("__bitmaps"))
-    out = df.join(lists, F.col(key) == F.col("__key"), "left")
+    out = df.join(lists, (F.col("__own") == F.col("__key")) & has_key, "left")
     found = {}
     for k, (name, (part, at)) in enumerate(ranks.items()):
         word = (F.array_position("__codes", _code(k, part, at)) - 1).cast("int")
@@ -69,4 +73,4 @@ def bitmap_ranks(df: DataFrame, key: str, ranks: dict[str, tuple[Column | None,
         # All bits up to the own one.
         own = F.get("__bits", word).bitwiseAND(F.bitwise_not(_left(-2, _in_word(at))))
         found[name] = F.get("__before", word) - F.get("__before", first) + F.bit_count(own)
-    return out.withColumns(found).drop("__key", "__codes", "__bits", "__before", "__bitmaps")
+    return out.withColumns(found).drop("__own", "__key", "__codes", "__bits", "__before", "__bitmaps")
