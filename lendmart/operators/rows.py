@@ -64,6 +64,31 @@ def latest_value(df: DataFrame, key: str, specs: dict, when: str = "id") -> Data
     return out.select(key, *[F.col(name)["v"].alias(name) for name in specs])
 
 
+# Begins the names of structures that hold the columns of a packed frame.
+PACKED = "__packed_"
+
+
+def packed(df: DataFrame, keys, name: str) -> DataFrame:
+    """The columns beside ``keys`` as one structure.
+
+    A join writes every column of its result anew, one by one: a wide row that goes through many joins is written as often.
+    A structure is copied as a whole.  ``unpacked`` is the way back; a left join without a match leaves NULLs.
+    """
+    keys = _names(keys)
+    rest = [F.col(c) for c in df.columns if c not in keys]
+    return df.select(*keys, F.struct(*rest).alias(PACKED + name)) if rest else df.select(*keys)
+
+
+def not_packed(df: DataFrame, keys, name: str) -> DataFrame:
+    """In place of ``packed``, where a row is narrow."""
+    return df
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    """Packed columns side by side again."""
+    return df.select(*[F.col(f"{c}.*") if c.startswith(PACKED) else F.col(c) for c in df.columns])
+
+
 def attach_group_values(df: DataFrame, keys, **aggs: Column) -> DataFrame:
     """Group values next to every row: aggregate (combined map-side), then join back."""
     keys = _names(keys)

@@ -426,20 +426,30 @@ class LeadMart:
         dictionary, people, base = self.shared_frames(stage)
         self.shared = dictionary, people
         borrowers = stage(borrower_frame(catalog, people, dictionary, wanted), "borrowers")
-        # Borrower-keyed joins first, loan-keyed joins after.
+        # Borrower-keyed joins first, loan-keyed joins after; the whole mart's row is packed, so that joins
+        # do not write its columns one by one.
         loan_cols = [c for c in base.columns if c not in ("uid", "deleted", "created", "udated", "updated_by", "reference_id")]
         df = base.select(*loan_cols, F.col("uid").alias("uid"), F.col("updated_by").alias("__updated_by"),
                          F.col("reference_id").cast("long").alias("referenceid_loan"))
-        df = df.join(borrowers, "uid")
+        pack = rows.packed if read is None else rows.not_packed
+        df = pack(df, ["loan_id", "uid", "tenure", "__updated_by", "referenceid_loan"], "loan")
+        df = df.join(pack(borrowers, ["uid", "source"], "borrower"), "uid")
+        # Staff and main borrowers are fewer than people: as tables their sizes are known, so that the whole mart's row need not be
+        # moved to meet them.
+        apart = stage if read is None else unstaged
         updated_by = {"loan_updatedby_name": "namec_user", "loan_updatedby_mobile": "mobile_user",
                       "loan_updatedby_landline": "landline_user", "loan_updatedby_email": "email_user"}
-        if wanted(updated_by):
-            df = ld.attach_person(df, people, "__updated_by", updated_by)
-        if wanted([f"loan_main_borrower_{c}" for c in MAIN_BORROWER]):
-            df = df.join(reference_borrowers(people, catalog["users"]), "referenceid_loan", "left")
+        updates, mains = wanted(updated_by), wanted([f"loan_main_borrower_{c}" for c in MAIN_BORROWER])
+        if updates:
+            staff = apart(ld.referenced_people(people, base, ["updated_by"]), "updating_staff")
+            df = ld.attach_person(df, staff, "__updated_by", updated_by)
+        if mains:
+            referred = ld.referenced_people(catalog["users"], base, ["reference_id"])
+            df = df.join(apart(reference_borrowers(people, referred), "main_borrowers"), "referenceid_loan", "left")
         if wanted(("__ch", "__sub", "__cat")):
             dim = ld.channel_dimension(catalog["channel_master"]).withColumnsRenamed(
                 {"channel": "__ch", "sub_category": "__sub", "category": "__cat"})
+            dim = apart(dim, "channels")
             df = df.join(dim, ld.source_key("source") == dim["source_key"], "left").drop("source_key")
         if wanted(("tenure_months", "tenure_monthsno")):
             tenure = catalog["tenure_master"].select(F.col("tenure_code").alias("tenure"), "tenure_months",
@@ -556,7 +566,9 @@ class LeadMart:
         used = {n: build for n, build in frames.items() if read is None or read & set(self.schemas[n])}
         # What several frames share is staged before them, side by side.
         together(*(frames[n] for n in ("disbursed", "remarks") if any(x in used for x in SHARING[n])))
-        df = reduce(lambda left, right: left.join(right, "loan_id", "left"), [build() for build in used.values()], df)
+        pack = rows.packed if read is None else rows.not_packed
+        parts = [pack(build(), "loan_id", n) for n, build in used.items()]
+        df = rows.unpacked(reduce(lambda left, right: left.join(right, "loan_id", "left"), parts, df))
         agents = [who for who in ("ba", "preuw") if any(made(f"{who}_{n}") for n in AGENT_FIELDS)]
         if agents:
             # The wide row is written once: agents are picked from it, and everything below is derived from it.
@@ -565,17 +577,25 @@ class LeadMart:
         out = df.select(*named({n: c for n, c in self.first(self.names).items() if made(n)}))
         # Columns that depend on the ones above.
         out = out.select("*", *named({n: c for n, c in self.labels().items() if made(n)})).drop("__ch", "__sub", "__cat")
+        order = out.columns
+        out = pack(out, [c for c in ATTACHED_BY if c in order], "row")
         if made("disp_name"):
             d = rows.dictionary_slice(dictionary, "DISPOSITION", key="cnd_code") \
                     .groupBy("__code").agg(F.min("__label").alias("disp_name"))
             out = out.join(d, out["plus"].cast("string") == d["__code"], "left").drop("__code")
         if made("rm"):
-            out = ld.assign_rep(out, ld.agent_reps(self.catalog["rep_assignments"]), ld.source_reps(self.catalog["source_owners"], people), self.site)
+            # Few rows each, which only shows when they are tables: no row of the mart is moved to meet them.
+            reps = together(lambda: stage(ld.agent_reps(self.catalog["rep_assignments"]), "agent_reps"),
+                            lambda: stage(ld.source_reps(self.catalog["source_owners"], people), "source_reps"))
+            out = ld.assign_rep(out, *reps, self.site)
         if agents:
-            known = ld.referenced_people(people, out, [f"{who}_uid" for who in agents])
+            # A table, so that its size is known and the wide row is not moved to meet few agents.
+            known = stage(ld.referenced_people(people, df, [f"{who}_uid" for who in agents]), "agents")
             for who in agents:
                 out = ld.attach_person(out, known, f"{who}_uid", {f"{who}_{n}": f for n, f in AGENT_FIELDS.items()},
                                        spread_by="loan_id")
+        out = rows.unpacked(out)
+        out = out.select(*order, *[c for c in out.columns if c not in order])
         out = out.select("*", *named({n: c for n, c in self.after().items() if made(n)}))
         out = out.select(date_lit(self.as_of).alias("report_datetime"), "*", *named({n: c for n, c in self.flags().items() if made(n)})).drop("disp_name")
         return out if self.selected is None else out.select(*self.selected)
@@ -583,6 +603,8 @@ class LeadMart:
 
 # Frames whose first one, once built, has staged what they share.
 SHARING = {"disbursed": ("disbursed", "tu", "crif"), "remarks": ("remarks", "references", "permanent", "answers", "deviations")}
+# What dispositions, representatives and agents are attached by.
+ATTACHED_BY = ("loan_id", "plus", "sub_agent_uid", "agent_uid", "source", "sub_category", "channel", "ba_uid", "preuw_uid")
 MAIN_BORROWER = ("name", "first_name", "mobile", "landline", "email")
 
 
