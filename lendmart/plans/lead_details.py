@@ -437,15 +437,14 @@ class LeadMart:
         # Staff and main borrowers are fewer than people: as tables their sizes are known, so that the whole mart's row need not be
         # moved to meet them.
         apart = stage if read is None else unstaged
+        met = lambda who, key: ld.referenced_people(who, base, [key]) if read is None else who
         updated_by = {"loan_updatedby_name": "namec_user", "loan_updatedby_mobile": "mobile_user",
                       "loan_updatedby_landline": "landline_user", "loan_updatedby_email": "email_user"}
-        updates, mains = wanted(updated_by), wanted([f"loan_main_borrower_{c}" for c in MAIN_BORROWER])
-        if updates:
-            staff = apart(ld.referenced_people(people, base, ["updated_by"]), "updating_staff")
-            df = ld.attach_person(df, staff, "__updated_by", updated_by)
-        if mains:
-            referred = ld.referenced_people(catalog["users"], base, ["reference_id"])
-            df = df.join(apart(reference_borrowers(people, referred), "main_borrowers"), "referenceid_loan", "left")
+        if wanted(updated_by):
+            df = ld.attach_person(df, apart(met(people, "updated_by"), "updating_staff"), "__updated_by", updated_by)
+        if wanted([f"loan_main_borrower_{c}" for c in MAIN_BORROWER]):
+            main = apart(reference_borrowers(people, met(catalog["users"], "reference_id")), "main_borrowers")
+            df = df.join(main, "referenceid_loan", "left")
         if wanted(("__ch", "__sub", "__cat")):
             dim = ld.channel_dimension(catalog["channel_master"]).withColumnsRenamed(
                 {"channel": "__ch", "sub_category": "__sub", "category": "__cat"})
